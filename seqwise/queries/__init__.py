@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["rates"]
+MODULES = ["rates", "priors"]
 
 
 def all_queries() -> dict:
