@@ -14,16 +14,16 @@ def asc_last(cols) -> list[Column]:
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Equi-join where NULL keys match each other (the source's join rule).
 
-    Still planned as a hash / sort-merge join on the keys.
+    Still planned as a hash / sort-merge join on the keys. Built with one
+    aliasing projection and one output projection, so a deep plan is
+    analysed few times.
     """
-    r = right
-    ren = {}
-    for k in keys:
-        ren[k] = f"__r_{k}"
-        r = r.withColumnRenamed(k, ren[k])
+    keyset = set(keys)
+    r = right.select(*[F.col(c).alias(f"__r_{c}") if c in keyset else F.col(c) for c in right.columns])
     cond = None
     for k in keys:
-        c = left[k].eqNullSafe(r[ren[k]])
+        c = left[k].eqNullSafe(r[f"__r_{k}"])
         cond = c if cond is None else cond & c
     out = left.join(r, cond, how)
-    return out.drop(*ren.values())
+    return out.select(*[left[c] for c in left.columns],
+                      *[r[c] for c in right.columns if c not in keyset])

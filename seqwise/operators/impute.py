@@ -15,14 +15,25 @@ from pyspark.sql import functions as F
 from seqwise.operators._util import join_null_safe
 
 
+# Mean over an exact decimal sum: a plain double sum drifts with the number
+# and order of addends (the source's mean is accumulated in extended
+# precision). 12 decimals, magnitudes up to 1e26.
+MEAN_DECIMAL = "decimal(38,12)"
+
+
+def exact_mean(c):
+    col = F.col(c) if isinstance(c, str) else c
+    return F.try_divide(F.sum(col.cast(MEAN_DECIMAL)).cast("double"), F.count(col).cast("double"))
+
+
 def group_stat(df: DataFrame, keys: list[str], cols: list[str], how: str = "mean",
                q: float | None = None) -> DataFrame:
     aggs = []
     for c in cols:
         if how == "mean":
-            e = F.avg(c)
+            e = exact_mean(c)
         elif how == "rounded_mean":
-            e = F.bround(F.avg(c), 0)
+            e = F.bround(exact_mean(c), 0)
         elif how == "quantile":
             e = F.percentile(F.col(c).cast("double"), F.lit(q))
         else:
@@ -40,12 +51,15 @@ def fill_by_group(df: DataFrame, keys: list[str], cols: list[str], how: str = "m
         return df
     stats = group_stat(df, keys, cols, how, q)
     j = join_null_safe(df, stats, keys, "left")
-    return j.withColumns({c: F.coalesce(F.col(c), F.col(f"__g_{c}")) for c in cols}).drop(
-        *[f"__g_{c}" for c in cols])
+    fill = set(cols)
+    return j.select(*[F.coalesce(F.col(c), F.col(f"__g_{c}")).alias(c) if c in fill else F.col(c)
+                      for c in df.columns])
 
 
 def fill_constant(df: DataFrame, cols: list[str], value) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(value)) for c in cols})
+    fill = set(cols)
+    return df.select(*[F.coalesce(F.col(c), F.lit(value)).alias(c) if c in fill else F.col(c)
+                       for c in df.columns])
 
 
 def group_quantile(df: DataFrame, keys: list[str], col: str, q: float, name: str) -> DataFrame:

@@ -88,12 +88,12 @@ def cumulative_ratio(df: DataFrame, keys: list[str], order: list[str], specs, pr
     """For each (name, numerator, denominator): running-sum ratio per group.
 
     Running sums are poisoned by NULL (NULL at and after the first NULL);
-    0/0 is NULL. ``numerator``/``denominator`` are column names or Columns.
+    0/0 is NULL. ``numerator``/``denominator`` are SQL expressions or Columns.
     """
     w = running(keys, asc_last(order))
     cols = {}
     for name, num, den in specs:
-        num = F.col(num) if isinstance(num, str) else num
-        den = F.col(den) if isinstance(den, str) else den
+        num = F.expr(num) if isinstance(num, str) else num
+        den = F.expr(den) if isinstance(den, str) else den
         cols[prefix + name] = safe_ratio(na_cumsum(num, w), na_cumsum(den, w))
     return df.withColumns(cols)

@@ -27,7 +27,7 @@ RATE_SPECS = [
     ("gtg_pass_pct", "gtg_pass", "goal_to_go"),
     ("neutral_pass_pct", "neutral_pass", "neutral_wp"),
     ("scripted_pass_pct", "scripted_pass", "scripted"),
-    ("pass_pct", "pass_attempts", F.col("pass_attempts") + F.col("rush_attempts")),
+    ("pass_pct", "pass_attempts", "pass_attempts + rush_attempts"),
     ("run_left_pct", "run_left", "rush_attempts"),
     ("run_right_pct", "run_right", "rush_attempts"),
     ("rush_epa_play", "rush_epa", "rush_attempts"),

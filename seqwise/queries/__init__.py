@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["rates", "priors"]
+MODULES = ["rates", "priors", "features"]
 
 
 def all_queries() -> dict:

@@ -17,4 +17,5 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 
 def rnd(expr: str, digits: int = DIGITS) -> str:
-    return f"round({expr}, {digits})"
+    # + 0.0 turns -0.0 into 0.0, as Spark's decimal rounding does
+    return f"(round({expr}, {digits}) + 0.0::double)"

@@ -30,3 +30,10 @@ def with_plays(body: str, extra: str = "") -> str:
 
 
 PLAYERS = PLAYERS_SQL
+
+
+def exact_avg(c: str, over: str = "") -> str:
+    """Mean over an exact decimal sum (the library's group mean)."""
+    o = f" over {over}" if over else ""
+    return (f"(cast(sum(cast({c} as decimal(38,12))){o} as double) / "
+            f"nullif(cast(count({c}){o} as double), 0))")

@@ -8,7 +8,7 @@ from seqwise.config import EventConfig
 from seqwise.operators.aggregate import FACT_COLUMNS, period_facts
 from seqwise.plans.rates import RATE_NAMES, asof_rates, cumulative_rates
 from seqwise.queries._common import rnd, rounded
-from seqwise.queries._sql import ifelse, na_cumsum, na_sum, ratio, with_plays
+from seqwise.queries._sql import exact_avg, ifelse, na_cumsum, na_sum, ratio, with_plays
 from seqwise.sources.fixtures import plays
 
 # plays adapter: wp is in hundredths of the source scale, so the neutral
@@ -73,17 +73,23 @@ def cum_sql(side: str, prefix: str) -> str:
     return f"select {side}, season, game_date,\n  {sel}\nfrom facts"
 
 
-def asof_sql(side: str, prefix: str) -> str:
+def asof_ctes(side: str, prefix: str) -> str:
+    """CTEs {prefix}facts, {prefix}cum, {prefix}shifted, {prefix}rates (season-mean filled)."""
     names = [prefix + n for n in RATE_NAMES]
-    fill = ",\n  ".join(f"{rnd(f'coalesce({c}, avg({c}) over (partition by season))')} as {c}" for c in names)
-    return with_plays(
-        f"""select {side}, season, game_date,
+    fill = ",\n  ".join(f"coalesce({c}, {exact_avg(c, '(partition by season)')}) as {c}" for c in names)
+    return f"""{prefix}facts as ({facts_sql(side)}),
+{prefix}cum as ({cum_sql(side, prefix).replace("from facts", f"from {prefix}facts")}),
+{prefix}shifted as (select {side}, season, lead(game_date) over (partition by {side} order by season, game_date) as game_date,
+  {", ".join(names)} from {prefix}cum),
+{prefix}rates as (select {side}, season, game_date,
   {fill}
-from shifted""",
-        f"""facts as ({facts_sql(side)}),
-cum as ({cum_sql(side, prefix)}),
-shifted as (select {side}, season, lead(game_date) over (partition by {side} order by season, game_date) as game_date,
-  {", ".join(names)} from cum)""")
+from {prefix}shifted)"""
+
+
+def asof_sql(side: str, prefix: str) -> str:
+    names = [prefix + n for n in RATE_NAMES]
+    return with_plays(f"select {side}, season, game_date, " + ", ".join(f"{rnd(c)} as {c}" for c in names)
+                      + f" from {prefix}rates", asof_ctes(side, prefix))
 
 
 def q_asof_rates_entity(spark, sf):

@@ -50,3 +50,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = tempfile.mkdtemp(prefix="seqwise-ckpt-")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def materialize(df, spark: SparkSession | None = None, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back: cuts the lineage (a lost executor re-reads files instead of
+    recomputing the inputs) and keeps column pruning and filter pushdown for
+    every later consumer, which a ``checkpoint()`` RDD would not."""
+    import uuid
+    spark = spark or df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
