@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["rates", "priors", "features"]
+MODULES = ["rates", "priors", "features", "prepare"]
 
 
 def all_queries() -> dict:
