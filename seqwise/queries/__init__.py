@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["rates", "priors", "features", "prepare"]
+MODULES = ["rates", "priors", "features", "prepare", "sequence"]
 
 
 def all_queries() -> dict:
