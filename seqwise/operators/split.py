@@ -51,3 +51,11 @@ def split_report(df: DataFrame, game: str = "game_id") -> DataFrame:
         F.try_divide(F.col("valid_games"), tv).alias("validation_split"),
         F.col("test_games"),
         F.try_divide(F.col("test_games"), tv + F.col("test_games")).alias("test_split"))
+
+
+def key_split(df: DataFrame, key: str, buckets: int = 5, valid=(3,), test=(4,)) -> DataFrame:
+    """Deterministic split by entity: every row of a key lands in one split
+    (a sequence never crosses splits). Bucket = pmod(xxhash64(key), buckets)."""
+    b = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
+    return df.withColumn("split", F.when(b.isin(list(test)), "test").when(b.isin(list(valid)), "valid")
+                         .otherwise("train"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["rates", "priors", "features", "prepare", "sequence"]
+MODULES = ["rates", "priors", "features", "prepare", "sequence", "model"]
 
 
 def all_queries() -> dict:
