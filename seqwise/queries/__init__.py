@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["rates", "priors", "features", "prepare", "sequence", "model"]
+MODULES = ["rates", "priors", "features", "prepare", "sequence", "model", "io"]
 
 
 def all_queries() -> dict:

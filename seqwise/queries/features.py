@@ -17,7 +17,7 @@ from seqwise.queries._common import rnd, rounded
 from seqwise.queries._sql import exact_avg, with_plays
 from seqwise.queries.priors import SHRINK_CTES
 from seqwise.queries.rates import CFG, asof_ctes
-from seqwise.sources.fixtures import players, plays
+from seqwise.sources.fixtures import players, plays_table as plays
 
 MIN_SEASON, TEST_SEASON = 1998, 2001
 PT = ["pt_" + n for n in RATE_NAMES]

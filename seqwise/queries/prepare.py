@@ -17,7 +17,7 @@ from seqwise.queries._sql import with_plays
 from seqwise.queries.features import MIN_SEASON, PLAY_COLS, SPLIT_EXPR, TEST_SEASON
 from seqwise.queries.priors import QB_CTES
 from seqwise.queries.rates import CFG, asof_ctes
-from seqwise.sources.fixtures import plays
+from seqwise.sources.fixtures import plays_table as plays
 
 # Label recode and the class list of the four-class model.
 LABEL_MAP = {"run_left": "run", "run_right": "run", "run_middle": "run", "pass": "pass",

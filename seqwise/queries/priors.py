@@ -11,7 +11,7 @@ from seqwise.plans.priors import STAT_COLS, actor_cumulative, actor_season, acto
 from seqwise.queries._common import rnd, rounded
 from seqwise.queries._sql import PLAYERS, na_cumsum, na_sum, ratio, with_plays
 from seqwise.queries.rates import CFG
-from seqwise.sources.fixtures import players, plays
+from seqwise.sources.fixtures import players, plays_table as plays
 
 W_ACT = "(partition by passer, season order by game_date rows between unbounded preceding and current row)"
 

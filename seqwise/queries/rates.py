@@ -9,7 +9,7 @@ from seqwise.operators.aggregate import FACT_COLUMNS, period_facts
 from seqwise.plans.rates import RATE_NAMES, asof_rates, cumulative_rates
 from seqwise.queries._common import rnd, rounded
 from seqwise.queries._sql import exact_avg, ifelse, na_cumsum, na_sum, ratio, with_plays
-from seqwise.sources.fixtures import plays
+from seqwise.sources.fixtures import plays_table as plays
 
 # plays adapter: wp is in hundredths of the source scale, so the neutral
 # band 0.1 < wp < 0.9 becomes 1 < wp < 9 (see FIXTURES.md §3.1)

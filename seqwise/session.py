@@ -45,7 +45,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     given. Only when it is unset (local tests) is a fresh scratch folder made.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
+    current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="seqwise-ckpt-")
     sc.setCheckpointDir(current)

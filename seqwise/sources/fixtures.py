@@ -129,3 +129,24 @@ PLAYERS_SQL = "select s_suppkey as player_id, s_name as player_display_name from
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+
+
+_STORED: dict = {}
+
+
+def plays_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``plays`` adapter stored once as Parquet in the shared checkpoint
+    folder (per data folder), as an event table is at scale. Every query then
+    scans it with column pruning instead of recomputing the four-way join in
+    each branch of its plan."""
+    from seqwise.session import checkpoint_dir, materialize
+    key = (checkpoint_dir(spark), sf_dir)
+    path = _STORED.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - folder cleaned: write it again
+            _STORED.pop(key, None)
+    df = materialize(plays(spark, sf_dir), spark, "plays")
+    _STORED[key] = df.inputFiles()[0].rsplit("/", 1)[0]
+    return df
