@@ -97,3 +97,41 @@ def cumulative_ratio(df: DataFrame, keys: list[str], order: list[str], specs, pr
         den = F.expr(den) if isinstance(den, str) else den
         cols[prefix + name] = safe_ratio(na_cumsum(num, w), na_cumsum(den, w))
     return df.withColumns(cols)
+
+
+def number_and_fill(df: DataFrame, keys: list[str], order: list[str], name: str,
+                    fill_cols: list[str]) -> DataFrame:
+    """``number_within`` and ``fill_downup`` of ``fill_cols`` in one two-level
+    pass: one per-bucket summary (count, last and first non-NULL value; a
+    partial aggregation over a narrow projection), one running scan over the
+    summary, one join back on (group, bucket) that reuses the events'
+    partitioning. Same results as the two operators applied in turn."""
+    head, rest = order[0], list(order[1:])
+    okey = order_key(*rest)
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for c in fill_cols:
+        v = F.col(c)
+        aggs += [F.max_by(v, F.when(v.isNotNull(), okey)).alias(f"__bl_{c}"),
+                 F.min_by(v, F.when(v.isNotNull(), okey)).alias(f"__bf_{c}")]
+    summ = df.select(*keys, head, *rest, *fill_cols).groupBy(*keys, head).agg(*aggs)
+    wb = Window.partitionBy(*keys).orderBy(*asc_last([head]))
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    after = wb.rowsBetween(1, Window.unboundedFollowing)
+    summ = summ.select(
+        *keys, head,
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
+        *[F.last(f"__bl_{c}", ignorenulls=True).over(before).alias(f"__prev_{c}") for c in fill_cols],
+        *[F.first(f"__bf_{c}", ignorenulls=True).over(after).alias(f"__next_{c}") for c in fill_cols])
+    inner = Window.partitionBy(*keys, head).orderBy(*asc_last(rest))
+    local = df.withColumns({
+        "__rn_in": F.row_number().over(inner),
+        **{f"__down_{c}": F.last(c, ignorenulls=True).over(inner.rowsBetween(Window.unboundedPreceding, 0))
+           for c in fill_cols},
+        **{f"__up_{c}": F.first(c, ignorenulls=True).over(inner.rowsBetween(0, Window.unboundedFollowing))
+           for c in fill_cols}})
+    j = join_null_safe(local, summ, keys + [head], "inner")
+    out = {c: F.coalesce(F.col(f"__down_{c}"), F.col(f"__prev_{c}"), F.col(f"__up_{c}"), F.col(f"__next_{c}"))
+           for c in fill_cols}
+    out[name] = (F.col("__off") + F.col("__rn_in")).cast("int")
+    cols = [out.get(c, F.col(c)).alias(c) for c in df.columns] + ([out[name].alias(name)] if name not in df.columns else [])
+    return j.select(*cols)

@@ -19,7 +19,7 @@ from seqwise.operators.impute import fill_by_group, fill_constant
 from seqwise.operators.join import left_attach
 from seqwise.operators.project import cols_with_prefix
 from seqwise.operators.split import rule_split
-from seqwise.operators.window import fill_downup, number_within, period_ordinal
+from seqwise.operators.window import number_and_fill, period_ordinal
 from seqwise.plans.priors import actor_stats
 from seqwise.plans.rates import asof_rates
 from seqwise.session import materialize
@@ -57,14 +57,14 @@ def enrich_events(events: DataFrame, players: DataFrame, cfg: EventConfig = Even
     pgn = keep(period_ordinal(events, e, s, p, "pos_team_game_no"), "pt_game_no")
     dgn = keep(period_ordinal(events, o, s, p, "def_team_game_no"), "dt_game_no")
     qb = keep(actor_stats(events, players, cfg), "actor_stats")
-    ev = number_within(events, [e, p], cfg.order_cols, "pt_play_no")
+    # play number and the actor fill share one two-level pass over the events
+    ev = number_and_fill(events, [e, p], cfg.order_cols, "pt_play_no", [cfg.actor])
     if "spread_line" in ev.columns:
         ev = ev.withColumn("pt_spread", signed_by_side("spread_line", "posteam_type"))
     ev = left_attach(ev, pt, [e, s, p])
     ev = left_attach(ev, dt, [o, s, p])
     ev = left_attach(ev, pgn)
     ev = left_attach(ev, dgn)
-    ev = fill_downup(ev, [e, p], cfg.order_cols, cfg.actor)
     return left_attach(ev, qb, [cfg.actor, p, s])
 
 
@@ -95,8 +95,15 @@ def flags_and_label(ev: DataFrame, cfg: EventConfig = EventConfig()) -> DataFram
 
 
 def build_features(events: DataFrame, players: DataFrame, cfg: EventConfig = EventConfig(),
-                   min_season: int = 2016, test_season: int = 2022) -> DataFrame:
-    """C7 -> C10: the full event feature table with a ``split`` column."""
-    ev = flags_and_label(impute(enrich_events(events, players, cfg), cfg), cfg)
+                   min_season: int = 2016, test_season: int = 2022, stage: bool = True) -> DataFrame:
+    """C7 -> C10: the full event feature table with a ``split`` column.
+
+    With ``stage`` the enriched events are written once before imputation:
+    the season / week statistics and the fill then read stored Parquet
+    (column-pruned) instead of recomputing the enrichment per consumer."""
+    ev = enrich_events(events, players, cfg, stage)
+    if stage:
+        ev = materialize(ev, name="enriched_events")
+    ev = flags_and_label(impute(ev, cfg), cfg)
     ev = ev.drop("run_location")
     return rule_split(ev, cfg.season, cfg.week, min_season, test_season)

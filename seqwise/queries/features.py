@@ -17,6 +17,7 @@ from seqwise.queries._common import rnd, rounded
 from seqwise.queries._sql import exact_avg, with_plays
 from seqwise.queries.priors import SHRINK_CTES
 from seqwise.queries.rates import CFG, asof_ctes
+from seqwise.session import materialize
 from seqwise.sources.fixtures import players, plays_table as plays
 
 MIN_SEASON, TEST_SEASON = 1998, 2001
@@ -97,12 +98,16 @@ def q_enriched_events(spark, sf):
     return rounded(enrich_events(plays(spark, sf), players(spark, sf), CFG))
 
 
+def _enriched_stored(spark, sf):
+    return materialize(enrich_events(plays(spark, sf), players(spark, sf), CFG), name="enriched_events")
+
+
 def q_imputed_events(spark, sf):
-    return rounded(impute(enrich_events(plays(spark, sf), players(spark, sf), CFG), CFG))
+    return rounded(impute(_enriched_stored(spark, sf), CFG))
 
 
 def q_flags_label(spark, sf):
-    return rounded(flags_and_label(impute(enrich_events(plays(spark, sf), players(spark, sf), CFG), CFG), CFG))
+    return rounded(flags_and_label(impute(_enriched_stored(spark, sf), CFG), CFG))
 
 
 def q_feature_table(spark, sf):
