@@ -22,7 +22,7 @@ from seqwise.operators.split import rule_split
 from seqwise.operators.window import number_and_fill, period_ordinal
 from seqwise.plans.priors import actor_stats
 from seqwise.plans.rates import asof_rates
-from seqwise.session import materialize
+from seqwise.session import materialize, materialize_all
 
 # Columns whose NULLs become 0.
 ZERO_FILL = ["qb_pass_wpa_play_adj", "qb_pass_epa_play_adj", "air_yards", "yards_after_catch", "air_epa",
@@ -51,12 +51,16 @@ def enrich_events(events: DataFrame, players: DataFrame, cfg: EventConfig = Even
     consumer of a side table.
     """
     e, o, s, p = cfg.entity, cfg.opponent, cfg.season, cfg.period
-    keep = (lambda df, name: materialize(df, name=name)) if stage else (lambda df, name: df)
-    pt = keep(asof_rates(events, e, "pt_", cfg), "pt_rates")
-    dt = keep(asof_rates(events, o, "dt_", cfg), "dt_rates")
-    pgn = keep(period_ordinal(events, e, s, p, "pos_team_game_no"), "pt_game_no")
-    dgn = keep(period_ordinal(events, o, s, p, "def_team_game_no"), "dt_game_no")
-    qb = keep(actor_stats(events, players, cfg), "actor_stats")
+    side = {
+        "pt_rates": asof_rates(events, e, "pt_", cfg),
+        "dt_rates": asof_rates(events, o, "dt_", cfg),
+        "pt_game_no": period_ordinal(events, e, s, p, "pos_team_game_no"),
+        "dt_game_no": period_ordinal(events, o, s, p, "def_team_game_no"),
+        "actor_stats": actor_stats(events, players, cfg),
+    }
+    if stage:   # independent jobs: written concurrently
+        side = materialize_all(side, events.sparkSession)
+    pt, dt, pgn, dgn, qb = (side[k] for k in ("pt_rates", "dt_rates", "pt_game_no", "dt_game_no", "actor_stats"))
     # play number and the actor fill share one two-level pass over the events
     ev = number_and_fill(events, [e, p], cfg.order_cols, "pt_play_no", [cfg.actor])
     if "spread_line" in ev.columns:

@@ -19,7 +19,7 @@ from seqwise.plans.model import (
 )
 from seqwise.queries._common import rnd, rounded
 from seqwise.queries.sequence import BATCH_L, EV, FEATS, KEYS, ORDER, PAD_LEN, WIN, labelled_events
-from seqwise.session import checkpoint_dir
+from seqwise.session import checkpoint_dir, materialize
 from seqwise.sources.io import load_model, save_model
 
 CLASSES = [0, 1, 2, 3, 4]
@@ -55,7 +55,8 @@ def window_table(spark, sf):
 
 
 def _train_eval(spark, sf, candidates, weighted):
-    w = window_table(spark, sf)
+    # windows are written once: every candidate fit and every metric reads them
+    w = materialize(window_table(spark, sf), spark, "windows")
     train, valid, test = (w.filter(F.col("split") == s) for s in ("train", "valid", "test"))
     if weighted:
         train = with_class_weight(train, train)
@@ -92,7 +93,7 @@ def q_train_eval_rf(spark, sf):
 
 def q_test_confusion(spark, sf):
     """M8 + M9 on a trained model: predictions on test windows, confusion table."""
-    w = window_table(spark, sf)
+    w = materialize(window_table(spark, sf), spark, "windows")
     train, test = w.filter(F.col("split") == "train"), w.filter(F.col("split") == "test")
     model = Pipeline(stages=[LogisticRegression(featuresCol="vec", labelCol="label", regParam=0.01,
                                                 maxIter=30)]).fit(train)

@@ -66,3 +66,17 @@ def materialize(df, spark: SparkSession | None = None, name: str = "stage"):
     path = f"{base}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_all(frames: dict, spark: SparkSession | None = None, parallel: bool = True) -> dict:
+    """``materialize`` several independent DataFrames, submitting their
+    writes as concurrent jobs (Spark schedules jobs from driver threads side
+    by side, so small stages of one job fill cores idle in another)."""
+    if not frames:
+        return {}
+    if not parallel or len(frames) == 1:
+        return {k: materialize(v, spark, k) for k, v in frames.items()}
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        futs = {k: pool.submit(materialize, v, spark, k) for k, v in frames.items()}
+        return {k: f.result() for k, f in futs.items()}

@@ -154,3 +154,13 @@ def test_g24_rmse_and_confusion(spark):
 def test_null_audit(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "a int, b string")
     assert {r.column_name: r.n_null for r in null_audit(df).collect()} == {"a": 1, "b": 2}
+
+
+def test_number_and_fill_equals_separate_ops(spark):
+    from seqwise.operators.window import number_and_fill
+    df = spark.range(400).select((F.col("id") % 3).alias("k"), (F.col("id") % 29).alias("d"), F.col("id").alias("p"),
+                                 F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"))
+    a = {(r.k, r.p): (r.n, r.v) for r in number_and_fill(df, ["k"], ["d", "p"], "n", ["v"]).collect()}
+    sep = fill_downup(number_within(df, ["k"], ["d", "p"], "n", two_level=False), ["k"], ["d", "p"], "v", two_level=False)
+    b = {(r.k, r.p): (r.n, r.v) for r in sep.collect()}
+    assert a == b
