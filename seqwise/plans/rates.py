@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from seqwise.config import EventConfig
 from seqwise.operators.aggregate import period_facts
-from seqwise.operators.impute import fill_by_group
+from seqwise.operators.impute import fill_by_group_small
 from seqwise.operators.window import cumulative_ratio, lead_period
 
 # The 13 rate definitions (name, running numerator, running denominator).
@@ -56,7 +56,9 @@ def asof_shift(rates: DataFrame, side: str, cols: list[str], cfg: EventConfig =
                           [cfg.season, cfg.period], cfg.period)
     if not fill:
         return shifted
-    return fill_by_group(shifted, [cfg.season], cols, how="mean")
+    # the shifted table has one row per (side, period): a per-season window
+    # over it is small, and keeps the events scanned once for the facts
+    return fill_by_group_small(shifted, [cfg.season], cols)
 
 
 def asof_rates(events: DataFrame, side: str, prefix: str, cfg: EventConfig = EventConfig(),
