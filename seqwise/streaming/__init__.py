@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The source pipeline has no stream, watermark, trigger or state: its
+15-event window is a batch count window (``seqwise.operators.sequence``).
+This package stays empty on purpose rather than adding operators the
+source does not have.
+"""
