@@ -10,6 +10,7 @@ from seqwise.functions.semantics import eq_flag, not_in, r_ifelse
 from seqwise.operators.encode import apply_labels, fit_labels, minmax_scale
 from seqwise.operators.project import cols_with_prefix, derive, keys_first, prepare_events, with_suffix
 from seqwise.operators.split import rule_split
+from seqwise.plans.prepare import encode_and_scale
 from seqwise.plans.priors import STAT_COLS, actor_cumulative, actor_season
 from seqwise.plans.rates import RATE_NAMES, asof_rates
 from seqwise.queries._common import rnd, rounded
@@ -156,6 +157,13 @@ def q_minmax_scale(spark, sf):
     return rounded(minmax_scale(p, SCALE_COLS, fit_on=p.filter(F.col("split") == "train")))
 
 
+def q_encode_and_scale(spark, sf):
+    """C12 composite on the labelled plays."""
+    p = rule_split(_labelled(spark, sf).select("drive", "play_id", "season", "week", "play_type", *SCALE_COLS),
+                   "season", "week", MIN_SEASON, TEST_SEASON)
+    return rounded(encode_and_scale(p, "play_type", LABEL_MAP, SCALE_COLS))
+
+
 QUERIES = {
     "filter_arith": q_filter_arith,
     "derived_columns": q_derived_columns,
@@ -170,6 +178,7 @@ QUERIES = {
     "label_encode": q_label_encode,
     "list_encode": q_list_encode,
     "minmax_scale": q_minmax_scale,
+    "encode_and_scale": q_encode_and_scale,
 }
 
 _SPLIT_CTE = f"sp as (select * from (select *, {SPLIT_EXPR} as split from plays where season >= {MIN_SEASON}) t where split is not null)"
@@ -218,4 +227,11 @@ ORACLE = {
     "minmax_scale": with_plays(
         f"select drive, play_id, season, week, game_id, split, {_SCALED} from sp, "
         f"(select {_MM} from sp where split = 'train') m", _SPLIT_CTE),
+    "encode_and_scale": with_plays(
+        f"select drive, play_id, season, week, play_type, split, "
+        "cast(dense_rank() over (partition by split order by play_type nulls last) - 1 as int) as play_type_encoded, "
+        f"{_SCALED} from (select drive, play_id, season, week, split, {RECODE_SQL.replace('case pt', 'case play_type')} as play_type, "
+        f"{', '.join(SCALE_COLS)} from (select *, {SPLIT_EXPR} as split from lab where season >= {MIN_SEASON}) t "
+        "where split is not null) e, (select " + _MM + f" from (select *, {SPLIT_EXPR} as split from lab "
+        f"where season >= {MIN_SEASON}) t2 where split = 'train') m", LABELLED),
 }

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from seqwise.operators.aggregate import first_per_group, last_per_group
 from seqwise.operators.impute import group_quantile
-from seqwise.operators.join import lookup, season_lags
+from seqwise.operators.join import asof_state, lookup, season_lags
 from seqwise.plans.priors import STAT_COLS, actor_cumulative, actor_season, actor_stats, leaderboard, shrunk_rates
 from seqwise.queries._common import rnd, rounded
 from seqwise.queries._sql import PLAYERS, na_cumsum, na_sum, ratio, with_plays
@@ -120,6 +120,13 @@ def q_lookup_left_join(spark, sf):
     return lookup(p, players(spark, sf), "passer", "player_id", ["player_display_name"])
 
 
+def q_asof_state_actor(spark, sf):
+    """J6 general form with shift=1 on the actor table: each actor period sees
+    only earlier periods (the leak-free variant of Q4)."""
+    cum = actor_cumulative(plays(spark, sf), CFG)
+    return rounded(asof_state(cum, "passer", "season", "game_date", ["qb_pass_attempts", "qb_pass_epa_play"], shift=1))
+
+
 def q_leaderboard(spark, sf):
     return rounded(leaderboard(actor_stats(plays(spark, sf), players(spark, sf), CFG), CFG))
 
@@ -134,6 +141,7 @@ QUERIES = {
     "actor_stats": q_actor_stats,
     "lookup_left_join": q_lookup_left_join,
     "leaderboard": q_leaderboard,
+    "asof_state_actor": q_asof_state_actor,
 }
 
 _stat = ", ".join
@@ -177,4 +185,7 @@ ORACLE = {
         + rnd("qb_pass_epa_play_adj") + " as qb_pass_epa_play_adj, " + rnd("qb_pass_wpa_play_adj")
         + " as qb_pass_wpa_play_adj from (select *, row_number() over (partition by passer, season order by game_date desc) as rn "
         "from stats) t where rn = 1 order by qb_pass_epa_play_adj desc nulls last, passer, season limit 15", SHRINK_CTES),
+    "asof_state_actor": with_plays(
+        "select passer, season, lead(game_date) over (partition by passer order by season, game_date) as game_date, "
+        f"qb_pass_attempts, {rnd('qb_pass_epa_play')} as qb_pass_epa_play from qbcum", QB_CTES),
 }
