@@ -56,6 +56,16 @@ def fill_by_group(df: DataFrame, keys: list[str], cols: list[str], how: str = "m
                       for c in df.columns])
 
 
+def fill_from_stats(df: DataFrame, stats: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Coalesce ``cols`` with precomputed per-group values ``__g_<col>``."""
+    if not cols:
+        return df
+    j = join_null_safe(df, stats.select(*keys, *[f"__g_{c}" for c in cols]), keys, "left")
+    fill = set(cols)
+    return j.select(*[F.coalesce(F.col(c), F.col(f"__g_{c}")).alias(c) if c in fill else F.col(c)
+                      for c in df.columns])
+
+
 def fill_constant(df: DataFrame, cols: list[str], value) -> DataFrame:
     fill = set(cols)
     return df.select(*[F.coalesce(F.col(c), F.lit(value)).alias(c) if c in fill else F.col(c)

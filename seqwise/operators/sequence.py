@@ -82,9 +82,13 @@ def windows(padded: DataFrame, keys: list[str], n: int = 15, truncate_tail: bool
 
 
 def rolling_windows(df: DataFrame, keys: list[str], order: list[str], features: list[str], n: int,
-                    label: str | None = None) -> DataFrame:
+                    label: str | None = None, max_len: int | None = None) -> DataFrame:
     """For each event, its n previous events (only events with a full
-    history of n). A bounded row frame per key, no padding."""
+    history of n). A bounded row frame per key, no padding. The window sorts
+    each key's events in one task, so ``max_len`` (checked first, as in
+    ``to_sequences``) keeps a hot key from landing whole in one task."""
+    if max_len is not None:
+        check_max_len(df, keys, max_len)
     w = Window.partitionBy(*keys).orderBy(*asc_last(order)).rowsBetween(-n, -1)
     x = F.array(*[F.col(f).cast("double") for f in features])
     out = df.withColumn("features", F.collect_list(x).over(w)).filter(F.size("features") == n)

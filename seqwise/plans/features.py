@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from seqwise.config import EventConfig
 from seqwise.functions.scalar import label_of, signed_by_side
 from seqwise.functions.semantics import eq_flag
-from seqwise.operators.impute import fill_by_group, fill_constant
+from seqwise.operators.impute import MEAN_DECIMAL, fill_by_group, fill_constant, fill_from_stats
 from seqwise.operators.join import left_attach
 from seqwise.operators.project import cols_with_prefix
 from seqwise.operators.split import rule_split
@@ -39,45 +39,86 @@ FLAGS = [
 FLAG_SOURCES_DROPPED = ["timeout_team", "penalty_team", "pass_length", "pass_location"]
 
 
-def enrich_events(events: DataFrame, players: DataFrame, cfg: EventConfig = EventConfig(),
-                  stage: bool = True) -> DataFrame:
-    """Play number, signed spread, as-of rates of both sides, period
-    ordinals, actor filled inside the period, actor stats.
-
-    ``stage`` writes the five side tables (per side-period or actor-period,
-    small next to the events) once to the shared checkpoint folder: the
-    event plan stays short, a lost executor re-reads files instead of
-    recomputing the aggregations, and the events are not rescanned for each
-    consumer of a side table.
-    """
+def side_tables(events: DataFrame, players: DataFrame, cfg: EventConfig = EventConfig(),
+                stage: bool = True) -> dict:
+    """The tables attached to the events: as-of rates of both sides, period
+    ordinals, actor stats, and events per side-period (for exact event-weighted
+    means without touching the events). All keyed far coarser than events.
+
+    ``stage`` writes them once to the shared checkpoint folder, built and
+    written as concurrent jobs: the event plan stays short, a lost executor
+    re-reads files instead of recomputing the aggregations, and the events
+    are not rescanned for each consumer of a side table."""
     e, o, s, p = cfg.entity, cfg.opponent, cfg.season, cfg.period
     side = {
-        "pt_rates": asof_rates(events, e, "pt_", cfg),
-        "dt_rates": asof_rates(events, o, "dt_", cfg),
-        "pt_game_no": period_ordinal(events, e, s, p, "pos_team_game_no"),
-        "dt_game_no": period_ordinal(events, o, s, p, "def_team_game_no"),
-        "actor_stats": actor_stats(events, players, cfg),
+        "pt_rates": lambda: asof_rates(events, e, "pt_", cfg),
+        "dt_rates": lambda: asof_rates(events, o, "dt_", cfg),
+        "pt_game_no": lambda: period_ordinal(events, e, s, p, "pos_team_game_no"),
+        "dt_game_no": lambda: period_ordinal(events, o, s, p, "def_team_game_no"),
+        "actor_stats": lambda: actor_stats(events, players, cfg),
+        "pt_counts": lambda: events.groupBy(e, s, p).agg(F.count(F.lit(1)).alias("__n")),
+        "dt_counts": lambda: events.groupBy(o, s, p).agg(F.count(F.lit(1)).alias("__n")),
     }
-    if stage:   # independent jobs: written concurrently
-        side = materialize_all(side, events.sparkSession)
-    pt, dt, pgn, dgn, qb = (side[k] for k in ("pt_rates", "dt_rates", "pt_game_no", "dt_game_no", "actor_stats"))
-    # play number and the actor fill share one two-level pass over the events
+    if stage:
+        return materialize_all(side, events.sparkSession)
+    return {k: f() for k, f in side.items()}
+
+
+def attach(events: DataFrame, side: dict, cfg: EventConfig = EventConfig()) -> DataFrame:
+    """C7 joins: play number and actor fill (one two-level pass), signed
+    spread, rates of both sides, period ordinals, actor stats."""
+    e, o, s, p = cfg.entity, cfg.opponent, cfg.season, cfg.period
     ev = number_and_fill(events, [e, p], cfg.order_cols, "pt_play_no", [cfg.actor])
     if "spread_line" in ev.columns:
         ev = ev.withColumn("pt_spread", signed_by_side("spread_line", "posteam_type"))
-    ev = left_attach(ev, pt, [e, s, p])
-    ev = left_attach(ev, dt, [o, s, p])
-    ev = left_attach(ev, pgn)
-    ev = left_attach(ev, dgn)
-    return left_attach(ev, qb, [cfg.actor, p, s])
+    ev = left_attach(ev, side["pt_rates"], [e, s, p])
+    ev = left_attach(ev, side["dt_rates"], [o, s, p])
+    ev = left_attach(ev, side["pt_game_no"])
+    ev = left_attach(ev, side["dt_game_no"])
+    return left_attach(ev, side["actor_stats"], [cfg.actor, p, s])
+
+
+def enrich_events(events: DataFrame, players: DataFrame, cfg: EventConfig = EventConfig(),
+                  stage: bool = True) -> DataFrame:
+    """Play number, signed spread, as-of rates of both sides, period
+    ordinals, actor filled inside the period, actor stats."""
+    return attach(events, side_tables(events, players, cfg, stage), cfg)
+
+
+def joined_rate_means(side: dict, cfg: EventConfig = EventConfig()) -> DataFrame:
+    """Season means, over events, of the rate columns the events received by
+    the left joins: sum(rate x events of the period) / sum(events of periods
+    with a rate). Same exact decimal sums as averaging the joined events,
+    computed on the per-period tables."""
+    s, p = cfg.season, cfg.period
+    parts = []
+    for rates, counts, key in (("pt_rates", "pt_counts", cfg.entity), ("dt_rates", "dt_counts", cfg.opponent)):
+        r = side[rates]
+        cols = [c for c in r.columns if c not in (key, s, p)]
+        j = r.join(side[counts], [key, s, p])
+        aggs = [F.try_divide(
+            F.sum(F.when(F.col(c).isNotNull(), F.col(c).cast(MEAN_DECIMAL) * F.col("__n"))).cast("double"),
+            F.sum(F.when(F.col(c).isNotNull(), F.col("__n"))).cast("double")).alias(f"__g_{c}") for c in cols]
+        parts.append(j.groupBy(s).agg(*aggs))
+    return parts[0].join(parts[1], [s], "full")
 
 
 def impute(ev: DataFrame, cfg: EventConfig = EventConfig(), zero_cols=ZERO_FILL,
-           mean_prefixes=("pt_", "dt"), roof_default: str = "dome") -> DataFrame:
+           mean_prefixes=("pt_", "dt"), roof_default: str = "dome",
+           known_means: DataFrame | None = None) -> DataFrame:
     """Zeros, event-weighted season means by prefix, a constant roof,
-    and the per-week mean temperature rounded half to even."""
+    and the per-week mean temperature rounded half to even.
+
+    ``known_means`` (season -> ``__g_<col>``) supplies means computed
+    elsewhere (``joined_rate_means``); the other prefix columns are averaged
+    over the events."""
     ev = fill_constant(ev, [c for c in zero_cols if c in ev.columns], 0)
-    ev = fill_by_group(ev, [cfg.season], cols_with_prefix(ev, *mean_prefixes), how="mean")
+    cols = cols_with_prefix(ev, *mean_prefixes)
+    known = set()
+    if known_means is not None:
+        known = {c for c in cols if f"__g_{c}" in known_means.columns}
+        ev = fill_from_stats(ev, known_means, [cfg.season], sorted(known))
+    ev = fill_by_group(ev, [cfg.season], [c for c in cols if c not in known], how="mean")
     if "roof" in ev.columns:
         ev = fill_constant(ev, ["roof"], roof_default)
     if "temp" in ev.columns:
@@ -105,9 +146,10 @@ def build_features(events: DataFrame, players: DataFrame, cfg: EventConfig = Eve
     With ``stage`` the enriched events are written once before imputation:
     the season / week statistics and the fill then read stored Parquet
     (column-pruned) instead of recomputing the enrichment per consumer."""
-    ev = enrich_events(events, players, cfg, stage)
+    side = side_tables(events, players, cfg, stage)
+    ev = attach(events, side, cfg)
     if stage:
         ev = materialize(ev, name="enriched_events")
-    ev = flags_and_label(impute(ev, cfg), cfg)
+    ev = flags_and_label(impute(ev, cfg, known_means=joined_rate_means(side, cfg)), cfg)
     ev = ev.drop("run_location")
     return rule_split(ev, cfg.season, cfg.week, min_season, test_season)

@@ -11,7 +11,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from seqwise.operators.sequence import pad, to_sequences, windows
+from seqwise.operators.sequence import check_max_len, pad, to_sequences, windows
 from seqwise.operators.split import key_split
 from seqwise.plans.model import (
     accuracy, class_report, confusion, evaluate, history_frame, rmse_codes, select_best, window_vectors,
@@ -26,7 +26,10 @@ CLASSES = [0, 1, 2, 3, 4]
 
 
 def rule_predictions(spark, sf):
+    """Predict each event's label as the previous label of its sequence
+    (the first event gets 0). Sequences are bounded like the model input."""
     e = labelled_events(spark, sf)
+    check_max_len(e, KEYS, PAD_LEN)
     w = Window.partitionBy(*KEYS).orderBy(*ORDER)
     return e.withColumn("prediction", F.coalesce(F.lag("label").over(w), F.lit(0)))
 

@@ -82,7 +82,7 @@ def q_window_targets(spark, sf):
 
 
 def q_windows_rowframe(spark, sf):
-    r = rolling_windows(labelled_events(spark, sf), KEYS, ORDER, ["value"], WIN)
+    r = rolling_windows(labelled_events(spark, sf), KEYS, ORDER, ["value"], WIN, max_len=PAD_LEN)
     return r.select(*KEYS, "event_id", F.posexplode("features").alias("step", "__x")).select(
         *KEYS, "event_id", F.col("step").cast("int").alias("step"), F.col("__x")[0].alias("value"))
 

@@ -69,14 +69,18 @@ def materialize(df, spark: SparkSession | None = None, name: str = "stage"):
 
 
 def materialize_all(frames: dict, spark: SparkSession | None = None, parallel: bool = True) -> dict:
-    """``materialize`` several independent DataFrames, submitting their
-    writes as concurrent jobs (Spark schedules jobs from driver threads side
-    by side, so small stages of one job fill cores idle in another)."""
+    """``materialize`` several independent DataFrames (or zero-argument
+    functions building them), as concurrent jobs: Spark schedules jobs from
+    driver threads side by side, so the small stages of one fill cores idle
+    in another, and plan construction overlaps too."""
     if not frames:
         return {}
+
+    def one(name, f):
+        return materialize(f() if callable(f) else f, spark, name)
     if not parallel or len(frames) == 1:
-        return {k: materialize(v, spark, k) for k, v in frames.items()}
+        return {k: one(k, v) for k, v in frames.items()}
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-        futs = {k: pool.submit(materialize, v, spark, k) for k, v in frames.items()}
+        futs = {k: pool.submit(one, k, v) for k, v in frames.items()}
         return {k: f.result() for k, f in futs.items()}
