@@ -55,7 +55,7 @@ def side_tables(events: DataFrame, players: DataFrame, cfg: EventConfig = EventC
         "dt_rates": lambda: asof_rates(events, o, "dt_", cfg),
         "pt_game_no": lambda: period_ordinal(events, e, s, p, "pos_team_game_no"),
         "dt_game_no": lambda: period_ordinal(events, o, s, p, "def_team_game_no"),
-        "actor_stats": lambda: actor_stats(events, players, cfg),
+        "actor_stats": lambda: actor_stats(events, players, cfg, stage=stage),
         "pt_counts": lambda: events.groupBy(e, s, p).agg(F.count(F.lit(1)).alias("__n")),
         "dt_counts": lambda: events.groupBy(o, s, p).agg(F.count(F.lit(1)).alias("__n")),
     }

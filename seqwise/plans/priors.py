@@ -20,6 +20,7 @@ from seqwise.functions.semantics import na_cumsum, na_sum, running, safe_ratio
 from seqwise.operators._util import asc_last, join_null_safe
 from seqwise.operators.aggregate import last_per_group
 from seqwise.operators.join import lookup, season_lags
+from seqwise.session import materialize
 
 STAT_COLS = ["qb_pass_attempts", "qb_pass_epa_play", "qb_pass_wpa_play"]
 
@@ -91,9 +92,17 @@ def shrunk_rates(cum: DataFrame, cfg: EventConfig = EventConfig(), weights=(0.6,
 
 
 def actor_stats(events: DataFrame, players: DataFrame, cfg: EventConfig = EventConfig(),
-                player_key: str = "player_id", player_name: str = "player_display_name") -> DataFrame:
-    """C4+C5+J4: actor stats keyed (actor, season, period) with the actor's name."""
-    shr = shrunk_rates(actor_cumulative(events, cfg), cfg)
+                player_key: str = "player_id", player_name: str = "player_display_name",
+                stage: bool = False) -> DataFrame:
+    """C4+C5+J4: actor stats keyed (actor, season, period) with the actor's name.
+
+    The running table feeds four consumers (season rows and lags, the join,
+    two quantile passes); ``stage`` writes it once so the events are scanned
+    once instead of per consumer."""
+    cum = actor_cumulative(events, cfg)
+    if stage:
+        cum = materialize(cum, name="actor_cumulative")
+    shr = shrunk_rates(cum, cfg)
     named = lookup(shr, players, cfg.actor, player_key, [player_name])
     return named.select(cfg.actor, F.col(player_name).alias(f"{cfg.actor}_name"), cfg.season, cfg.period,
                         "qb_pass_attempts", "qb_pass_epa_play_adj", "qb_pass_wpa_play_adj")

@@ -12,7 +12,6 @@ smaller than the events by the events-per-period factor.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from seqwise.config import EventConfig
 from seqwise.operators.aggregate import period_facts

@@ -4,7 +4,6 @@ J1, J2, J5, C7-C10, P16, A9-A11)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from seqwise.operators.aggregate import distinct_count, null_audit
 from seqwise.operators.impute import fill_by_group

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seqwise.operators.aggregate import first_per_group, last_per_group
+from seqwise.operators.aggregate import first_per_group
 from seqwise.operators.impute import group_quantile
 from seqwise.operators.join import asof_state, lookup, season_lags
 from seqwise.plans.priors import STAT_COLS, actor_cumulative, actor_season, actor_stats, leaderboard, shrunk_rates
@@ -112,7 +112,7 @@ def q_group_quantile_fill(spark, sf):
 
 
 def q_actor_stats(spark, sf):
-    return rounded(actor_stats(plays(spark, sf), players(spark, sf), CFG))
+    return rounded(actor_stats(plays(spark, sf), players(spark, sf), CFG, stage=True))
 
 
 def q_lookup_left_join(spark, sf):
@@ -128,7 +128,7 @@ def q_asof_state_actor(spark, sf):
 
 
 def q_leaderboard(spark, sf):
-    return rounded(leaderboard(actor_stats(plays(spark, sf), players(spark, sf), CFG), CFG))
+    return rounded(leaderboard(actor_stats(plays(spark, sf), players(spark, sf), CFG, stage=True), CFG))
 
 
 QUERIES = {

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from seqwise.config import EventConfig
 from seqwise.operators.aggregate import FACT_COLUMNS, period_facts

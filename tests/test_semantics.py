@@ -1,9 +1,7 @@
 """Micro-goldens for the missing-value rules and scalar helpers (FIXTURES §4)."""
 
-import math
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seqwise.functions import (
