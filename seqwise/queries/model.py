@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from seqwise.functions.scalar import argmax
 from seqwise.operators.sequence import check_max_len, pad, to_sequences, windows
 from seqwise.operators.split import key_split
 from seqwise.plans.model import (
@@ -18,7 +20,7 @@ from seqwise.plans.model import (
     with_class_weight,
 )
 from seqwise.queries._common import rnd, rounded
-from seqwise.queries.sequence import BATCH_L, EV, FEATS, KEYS, ORDER, PAD_LEN, WIN, labelled_events
+from seqwise.queries.sequence import EV, FEATS, KEYS, ORDER, PAD_LEN, WIN, labelled_events
 from seqwise.session import checkpoint_dir, materialize
 from seqwise.sources.io import load_model, save_model
 
@@ -100,13 +102,9 @@ def q_test_confusion(spark, sf):
     train, test = w.filter(F.col("split") == "train"), w.filter(F.col("split") == "test")
     model = Pipeline(stages=[LogisticRegression(featuresCol="vec", labelCol="label", regParam=0.01,
                                                 maxIter=30)]).fit(train)
-    return confusion(model.transform(test), CLASSES)
-
-
-def q_batch_windows(spark, sf):
-    """Window rows with their batch number, as fed to training (N8 on the model input)."""
-    return window_table(spark, sf).select(*KEYS, "split", "window_index",
-                                          F.floor(F.col("window_index") / BATCH_L).cast("int").alias("batch_id"))
+    # predicted class = argmax of the probability vector, as the source takes it
+    pred = model.transform(test).withColumn("prediction", argmax(vector_to_array("probability")))
+    return confusion(pred, CLASSES)
 
 
 QUERIES = {
