@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqwise.operators._util import join_null_safe
+from seqwise.operators.quantile import exact_quantiles
 
 
 # Mean over an exact decimal sum: a plain double sum drifts with the number
@@ -28,14 +29,14 @@ def exact_mean(c):
 
 def group_stat(df: DataFrame, keys: list[str], cols: list[str], how: str = "mean",
                q: float | None = None) -> DataFrame:
+    if how == "quantile":
+        return exact_quantiles(df, keys, cols, q, prefix="__g_")
     aggs = []
     for c in cols:
         if how == "mean":
             e = exact_mean(c)
         elif how == "rounded_mean":
             e = F.bround(exact_mean(c), 0)
-        elif how == "quantile":
-            e = F.percentile(F.col(c).cast("double"), F.lit(q))
         else:
             raise ValueError(how)
         aggs.append(e.alias(f"__g_{c}"))
@@ -46,7 +47,7 @@ def fill_by_group(df: DataFrame, keys: list[str], cols: list[str], how: str = "m
                   q: float | None = None) -> DataFrame:
     """Replace NULLs in ``cols`` by a per-group statistic of the same column
     (computed before any fill). ``how``: mean | rounded_mean (half-even) |
-    quantile (exact, linear interpolation)."""
+    quantile (exact, linear interpolation, no whole-group buffer)."""
     if not cols:
         return df
     stats = group_stat(df, keys, cols, how, q)
@@ -74,7 +75,7 @@ def fill_constant(df: DataFrame, cols: list[str], value) -> DataFrame:
 
 def group_quantile(df: DataFrame, keys: list[str], col: str, q: float, name: str) -> DataFrame:
     """Per-group exact quantile as a column on every row (source type 7)."""
-    stats = df.groupBy(*keys).agg(F.percentile(F.col(col).cast("double"), F.lit(q)).alias(name))
+    stats = exact_quantiles(df, keys, [col], q, prefix="__gq_").withColumnRenamed(f"__gq_{col}", name)
     return join_null_safe(df, stats, keys, "left")
 
 

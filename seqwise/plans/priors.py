@@ -6,8 +6,9 @@ quantile fills -> prior = weighted past rate plus a replacement level
 weighted by a typical sample size -> adjusted rate = (rate·n + rc·prior)/(rc + n).
 
 Everything after the first aggregation runs on the actor-period table.
-Quantiles are exact (``percentile``) per season: one group per season, a
-map of distinct values per group, merged map-side.
+Quantiles are exact per season (``exact_quantiles``: a bounded sketch to
+bracket the rank, then only the narrow band of values is ranked), so no
+season's values are held in one buffer.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from seqwise.functions.semantics import na_cumsum, na_sum, running, safe_ratio
 from seqwise.operators._util import asc_last, join_null_safe
 from seqwise.operators.aggregate import last_per_group
 from seqwise.operators.join import lookup, season_lags
+from seqwise.operators.quantile import exact_quantiles
 from seqwise.session import materialize
 
 STAT_COLS = ["qb_pass_attempts", "qb_pass_epa_play", "qb_pass_wpa_play"]
@@ -50,23 +52,28 @@ def actor_season(cum: DataFrame, cfg: EventConfig = EventConfig()) -> DataFrame:
 
 
 def shrunk_rates(cum: DataFrame, cfg: EventConfig = EventConfig(), weights=(0.6, 0.3, 0.1),
-                 rep_q: float = 0.2, rc_q: float = 0.25) -> DataFrame:
-    """Prior and adjusted per-attempt rates on every (actor, season, period)."""
+                 rep_q: float = 0.2, rc_q: float = 0.25, stage: bool = False) -> DataFrame:
+    """Prior and adjusted per-attempt rates on every (actor, season, period).
+
+    ``stage`` writes the running table joined to its season lags once: the
+    quantile passes, the fill and the prior all read it."""
     a, s = cfg.actor, cfg.season
     lagged = season_lags(actor_season(cum, cfg).select(a, s, *STAT_COLS), a, s, STAT_COLS,
                          lags=range(1, len(weights) + 1))
     lag_cols = [f"{c}_{k}" for k in range(1, len(weights) + 1) for c in STAT_COLS]
     j = join_null_safe(cum, lagged.select(a, s, *lag_cols), [a, s], "left")
+    if stage:
+        j = materialize(j, name="actor_lagged")
     qcols = STAT_COLS + lag_cols      # every column named qb_pass_*
-    q = j.groupBy(s).agg(*[F.percentile(F.col(c).cast("double"), F.lit(rep_q)).alias(f"__q_{c}")
-                           for c in qcols])
+    q = exact_quantiles(j, [s], qcols, rep_q, prefix="__q_")
     j = join_null_safe(j, q, [s], "left")
     j = j.withColumns({
         "rep_epa_play": F.col("__q_qb_pass_epa_play_1"),
         "rep_wpa_play": F.col("__q_qb_pass_wpa_play_1"),
         **{c: F.coalesce(F.col(c).cast("double"), F.col(f"__q_{c}")) for c in qcols},
     }).drop(*[f"__q_{c}" for c in qcols])
-    rc = j.groupBy(s).agg(F.percentile("qb_pass_attempts_1", F.lit(rc_q)).alias("rc"))
+    rc = exact_quantiles(j, [s], ["qb_pass_attempts_1"], rc_q, prefix="__rc_").withColumnRenamed(
+        "__rc_qb_pass_attempts_1", "rc")
     j = join_null_safe(j, rc, [s], "left")
     rcc = F.col("rc")
     n = len(weights)
@@ -102,7 +109,7 @@ def actor_stats(events: DataFrame, players: DataFrame, cfg: EventConfig = EventC
     cum = actor_cumulative(events, cfg)
     if stage:
         cum = materialize(cum, name="actor_cumulative")
-    shr = shrunk_rates(cum, cfg)
+    shr = shrunk_rates(cum, cfg, stage=stage)
     named = lookup(shr, players, cfg.actor, player_key, [player_name])
     return named.select(cfg.actor, F.col(player_name).alias(f"{cfg.actor}_name"), cfg.season, cfg.period,
                         "qb_pass_attempts", "qb_pass_epa_play_adj", "qb_pass_wpa_play_adj")

@@ -96,7 +96,7 @@ def q_lagged_self_join(spark, sf):
 
 
 def q_shrunk_actor_rate(spark, sf):
-    shr = shrunk_rates(actor_cumulative(plays(spark, sf), CFG), CFG)
+    shr = shrunk_rates(actor_cumulative(plays(spark, sf), CFG), CFG, stage=True)
     return rounded(shr.select("passer", "season", "game_date", "rep_epa_play", "rep_wpa_play", "rc",
                               "prior_pass_epa_play", "prior_pass_wpa_play",
                               "qb_pass_epa_play_adj", "qb_pass_wpa_play_adj"))

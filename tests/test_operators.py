@@ -164,3 +164,22 @@ def test_number_and_fill_equals_separate_ops(spark):
     sep = fill_downup(number_within(df, ["k"], ["d", "p"], "n", two_level=False), ["k"], ["d", "p"], "v", two_level=False)
     b = {(r.k, r.p): (r.n, r.v) for r in sep.collect()}
     assert a == b
+
+
+@pytest.mark.parametrize("q", [0.0, 0.2, 0.25, 0.5, 1.0])
+def test_exact_quantiles_equal_percentile(spark, q):
+    import random
+    from seqwise.operators.quantile import exact_quantiles
+    rnd = random.Random(3)
+    rows = []
+    for g, n in enumerate([1, 2, 7, 300, 3000]):
+        for _ in range(n):
+            a = rnd.choice([1.0, 2.0, 2.0, 3.0]) if g % 2 else rnd.random()
+            b = None if rnd.random() < 0.1 else float(rnd.randint(0, 20))
+            rows.append((g, a, b))
+    rows.append((9, None, None))
+    df = spark.createDataFrame(rows, "g int, a double, b double")
+    got = {r["g"]: (r["__q_a"], r["__q_b"]) for r in exact_quantiles(df, ["g"], ["a", "b"], q).collect()}
+    ref = {r.g: (r.a, r.b) for r in df.groupBy("g").agg(F.percentile("a", F.lit(q)).alias("a"),
+                                                         F.percentile("b", F.lit(q)).alias("b")).collect()}
+    assert {k: got.get(k, (None, None)) for k in ref} == ref
