@@ -27,3 +27,21 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     out = left.join(r, cond, how)
     return out.select(*[left[c] for c in left.columns],
                       *[r[c] for c in right.columns if c not in keyset])
+
+
+# Group tables (one row per season, week, class ...) are broadcast only when
+# their counted size is at most this many rows.
+SMALL_ROWS = 100_000
+
+
+def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """A group-level table for a join with the events, with its size checked.
+
+    Written once to the shared checkpoint folder and counted from the stored
+    files; broadcast when it has at most ``max_rows`` rows, otherwise joined
+    by shuffle (then it has many keys, so no key concentrates the events).
+    Joining events to a season- or week-keyed table by shuffle would send a
+    whole season to one task."""
+    from seqwise.session import materialize
+    stored = materialize(df, name="group_table")
+    return F.broadcast(stored) if stored.count() <= max_rows else stored

@@ -1,9 +1,9 @@
 """Fit-on-train encoders and scalers.
 
 Fitted state is tiny (one row per class, one min/max pair per column): the
-class table is joined back (AQE broadcasts it after measuring it), the
-min/max pair is read once on the driver and applied as literals, as
-Spark ML models hold their fitted state.
+class table is joined back through a size-checked broadcast, the min/max
+pair is read once on the driver and applied as literals, as Spark ML models
+hold their fitted state.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqwise.operators._util import join_null_safe
+from seqwise.operators._util import join_null_safe, small_side
 from seqwise.operators.aggregate import minmax_fit
 
 
@@ -29,7 +29,9 @@ def fit_labels(df: DataFrame, col: str, by: list[str] | None = None, code: str |
 
 
 def apply_labels(df: DataFrame, fitted: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
-    return join_null_safe(df, fitted, (by or []) + [col], "left")
+    """Join the codes; the class table is size-checked and broadcast (a
+    shuffle join on a handful of class keys would send a class to one task)."""
+    return join_null_safe(df, small_side(fitted), (by or []) + [col], "left")
 
 
 def minmax_scale(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:

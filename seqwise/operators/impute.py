@@ -1,10 +1,11 @@
 """Group-wise imputation.
 
 Group statistics are one ``groupBy(keys).agg`` pass whose result has one
-row per group value (seasons, weeks): the join back is left to AQE, which
-broadcasts it at run time when its measured size is under the threshold and
-keeps a shuffle join otherwise. No ``Window.partitionBy(season)`` over
-events, which would put a whole season in one task.
+row per group value (seasons, weeks). It is joined back through
+``small_side``: stored, counted, broadcast only under a row bound, else a
+shuffle join. Neither a ``Window.partitionBy(season)`` over events nor a
+shuffle join on a season key, both of which would put a whole season in one
+task.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqwise.operators._util import join_null_safe
+from seqwise.operators._util import join_null_safe, small_side
 from seqwise.operators.quantile import exact_quantiles
 
 
@@ -50,7 +51,7 @@ def fill_by_group(df: DataFrame, keys: list[str], cols: list[str], how: str = "m
     quantile (exact, linear interpolation, no whole-group buffer)."""
     if not cols:
         return df
-    stats = group_stat(df, keys, cols, how, q)
+    stats = small_side(group_stat(df, keys, cols, how, q))
     j = join_null_safe(df, stats, keys, "left")
     fill = set(cols)
     return j.select(*[F.coalesce(F.col(c), F.col(f"__g_{c}")).alias(c) if c in fill else F.col(c)
@@ -61,7 +62,7 @@ def fill_from_stats(df: DataFrame, stats: DataFrame, keys: list[str], cols: list
     """Coalesce ``cols`` with precomputed per-group values ``__g_<col>``."""
     if not cols:
         return df
-    j = join_null_safe(df, stats.select(*keys, *[f"__g_{c}" for c in cols]), keys, "left")
+    j = join_null_safe(df, small_side(stats.select(*keys, *[f"__g_{c}" for c in cols])), keys, "left")
     fill = set(cols)
     return j.select(*[F.coalesce(F.col(c), F.col(f"__g_{c}")).alias(c) if c in fill else F.col(c)
                       for c in df.columns])
@@ -76,7 +77,7 @@ def fill_constant(df: DataFrame, cols: list[str], value) -> DataFrame:
 def group_quantile(df: DataFrame, keys: list[str], col: str, q: float, name: str) -> DataFrame:
     """Per-group exact quantile as a column on every row (source type 7)."""
     stats = exact_quantiles(df, keys, [col], q, prefix="__gq_").withColumnRenamed(f"__gq_{col}", name)
-    return join_null_safe(df, stats, keys, "left")
+    return join_null_safe(df, small_side(stats), keys, "left")
 
 
 def fill_by_group_small(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

@@ -18,7 +18,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqwise.operators._util import join_null_safe
+from seqwise.operators._util import join_null_safe, small_side
+from seqwise.session import materialize
 from seqwise.operators.aggregate import class_weights
 
 
@@ -30,7 +31,7 @@ def window_vectors(win: DataFrame, features: str = "features", out: str = "vec")
 def with_class_weight(df: DataFrame, fit_on: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """M4: balanced weight n / (k * n_c) of each row's class, fitted on ``fit_on``."""
     w = class_weights(fit_on, label).select(label, F.col("weight").alias(out))
-    return join_null_safe(df, w, [label], "left").fillna({out: 1.0})
+    return join_null_safe(df, small_side(w), [label], "left").fillna({out: 1.0})
 
 
 def evaluate(pred: DataFrame, label: str = "label", weight: str | None = None) -> dict:
@@ -79,8 +80,10 @@ def confusion(pred: DataFrame, classes: list, label: str = "label", prediction:
 def class_report(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Precision, recall, F1 and support per class, plus macro and
     weighted averages, from the (label, prediction) counts."""
-    pairs = (pred.select(F.col(label).cast("int").alias("y"), F.col(prediction).cast("int").alias("p"))
-             .groupBy("y", "p").agg(F.count(F.lit(1)).alias("n")))
+    # (label, prediction) counts: at most classes^2 rows, read by every part
+    # of the report, so stored once instead of re-deriving the predictions
+    pairs = materialize(pred.select(F.col(label).cast("int").alias("y"), F.col(prediction).cast("int").alias("p"))
+                        .groupBy("y", "p").agg(F.count(F.lit(1)).alias("n")), name="label_pairs")
     tp = pairs.filter(F.col("y") == F.col("p")).select(F.col("y").alias("cls"), F.col("n").alias("tp"))
     sup = pairs.groupBy(F.col("y").alias("cls")).agg(F.sum("n").alias("support"))
     pcount = pairs.groupBy(F.col("p").alias("cls")).agg(F.sum("n").alias("predicted"))

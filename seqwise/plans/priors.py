@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from seqwise.config import EventConfig
 from seqwise.functions.semantics import na_cumsum, na_sum, running, safe_ratio
-from seqwise.operators._util import asc_last, join_null_safe
+from seqwise.operators._util import asc_last, join_null_safe, small_side
 from seqwise.operators.aggregate import last_per_group
 from seqwise.operators.join import lookup, season_lags
 from seqwise.operators.quantile import exact_quantiles
@@ -66,7 +66,7 @@ def shrunk_rates(cum: DataFrame, cfg: EventConfig = EventConfig(), weights=(0.6,
         j = materialize(j, name="actor_lagged")
     qcols = STAT_COLS + lag_cols      # every column named qb_pass_*
     q = exact_quantiles(j, [s], qcols, rep_q, prefix="__q_")
-    j = join_null_safe(j, q, [s], "left")
+    j = join_null_safe(j, small_side(q), [s], "left")
     j = j.withColumns({
         "rep_epa_play": F.col("__q_qb_pass_epa_play_1"),
         "rep_wpa_play": F.col("__q_qb_pass_wpa_play_1"),
@@ -74,7 +74,7 @@ def shrunk_rates(cum: DataFrame, cfg: EventConfig = EventConfig(), weights=(0.6,
     }).drop(*[f"__q_{c}" for c in qcols])
     rc = exact_quantiles(j, [s], ["qb_pass_attempts_1"], rc_q, prefix="__rc_").withColumnRenamed(
         "__rc_qb_pass_attempts_1", "rc")
-    j = join_null_safe(j, rc, [s], "left")
+    j = join_null_safe(j, small_side(rc), [s], "left")
     rcc = F.col("rc")
     n = len(weights)
 

@@ -21,6 +21,7 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", os.environ.get("SEQWISE_DRIVER_MEMORY", "16g"))
