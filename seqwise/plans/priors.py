@@ -65,14 +65,15 @@ def shrunk_rates(cum: DataFrame, cfg: EventConfig = EventConfig(), weights=(0.6,
     if stage:
         j = materialize(j, name="actor_lagged")
     qcols = STAT_COLS + lag_cols      # every column named qb_pass_*
-    q = exact_quantiles(j, [s], qcols, rep_q, prefix="__q_")
+    # a stored ``j`` needs no second copy inside the quantile passes
+    q = exact_quantiles(j, [s], qcols, rep_q, prefix="__q_", stage=not stage)
     j = join_null_safe(j, small_side(q), [s], "left")
     j = j.withColumns({
         "rep_epa_play": F.col("__q_qb_pass_epa_play_1"),
         "rep_wpa_play": F.col("__q_qb_pass_wpa_play_1"),
         **{c: F.coalesce(F.col(c).cast("double"), F.col(f"__q_{c}")) for c in qcols},
     }).drop(*[f"__q_{c}" for c in qcols])
-    rc = exact_quantiles(j, [s], ["qb_pass_attempts_1"], rc_q, prefix="__rc_").withColumnRenamed(
+    rc = exact_quantiles(j, [s], ["qb_pass_attempts_1"], rc_q, prefix="__rc_", stage=not stage).withColumnRenamed(
         "__rc_qb_pass_attempts_1", "rc")
     j = join_null_safe(j, small_side(rc), [s], "left")
     rcc = F.col("rc")
