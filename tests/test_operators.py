@@ -183,3 +183,35 @@ def test_exact_quantiles_equal_percentile(spark, q):
     ref = {r.g: (r.a, r.b) for r in df.groupBy("g").agg(F.percentile("a", F.lit(q)).alias("a"),
                                                          F.percentile("b", F.lit(q)).alias("b")).collect()}
     assert {k: got.get(k, (None, None)) for k in ref} == ref
+
+
+def test_small_side_broadcasts_only_under_bound(spark):
+    from seqwise.operators._util import small_side
+    big = spark.range(1000).withColumn("g", F.col("id") % 10)
+    stats = big.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = big.join(small_side(stats, max_rows=10), "g")
+        large = big.join(small_side(stats, max_rows=5), "g")
+        small.collect(), large.collect()
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
+        assert small.count() == large.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_number_and_fill_with_a_hot_group(spark):
+    """One group holds a third of the rows; results equal the plain window."""
+    from seqwise.operators.window import number_and_fill
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1).alias("k"),
+        (F.col("id") % 50).alias("d"), F.col("id").alias("p"),
+        F.when(F.col("id") % 11 == 0, F.col("id")).alias("v"))
+    a = {r.p: (r.n, r.v) for r in number_and_fill(df, ["k"], ["d", "p"], "n", ["v"]).collect()}
+    sep = fill_downup(number_within(df, ["k"], ["d", "p"], "n", two_level=False), ["k"], ["d", "p"], "v",
+                      two_level=False)
+    assert a == {r.p: (r.n, r.v) for r in sep.collect()}
+    assert max(n for n, _ in a.values()) == 1000
