@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from seqwise.config import EventConfig
 from seqwise.functions.scalar import label_of, signed_by_side
 from seqwise.functions.semantics import eq_flag
-from seqwise.operators.impute import MEAN_DECIMAL, fill_by_group, fill_constant, fill_from_stats
+from seqwise.operators.impute import MEAN_DECIMAL, exact_mean, fill_by_group, fill_constant, fill_from_stats
 from seqwise.operators.join import left_attach
 from seqwise.operators.project import cols_with_prefix
 from seqwise.operators.split import rule_split
 from seqwise.operators.window import number_and_fill, period_ordinal
 from seqwise.plans.priors import actor_stats
 from seqwise.plans.rates import asof_rates
-from seqwise.session import materialize, materialize_all
+from seqwise.session import materialize_all
 
 # Columns whose NULLs become 0.
 ZERO_FILL = ["qb_pass_wpa_play_adj", "qb_pass_epa_play_adj", "air_yards", "yards_after_catch", "air_epa",
@@ -105,15 +105,20 @@ def joined_rate_means(side: dict, cfg: EventConfig = EventConfig()) -> DataFrame
 
 def impute(ev: DataFrame, cfg: EventConfig = EventConfig(), zero_cols=ZERO_FILL,
            mean_prefixes=("pt_", "dt"), roof_default: str = "dome",
-           known_means: DataFrame | None = None) -> DataFrame:
+           known_means: DataFrame | None = None, known_week: DataFrame | None = None,
+           never_null=()) -> DataFrame:
     """Zeros, event-weighted season means by prefix, a constant roof,
     and the per-week mean temperature rounded half to even.
 
-    ``known_means`` (season -> ``__g_<col>``) supplies means computed
-    elsewhere (``joined_rate_means``); the other prefix columns are averaged
-    over the events."""
+    ``known_means`` (season -> ``__g_<col>``) and ``known_week`` (week ->
+    ``__g_temp``) supply means computed elsewhere; ``never_null`` names
+    columns NULL-free by construction (their fill is a no-op). Whatever is
+    left is averaged over ``ev`` itself."""
     ev = fill_constant(ev, [c for c in zero_cols if c in ev.columns], 0)
-    cols = cols_with_prefix(ev, *mean_prefixes)
+    prefixed = cols_with_prefix(ev, *mean_prefixes)
+    # a mean fill leaves a NULL-free column's values alone but makes it a double
+    ev = ev.withColumns({c: F.col(c).cast("double") for c in prefixed if c in set(never_null)})
+    cols = [c for c in prefixed if c not in set(never_null)]
     known = set()
     if known_means is not None:
         known = {c for c in cols if f"__g_{c}" in known_means.columns}
@@ -122,10 +127,28 @@ def impute(ev: DataFrame, cfg: EventConfig = EventConfig(), zero_cols=ZERO_FILL,
     if "roof" in ev.columns:
         ev = fill_constant(ev, ["roof"], roof_default)
     if "temp" in ev.columns:
-        ev = fill_by_group(ev, [cfg.week], ["temp"], how="rounded_mean")
+        if known_week is not None:
+            ev = fill_from_stats(ev, known_week, [cfg.week], ["temp"])
+        else:
+            ev = fill_by_group(ev, [cfg.week], ["temp"], how="rounded_mean")
     return ev
 
 
+def raw_event_means(events: DataFrame, cfg: EventConfig = EventConfig()):
+    """Group means of the imputed columns that are per-row functions of the
+    raw events (the signed spread by season, temperature by week, rounded
+    half to even), computed on the raw events: same rows, same exact sums,
+    no pass over the enriched table."""
+    season = None
+    if "spread_line" in events.columns:
+        season = events.groupBy(cfg.season).agg(
+            exact_mean(signed_by_side("spread_line", "posteam_type")).alias("__g_pt_spread"))
+    week = None
+    if "temp" in events.columns:
+        week = events.groupBy(cfg.week).agg(F.bround(exact_mean("temp"), 0).alias("__g_temp"))
+    return season, week
+
+
 def flags_and_label(ev: DataFrame, cfg: EventConfig = EventConfig()) -> DataFrame:
     """0/1 flags (missing -> 0), drop their sources, derive the label,
     default a missing down to 1."""
@@ -143,13 +166,16 @@ def build_features(events: DataFrame, players: DataFrame, cfg: EventConfig = Eve
                    min_season: int = 2016, test_season: int = 2022, stage: bool = True) -> DataFrame:
     """C7 -> C10: the full event feature table with a ``split`` column.
 
-    With ``stage`` the enriched events are written once before imputation:
-    the season / week statistics and the fill then read stored Parquet
-    (column-pruned) instead of recomputing the enrichment per consumer."""
+    Every statistic the imputation needs comes from the side tables or the
+    raw events (``joined_rate_means``, ``raw_event_means``; the play number is
+    NULL-free), so the enriched events are produced in a single pass and
+    never stored or read twice."""
     side = side_tables(events, players, cfg, stage)
     ev = attach(events, side, cfg)
-    if stage:
-        ev = materialize(ev, name="enriched_events")
-    ev = flags_and_label(impute(ev, cfg, known_means=joined_rate_means(side, cfg)), cfg)
+    rates = joined_rate_means(side, cfg)
+    spread, week = raw_event_means(events, cfg)
+    means = rates if spread is None else rates.join(spread, [cfg.season], "full")
+    ev = impute(ev, cfg, known_means=means, known_week=week, never_null=("pt_play_no",))
+    ev = flags_and_label(ev, cfg)
     ev = ev.drop("run_location")
     return rule_split(ev, cfg.season, cfg.week, min_season, test_season)
