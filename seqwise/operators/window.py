@@ -5,6 +5,11 @@ group is never sorted in one task: rows are first numbered inside
 (group, first order column) buckets, then each bucket gets an offset from a
 running sum over the per-bucket summary table, which is smaller than the
 event table by the bucket size. The result is exact.
+
+The first order column must be a coarse sub-group of the group (drives in a
+game, days in a user's history): with a unique first column the summary is
+as large as the events and the running scan over it holds the whole group
+again. A single order column falls back to a plain window.
 """
 
 from __future__ import annotations
