@@ -47,7 +47,9 @@ def to_sequences(df: DataFrame, keys: list[str], order: list[str], features: lis
 
 def pad(seqs: DataFrame, length: int, side: str = "right", pad_label=0) -> DataFrame:
     """Pad ``features`` with all-zero steps and ``labels`` with
-    ``pad_label`` to ``length``; a longer sequence raises."""
+    ``pad_label`` to ``length``; a longer sequence raises. Adds ``n_real``
+    (real steps) and ``pad_offset`` (index of the first real step), which
+    ``windows`` uses to tell padded targets apart."""
     n = F.size("features")
     k = F.lit(length) - n
     nfeat = F.size(F.element_at("features", 1))
@@ -60,25 +62,41 @@ def pad(seqs: DataFrame, length: int, side: str = "right", pad_label=0) -> DataF
     else:
         raise ValueError(side)
     too_long = F.raise_error(F.concat(F.lit(f"sequence longer than {length}: "), n.cast("string")))
-    return seqs.withColumns({"features": F.when(k >= 0, fx).otherwise(too_long),
+    return seqs.withColumns({"n_real": n.cast("int"),
+                             "pad_offset": (k if side == "left" else F.lit(0)).cast("int"),
+                             "features": F.when(k >= 0, fx).otherwise(too_long),
                              "labels": F.when(k >= 0, fy).otherwise(too_long)})
 
 
-def windows(padded: DataFrame, keys: list[str], n: int = 15, truncate_tail: bool = True) -> DataFrame:
+def windows(padded: DataFrame, keys: list[str], n: int = 15, truncate_tail: bool = True,
+            padding: str = "keep") -> DataFrame:
     """N5 + N6 + N10: window i holds steps i..i+n-1, its label is step i+n.
 
     ``truncate_tail`` keeps the source's count (starts 0..L-2n, so the last
     n-1 steps are never targets); False gives every start with a target
-    (0..L-n-1)."""
+    (0..L-n-1). ``padding``: "keep" counts windows whose target is a padding
+    step, as the source does; "drop" removes them; "flag" adds
+    ``target_is_pad`` (needs the ``n_real`` / ``pad_offset`` columns of ``pad``)."""
     L = F.size("features")
     last = (L - 2 * n) if truncate_tail else (L - n - 1)
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
     per = F.transform(starts, lambda i: F.struct(
         F.slice("features", i + 1, n).alias("features"),
         F.element_at("labels", i + n + 1).alias("label")))
-    out = padded.select(*keys, F.posexplode(per).alias("window_index", "__w"))
-    return out.select(*keys, F.col("window_index").cast("int").alias("window_index"),
-                      F.col("__w.features").alias("features"), F.col("__w.label").alias("label"))
+    meta = ["n_real", "pad_offset"] if padding != "keep" else []
+    out = padded.select(*keys, *meta, F.posexplode(per).alias("window_index", "__w"))
+    cols = [*keys, F.col("window_index").cast("int").alias("window_index"),
+            F.col("__w.features").alias("features"), F.col("__w.label").alias("label")]
+    if padding == "keep":
+        return out.select(*cols)
+    t = F.col("window_index") + n
+    is_pad = (t < F.col("pad_offset")) | (t >= F.col("pad_offset") + F.col("n_real"))
+    out = out.select(*cols, is_pad.alias("target_is_pad"))
+    if padding == "drop":
+        return out.filter(~F.col("target_is_pad")).drop("target_is_pad")
+    if padding == "flag":
+        return out
+    raise ValueError(padding)
 
 
 def rolling_windows(df: DataFrame, keys: list[str], order: list[str], features: list[str], n: int,

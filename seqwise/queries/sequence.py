@@ -29,7 +29,7 @@ def sequences(spark, sf):
 
 
 def padded(spark, sf, side):
-    return pad(sequences(spark, sf), PAD_LEN, side)
+    return pad(sequences(spark, sf), PAD_LEN, side).drop("n_real", "pad_offset")
 
 
 def _steps(df, keys, arr="features", pos="pos"):
@@ -81,6 +81,12 @@ def q_window_targets(spark, sf):
     return windows(padded(spark, sf, "left"), KEYS, WIN).select(*KEYS, "window_index", "label")
 
 
+def q_window_targets_real(spark, sf):
+    """Q16 switched on: only windows whose target is a real event."""
+    p = pad(sequences(spark, sf), PAD_LEN, "left")
+    return windows(p, KEYS, WIN, padding="drop").select(*KEYS, "window_index", "label")
+
+
 def q_windows_rowframe(spark, sf):
     r = rolling_windows(labelled_events(spark, sf), KEYS, ORDER, ["value"], WIN, max_len=PAD_LEN)
     return r.select(*KEYS, "event_id", F.posexplode("features").alias("step", "__x")).select(
@@ -112,6 +118,7 @@ QUERIES = {
     "pad_left": q_pad_left,
     "windows_exact": q_windows_exact,
     "window_targets": q_window_targets,
+    "window_targets_real": q_window_targets_real,
     "windows_rowframe": q_windows_rowframe,
     "batch_ids": q_batch_ids,
     "mask": q_mask,
@@ -154,6 +161,9 @@ ORACLE = {
     "window_targets": EV + f""" select user_id, window_index, label from (
         select user_id, cast(i as int) as window_index, {_padded_pos(f'i + {WIN}', 'left')}
         from seq, generate_series(0, {L - 2 * WIN}) a(i)) t""",
+    "window_targets_real": EV + f""" select user_id, window_index, label from (
+        select user_id, cast(i as int) as window_index, {_padded_pos(f'i + {WIN}', 'left')}
+        from seq, generate_series(0, {L - 2 * WIN}) a(i) where i + {WIN} >= {L} - n) t""",
     "windows_rowframe": EV + f""" select user_id, event_id, cast(j as int) as step, x0[r - {WIN} + j + 1] as value
         from (select user_id, event_id, cast(row_number() over (partition by user_id order by ts, event_id) - 1 as int) as r
               from ev) e join seq using (user_id), generate_series(0, {WIN - 1}) b(j) where r >= {WIN}""",

@@ -215,3 +215,17 @@ def test_number_and_fill_with_a_hot_group(spark):
                       two_level=False)
     assert a == {r.p: (r.n, r.v) for r in sep.collect()}
     assert max(n for n, _ in a.values()) == 1000
+
+
+def test_q16_padded_targets(spark):
+    s = _seq(spark, 20)
+    for side in ("right", "left"):
+        p = pad(s, 40, side)
+        keep = windows(p, ["k"], 5).count()
+        flag = windows(p, ["k"], 5, padding="flag").collect()
+        drop = windows(p, ["k"], 5, padding="drop").collect()
+        assert keep == len(flag) == 40 - 10 + 1
+        real = [r.window_index for r in flag if not r.target_is_pad]
+        # a target is real for exactly the starts whose step i+5 holds one of the 20 events
+        expect = [i for i in range(31) if (i + 5 < 20 if side == "right" else i + 5 >= 20)]
+        assert sorted(real) == expect and len(drop) == len(expect)
