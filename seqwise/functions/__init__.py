@@ -5,6 +5,6 @@ from seqwise.functions.semantics import (  # noqa: F401
     r_ifelse, safe_ratio,
 )
 from seqwise.functions.scalar import (  # noqa: F401
-    argmax, closed_flag, encode_by_list, label_of, mmss_to_seconds, recode, signed_by_side,
+    argmax, attempt_rule, closed_flag, encode_by_list, label_of, mmss_to_seconds, recode, signed_by_side,
     step_mask,
 )

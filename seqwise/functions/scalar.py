@@ -59,3 +59,17 @@ def argmax(prob) -> Column:
 def step_mask(features) -> Column:
     """Per time step: True unless every feature is 0 (a fully masked step)."""
     return F.transform(_c(features), lambda t: F.exists(t, lambda v: v != 0))
+
+
+def attempt_rule(rush, pass_, rule: str = "as_written") -> Column:
+    """Run-attempt flag after the source's rule. ``as_written`` zeroes a run
+    when the play is *not* a pass (so only runs that are also passes stay);
+    ``intended`` zeroes a run when the play *is* a pass. NULL stays NULL."""
+    r, p = _c(rush), _c(pass_)
+    if rule == "as_written":
+        cond = (r == 1) & (p == 0)
+    elif rule == "intended":
+        cond = (r == 1) & (p == 1)
+    else:
+        raise ValueError(rule)
+    return r_ifelse(cond, F.lit(0), r)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seqwise.functions.scalar import encode_by_list, label_of, recode
+from seqwise.functions.scalar import attempt_rule, encode_by_list, label_of, recode
 from seqwise.functions.semantics import eq_flag, not_in, r_ifelse
 from seqwise.operators.encode import apply_labels, fit_labels, minmax_scale
 from seqwise.operators.project import cols_with_prefix, derive, keys_first, prepare_events, with_suffix
@@ -55,8 +55,7 @@ def q_derived_columns(spark, sf):
     d = derive(p, [
         ("drive_start", r_ifelse(F.col("play_id") == 1, 1, 0)),
         ("pass_attempt", F.col("qb_dropback")),
-        ("rush_attempt", r_ifelse((F.col("rush_attempt") == 1) & (F.col("pass_attempt") == 0), F.lit(0),
-                                  F.col("rush_attempt"))),
+        ("rush_attempt", attempt_rule("rush_attempt", "pass_attempt", "as_written")),
     ])
     return d.select("drive", "play_id", "drive_start", "pass_attempt", "rush_attempt")
 

@@ -35,10 +35,11 @@ def test_ifelse_null_condition(spark):
     assert got == [None, 10, 20]
 
 
-def test_g6_attempt_rule_as_written(spark):
-    df = spark.createDataFrame([(1, 0), (1, 1), (0, 1)], "rush int, pass int")
-    rule = r_ifelse((F.col("rush") == 1) & (F.col("pass") == 0), F.lit(0), F.col("rush"))
-    assert [r.v for r in df.select(rule.alias("v")).collect()] == [0, 1, 0]
+def test_g6_attempt_rule(spark):
+    from seqwise.functions import attempt_rule
+    df = spark.createDataFrame([(1, 0), (1, 1), (0, 1), (None, 0)], "rush int, pass int")
+    assert [r.v for r in df.select(attempt_rule("rush", "pass").alias("v")).collect()] == [0, 1, 0, None]
+    assert [r.v for r in df.select(attempt_rule("rush", "pass", "intended").alias("v")).collect()] == [1, 0, 0, None]
 
 
 def test_g12_label(spark):
