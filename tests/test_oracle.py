@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
 NAMES = ["asof_rates_entity", "shrunk_actor_rate", "leaderboard", "fill_downup", "play_no", "split_report",
          "prepare_events", "label_encode", "minmax_scale", "windows_exact", "window_targets", "class_report",
-         "csv_roundtrip"]
+         "csv_roundtrip", "encode_and_scale", "asof_state_actor", "window_targets_real", "feature_table"]
 
 
 def _norm(v):
