@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqwise.llm import bpe, decontam, fst, quality, simhash, toxicity
+from seqwise.llm import bpe, decontam, fst, html, licenses, lm, quality, simhash, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +28,29 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, tokenizer("word_bpe_49k.json"), digest=True)
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words, network = lm.train(docs)
+    return lm.score(docs, words, network, keep=["doc_id"])
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return fst.count_tokens(docs, tokenizer("byte_bpe_50k.json")).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"), keep=["page_id"])
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"), keep=["page_id"]).withColumn("n_chars", F.length("text"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
 
@@ -50,7 +68,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
+    "op3_licenses": op3_licenses,
+    "op4_lm_scores": op4_lm_scores,
     "op5_token_counts": op5_token_counts,
+    "op6_url_filter": op6_url_filter,
+    "op7_html_text": op7_html_text,
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
