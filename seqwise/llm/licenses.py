@@ -8,6 +8,10 @@ least / (2 - least) * |B| <= |A| <= (2 - least) / least * |B|, so units outside
 these bounds of every template are dropped before any intersection, and a unit
 meets only the templates whose bounds it fits.
 
+A match has at least least / (2 - least) of a template's bigrams, so of any set
+of more than the rest of them (``keys_of``) one must occur: texts and lines that
+do not hold both words of any such bigram, of any template, are passed over.
+
 DataFrame functions only; templates are literals of the plan, so there is no
 join and no shuffle.
 
@@ -18,7 +22,9 @@ stay (one named like an output is replaced).
 
 from __future__ import annotations
 
+import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +67,23 @@ def bigrams_of(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
+def keys_of(bigrams: list[str], least: float) -> list[tuple[str, str]]:
+    """Bigrams (longer word, shorter word), those with the longest words, so
+    many that a match must have one of them."""
+    spare = len(bigrams) - math.ceil(least / (2 - least) * len(bigrams) - 1e-9)
+    pairs = sorted((tuple(sorted(b.split(), key=lambda w: (-len(w), w))) for b in bigrams),
+                   key=lambda p: (-len(p[0]), -len(p[1]), p))
+    return pairs[:spare + 1]
+
+
+def holds_any(low: Column, keys: dict[str, list[str]]) -> Column:
+    """``low`` holds a key word and one of the words beside it."""
+    def either(words: list[Column]) -> Column:
+        return reduce(lambda a, b: a | b, words)
+    return either([F.contains(low, F.lit(k)) & either([F.contains(low, F.lit(w)) for w in ws])
+                   for k, ws in sorted(keys.items())])
+
+
 def unit_bigrams(unit: Column) -> Column:
     """Distinct word bigrams of a raw unit (empty with fewer than two words)."""
     # the C locale's lower case, as the templates: letters beyond a-z are no word characters anyway
@@ -96,13 +119,23 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str]
         none = F.array().cast("array<struct<unit:int,license:string,dice:double>>")
         return docs.select(*keep, none.alias("matches"), F.array().cast("array<string>").alias("licenses"),
                            F.lit(0).alias("n_matches"))
+    keys: dict[str, list[str]] = {}
+    for k, w in sorted({p for g in grams.values() for p in keys_of(g, least)}):
+        keys.setdefault(k, []).append(w)
     body = F.coalesce(F.col(text), F.lit(""))
-    # lines are numbered first; units that fit no template's bounds go before any intersection
-    lines = F.transform(F.split(body, "\n"), lambda x, i: F.struct(i.alias("i"), unit_bigrams(x).alias("a")))
-    whole = F.when(F.contains(body, F.lit("\n")), F.array(F.struct(F.lit(-1).alias("i"), unit_bigrams(body).alias("a"))))
-    units = F.filter(F.concat(F.coalesce(whole, F.array().cast("array<struct<i:int,a:array<string>>>")), lines),
+    rows = docs.select(*keep, body.alias("__text"), F.lower(body).alias("__low"))
+    rows = rows.select(*keep, F.when(holds_any(F.col("__low"), keys), F.col("__text")).alias("__text"))
+    # numbered lines and the whole text; units without a key word or beyond the bounds of
+    # every template go before any intersection
+    split = F.transform(F.split("__text", "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x"), F.lower(x).alias("low")))
+    lines = F.transform(F.filter(split, lambda u: holds_any(u["low"], keys)),
+                        lambda u: F.struct(u["i"].alias("i"), unit_bigrams(u["x"]).alias("a")))
+    nothing = F.array().cast("array<struct<i:int,a:array<string>>>")
+    whole = F.when(F.contains("__text", F.lit("\n")),
+                   F.array(F.struct(F.lit(-1).alias("i"), unit_bigrams(F.col("__text")).alias("a")))).otherwise(nothing)
+    units = F.filter(F.when(F.col("__text").isNull(), nothing).otherwise(F.concat(whole, lines)),
                      lambda u: (F.size(u["a"]) >= low * min(sizes)) & (F.size(u["a"]) <= high * max(sizes)))
-    out = docs.select(*keep, units.alias("__units"))
+    out = rows.select(*keep, units.alias("__units"))
     found = F.filter(F.transform("__units", lambda u: matched(u["i"], u["a"])), lambda m: m["license"].isNotNull())
     out = out.select(*keep, found.alias("matches"))
     return out.select(*keep, "matches", F.array_sort(F.array_distinct(F.col("matches.license"))).alias("licenses"),
