@@ -39,8 +39,23 @@ SPACES = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u2
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
+class Chunks(dict):
+    """stretch without white space -> (ids, tokens, number of tokens), bounded."""
+
+    def __init__(self, bpe: WordBpe):
+        self.bpe = bpe
+
+    def __missing__(self, chunk: str) -> tuple[str, str, int]:
+        got = self.bpe.encode_chunk(chunk)
+        if len(self) >= self.bpe.max_words:
+            self.clear()
+        if len(chunk) < 100:
+            self[chunk] = got
+        return got
+
+
 class WordBpe:
-    def __init__(self, path: str, max_words: int = 250_000):
+    def __init__(self, path: str, max_words: int = 400_000):
         import regex
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -65,7 +80,7 @@ class WordBpe:
         self.max_words = max_words
         self.id_text = {s: str(i) for s, i in self.ids.items()}
         self.pieces: dict[str, tuple[str, str, int]] = {}
-        self.words: dict[str, tuple[str, str, int]] = {}
+        self.words = Chunks(self)
         self.fragments: dict[tuple[str, bool], list[str]] = {}
 
     def merge(self, fragment: str, last: bool) -> list[str]:
@@ -120,10 +135,13 @@ class WordBpe:
         """Tokens of one word: cut where no token has the two bytes, merge each
         fragment, concatenate."""
         letters = word.encode().decode("latin-1").translate(self.letter_table)
-        out, begin, n = [], 0, len(letters)
         inside = self.inside
-        for k in range(1, n + 1):
-            if k == n or letters[k - 1:k + 1] not in inside:
+        at = [k for k in range(1, len(letters)) if letters[k - 1:k + 1] not in inside]
+        if not at:
+            return self.merge(letters, True)       # the word is one fragment, kept as a word
+        out, begin, n = [], 0, len(letters)
+        for k in [*at, n]:
+            if k > begin:
                 key = (letters[begin:k], k == n)
                 got = self.fragments.get(key)
                 if got is None:
@@ -156,31 +174,18 @@ class WordBpe:
 
     def encode_text(self, text: str) -> tuple[str, str, int]:
         """(ids, decoded text, number of tokens) of a whole text."""
-        ids, decoded, n = [], [], 0
-        words = self.words
+        got: list[tuple[str, str, int]] = []
         for k, part in enumerate(self.split_added.split(text)):
             if k % 2:
-                ids.append(str(self.added[part]))
-                decoded.append(part)
-                n += 1
+                got.append((str(self.added[part]), part, 1))
                 continue
             if not part.isascii():
                 # lower case character by character: a final sigma has no form of its own
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
             part = part.lower()
-            for chunk in SPACES.split(part) if SEPARATORS.search(part) else part.split():
-                got = words.get(chunk)
-                if got is None:
-                    got = self.encode_chunk(chunk)
-                    if len(words) >= self.max_words:
-                        words.clear()
-                    if len(chunk) < 100:
-                        words[chunk] = got
-                if got[2]:
-                    ids.append(got[0])
-                    decoded.append(got[1])
-                    n += got[2]
-        return " ".join(ids), " ".join(decoded), n
+            chunks = filter(None, SPACES.split(part)) if SEPARATORS.search(part) else part.split()
+            got += map(self.words.__getitem__, chunks)
+        return " ".join([x[0] for x in got]), " ".join([x[1] for x in got]), sum([x[2] for x in got])
 
     def decode(self, ids: list[int]) -> str:
         return " ".join([self.tokens[i] for i in ids])
