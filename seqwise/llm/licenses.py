@@ -102,7 +102,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str]
     made = ["matches", "licenses", "n_matches"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
     grams = {k: g for k, v in sorted((TEMPLATES if templates is None else templates).items()) if (g := bigrams_of(v))}
-    low, high = least / (2 - least), (2 - least) / least
+    # a hair wider than exact, so that rounding prunes nothing
+    low, high = least / (2 - least) - 1e-9, (2 - least) / least + 1e-9
     sizes = [len(g) for g in grams.values()]
 
     def dice(a: Column, name: str, g: list[str]) -> Column:

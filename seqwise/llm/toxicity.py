@@ -163,8 +163,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 seen.update(got)
                 if mark:
                     toxic.update(got)
-        yield pd.DataFrame({"f": list(seen), "n": list(seen.values()), "t": [toxic[f] for f in seen]},
-                           columns=["f", "n", "t"])
+        if seen:
+            yield pd.DataFrame({"f": list(seen), "n": list(seen.values()), "t": [toxic[f] for f in seen]})
     totals = sample.agg(F.count("*").alias("n"), F.sum(y).alias("t")).first()
     if not totals.n or not totals.t or totals.t == totals.n:
         return Chain()
