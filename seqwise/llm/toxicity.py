@@ -14,12 +14,13 @@ Fitting uses a bounded sample of labelled documents (``max_rows``, by id hash),
 broadcast as (id, label): its size is fixed by the parameter, and the documents
 are not shuffled. Features are words and word beginnings of 4 and 5 letters; the
 ``max_features`` most telling ones (chi-square on document counts, summed in
-Spark) are kept. All documents are scored.
+Spark, ``min_chi`` at least: one in a thousand by chance) are kept. All documents are scored.
 
 Defined results: a null or empty text has no features; without labels of both
 kinds every probability is 0 and nothing is toxic; a document labelled more than
-once is toxic if any label says so; null labels are ignored; repeated rows are
-scored row by row; extra columns stay (one named like an output is replaced).
+once is toxic if any label says so; null labels are ignored; an id with several
+texts is fitted on the least of them; repeated rows are scored row by row; extra
+columns stay (one named like an output is replaced).
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqwise.llm.common import batches_by_bytes
+from seqwise.llm.common import batches_by_bytes, staged
 
 WORD = re.compile(r"\w+")
 # Seed words of the categories before the label.
@@ -94,8 +95,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def logistic(rows: list[list[int]], more: np.ndarray, y: np.ndarray, n_features: int, l2: float = 1e-3,
-             steps: int = 200) -> tuple[np.ndarray, np.ndarray, float]:
+def logistic(rows: list[list[int]], more: np.ndarray, y: np.ndarray, n_features: int, l2: float = 1e-4,
+             steps: int = 300) -> tuple[np.ndarray, np.ndarray, float]:
     """L2-penalised logistic model on sparse 0/1 rows and dense ``more``
     columns, by accelerated gradient steps."""
     flat = np.fromiter((f for r in rows for f in r), np.int64)
@@ -114,15 +115,15 @@ def logistic(rows: list[list[int]], more: np.ndarray, y: np.ndarray, n_features:
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """Middle of the gap with the fewest errors (the higher one if several)."""
+    """Middle of the widest gap with the fewest errors (the highest if several)."""
     order = np.argsort(p, kind="stable")
     p, y = p[order], y[order]
     errors = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum((1 - y)[::-1])[::-1], [0]])
-    edge = np.concatenate([[True], p[1:] > p[:-1], [True]])
-    errors = np.where(edge, errors, errors.max() + 1)
-    at = int(np.flatnonzero(errors == errors.min())[-1])
-    low, high = (p[at - 1] if at else 0.0), (p[at] if at < len(p) else 1.0)
-    return float((low + high) / 2)
+    low, high = np.concatenate([[0.0], p]), np.concatenate([p, [1.0]])
+    least = errors[high > low].min()
+    gap = np.where(errors == least, high - low, -1.0)
+    at = int(np.flatnonzero(gap == gap.max())[-1])
+    return float((low[at] + high[at]) / 2)
 
 
 def fit_rows(rows: list[list[int]], targets: dict[str, np.ndarray], folds: np.ndarray, vocabulary: dict[str, int]) -> Chain:
@@ -144,14 +145,16 @@ def fit_rows(rows: list[list[int]], targets: dict[str, np.ndarray], folds: np.nd
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
         categories: dict[str, tuple[str, ...]] | None = None, max_rows: int = 10_000,
-        max_features: int = 2_000, min_docs: int = 3) -> Chain:
+        max_features: int = 2_000, min_docs: int = 3, min_chi: float = 10.83) -> Chain:
     categories = CATEGORIES if categories is None else categories
     marks = (labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__id"))
              .agg((F.max(F.col(label).cast("int")) > 0).cast("int").alias("__y")))
     marks = (marks.withColumn("__h", F.xxhash64(F.col("__id"), F.lit("toxicity"))).orderBy("__h", "__id")
              .limit(max_rows))                     # the documented bound of the fitting sample
     sample = docs.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    sample = sample.join(F.broadcast(marks), "__id")
+    # one text of each id (the least of several): at most max_rows texts, whatever repeats
+    sample = staged(sample.join(F.broadcast(marks), "__id").groupBy("__id", "__y").agg(F.min("__text").alias("__text")),
+                    "toxicity-sample")
     y = F.col("__y")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -173,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     n, t = float(totals.n), float(totals.t)
     expected = F.col("n") * t / n
     chi = (F.col("t") - expected) ** 2 / (expected * (1 - F.col("n") / (n + 1)) * (1 - t / n))
-    chosen = table.select("f", F.round(chi, 6).alias("chi")).orderBy(F.desc("chi"), "f").limit(max_features).collect()
+    chosen = table.select("f", F.round(chi, 6).alias("chi")).filter(F.col("chi") >= min_chi).orderBy(F.desc("chi"), "f").limit(max_features).collect()
     vocabulary = {r.f: k for k, r in enumerate(chosen)}
     part = Chain(vocabulary)
 
