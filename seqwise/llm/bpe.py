@@ -25,6 +25,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +40,9 @@ SPACES = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u2
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
-class Chunks(dict):
-    """stretch without white space -> (ids, tokens, number of tokens), bounded."""
+class Encoded(dict):
+    """Word, or stretch without white space -> (ids, tokens, number of tokens),
+    bounded. A word standing alone is encoded like the same word in a stretch."""
 
     def __init__(self, bpe: WordBpe):
         self.bpe = bpe
@@ -55,7 +57,7 @@ class Chunks(dict):
 
 
 class WordBpe:
-    def __init__(self, path: str, max_words: int = 400_000):
+    def __init__(self, path: str, max_words: int = 300_000):
         import regex
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -79,8 +81,7 @@ class WordBpe:
         self.inside = {a + b for a, b in inside}
         self.max_words = max_words
         self.id_text = {s: str(i) for s, i in self.ids.items()}
-        self.pieces: dict[str, tuple[str, str, int]] = {}
-        self.words = Chunks(self)
+        self.words = Encoded(self)
         self.fragments: dict[tuple[str, bool], list[str]] = {}
 
     def merge(self, fragment: str, last: bool) -> list[str]:
@@ -145,7 +146,7 @@ class WordBpe:
                 key = (letters[begin:k], k == n)
                 got = self.fragments.get(key)
                 if got is None:
-                    if len(self.fragments) >= self.max_words:
+                    if len(self.fragments) >= self.max_words // 4:
                         self.fragments.clear()
                     got = self.merge(*key)
                     if len(key[0]) < 100:
@@ -154,22 +155,13 @@ class WordBpe:
                 begin = k
         return out
 
-    def encode_piece(self, word: str) -> tuple[str, str, int]:
-        got = self.pieces.get(word)
-        if got is None:
-            tokens = self.encode_word(word)
-            got = " ".join([self.id_text[t] for t in tokens]), " ".join(tokens), len(tokens)
-            if len(self.pieces) >= self.max_words:
-                self.pieces.clear()
-            if len(word) < 100:
-                self.pieces[word] = got
-        return got
-
     def encode_chunk(self, chunk: str) -> tuple[str, str, int]:
         """(ids, tokens, number of tokens) of a stretch without white space."""
-        if chunk.isalpha():                        # letters only: one word
-            return self.encode_piece(chunk)
-        got = [self.encode_piece(w) for w in self.pattern.findall(chunk)]
+        pieces = [chunk] if chunk.isalpha() else self.pattern.findall(chunk)
+        if len(pieces) == 1 and pieces[0] == chunk:
+            tokens = self.encode_word(chunk)
+            return " ".join([self.id_text[t] for t in tokens]), " ".join(tokens), len(tokens)
+        got = [self.words[w] for w in pieces]
         return " ".join([x[0] for x in got]), " ".join([x[1] for x in got]), sum([x[2] for x in got])
 
     def encode_text(self, text: str) -> tuple[str, str, int]:
@@ -218,7 +210,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", digest: bool = F
                 for t in part["__text"]:
                     ids, decoded, n = bpe.encode_text(t)
                     rows.append((n, sha256(ids.encode()).hexdigest(), sha256(decoded.encode()).hexdigest()) if digest
-                                else (n, [int(x) for x in ids.split()], decoded))
+                                else (n, np.array(ids.split(), np.int32), decoded))
                 out = part.drop(columns="__text")
                 yield out.assign(**dict(zip(made, map(list, zip(*rows)))))
     return docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInPandas(run, schema)

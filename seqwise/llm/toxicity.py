@@ -76,7 +76,7 @@ class Chain:
             got = cache.get(w)
             if got is None:
                 got = tuple(self.vocabulary[f] for f in features_of(w) if f in self.vocabulary)
-                if len(cache) >= 500_000:
+                if len(cache) >= 200_000:
                     cache.clear()
                 cache[w] = got
             found.update(got)
