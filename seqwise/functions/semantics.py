@@ -44,7 +44,7 @@ def safe_ratio(num, den) -> Column:
 def nan_to_null(c) -> Column:
     """NaN is missing: normalise it to NULL at ingest."""
     c = _c(c)
-    return F.nanvl(c, F.lit(None).cast("double"))
+    return F.when(~F.isnan(c), c)
 
 
 def ne_keep_null(c, value) -> Column:

@@ -19,7 +19,8 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     analysed few times.
     """
     keyset = set(keys)
-    r = right.select(*[F.col(c).alias(f"__r_{c}") if c in keyset else F.col(c) for c in right.columns])
+    # every column of the right side is made anew, so the sides may share lineage
+    r = right.select(*[F.col(c).alias(f"__r_{c}" if c in keyset else c) for c in right.columns])
     cond = None
     for k in keys:
         c = left[k].eqNullSafe(r[f"__r_{k}"])
@@ -30,18 +31,19 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 # Group tables (one row per season, week, class ...) are broadcast only when
-# their counted size is at most this many rows.
-SMALL_ROWS = 100_000
+# they are stored in at most this many rows and bytes.
+SMALL_ROWS, SMALL_BYTES = 100_000, 8 << 20
 
 
-def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
     """A group-level table for a join with the events, with its size checked.
 
     Written once to the shared checkpoint folder and counted from the stored
-    files; broadcast when it has at most ``max_rows`` rows, otherwise joined
-    by shuffle (then it has many keys, so no key concentrates the events).
+    files; broadcast when it has at most ``max_rows`` rows in ``max_bytes``
+    bytes of files, otherwise joined by shuffle (then it has many keys, so no key concentrates the events).
     Joining events to a season- or week-keyed table by shuffle would send a
     whole season to one task."""
     from seqwise.session import materialize
     stored = materialize(df, name="group_table")
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    stored_bytes = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(stored) if stored_bytes <= max_bytes and stored.count() <= max_rows else stored

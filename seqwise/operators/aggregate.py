@@ -104,8 +104,13 @@ def last_per_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def first_per_group(df: DataFrame, keys: list[str], order_desc: list[str]) -> DataFrame:
-    """First row per group after a descending sort (``slice_head(n=1)``)."""
-    return last_per_group(df, keys, order_desc)
+    """First row per group after a descending sort (``slice_head(n=1)``): the
+    greatest non-NULL order value; NULLs sort last in either direction, so a
+    NULL row is first only where there is no other."""
+    rest = [c for c in df.columns if c not in keys]
+    first = F.struct(*[f for c in order_desc for f in (F.col(c).isNotNull(), F.col(c))])
+    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), first).alias("__r"))
+    return agg.select(*keys, *[F.col("__r")[c].alias(c) for c in rest])
 
 
 def distinct_count(df: DataFrame, keys: list[str]) -> DataFrame:

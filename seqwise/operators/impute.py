@@ -78,18 +78,3 @@ def group_quantile(df: DataFrame, keys: list[str], col: str, q: float, name: str
     """Per-group exact quantile as a column on every row (source type 7)."""
     stats = exact_quantiles(df, keys, [col], q, prefix="__gq_").withColumnRenamed(f"__gq_{col}", name)
     return join_null_safe(df, small_side(stats), keys, "left")
-
-
-def fill_by_group_small(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """Mean fill for a table already reduced to a coarse grain (e.g. one row
-    per side and period): a window per group value avoids a second branch
-    that would recompute the table's inputs. Not for event-grain tables,
-    where a group holds a whole season."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys)
-    fill = set(cols)
-
-    def mean(c):
-        return F.try_divide(F.sum(F.col(c).cast(MEAN_DECIMAL)).over(w).cast("double"),
-                            F.count(c).over(w).cast("double"))
-    return df.select(*[F.coalesce(F.col(c), mean(c)).alias(c) if c in fill else F.col(c) for c in df.columns])

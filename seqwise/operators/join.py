@@ -29,9 +29,9 @@ def left_attach(df: DataFrame, side: DataFrame, on: list[str] | None = None,
 def lookup(df: DataFrame, dim: DataFrame, left_key: str, right_key: str,
            cols: list[str]) -> DataFrame:
     """Left join to the distinct (key, cols) of a dimension. An id with two
-    names fans out, as in the source."""
-    d = dim.select(right_key, *cols).distinct()
-    return df.join(d, df[left_key] == d[right_key], "left").drop(d[right_key])
+    names fans out, and a NULL id meets a NULL id, as in the source."""
+    d = dim.select(F.col(right_key).alias(left_key), *cols).distinct()
+    return join_null_safe(df, d, [left_key], "left")
 
 
 def season_lags(df: DataFrame, actor: str, season: str, cols: list[str],

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqwise.operators._util import join_null_safe, small_side
 from seqwise.session import materialize
 
 ACCURACY = 10000
@@ -44,16 +45,18 @@ def exact_quantiles(df: DataFrame, keys: list[str], cols: list[str], q: float,
                    F.col("__br")[0].alias("__lo"), F.col("__br")[1].alias("__hi"))
     # one pass: values below / above the bracket collapse to one counted row
     # each, values inside it stay distinct with their counts
-    j = long.join(st.select(*gk, "__lo", "__hi"), gk)
+    # one row per (group, column): never a shuffle of the values onto so few keys
+    st = small_side(st)
+    j = join_null_safe(long, st.select(*gk, "__lo", "__hi"), gk, "inner")
     side = F.when(F.col("__v") < F.col("__lo"), F.lit(-1)).when(F.col("__v") > F.col("__hi"), F.lit(1)).otherwise(F.lit(0))
     hist = (j.select(*gk, side.alias("__side"), F.when(side == 0, F.col("__v")).alias("__v"))
             .groupBy(*gk, "__side", "__v").agg(F.count(F.lit(1)).alias("__k")))
     ends = hist.groupBy(*gk).agg(F.sum(F.when(F.col("__side") == -1, F.col("__k")).otherwise(0)).alias("__below"),
                                  F.sum(F.when(F.col("__side") == 1, F.col("__k")).otherwise(0)).alias("__above"))
-    st = st.join(ends, gk).withColumn(
-        "__ok", (F.col("__below") <= F.col("__lo_r")) & (F.col("__n") - F.col("__above") > F.col("__hi_r")))
-    band = (hist.filter(F.col("__side") == 0)
-            .join(st.filter("__ok").select(*gk, "__below", "__lo_r", "__hi_r", "__pos"), gk))
+    st = small_side(join_null_safe(ends, st, gk, "inner").withColumn(
+        "__ok", (F.col("__below") <= F.col("__lo_r")) & (F.col("__n") - F.col("__above") > F.col("__hi_r"))))
+    band = join_null_safe(hist.filter(F.col("__side") == 0),
+                          st.filter("__ok").select(*gk, "__below", "__lo_r", "__hi_r", "__pos"), gk, "inner")
     w = Window.partitionBy(*gk).orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
     band = band.withColumn("__start", F.col("__below") + F.coalesce(F.sum("__k").over(w), F.lit(0)))
     covers = lambda r: (F.col("__start") <= F.col(r)) & (F.col(r) < F.col("__start") + F.col("__k"))
@@ -63,7 +66,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], cols: list[str], q: float,
     lin = F.when((F.col("__lo_r") == F.col("__hi_r")) | (F.col("__vl") == F.col("__vh")), F.col("__vl")).otherwise(
         (F.col("__hi_r") - F.col("__pos")) * F.col("__vl") + (F.col("__pos") - F.col("__lo_r")) * F.col("__vh"))
     fast = picked.select(*gk, lin.alias("__val"))
-    slow = (long.join(st.filter(~F.col("__ok")).select(*gk), gk).groupBy(*gk)
+    slow = (join_null_safe(long, st.filter(~F.col("__ok")).select(*gk), gk, "inner").groupBy(*gk)
             .agg(F.percentile("__v", F.lit(q)).alias("__val")))
     wide = fast.unionByName(slow).groupBy(*keys).pivot("__c", list(cols)).agg(F.first("__val"))
     # groups without any value are absent: callers left-join, which gives

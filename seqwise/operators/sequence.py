@@ -1,20 +1,27 @@
 """Ordered sequences, padding and sliding training windows.
 
 A sequence is every event of one key (e.g. one side in one game), in order.
-Sequences are bounded: ``to_sequences`` first checks the longest one
-against ``max_len`` with an aggregate (partial counts, nothing collected),
-so a hot key fails the check instead of being gathered into one row. Pads
-and windows are higher-order array functions inside whole-stage codegen; a
-window row holds n steps, so the 15x blow-up is the output itself.
+It is kept in long form, one *step* per row: ``number_steps`` numbers the
+events of each key by the two-level scan, ``pad_steps`` adds the padding as
+rows, and ``step_windows`` builds the windows. No key is ever gathered into one
+row or one task: steps are dealt into blocks of consecutive positions, each
+block also gets the few steps after it that its last windows need, and a
+bounded row frame inside (key, block) collects exactly n steps per window.
+
+``to_sequences`` / ``pad`` / ``windows`` are the array form for short keys: one
+row per key, bounded by ``max_len``, which is checked before collecting.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqwise.functions.scalar import step_mask
-from seqwise.operators._util import asc_last
+from seqwise.operators.window import number_within
+
+BLOCK = 1024
+MAX_ARRAY = 1_000
 
 
 class SequenceTooLong(ValueError):
@@ -29,13 +36,130 @@ def check_max_len(df: DataFrame, keys: list[str], max_len: int) -> None:
         raise SequenceTooLong(f"a sequence has {over[0]['n']} events, more than {max_len}")
 
 
+# long form ------------------------------------------------------------------
+
+def number_steps(df: DataFrame, keys: list[str], order: list[str], features: list[str],
+                 label: str | None = None, carry: list[str] | None = None) -> DataFrame:
+    """N1 + N2 in long form: (keys, ``pos`` from 0, ``n`` events of the key,
+    ``features`` array of doubles, ``label``, ``carry`` columns); NULL keys are
+    skipped. With two or more ``order`` columns the first one is the coarse
+    bucket of the two-level numbering."""
+    carry = carry or []
+    d = number_within(df.dropna(subset=keys), keys, order, "__no", total="n")
+    x = F.array(*[F.col(f).cast("double") for f in features]).cast("array<double>")
+    y = [F.col(label).alias("label")] if label else []
+    return d.select(*keys, (F.col("__no") - 1).cast("int").alias("pos"), F.col("n").cast("int").alias("n"),
+                    x.alias("features"), *y, *[c for c in carry if c != "label" or not label])
+
+
+def pad_steps(steps: DataFrame, keys: list[str], length: int, side: str = "right", pad_label=0) -> DataFrame:
+    """N3 / N4 in long form: every key gets ``length`` steps; the added ones
+    have all-zero features and ``pad_label``, and ``is_pad`` tells them apart.
+    A longer sequence raises. ``longest`` finds the length as the source does."""
+    if side not in ("right", "left"):
+        raise ValueError(side)
+    n = F.col("n")
+    too_long = F.raise_error(F.concat(F.lit(f"sequence longer than {length}: "), n.cast("string"))).cast("int")
+    moved = F.col("pos") + (F.lit(length) - n if side == "left" else F.lit(0))
+    real = steps.select(*keys, F.when(n <= length, moved).otherwise(too_long).alias("pos"), "n", "features", "label",
+                        F.lit(False).alias("is_pad"))
+    first = steps.filter((F.col("pos") == 0) & (n < length))
+    added = F.explode(F.sequence(F.lit(0), F.lit(length - 1) - n)).alias("__i")
+    pads = first.select(*keys, "n", F.transform("features", lambda v: F.lit(0.0)).alias("features"), added)
+    pads = pads.select(*keys, (F.col("__i") + (F.lit(0) if side == "left" else F.col("n"))).cast("int").alias("pos"), "n",
+                       "features", F.lit(pad_label).cast(steps.schema["label"].dataType).alias("label"),
+                       F.lit(True).alias("is_pad"))
+    return real.unionByName(pads)
+
+
+def longest(df: DataFrame, keys: list[str]) -> int:
+    """Most events of any key (0 for none): the pad length the profile finds."""
+    per = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+
+
+def _blocks(steps: DataFrame, keys: list[str], reach: int, block: int):
+    """Steps dealt to their block of positions and, where a step is among the
+    ``reach`` steps after an earlier block's end (or before a later block's
+    begin, for a negative reach), to that block as well. Returns (rows, window)."""
+    size = max(block, abs(reach))
+    own, other = F.floor(F.col("pos") / size), F.floor(F.greatest(F.col("pos") - reach, F.lit(0)) / size)
+    rows = steps.withColumn("__b", F.explode(F.array_distinct(F.array(own, other))))
+    return rows, Window.partitionBy(*keys, "__b").orderBy("pos"), F.floor(F.col("pos") / size) == F.col("__b")
+
+
+def step_windows(steps: DataFrame, keys: list[str], n: int = 15, length: int | Column | None = None,
+                 truncate_tail: bool = True, padding: str = "keep", carry: list[str] | None = None,
+                 block: int = BLOCK) -> DataFrame:
+    """N5 + N6 + N10: window i holds steps i..i+n-1, its label is step i+n.
+
+    ``length``: steps of every key (the pad length; the key's own count when
+    None). ``truncate_tail`` keeps the source's count (starts 0..L-2n); False
+    gives every start with a target (0..L-n-1). ``padding``: "keep" counts
+    windows whose target is a padding step, as the source does; "drop" removes
+    them; "flag" adds ``target_is_pad``. ``carry`` columns come from the target.
+    Each (key, block) task holds at most block + n steps."""
+    if padding not in ("keep", "drop", "flag"):
+        raise ValueError(padding)
+    L = F.col("n") if length is None else length if isinstance(length, Column) else F.lit(length)
+    last = (L - 2 * n) if truncate_tail else (L - n - 1)
+    rows, w, own = _blocks(steps, keys, n, block)
+    target = {c: F.lead(c, n).over(w) for c in [*(["label"] if "label" in steps.columns else []), *(carry or [])]}
+    if padding != "keep":
+        target["target_is_pad"] = F.lead("is_pad", n).over(w)
+    out = rows.select(*keys, F.col("pos").alias("window_index"), own.alias("__own"), last.alias("__last"),
+                      F.collect_list("features").over(w.rowsBetween(0, n - 1)).alias("features"),
+                      *[c.alias(k) for k, c in target.items()])
+    out = out.filter(F.col("__own") & (F.col("window_index") <= F.col("__last"))).drop("__own", "__last")
+    return out.filter(~F.col("target_is_pad")).drop("target_is_pad") if padding == "drop" else out
+
+
+def previous_step(steps: DataFrame, keys: list[str], col: str, name: str, block: int = BLOCK) -> DataFrame:
+    """``name`` = ``col`` of the step before (NULL for the first), by blocks."""
+    rows, w, own = _blocks(steps, keys, -1, block)
+    rows = rows.withColumn(name, F.lag(col).over(w))
+    return rows.filter(own).drop("__b")
+
+
+def rolling_windows(df: DataFrame, keys: list[str], order: list[str], features: list[str], n: int,
+                    label: str | None = None, block: int = BLOCK) -> DataFrame:
+    """For each event, its n previous events (only events with a full
+    history of n); no padding."""
+    steps = number_steps(df, keys, order, features, label, carry=order)
+    out = step_windows(steps, keys, n, truncate_tail=False, carry=order, block=block)
+    out = out.withColumnRenamed("label", label) if label else out
+    return out.select(*keys, *order, "features", *([label] if label else []))
+
+
+def sequence_profile(df: DataFrame, keys: list[str], n_features: int) -> DataFrame:
+    """Number of sequences, min / mean / max length, total steps, features
+    per step, from the event counts per key (no sequence is built)."""
+    per = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.count(F.lit(1)).alias("sequences"), F.min("n").cast("int").alias("min_len"),
+                   F.avg("n").alias("mean_len"), F.max("n").cast("int").alias("max_len"),
+                   F.sum("n").cast("bigint").alias("total_steps"), F.lit(n_features).alias("n_features"))
+
+
+def with_batch_id(win: DataFrame, size: int) -> DataFrame:
+    """Batch number inside each sequence (a batch never crosses sequences)."""
+    return win.withColumn("batch_id", F.floor(F.col("window_index") / F.lit(size)).cast("int"))
+
+
+def with_step_mask(win: DataFrame) -> DataFrame:
+    """Per step, False when every feature is 0 (a masked step)."""
+    return win.withColumn("mask", step_mask("features"))
+
+
+# array form -----------------------------------------------------------------
+
 def to_sequences(df: DataFrame, keys: list[str], order: list[str], features: list[str], label: str,
-                 max_len: int | None = None) -> DataFrame:
-    """N1 + N2: one row per key with ``features`` (array of per-step feature
-    arrays, doubles) and ``labels``, in event order; NULL keys are skipped."""
+                 max_len: int = MAX_ARRAY) -> DataFrame:
+    """N1 + N2 in array form: one row per key with ``features`` (array of
+    per-step feature arrays, doubles) and ``labels``, in event order; NULL keys
+    are skipped. A key with more than ``max_len`` events raises before anything
+    is collected: such keys are for ``number_steps``."""
     df = df.dropna(subset=keys)
-    if max_len is not None:
-        check_max_len(df, keys, max_len)
+    check_max_len(df, keys, max_len)
     okey = [F.struct(F.col(c).isNull(), F.col(c)) for c in order]
     step = F.struct(F.struct(*okey).alias("o"),
                     F.array(*[F.col(f).cast("double") for f in features]).alias("x"),
@@ -70,13 +194,8 @@ def pad(seqs: DataFrame, length: int, side: str = "right", pad_label=0) -> DataF
 
 def windows(padded: DataFrame, keys: list[str], n: int = 15, truncate_tail: bool = True,
             padding: str = "keep") -> DataFrame:
-    """N5 + N6 + N10: window i holds steps i..i+n-1, its label is step i+n.
-
-    ``truncate_tail`` keeps the source's count (starts 0..L-2n, so the last
-    n-1 steps are never targets); False gives every start with a target
-    (0..L-n-1). ``padding``: "keep" counts windows whose target is a padding
-    step, as the source does; "drop" removes them; "flag" adds
-    ``target_is_pad`` (needs the ``n_real`` / ``pad_offset`` columns of ``pad``)."""
+    """N5 + N6 + N10 on the array form; the same switches as ``step_windows``
+    (``padding`` needs the ``n_real`` / ``pad_offset`` columns of ``pad``)."""
     L = F.size("features")
     last = (L - 2 * n) if truncate_tail else (L - n - 1)
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
@@ -97,36 +216,3 @@ def windows(padded: DataFrame, keys: list[str], n: int = 15, truncate_tail: bool
     if padding == "flag":
         return out
     raise ValueError(padding)
-
-
-def rolling_windows(df: DataFrame, keys: list[str], order: list[str], features: list[str], n: int,
-                    label: str | None = None, max_len: int | None = None) -> DataFrame:
-    """For each event, its n previous events (only events with a full
-    history of n). A bounded row frame per key, no padding. The window sorts
-    each key's events in one task, so ``max_len`` (checked first, as in
-    ``to_sequences``) keeps a hot key from landing whole in one task."""
-    if max_len is not None:
-        check_max_len(df, keys, max_len)
-    w = Window.partitionBy(*keys).orderBy(*asc_last(order)).rowsBetween(-n, -1)
-    x = F.array(*[F.col(f).cast("double") for f in features])
-    out = df.withColumn("features", F.collect_list(x).over(w)).filter(F.size("features") == n)
-    return out.select(*keys, *order, "features", *([label] if label else []))
-
-
-def with_batch_id(win: DataFrame, size: int) -> DataFrame:
-    """Batch number inside each sequence (a batch never crosses sequences)."""
-    return win.withColumn("batch_id", F.floor(F.col("window_index") / F.lit(size)).cast("int"))
-
-
-def with_step_mask(win: DataFrame) -> DataFrame:
-    """Per step, False when every feature is 0 (a masked step)."""
-    return win.withColumn("mask", step_mask("features"))
-
-
-def sequence_profile(seqs: DataFrame) -> DataFrame:
-    """Number of sequences, min / mean / max length, total steps, features per step."""
-    n = F.size("features")
-    return seqs.agg(F.count(F.lit(1)).alias("sequences"), F.min(n).alias("min_len"),
-                    F.avg(n).alias("mean_len"), F.max(n).alias("max_len"),
-                    F.sum(n).cast("bigint").alias("total_steps"),
-                    F.max(F.size(F.element_at("features", 1))).alias("n_features"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 # Even weeks that go to training, by season parity.
 ODD_SEASON_TRAIN_WEEKS = (4, 8, 12, 16)
@@ -55,7 +56,9 @@ def split_report(df: DataFrame, game: str = "game_id") -> DataFrame:
 
 def key_split(df: DataFrame, key: str, buckets: int = 5, valid=(3,), test=(4,)) -> DataFrame:
     """Deterministic split by entity: every row of a key lands in one split
-    (a sequence never crosses splits). Bucket = pmod(xxhash64(key), buckets)."""
-    b = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
+    (a sequence never crosses splits). Bucket = key mod buckets for whole
+    numbers, else pmod(xxhash64(key), buckets)."""
+    whole = isinstance(df.schema[key].dataType, IntegralType)
+    b = F.pmod(F.col(key) if whole else F.xxhash64(F.col(key)), F.lit(buckets))
     return df.withColumn("split", F.when(b.isin(list(test)), "test").when(b.isin(list(valid)), "valid")
                          .otherwise("train"))

@@ -22,24 +22,22 @@ from seqwise.operators._util import asc_last, join_null_safe
 
 
 def number_within(df: DataFrame, keys: list[str], order: list[str], name: str,
-                  two_level: bool = True) -> DataFrame:
-    """Dense 1-based row number per group in ``order`` (NULLs last)."""
+                  two_level: bool = True, total: str | None = None) -> DataFrame:
+    """Dense 1-based row number per group in ``order`` (NULLs last); ``total``
+    names a column for the rows of the group."""
     if not two_level or len(order) < 2:
         w = Window.partitionBy(*keys).orderBy(*asc_last(order))
-        return df.withColumn(name, F.row_number().over(w).cast("int"))
+        out = df.withColumn(name, F.row_number().over(w).cast("int"))
+        return out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*keys))) if total else out
     head, rest = order[0], list(order[1:])
+    # sizes of the buckets: partial counts, not a window over the events
+    sizes = df.groupBy(*keys, head).agg(F.count(F.lit(1)).alias("__n_in"))
+    before = Window.partitionBy(*keys).orderBy(*asc_last([head])).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, head, F.coalesce(F.sum("__n_in").over(before), F.lit(0)).alias("__off"),
+                           *([F.sum("__n_in").over(Window.partitionBy(*keys)).alias(total)] if total else []))
     inner = Window.partitionBy(*keys, head).orderBy(*asc_last(rest))
-    bucket = Window.partitionBy(*keys, head)
-    local = (df.withColumn("__rn_in", F.row_number().over(inner))
-             .withColumn("__n_in", F.count(F.lit(1)).over(bucket)))
-    offsets = (local.select(*keys, head, "__n_in").distinct()
-               .withColumn("__off", F.coalesce(F.sum("__n_in").over(
-                   Window.partitionBy(*keys).orderBy(*asc_last([head]))
-                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .drop("__n_in"))
-    out = join_null_safe(local, offsets, keys + [head], "inner")
-    return out.withColumn(name, (F.col("__off") + F.col("__rn_in")).cast("int")).drop(
-        "__rn_in", "__n_in", "__off")
+    out = join_null_safe(df.withColumn("__rn_in", F.row_number().over(inner)), offsets, keys + [head], "inner")
+    return out.withColumn(name, (F.col("__off") + F.col("__rn_in")).cast("int")).drop("__rn_in", "__off")
 
 
 def fill_downup(df: DataFrame, keys: list[str], order: list[str], col: str,

@@ -1,25 +1,26 @@
 """Event feature table (C7-C10): enrich, impute, flags and label, split.
 
-Events are shuffled for the play numbering and the actor fill (both keyed
-(entity, period, first order column), so they share one exchange). Every
-other attachment is a left join to a table keyed by (side, season,
-period) or (actor, season, period): far smaller than the events, so AQE
-broadcasts them once measured; none multiplies rows (keys are unique).
+Beyond broadcast sizes the events are shuffled five times: for the play
+numbering and actor fill (one window and one join back, by entity, period and
+first order column), and once for each of three attachments: entity, opponent
+and actor. Each is a left join to one table keyed by (side, season, period) or
+(actor, season, period), far smaller than the events, which AQE broadcasts once
+measured; none multiplies rows (keys are unique).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqwise.config import EventConfig
 from seqwise.functions.scalar import label_of, signed_by_side
 from seqwise.functions.semantics import eq_flag
-from seqwise.operators.impute import MEAN_DECIMAL, exact_mean, fill_by_group, fill_constant, fill_from_stats
+from seqwise.operators.impute import exact_mean, fill_by_group, fill_constant, fill_from_stats
 from seqwise.operators.join import left_attach
 from seqwise.operators.project import cols_with_prefix
 from seqwise.operators.split import rule_split
-from seqwise.operators.window import number_and_fill, period_ordinal
+from seqwise.operators.window import number_and_fill
 from seqwise.plans.priors import actor_stats
 from seqwise.plans.rates import asof_rates
 from seqwise.session import materialize_all
@@ -39,25 +40,29 @@ FLAGS = [
 FLAG_SOURCES_DROPPED = ["timeout_team", "penalty_team", "pass_length", "pass_location"]
 
 
+def side_table(events: DataFrame, side: str, prefix: str, number: str, cfg: EventConfig) -> DataFrame:
+    """Everything the events take from one side's (side, season, period): its
+    as-of rates, the period's ordinal in the season and the event count ``n``."""
+    s, p = cfg.season, cfg.period
+    per = events.groupBy(side, s, p).agg(F.count(F.lit(1)).alias(f"{prefix}n"))
+    per = per.withColumn(number, F.row_number().over(
+        Window.partitionBy(side, s).orderBy(F.col(p).asc_nulls_last())).cast("int"))
+    return left_attach(per, asof_rates(events, side, prefix, cfg), [side, s, p])
+
+
 def side_tables(events: DataFrame, players: DataFrame, cfg: EventConfig = EventConfig(),
                 stage: bool = True) -> dict:
-    """The tables attached to the events: as-of rates of both sides, period
-    ordinals, actor stats, and events per side-period (for exact event-weighted
-    means without touching the events). All keyed far coarser than events.
+    """The tables attached to the events: one per side (``side_table``) and the
+    actor stats. All keyed far coarser than events.
 
     ``stage`` writes them once to the shared checkpoint folder, built and
     written as concurrent jobs: the event plan stays short, a lost executor
     re-reads files instead of recomputing the aggregations, and the events
     are not rescanned for each consumer of a side table."""
-    e, o, s, p = cfg.entity, cfg.opponent, cfg.season, cfg.period
     side = {
-        "pt_rates": lambda: asof_rates(events, e, "pt_", cfg),
-        "dt_rates": lambda: asof_rates(events, o, "dt_", cfg),
-        "pt_game_no": lambda: period_ordinal(events, e, s, p, "pos_team_game_no"),
-        "dt_game_no": lambda: period_ordinal(events, o, s, p, "def_team_game_no"),
+        "pt": lambda: side_table(events, cfg.entity, "pt_", "pos_team_game_no", cfg),
+        "dt": lambda: side_table(events, cfg.opponent, "dt_", "def_team_game_no", cfg),
         "actor_stats": lambda: actor_stats(events, players, cfg, stage=stage),
-        "pt_counts": lambda: events.groupBy(e, s, p).agg(F.count(F.lit(1)).alias("__n")),
-        "dt_counts": lambda: events.groupBy(o, s, p).agg(F.count(F.lit(1)).alias("__n")),
     }
     if stage:
         return materialize_all(side, events.sparkSession)
@@ -66,15 +71,13 @@ def side_tables(events: DataFrame, players: DataFrame, cfg: EventConfig = EventC
 
 def attach(events: DataFrame, side: dict, cfg: EventConfig = EventConfig()) -> DataFrame:
     """C7 joins: play number and actor fill (one two-level pass), signed
-    spread, rates of both sides, period ordinals, actor stats."""
+    spread, rates and ordinals of both sides, actor stats."""
     e, o, s, p = cfg.entity, cfg.opponent, cfg.season, cfg.period
     ev = number_and_fill(events, [e, p], cfg.order_cols, "pt_play_no", [cfg.actor])
     if "spread_line" in ev.columns:
         ev = ev.withColumn("pt_spread", signed_by_side("spread_line", "posteam_type"))
-    ev = left_attach(ev, side["pt_rates"], [e, s, p])
-    ev = left_attach(ev, side["dt_rates"], [o, s, p])
-    ev = left_attach(ev, side["pt_game_no"])
-    ev = left_attach(ev, side["dt_game_no"])
+    ev = left_attach(ev, side["pt"].drop("pt_n"), [e, s, p])
+    ev = left_attach(ev, side["dt"].drop("dt_n"), [o, s, p])
     return left_attach(ev, side["actor_stats"], [cfg.actor, p, s])
 
 
@@ -85,22 +88,36 @@ def enrich_events(events: DataFrame, players: DataFrame, cfg: EventConfig = Even
     return attach(events, side_tables(events, players, cfg, stage), cfg)
 
 
+# rate and count as decimals whose product keeps all 12 digits (38, 12)
+RATE_DECIMAL, COUNT_DECIMAL = "decimal(26,12)", "decimal(11,0)"
+
+
+def merge_groups(frames: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Group tables side by side, NULL keys as a group of their own."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out.groupBy(*keys).agg(*[F.max(c).alias(c) for c in out.columns if c not in keys])
+
+
 def joined_rate_means(side: dict, cfg: EventConfig = EventConfig()) -> DataFrame:
     """Season means, over events, of the rate columns the events received by
     the left joins: sum(rate x events of the period) / sum(events of periods
-    with a rate). Same exact decimal sums as averaging the joined events,
-    computed on the per-period tables."""
-    s, p = cfg.season, cfg.period
+    with a rate). The same exact 12-digit sums as averaging the joined events,
+    computed on the per-period tables; a count beyond 11 digits fails."""
+    s = cfg.season
     parts = []
-    for rates, counts, key in (("pt_rates", "pt_counts", cfg.entity), ("dt_rates", "dt_counts", cfg.opponent)):
-        r = side[rates]
-        cols = [c for c in r.columns if c not in (key, s, p)]
-        j = r.join(side[counts], [key, s, p])
+    for name, keys in (("pt", {cfg.entity, s, cfg.period, "pt_n", "pos_team_game_no"}),
+                       ("dt", {cfg.opponent, s, cfg.period, "dt_n", "def_team_game_no"})):
+        t = side[name]
+        n = F.col(f"{name}_n")
+        fits = F.when(n < 10 ** 11, n).otherwise(F.raise_error(F.lit("too many events in a period")).cast("long"))
         aggs = [F.try_divide(
-            F.sum(F.when(F.col(c).isNotNull(), F.col(c).cast(MEAN_DECIMAL) * F.col("__n"))).cast("double"),
-            F.sum(F.when(F.col(c).isNotNull(), F.col("__n"))).cast("double")).alias(f"__g_{c}") for c in cols]
-        parts.append(j.groupBy(s).agg(*aggs))
-    return parts[0].join(parts[1], [s], "full")
+            F.sum(F.when(F.col(c).isNotNull(), F.col(c).cast(RATE_DECIMAL) * fits.cast(COUNT_DECIMAL))).cast("double"),
+            F.sum(F.when(F.col(c).isNotNull(), n)).cast("double")).alias(f"__g_{c}")
+            for c in t.columns if c not in keys]
+        parts.append(t.groupBy(s).agg(*aggs))
+    return merge_groups(parts, [s])
 
 
 def impute(ev: DataFrame, cfg: EventConfig = EventConfig(), zero_cols=ZERO_FILL,
@@ -174,7 +191,7 @@ def build_features(events: DataFrame, players: DataFrame, cfg: EventConfig = Eve
     ev = attach(events, side, cfg)
     rates = joined_rate_means(side, cfg)
     spread, week = raw_event_means(events, cfg)
-    means = rates if spread is None else rates.join(spread, [cfg.season], "full")
+    means = rates if spread is None else merge_groups([rates, spread], [cfg.season])
     ev = impute(ev, cfg, known_means=means, known_week=week, never_null=("pt_play_no",))
     ev = flags_and_label(ev, cfg)
     ev = ev.drop("run_location")

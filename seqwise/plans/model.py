@@ -11,8 +11,6 @@ the lowest validation log-loss, report on ``test``. Evaluation tables
 
 from __future__ import annotations
 
-import time
-
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -45,24 +43,28 @@ def evaluate(pred: DataFrame, label: str = "label", weight: str | None = None) -
     return out
 
 
+def objective_history(model) -> list[float]:
+    """Objective after each iteration of the last stage (empty if it keeps none)."""
+    last = model.stages[-1] if hasattr(model, "stages") else model
+    if not getattr(last, "hasSummary", False):
+        return []
+    return [float(x) for x in getattr(last.summary, "objectiveHistory", [])]
+
+
 def select_best(train: DataFrame, valid: DataFrame, candidates: dict, label: str = "label",
                 metric: str = "logLoss"):
     """M5 + M6 + M13: fit each candidate on train, score on valid, keep the
     best by ``metric`` (lower is better for logLoss). Returns (best name,
-    best model, history DataFrame rows as dicts)."""
+    best model, history rows as dicts, with the objective per iteration)."""
     history = []
     best = None
     for name, est in candidates.items():
-        t0 = time.time()
         model = est.fit(train)
-        secs = time.time() - t0
         scores = evaluate(model.transform(valid), label)
-        iters = None
-        summ = getattr(model, "summary", None) if getattr(model, "hasSummary", False) else None
-        if summ is not None and hasattr(summ, "objectiveHistory"):
-            iters = len(summ.objectiveHistory)
-        history.append({"candidate": name, "train_seconds": float(secs), "iterations": iters,
-                        "valid_logloss": float(scores["logLoss"]), "valid_accuracy": float(scores["accuracy"])})
+        objective = objective_history(model)
+        history.append({"candidate": name, "iterations": max(len(objective) - 1, 0) if objective else None,
+                        "objective": objective, "valid_logloss": float(scores["logLoss"]),
+                        "valid_accuracy": float(scores["accuracy"])})
         key = scores[metric] if metric == "logLoss" else -scores[metric]
         if best is None or key < best[0]:
             best = (key, name, model)
@@ -70,11 +72,20 @@ def select_best(train: DataFrame, valid: DataFrame, candidates: dict, label: str
 
 
 def confusion(pred: DataFrame, classes: list, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """M9: one row per true class, one column per predicted class, zeros filled."""
-    p = pred.select(F.col(label).cast("int").alias("true_label"), F.col(prediction).cast("int").alias("pred"))
-    t = p.groupBy("true_label").pivot("pred", [int(c) for c in classes]).count()
-    return t.fillna(0, subset=[str(int(c)) for c in classes]).withColumnsRenamed(
-        {str(int(c)): f"pred_{int(c)}" for c in classes})
+    """M9: one row per listed class, one column per predicted class, zeros
+    filled. A label or prediction outside the list (or NULL) raises."""
+    codes = [int(c) for c in classes]
+
+    def listed(c):
+        c = F.col(c).cast("int")
+        return F.when(c.isin(codes), c).otherwise(F.raise_error(
+            F.concat(F.lit("class not listed: "), F.coalesce(c.cast("string"), F.lit("NULL")))).cast("int"))
+    pairs = (pred.select(listed(label).alias("true_label"), listed(prediction).alias("pred"))
+             .groupBy("true_label", "pred").agg(F.count(F.lit(1)).alias("n")))
+    none = pred.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, codes))).alias("true_label"))
+    pairs = pairs.unionByName(none.select("true_label", F.col("true_label").alias("pred"), F.lit(0).cast("long").alias("n")))
+    return pairs.groupBy("true_label").agg(*[
+        F.sum(F.when(F.col("pred") == c, F.col("n")).otherwise(0)).alias(f"pred_{c}") for c in codes])
 
 
 def class_report(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -120,5 +131,5 @@ def rmse_codes(pred: DataFrame, label: str = "label", prediction: str = "predict
 def history_frame(spark: SparkSession, history: list[dict], best: str) -> DataFrame:
     """Candidate-level training table (small: one row per candidate)."""
     rows = [dict(h, selected=(h["candidate"] == best)) for h in history]
-    return spark.createDataFrame(rows, "candidate string, train_seconds double, iterations int, "
+    return spark.createDataFrame(rows, "candidate string, iterations int, objective array<double>, "
                                        "valid_logloss double, valid_accuracy double, selected boolean")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from seqwise.config import EventConfig
 from seqwise.functions.semantics import na_cumsum, na_sum, running, safe_ratio
 from seqwise.operators._util import asc_last, join_null_safe, small_side
-from seqwise.operators.aggregate import last_per_group
+from seqwise.operators.aggregate import first_per_group, last_per_group
 from seqwise.operators.join import lookup, season_lags
 from seqwise.operators.quantile import exact_quantiles
 from seqwise.session import materialize
@@ -120,6 +120,6 @@ def leaderboard(stats: DataFrame, cfg: EventConfig = EventConfig(), score: str =
                 k: int = 15) -> DataFrame:
     """Latest row per (actor, season), best ``k`` by score (NULLs last),
     ties broken by actor then season. Plans as TakeOrderedAndProject."""
-    latest = last_per_group(stats, [cfg.actor, cfg.season], [cfg.period])
+    latest = first_per_group(stats, [cfg.actor, cfg.season], [cfg.period])
     return latest.orderBy(F.col(score).desc_nulls_last(), F.col(cfg.actor).asc_nulls_last(),
                           F.col(cfg.season).asc_nulls_last()).limit(k)

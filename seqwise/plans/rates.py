@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 
 from seqwise.config import EventConfig
 from seqwise.operators.aggregate import period_facts
-from seqwise.operators.impute import fill_by_group_small
+from seqwise.operators.impute import fill_by_group
 from seqwise.operators.window import cumulative_ratio, lead_period
+from seqwise.session import materialize
 
 # The 13 rate definitions (name, running numerator, running denominator).
 RATE_SPECS = [
@@ -55,9 +56,9 @@ def asof_shift(rates: DataFrame, side: str, cols: list[str], cfg: EventConfig =
                           [cfg.season, cfg.period], cfg.period)
     if not fill:
         return shifted
-    # the shifted table has one row per (side, period): a per-season window
-    # over it is small, and keeps the events scanned once for the facts
-    return fill_by_group_small(shifted, [cfg.season], cols)
+    # stored, so the means and the fill read it instead of the events; means are
+    # partial aggregates, so no task holds a season
+    return fill_by_group(materialize(shifted, name="asof_shifted"), [cfg.season], cols)
 
 
 def asof_rates(events: DataFrame, side: str, prefix: str, cfg: EventConfig = EventConfig(),

@@ -9,18 +9,19 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seqwise.functions.scalar import argmax
-from seqwise.operators.sequence import check_max_len, pad, to_sequences, windows
+from seqwise.operators.aggregate import class_weights
+from seqwise.operators.encode import minmax_scale
+from seqwise.operators.sequence import longest, number_steps, pad_steps, previous_step, step_windows
 from seqwise.operators.split import key_split
 from seqwise.plans.model import (
     accuracy, class_report, confusion, evaluate, history_frame, rmse_codes, select_best, window_vectors,
     with_class_weight,
 )
 from seqwise.queries._common import rnd, rounded
-from seqwise.queries.sequence import EV, FEATS, KEYS, ORDER, PAD_LEN, WIN, labelled_events
+from seqwise.queries.sequence import EV, FEATS, KEYS, ORDER, WIN, labelled_events, steps
 from seqwise.session import checkpoint_dir, materialize
 from seqwise.sources.io import load_model, save_model
 
@@ -29,11 +30,9 @@ CLASSES = [0, 1, 2, 3, 4]
 
 def rule_predictions(spark, sf):
     """Predict each event's label as the previous label of its sequence
-    (the first event gets 0). Sequences are bounded like the model input."""
-    e = labelled_events(spark, sf)
-    check_max_len(e, KEYS, PAD_LEN)
-    w = Window.partitionBy(*KEYS).orderBy(*ORDER)
-    return e.withColumn("prediction", F.coalesce(F.lag("label").over(w), F.lit(0)))
+    (the first event gets 0)."""
+    p = previous_step(steps(spark, sf), KEYS, "label", "__before")
+    return p.select("label", F.coalesce("__before", F.lit(0)).alias("prediction"))
 
 
 def q_confusion(spark, sf):
@@ -52,25 +51,42 @@ def q_rmse_codes(spark, sf):
     return rounded(rmse_codes(rule_predictions(spark, sf)))
 
 
+def model_events(spark, sf):
+    """Labelled events with their split (user_id mod 5)."""
+    return key_split(labelled_events(spark, sf), "user_id")
+
+
 def window_table(spark, sf):
-    seqs = to_sequences(key_split(labelled_events(spark, sf), "user_id"), KEYS + ["split"], ORDER, FEATS,
-                        "label", max_len=PAD_LEN)
-    w = windows(pad(seqs, PAD_LEN, "left"), KEYS + ["split"], WIN)
+    """Scaled (min-max of the train events), left-padded windows of all splits;
+    targets that are padding are left out."""
+    e = model_events(spark, sf)
+    e = minmax_scale(e, FEATS, fit_on=e.filter(F.col("split") == "train"))
+    length = longest(e, KEYS)
+    s = pad_steps(number_steps(e, KEYS + ["split"], ORDER, FEATS, "label"), KEYS + ["split"], length, "left")
+    w = step_windows(s, KEYS + ["split"], WIN, length, padding="drop")
     return window_vectors(w).withColumn("label", F.col("label").cast("double"))
 
 
+def q_model_inputs(spark, sf):
+    """Windows per split and class, with the class weights of the train events
+    (unpadded)."""
+    n = window_table(spark, sf).groupBy("split", F.col("label").cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    w = class_weights(model_events(spark, sf).filter(F.col("split") == "train"), "label").select("label", "weight")
+    return rounded(n.join(w, "label", "left"))
+
+
 def _train_eval(spark, sf, candidates, weighted):
     # windows are written once: every candidate fit and every metric reads them
     w = materialize(window_table(spark, sf), spark, "windows")
     train, valid, test = (w.filter(F.col("split") == s) for s in ("train", "valid", "test"))
     if weighted:
-        train = with_class_weight(train, train)
+        train = with_class_weight(train, model_events(spark, sf).filter(F.col("split") == "train")
+                                  .withColumn("label", F.col("label").cast("double")))
     best, model, hist = select_best(train, valid, candidates)
     path = f"{checkpoint_dir(spark).rstrip('/')}/model-{best}"
     save_model(model, path)                 # S6: keep the selected model, then reload it
     model = load_model(path)
-    pred = model.transform(test)
-    scores = evaluate(pred)
+    scores = evaluate(model.transform(test))
     h = history_frame(spark, hist, best)
     return h.withColumns({"test_logloss": F.when(F.col("selected"), F.lit(scores["logLoss"])),
                           "test_accuracy": F.when(F.col("selected"), F.lit(scores["accuracy"])),
@@ -107,7 +123,21 @@ def q_test_confusion(spark, sf):
     return confusion(pred, CLASSES)
 
 
+# A fixed linear model: class scores are small whole multiples of the features.
+COEF = [(3, -1), (-2, 4), (1, 2), (0, -3), (-1, 1)]
+
+
+def q_predict_argmax(spark, sf):
+    """M8 + F15: class scores of every event under a fixed coefficient table,
+    prediction = argmax (the first of equal scores)."""
+    e = labelled_events(spark, sf)
+    score = F.array(*[a * F.floor("value").cast("double") + b * F.col("hr") for a, b in COEF])
+    return e.select("event_id", "label", argmax(score).alias("prediction"))
+
+
 QUERIES = {
+    "model_inputs": q_model_inputs,
+    "predict_argmax": q_predict_argmax,
     "confusion": q_confusion,
     "class_report": q_class_report,
     "accuracy": q_accuracy,
@@ -129,7 +159,18 @@ rep as (select cast(cls as varchar) as cls, coalesce(tp / nullif(cast(predicted
   coalesce(tp / nullif(cast(support as double), 0), 0.0) as recall, cast(support as bigint) as support from per),
 rep2 as (select *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) as f1 from rep)"""
 
+_SPLIT = "case user_id % 5 when 4 then 'test' when 3 then 'valid' else 'train' end"
+_SCORES = "[" + ", ".join(f"{a} * floor(value) + {b} * hr" for a, b in COEF) + "]"
+
 ORACLE = {
+    "model_inputs": EV + f""", win as (select {_SPLIT} as split, y[i + {WIN} - (len - n) + 1] as label
+      from seq, generate_series(0, len - {2 * WIN}) a(i) where i + {WIN} >= len - n),
+    tr as (select label, count(*) as n_c from ev where {_SPLIT} = 'train' group by label),
+    wt as (select label, {rnd('cast(sum(n_c) over () as double) / (count(*) over () * n_c)')} as weight from tr)
+    select win.split, win.label, count(*) as n, any_value(wt.weight) as weight
+    from win left join wt using (label) group by win.split, win.label""",
+    "predict_argmax": EV + f""" select event_id, label, cast(list_position(s, list_max(s)) - 1 as int) as prediction
+      from (select event_id, label, {_SCORES} as s from ev) t""",
     "confusion": PRED + " select cast(label as int) as true_label, "
     + ", ".join(f"cast(count(*) filter (where prediction = {c}) as bigint) as pred_{c}" for c in CLASSES)
     + " from pred group by label",

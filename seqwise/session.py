@@ -43,7 +43,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised stages.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    given. Only when it is unset (local tests) is a fresh scratch folder made.
+    given; leaving it unset is an error there, since executors do not share
+    local folders. Only a local master gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     existing = sc.getCheckpointDir()
@@ -51,6 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return existing
     current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="seqwise-ckpt-")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
@@ -66,9 +69,26 @@ def materialize(df, spark: SparkSession | None = None, name: str = "stage"):
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _STAGED.append(path)
     return spark.read.parquet(path)
 
 
+# folders written by ``materialize``, for ``drop_staged``
+_STAGED: list[str] = []
+
+
+def drop_staged(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
+    """Delete the folders staged so far, but those whose path holds a string of
+    ``keep``. For a caller that is done with every result built on them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = [p for p in _STAGED if not any(k in p for k in keep)]
+    for p in gone:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+        _STAGED.remove(p)
+    return len(gone)
+
+
 def materialize_all(frames: dict, spark: SparkSession | None = None, parallel: bool = True) -> dict:
     """``materialize`` several independent DataFrames (or zero-argument
     functions building them), as concurrent jobs: Spark schedules jobs from

@@ -11,6 +11,8 @@ exact. NULLs are injected by fixed rules because the tables hold none.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -139,7 +141,7 @@ def plays_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder (per data folder), as an event table is at scale. Every query then
     scans it with column pruning instead of recomputing the four-way join in
     each branch of its plan."""
-    from seqwise.session import checkpoint_dir, materialize
+    from seqwise.session import checkpoint_dir
     key = (checkpoint_dir(spark), sf_dir)
     path = _STORED.get(key)
     if path is not None:
@@ -147,6 +149,7 @@ def plays_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             return spark.read.parquet(path)
         except Exception:  # noqa: BLE001 - folder cleaned: write it again
             _STORED.pop(key, None)
-    df = materialize(plays(spark, sf_dir), spark, "plays")
-    _STORED[key] = df.inputFiles()[0].rsplit("/", 1)[0]
-    return df
+    path = f"{checkpoint_dir(spark).rstrip('/')}/plays-{uuid.uuid4().hex}"
+    plays(spark, sf_dir).write.parquet(path)
+    _STORED[key] = path
+    return spark.read.parquet(path)
