@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqwise.session import materialize
@@ -24,7 +24,7 @@ def batches_by_bytes(frame: pd.DataFrame, text: str, limit: int = 3_000_000) ->
     """Slices of a batch whose texts have at most ``limit`` characters
     together (or a single row), so memory does not follow the batch size."""
     total, begin = 0, 0
-    for k, n in enumerate(frame[text].str.len()):
+    for k, n in enumerate(frame[text].str.len().fillna(0)):
         if total and total + n > limit:
             yield frame.iloc[begin:k]
             total, begin = 0, k
@@ -33,6 +33,31 @@ def batches_by_bytes(frame: pd.DataFrame, text: str, limit: int = 3_000_000) ->
         yield frame.iloc[begin:]
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """At most ``rows`` rows an Arrow batch in this session: texts are long, and
+    a batch is held whole by the Python worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
+
+
+def with_text(docs: DataFrame, keep: list[str], text: str) -> tuple[DataFrame, str]:
+    """(columns ``keep`` and the text, name of the text): the text is sent once,
+    as the kept column if it is one."""
+    if text in keep:
+        return docs.select(*keep), text
+    return docs.select(*keep, F.col(text).alias("__text")), "__text"
+
+
+def texts_of(frame: pd.DataFrame, name: str) -> list[str]:
+    """The texts of a batch, empty for null."""
+    return [t if isinstance(t, str) else "" for t in frame[name]]
+
+
+def without_text(frame: pd.DataFrame, name: str) -> pd.DataFrame:
+    return frame.drop(columns=name) if name == "__text" else frame
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder of ``spark.checkpoint.dir`` and
     read back: a lost executor re-reads files."""

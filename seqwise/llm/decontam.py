@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqwise.llm.common import batches_by_bytes
+from seqwise.llm.common import batches_by_bytes, texts_of, with_text
 
 WORD = re.compile(r"\w+")
 
@@ -148,20 +148,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     made = ["contaminated", "items", "distances"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
     hit = T.ArrayType(T.LongType())
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("__text", T.StringType()),
-                           T.StructField("items", hit), T.StructField("distances", hit)])
+    out, name = with_text(docs, keep, text)
+    schema = T.StructType([*out.schema, T.StructField("items", hit), T.StructField("distances", hit)])
     none = F.array().cast(hit)
-    out = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"), none.alias("items"),
-                      none.alias("distances"))
+    out = out.withColumns({"items": none, "distances": none})
 
     def passed(block: list[tuple[int, str]]):
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             matcher = None
             for frame in frames:
                 matcher = matcher or Matcher(block, error_rate, min_piece)
-                for part in batches_by_bytes(frame, "__text"):
+                for part in batches_by_bytes(frame, name):
                     items, distances = [], []
-                    for t, a, b in zip(part["__text"], part["items"], part["distances"]):
+                    for t, a, b in zip(texts_of(part, name), part["items"], part["distances"]):
                         best = dict(zip(a, b))
                         for i, d in matcher.matches(normalise(t)):
                             best[i] = min(d, best.get(i, d))

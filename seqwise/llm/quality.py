@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqwise.llm.common import batches_by_bytes, staged
+from seqwise.llm.common import batches_by_bytes, staged, texts_of, with_text, without_text
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -97,30 +97,28 @@ def lines_of(text: str) -> tuple[list[tuple[int, int]], int]:
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", keep: list[str] | None = None,
                   min_words: int = 20, window: int = 8, max_repeat_percent: int = 30, max_docs: int = 30,
-                  max_share: float = 0.001, min_kept: float = 1 / 3, with_text: bool = False) -> DataFrame:
-    """``docs`` (columns ``keep``; all by default) with the measures,
-    ``base_failed``, ``n_removed_words`` (words in frequent lines) and ``kept``;
-    ``with_text`` adds ``clean_text``, the text without its frequent lines."""
-    made = [*MEASURES, "base_failed", "n_removed_words", "kept", *(["clean_text"] if with_text else [])]
+                  max_share: float = 0.001, min_kept: float = 1 / 3) -> DataFrame:
+    """``docs`` (columns ``keep``, which should be narrow: they are stored; all
+    by default) with the measures, ``base_failed``, ``n_removed_words`` (words
+    in frequent lines), ``removed_lines`` (their numbers from 0) and ``kept``."""
+    made = [*MEASURES, "base_failed", "n_removed_words", "removed_lines", "kept"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
     line = T.StructType([T.StructField("hash", T.LongType()), T.StructField("words", T.IntegerType())])
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("__host", docs.schema[host].dataType),
+    rows, name = with_text(docs.withColumn("__host", F.col(host)), [*keep, "__host"], text)
+    schema = T.StructType([*(f for f in rows.schema if f.name != "__text"),
                            *(T.StructField(m, T.LongType()) for m in MEASURES),
-                           T.StructField("__lines", T.ArrayType(line)), T.StructField("__identity", T.LongType()),
-                           *([T.StructField("__text", T.StringType())] if with_text else [])])
+                           T.StructField("__lines", T.ArrayType(line)), T.StructField("__identity", T.LongType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for part in batches_by_bytes(frame, "__text"):
-                texts = part["__text"].tolist()
+            for part in batches_by_bytes(frame, name):
+                texts = texts_of(part, name)
                 got = [measure(t, window) for t in texts]
                 lines = [lines_of(t) for t in texts]
-                out = part if with_text else part.drop(columns="__text")
-                out = out.assign(**dict(zip(MEASURES, map(list, zip(*got)))),
-                                 __lines=[[{"hash": h, "words": w} for h, w in x[0]] for x in lines],
-                                 __identity=[x[1] for x in lines])
-                yield out[schema.names]
-    rows = docs.select(*keep, F.col(host).alias("__host"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+                yield without_text(part, name).assign(
+                    **dict(zip(MEASURES, map(list, zip(*got)))),
+                    __lines=[[{"hash": h, "words": w} for h, w in x[0]] for x in lines],
+                    __identity=[x[1] for x in lines])
     rows = staged(rows.mapInPandas(run, schema).withColumn("__row", F.monotonically_increasing_id()), "quality-rows")
     # a null host is joined like any other
     rows = rows.withColumn("__key", F.to_json(F.struct(F.col("__host").alias("h"))))
@@ -135,13 +133,25 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", kee
     spots = spots.select("__row", "__key", "at", F.col("line.hash").alias("hash"), F.col("line.words").alias("words"))
     hit = spots.join(often, ["__key", "hash"])
     lost = hit.groupBy("__row").agg(F.sum("words").alias("n_removed_words"),
-                                    *([F.collect_list("at").alias("__drop")] if with_text else []))
-    out = rows.join(lost, "__row", "left").withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)))
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
+                                    F.array_sort(F.collect_list("at")).alias("removed_lines"))
+    out = rows.join(lost, "__row", "left").withColumns({
+        "n_removed_words": F.coalesce("n_removed_words", F.lit(0)),
+        "removed_lines": F.coalesce("removed_lines", F.array().cast("array<int>")),
+        "base_failed": (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))})
     left = F.col("n_words") - F.col("n_removed_words")
-    out = out.withColumn("base_failed", failed)
     out = out.withColumn("kept", ~F.col("base_failed") & (left >= min_kept * F.col("n_words")))
-    if with_text:
-        out = out.withColumn("clean_text", F.when(F.col("__drop").isNull(), F.col("__text")).otherwise(F.array_join(
-            F.filter(F.split("__text", "\n"), lambda x, i: ~F.array_contains(F.col("__drop"), i)), "\n")))
     return out.select(*keep, *made)
+
+
+def clean_documents(docs: DataFrame, text: str = "text", host: str = "source", **limits) -> DataFrame:
+    """The kept rows of ``docs``, all columns, ``text`` without its frequent
+    lines (null stays out: it has no words). Equal texts of a host have one
+    verdict, so texts meet it by (host, MD5) and are stored nowhere."""
+    key = F.to_json(F.struct(F.col(host).alias("h"), F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")).alias("m")))
+    keyed = docs.withColumn("__content", key)
+    judged = quality_rules(keyed, text, host, keep=["__content"], **limits)
+    judged = judged.filter("kept").select(F.col("__content").alias("__judged"), "removed_lines").dropDuplicates(["__judged"])
+    out = keyed.join(judged, keyed["__content"] == judged["__judged"])
+    lines = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("removed_lines"), i))
+    clean = F.when(F.size("removed_lines") == 0, F.col(text)).otherwise(F.array_join(lines, "\n"))
+    return out.withColumn(text, clean).select(*docs.columns)

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqwise.llm import bpe, decontam, fst, html, licenses, lm, quality, simhash, toxicity, urls
+from seqwise.llm.common import bounded_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -20,7 +22,7 @@ def tokenizer(name: str) -> str:
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_rules(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return quality.quality_rules(table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("removed_lines")
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

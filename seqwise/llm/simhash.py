@@ -32,11 +32,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqwise.llm.common import batches_by_bytes, connected_components, staged
+from seqwise.llm.common import batches_by_bytes, connected_components, staged, texts_of, with_text, without_text
 
 BITS = 64
 _LOWER = bytes(range(0x41)) + bytes(range(0x61, 0x7B)) + bytes(range(0x5B, 256))
@@ -65,14 +65,15 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (columns ``keep``) with ``__fp``, the fingerprint as a signed long."""
     keep = docs.columns if keep is None else keep
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("__fp", T.LongType())])
+    rows, name = with_text(docs, keep, text)
+    schema = T.StructType([*(f for f in rows.schema if f.name != "__text"), T.StructField("__fp", T.LongType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for part in batches_by_bytes(frame, "__text"):
-                fp = np.array([fingerprint(t, shingle) for t in part["__text"]], np.uint64).view(np.int64)
-                yield part.drop(columns="__text").assign(__fp=fp)
-    return docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInPandas(run, schema)
+            for part in batches_by_bytes(frame, name):
+                fp = np.array([fingerprint(t, shingle) for t in texts_of(part, name)], np.uint64).view(np.int64)
+                yield without_text(part, name).assign(__fp=fp)
+    return rows.mapInPandas(run, schema)
 
 
 def bit_correlations(fps: DataFrame) -> np.ndarray:
@@ -231,10 +232,10 @@ def _by_node(node: str, by: dict[int, Column]) -> Column:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
                     distance: int = 3, parts: int = 3, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (columns ``keep``; all by default) with ``fingerprint``
-    (16 hex digits), ``component_id`` (the component's smallest ``doc_id``) and
-    ``representative`` (true for exactly one row of each component: the first
-    with the smallest id)."""
+    """``docs`` (columns ``keep``, which should be narrow: they are stored; all
+    by default) with ``fingerprint`` (16 hex digits), ``component_id`` (the
+    component's smallest ``doc_id``) and ``representative`` (true for exactly
+    one row of each component: the first with the smallest id)."""
     made = ["fingerprint", "component_id", "representative"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
     rows = fingerprints(docs.withColumn("__id", F.col(doc_id)), text, shingle, [*keep, "__id"])
@@ -250,3 +251,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return out.select(*keep, F.lpad(F.lower(F.hex("__fp")), 16, "0").alias("fingerprint"),
                       F.col("best.id").alias("component_id"),
                       (F.col("best.row") == F.col("__row")).alias("representative"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """One row of ``docs``, all columns, of each component: one with the
+    smallest id. Texts meet the verdict by (id, MD5) and are stored nowhere."""
+    key = F.to_json(F.struct(F.col(doc_id).alias("i"), F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")).alias("m")))
+    keyed = docs.withColumn("__content", key)
+    best = near_duplicates(keyed, doc_id, text, keep=["__content"], **how).filter("representative").select("__content")
+    out = keyed.join(best, "__content", "left_semi")
+    # several rows with this id and text: any one of them is the row
+    first = F.row_number().over(Window.partitionBy("__content").orderBy(F.hash(*docs.columns)))
+    return out.withColumn("__nth", first).filter("__nth = 1").select(*docs.columns)

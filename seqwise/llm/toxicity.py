@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqwise.llm.common import batches_by_bytes, staged
+from seqwise.llm.common import batches_by_bytes, staged, texts_of, with_text, without_text
 
 WORD = re.compile(r"\w+")
 # Seed words of the categories before the label.
@@ -213,9 +213,10 @@ def score(docs: DataFrame, chain: Chain, text: str = "text", keep: list[str] | N
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict[str, tuple[int, ...]] = {}
         for frame in frames:
-            for part in batches_by_bytes(frame, "__text"):
+            for part in batches_by_bytes(frame, name):
                 p = np.zeros((len(part), len(names)))
                 if chain.models:
-                    p = chain.probabilities([chain.numbers(t, cache) for t in part["__text"]])
-                yield part.drop(columns="__text").assign(**dict(zip(made, p.T)), is_toxic=p[:, -1] > chain.threshold)
-    return docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInPandas(run, schema)
+                    p = chain.probabilities([chain.numbers(t, cache) for t in texts_of(part, name)])
+                yield without_text(part, name).assign(**dict(zip(made, p.T)), is_toxic=p[:, -1] > chain.threshold)
+    rows, name = with_text(docs, keep, text)
+    return rows.mapInPandas(run, schema)
