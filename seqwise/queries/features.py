@@ -17,7 +17,7 @@ from seqwise.queries._sql import exact_avg, with_plays
 from seqwise.queries.priors import SHRINK_CTES
 from seqwise.queries.rates import CFG, asof_ctes
 from seqwise.session import materialize
-from seqwise.sources.fixtures import players, plays_table as plays
+from seqwise.sources.fixtures import EXTRA, players, plays_table as plays
 
 MIN_SEASON, TEST_SEASON = 1998, 2001
 PT = ["pt_" + n for n in RATE_NAMES]
@@ -25,7 +25,7 @@ DT = ["dt_" + n for n in RATE_NAMES]
 PLAY_COLS = ["season", "week", "game_date", "posteam", "defteam", "passer_src", "drive", "play_id", "down",
              "pass_attempt", "rush_attempt", "run_location", "goal_to_go", "wp", "epa", "wpa", "passer", "game_id",
              "play_type", "qb_dropback", "roof", "temp", "posteam_type", "penalty_team",
-             "drive_time_of_possession", "spread_line", "timeout_team", "wind", "yards_gained"]
+             "drive_time_of_possession", "spread_line", "timeout_team", "wind", "yards_gained", *[c for c, _, _ in EXTRA]]
 
 PLAY_NO = "row_number() over (partition by posteam, game_date order by drive, play_id)"
 FILL_W = "(partition by posteam, game_date order by pt_play_no rows between {} and {})"
@@ -52,7 +52,8 @@ ev2 as (select * replace (coalesce(
 ev3 as (select ev2.*, st.passer_name, st.qb_pass_attempts, st.qb_pass_epa_play_adj, st.qb_pass_wpa_play_adj
         from ev2 left join stats st on ev2.passer = st.passer and ev2.game_date = st.game_date and ev2.season = st.season)"""
 
-ZERO = ["qb_pass_wpa_play_adj", "qb_pass_epa_play_adj", "epa", "wind", "yards_gained"]
+ZERO = ["qb_pass_wpa_play_adj", "qb_pass_epa_play_adj", "air_yards", "yards_after_catch", "air_epa", "yac_epa", "qb_epa",
+        "epa", "wind", "penalty_yards", "yards_gained"]
 MEANS = ["pt_play_no", "pt_spread"] + PT + DT
 IMPUTE_CTES = ENRICH_CTES + f""",
 ev4 as (select * replace ({", ".join(f"coalesce({c}, 0) as {c}" for c in ZERO)},
@@ -67,9 +68,12 @@ LABEL = """case when (play_type = 'qb_spike' or qb_dropback = 1) is null then nu
              when play_type = 'run' then concat_ws('_', play_type, coalesce(run_location, 'middle'))
              else play_type end) end"""
 FLAG_CTES = IMPUTE_CTES + f""",
-ev6 as (select * exclude (timeout_team, penalty_team) replace ({LABEL} as play_type, coalesce(down, 1) as down),
+ev6 as (select * exclude (timeout_team, penalty_team, pass_length, pass_location) replace ({LABEL} as play_type, coalesce(down, 1) as down),
           case when penalty_team = posteam then 1 else 0 end as pt_penalty,
           case when timeout_team = posteam then 1 else 0 end as pt_timeout,
+          case when pass_length = 'deep' then 1 else 0 end as pass_deep,
+          case when pass_location = 'right' then 1 else 0 end as pass_right,
+          case when pass_location = 'left' then 1 else 0 end as pass_left,
           case when posteam_type = 'home' then 1 else 0 end as pt_home
         from ev5)"""
 
@@ -84,7 +88,7 @@ features as (select * from ev7 where split is not null)"""
 
 
 def _round_cols(cols, doubles):
-    return ", ".join(f"{rnd(c)} as {c}" if c in doubles else c for c in cols)
+    return ", ".join(f"{rnd(c)} as {c}" if c in doubles else f'"{c}"' for c in cols)
 
 
 ENRICH_OUT = PLAY_COLS + ["pt_play_no", "pt_spread"] + PT + DT + [
@@ -114,7 +118,8 @@ def q_feature_table(spark, sf):
 
 
 IMPUTED_OUT = [c for c in ENRICH_OUT]
-FLAG_OUT = [c for c in ENRICH_OUT if c not in ("timeout_team", "penalty_team")] + ["pt_penalty", "pt_timeout", "pt_home"]
+FLAG_OUT = [c for c in ENRICH_OUT if c not in ("timeout_team", "penalty_team", "pass_length", "pass_location")] + [
+    "pt_penalty", "pt_timeout", "pass_deep", "pass_right", "pass_left", "pt_home"]
 FEATURE_OUT = [c for c in FLAG_OUT if c != "run_location"] + ["split"]
 DOUBLES_IMPUTED = DOUBLES | {"pt_play_no", "temp"}
 
@@ -240,8 +245,8 @@ ORACLE = {
         f"from (select game_id, {SPLIT_EXPR} as split from plays where season >= {MIN_SEASON}) s) c"),
     "distinct_games": with_plays("select count(*) as n from (select distinct game_id from plays) d"),
     "null_audit": with_plays(
-        "select column_name, n_null from (select " + ", ".join(f"count(*) filter (where {c} is null) as {c}" for c in PLAY_COLS)
-        + " from plays) unpivot (n_null for column_name in (" + ", ".join(PLAY_COLS) + "))"),
+        "select column_name, n_null from (select " + ", ".join(f'count(*) filter (where "{c}" is null) as "{c}"' for c in PLAY_COLS)
+        + " from plays) unpivot (n_null for column_name in (" + ", ".join(f'"{c}"' for c in PLAY_COLS) + "))"),
     "enriched_events": with_plays(f"select {_round_cols(ENRICH_OUT, DOUBLES)} from ev3", ENRICH_CTES),
     "imputed_events": with_plays(f"select {_round_cols(IMPUTED_OUT, DOUBLES_IMPUTED)} from ev5", IMPUTE_CTES),
     "flags_label": with_plays(f"select {_round_cols(FLAG_OUT, DOUBLES_IMPUTED)} from ev6", FLAG_CTES),

@@ -6,19 +6,25 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seqwise.functions.scalar import attempt_rule, encode_by_list, label_of, recode
-from seqwise.functions.semantics import eq_flag, not_in, r_ifelse
+from seqwise.functions.semantics import not_in, r_ifelse
+from seqwise.operators.aggregate import class_balance
 from seqwise.operators.encode import apply_labels, fit_labels, minmax_scale
-from seqwise.operators.project import cols_with_prefix, derive, keys_first, prepare_events, with_suffix
+from seqwise.operators.project import (
+    BASE_DROP, EPA_DETAIL_DROP, FOURTH_DOWN_DROP, TOTALS_DROP, cols_of_type, cols_with_prefix, derive, keys_first,
+    prepare_events, with_suffix,
+)
 from seqwise.operators.split import rule_split
 from seqwise.plans.prepare import encode_and_scale
 from seqwise.plans.priors import STAT_COLS, actor_cumulative, actor_season
 from seqwise.plans.rates import RATE_NAMES, asof_rates
 from seqwise.queries._common import rnd, rounded
 from seqwise.queries._sql import with_plays
-from seqwise.queries.features import MIN_SEASON, PLAY_COLS, SPLIT_EXPR, TEST_SEASON
+from seqwise.queries.features import (
+    DOUBLES_IMPUTED, FEATURE_CTES, FEATURE_OUT, MIN_SEASON, SPLIT_EXPR, TEST_SEASON, q_feature_table,
+)
 from seqwise.queries.priors import QB_CTES
 from seqwise.queries.rates import CFG, asof_ctes
-from seqwise.sources.fixtures import plays_table as plays
+from seqwise.sources.fixtures import EXTRA, plays_table as plays
 
 # Label recode and the class list of the four-class model.
 LABEL_MAP = {"run_left": "run", "run_right": "run", "run_middle": "run", "pass": "pass",
@@ -86,43 +92,70 @@ def q_keys_first(spark, sf):
     return keys_first(p.select("wp", "epa", "play_id", "game_id", "posteam"), ["game_id", "posteam", "play_id"])
 
 
-PREP_KEEP = [c for c in PLAY_COLS if c not in {
-    "season", "week", "drive", "spread_line", "game_date", "play_id", "posteam_type", "defteam",
-    "pass_attempt", "rush_attempt", "qb_dropback", "passer"}]
+BASE = {"passer" if c == "passer_player_id" else c for c in BASE_DROP}
 
 
-def _prep_select(flag_cols=()):
+def _prep_sql(totals=False, wp=True, ep=True, epa_detail=False, fourth=None):
+    """Select list and filter of the preparation over the feature table."""
+    drop = BASE | (set() if totals else set(TOTALS_DROP)) | (set() if wp else {"wp"}) | (set() if ep else {"ep"})
+    drop |= (set() if epa_detail else set(EPA_DETAIL_DROP)) | (set(FOURTH_DOWN_DROP) if fourth else set())
     out = []
-    for c in PREP_KEEP + list(flag_cols):
+    for c in FEATURE_OUT:
+        if c in drop:
+            continue
         if c == "drive_time_of_possession":
             out.append("try_cast(split_part(drive_time_of_possession, ':', 1) as int) * 60 + "
                        "try_cast(split_part(drive_time_of_possession, ':', 2) as int) as drive_time_of_possession")
         elif c == "roof":
             out.append("case when roof in ('dome', 'closed') then 1 else 0 end as roof")
         else:
-            out.append(c)
-    return ", ".join(out)
+            out.append(f"{rnd(c)} as {c}" if c in DOUBLES_IMPUTED else f'"{c}"')
+    rows = {None: "true", True: "down = 4 and timeout = 0 and pt_penalty = 0",
+            False: "not (down is not distinct from 4) and not (play_type is not distinct from 'field_goal') "
+                   "and not (play_type is not distinct from 'punt')"}[fourth]
+    return with_plays(f"select {', '.join(out)} from features where {rows}", FEATURE_CTES)
 
 
-def q_prepare_events(spark, sf):
-    """P10 + P11 + F12 + F13: flag-driven drops, duration to seconds, roof
-    flag, then the keep-NULL inequality filters of the non-fourth-down branch."""
-    return prepare_events(_labelled(spark, sf), cfg=CFG, strict=False)
+def _prepared(spark, sf, **flags):
+    return rounded(prepare_events(q_feature_table(spark, sf), cfg=CFG, **flags))
 
 
-def _with_fourth_cols(p):
-    return p.withColumns({"timeout": r_ifelse(F.col("timeout_team").isNotNull(), 1, 0),
-                          "pt_penalty": eq_flag("penalty_team", "posteam")})
+def q_prepare_events(spark, sf):
+    """P10 + P11 + F12 + F13 on the feature table: every listed column is there
+    (strict), duration to seconds, roof flag, then the keep-NULL inequality
+    filters of the non-fourth-down branch."""
+    return _prepared(spark, sf)
 
 
 def q_fourth_branch(spark, sf):
     """The fourth-down branch: filter, then drop the listed columns."""
-    return prepare_events(_with_fourth_cols(_labelled(spark, sf)), cfg=CFG, strict=False, fourth_down=True)
+    return _prepared(spark, sf, fourth_down=True)
 
 
 def q_prepare_all(spark, sf):
     """P10 without a row filter (the four-class preparation)."""
-    return prepare_events(_labelled(spark, sf), cfg=CFG, strict=False, fourth_down=None)
+    return _prepared(spark, sf, fourth_down=None)
+
+
+def q_prepare_totals(spark, sf):
+    """P10 with the totals and the detailed measures kept."""
+    return _prepared(spark, sf, totals=True, epa_detail=True)
+
+
+def q_prepare_no_wp_ep(spark, sf):
+    return _prepared(spark, sf, wp=False, ep=False)
+
+
+def q_type_counts(spark, sf):
+    """Columns by kind, with the rows and NULLs of each kind in the table."""
+    p = plays(spark, sf)
+    parts = []
+    for kind in ("string", "numeric"):
+        cols = cols_of_type(p, kind)
+        nulls = sum(F.col(c).isNull().cast("int") for c in cols)
+        parts.append(p.agg(F.lit(kind).alias("kind"), F.lit(len(cols)).alias("columns"),
+                           F.count(F.lit(1)).alias("rows"), F.sum(nulls).alias("nulls")))
+    return parts[0].unionByName(parts[1])
 
 
 def q_recode_map(spark, sf):
@@ -146,6 +179,28 @@ def q_list_encode(spark, sf):
     return p.select("drive", "play_id", "play_class", encode_by_list("play_class", PLAY_TYPES).alias("play_code"))
 
 
+# The second target of the four-class model.
+DIRECTION_MAP = {"run_left": "left", "run_right": "right", "run_middle": "middle"}
+
+
+def _with_direction(spark, sf):
+    p = rule_split(_labelled(spark, sf), "season", "week", MIN_SEASON, TEST_SEASON)
+    p = p.withColumns({"run_direction": recode("play_type", DIRECTION_MAP), "play_type": recode("play_type", LABEL_MAP)})
+    fitted = fit_labels(p, "run_direction", by=["split"], code="run_direction_encoded")
+    return apply_labels(p, fitted, "run_direction", by=["split"])
+
+
+def q_direction_encode(spark, sf):
+    """F14 + M1 for the second target: runs to their direction, all else to
+    NULL, whose code is the last."""
+    return _with_direction(spark, sf).select("drive", "play_id", "split", "play_type", "run_direction", "run_direction_encoded")
+
+
+def q_direction_balance(spark, sf):
+    """A12 for the second target."""
+    return class_balance(_with_direction(spark, sf), ["split", "run_direction_encoded", "play_type"])
+
+
 SCALE_COLS = ["wp", "epa", "temp", "wind", "yards_gained", "goal_to_go"]
 
 
@@ -173,6 +228,11 @@ QUERIES = {
     "prepare_events": q_prepare_events,
     "fourth_branch": q_fourth_branch,
     "prepare_all": q_prepare_all,
+    "prepare_totals": q_prepare_totals,
+    "prepare_no_wp_ep": q_prepare_no_wp_ep,
+    "type_counts": q_type_counts,
+    "direction_encode": q_direction_encode,
+    "direction_balance": q_direction_balance,
     "recode_map": q_recode_map,
     "label_encode": q_label_encode,
     "list_encode": q_list_encode,
@@ -185,7 +245,20 @@ _MM = ", ".join(f"min({c}) as mn_{c}, max({c}) as mx_{c}" for c in SCALE_COLS)
 _SCALED = ", ".join(
     f"{rnd(f'(cast({c} as double) - mn_{c}) / (case when mx_{c} = mn_{c} then 1.0 else cast(mx_{c} - mn_{c} as double) end)')} as {c}"
     for c in SCALE_COLS)
-FOURTH_COLS = [c for c in PREP_KEEP if c not in ("down", "yards_gained", "epa", "wpa")] + ["timeout", "pt_penalty"]
+DIRECTION = f"""dir as (select drive, play_id, split, {RECODE_SQL.replace('case pt', 'case lab_type')} as play_type, run_direction,
+  cast(dense_rank() over (partition by split order by run_direction nulls last) - 1 as int) as run_direction_encoded
+  from (select *, play_type as lab_type, {SPLIT_EXPR} as split,
+          case play_type when 'run_left' then 'left' when 'run_right' then 'right' when 'run_middle' then 'middle' end as run_direction
+        from lab where season >= {MIN_SEASON}) t where split is not null)"""
+STRINGS = ["run_location", "game_id", "play_type", "roof", "posteam_type", "drive_time_of_possession", *[c for c, _, k in EXTRA if k == "string"]]
+NUMBERS = ["season", "week", "posteam", "defteam", "passer_src", "drive", "play_id", "down", "pass_attempt", "rush_attempt",
+           "goal_to_go", "wp", "epa", "wpa", "passer", "qb_dropback", "temp", "penalty_team", "spread_line", "timeout_team",
+           "wind", "yards_gained", *[c for c, _, k in EXTRA if k != "string"]]
+
+
+def _nulls(cols):
+    return "cast(" + " + ".join(f"""sum(case when "{c}" is null then 1 else 0 end)""" for c in cols) + " as bigint)"
+
 
 ORACLE = {
     "filter_arith": with_plays("select drive, play_id, down from plays where posteam_type = 'home' "
@@ -204,15 +277,17 @@ ORACLE = {
         f"{rnd('qb_pass_epa_play')} as qb_pass_epa_play_1, {rnd('qb_pass_wpa_play')} as qb_pass_wpa_play_1 from qbseason",
         QB_CTES),
     "keys_first": with_plays(f"select game_id, posteam, play_id, wp, epa from plays where season between {MIN_SEASON} and {TEST_SEASON}"),
-    "prepare_events": with_plays(
-        f"select {_prep_select()} from lab where not (down is not distinct from 4) "
-        "and not (play_type is not distinct from 'field_goal') and not (play_type is not distinct from 'punt')", LABELLED),
-    "fourth_branch": with_plays(
-        f"select {_prep_select(['timeout', 'pt_penalty']).replace('down, ', '').replace(', yards_gained', '').replace('epa, wpa, ', '')} "
-        "from (select *, case when timeout_team is not null then 1 else 0 end as timeout, "
-        "case when penalty_team = posteam then 1 else 0 end as pt_penalty from lab) t "
-        "where down = 4 and timeout = 0 and pt_penalty = 0", LABELLED),
-    "prepare_all": with_plays(f"select {_prep_select()} from lab", LABELLED),
+    "prepare_events": _prep_sql(fourth=False),
+    "fourth_branch": _prep_sql(fourth=True),
+    "prepare_all": _prep_sql(),
+    "prepare_totals": _prep_sql(totals=True, epa_detail=True, fourth=False),
+    "prepare_no_wp_ep": _prep_sql(wp=False, ep=False, fourth=False),
+    "type_counts": with_plays(
+        f"select 'string' as kind, {len(STRINGS)} as columns, count(*) as rows, {_nulls(STRINGS)} as nulls from plays "
+        f"union all select 'numeric', {len(NUMBERS)}, count(*), {_nulls(NUMBERS)} from plays"),
+    "direction_encode": with_plays("select * from dir", LABELLED + ", " + DIRECTION),
+    "direction_balance": with_plays("select split, run_direction_encoded, play_type, count(*) as n from dir group by all",
+                                    LABELLED + ", " + DIRECTION),
     "recode_map": with_plays(f"select drive, play_id, play_type, {RECODE_SQL.replace('case pt', 'case play_type')} as play_class from lab",
                              LABELLED),
     "label_encode": with_plays(

@@ -28,6 +28,49 @@ def _case(pairs, default=None):
     return expr.otherwise(default) if default is not None else expr
 
 
+# The other columns of the input schema (name, rule, type), each a fixed rule on
+# the order tables that Spark and DuckDB both read.
+EXTRA = [
+    ("series", "l_linenumber % 5 + 1", "int"),
+    ("surface", "case when l_partkey % 2 = 0 then 'grass' else 'turf' end", "string"),
+    ("season_type", "case when month(o_orderdate) = 12 then 'POST' else 'REG' end", "string"),
+    ("home_team", "case when l_suppkey % 2 = 0 then c_nationkey else s_nationkey end", "bigint"),
+    ("away_team", "case when l_suppkey % 2 = 0 then s_nationkey else c_nationkey end", "bigint"),
+    ("desc", "concat('line ', cast(l_linenumber as string))", "string"),
+    ("two_point_attempt", "case when l_partkey % 83 = 0 then 1 else 0 end", "int"),
+    ("game_half", "case when l_linenumber <= 3 then 'Half1' else 'Half2' end", "string"),
+    ("quarter_end", "case when l_linenumber = 4 then 1 else 0 end", "int"),
+    ("field_goal_attempt", "case when l_linenumber = 6 then 1 else 0 end", "int"),
+    ("punt_attempt", "case when l_linenumber = 7 then 1 else 0 end", "int"),
+    ("half_seconds_remaining", "cast(l_quantity as int) * 36", "int"),
+    ("drive_play_count", "l_partkey % 12 + 1", "bigint"),
+    ("yards_after_catch", "case when l_partkey % 9 = 0 then null else l_partkey % 15 end", "bigint"),
+    ("qb_spike", "case when l_partkey % 89 = 0 then 1 else 0 end", "int"),
+    ("qb_scramble", "case when l_partkey % 31 = 0 then 1 else 0 end", "int"),
+    ("no_huddle", "case when l_suppkey % 5 = 0 then 1 else 0 end", "int"),
+    ("shotgun", "case when l_partkey % 3 = 0 then 1 else 0 end", "int"),
+    ("total_away_rush_epa", "(l_partkey + 0) % 50 - 25", "bigint"),
+    ("total_home_rush_epa", "(l_partkey + 1) % 50 - 25", "bigint"),
+    ("total_away_pass_epa", "(l_partkey + 2) % 50 - 25", "bigint"),
+    ("total_home_pass_epa", "(l_partkey + 3) % 50 - 25", "bigint"),
+    ("total_away_rush_wpa", "(l_partkey + 4) % 50 - 25", "bigint"),
+    ("total_home_rush_wpa", "(l_partkey + 5) % 50 - 25", "bigint"),
+    ("total_away_pass_wpa", "(l_partkey + 6) % 50 - 25", "bigint"),
+    ("total_home_pass_wpa", "(l_partkey + 7) % 50 - 25", "bigint"),
+    ("air_epa", "case when l_partkey % 6 = 0 then null else l_partkey % 21 - 10 end", "bigint"),
+    ("yac_epa", "case when l_partkey % 8 = 0 then null else l_partkey % 17 - 8 end", "bigint"),
+    ("qb_epa", "case when l_partkey % 10 = 1 then null else l_partkey % 13 - 6 end", "bigint"),
+    ("ep", "l_partkey % 7", "bigint"),
+    ("pass_length", "case when l_returnflag = 'R' then (case when l_partkey % 3 = 0 then 'deep' else 'short' end) end", "string"),
+    ("pass_location", "case when l_returnflag = 'R' then (case l_partkey % 3 when 0 then 'left' when 1 then 'middle' else 'right' end) end", "string"),
+    ("air_yards", "case when l_partkey % 4 = 1 then null else l_partkey % 40 end", "bigint"),
+    ("penalty_yards", "case when l_partkey % 25 < 2 then 5 + l_partkey % 3 * 5 end", "bigint"),
+    ("qb_hit", "case when l_suppkey % 7 = 0 then 1 else 0 end", "int"),
+    ("first_down", "case when l_quantity > 25 then 1 else 0 end", "int"),
+    ("timeout", "case when l_partkey % 30 in (3, 4) then 1 else 0 end", "int"),
+]
+
+
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item, shaped as a play (see module doc)."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -83,10 +126,14 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
         _case([(pk % 30 == 3, cn), (pk % 30 == 4, sn)]).alias("timeout_team"),
         F.when(pk % 7 == 0, F.lit(None)).otherwise(qty % 20).alias("wind"),
         (qty - 10).alias("yards_gained"),
+        *[F.expr(f"cast({rule} as {kind})").alias(name) for name, rule, kind in EXTRA],
     )
 
 
 # DuckDB text of the same adapter, used by the oracle SQL (DuckDB dialect).
+_DUCK = {"int": "int", "bigint": "bigint", "string": "varchar"}
+_EXTRA_SQL = ",\n ".join(f'cast({rule.replace("as string", "as varchar")} as {_DUCK[kind]}) as "{name}"'
+                         for name, rule, kind in EXTRA)
 PLAYS_SQL = """
 select cast(year(o_orderdate) as int) as season, cast(month(o_orderdate) as int) as week,
  cast(date_trunc('month', o_orderdate) as date) as game_date, c_nationkey as posteam, s_nationkey as defteam,
@@ -114,7 +161,8 @@ select cast(year(o_orderdate) as int) as season, cast(month(o_orderdate) as int)
  cast(floor(c_acctbal / 1000) as int) as spread_line,
  case l_partkey % 30 when 3 then c_nationkey when 4 then s_nationkey end as timeout_team,
  case when l_partkey % 7 = 0 then null else cast(l_quantity as int) % 20 end as wind,
- cast(l_quantity as int) - 10 as yards_gained
+ cast(l_quantity as int) - 10 as yards_gained,
+ """ + _EXTRA_SQL + """
 from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
  join supplier on l_suppkey = s_suppkey
 """
