@@ -42,12 +42,15 @@ FLAG_SOURCES_DROPPED = ["timeout_team", "penalty_team", "pass_length", "pass_loc
 
 def side_table(events: DataFrame, side: str, prefix: str, number: str, cfg: EventConfig) -> DataFrame:
     """Everything the events take from one side's (side, season, period): its
-    as-of rates, the period's ordinal in the season and the event count ``n``."""
+    as-of rates, the period's ordinal in the season and the event count ``n``.
+    A state without a next period belongs to no event, not to those without a
+    date, so keys stay unique and no join multiplies events."""
     s, p = cfg.season, cfg.period
     per = events.groupBy(side, s, p).agg(F.count(F.lit(1)).alias(f"{prefix}n"))
     per = per.withColumn(number, F.row_number().over(
         Window.partitionBy(side, s).orderBy(F.col(p).asc_nulls_last())).cast("int"))
-    return left_attach(per, asof_rates(events, side, prefix, cfg), [side, s, p])
+    rates = asof_rates(events, side, prefix, cfg).filter(F.col(p).isNotNull())
+    return left_attach(per, rates, [side, s, p])
 
 
 def side_tables(events: DataFrame, players: DataFrame, cfg: EventConfig = EventConfig(),
