@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from seqwise.llm import bpe, decontam, fst, html, licenses, lm, quality, simhash, toxicity, urls
 from seqwise.llm.common import bounded_batches
+from seqwise.llm.oracles import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +34,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    """``matches`` as unit:license:millionths of the coefficient, joined by semicolons; so are ``licenses``."""
+    out = licenses.scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    match = F.transform("matches", lambda m: F.concat_ws(":", m["unit"], m["license"],
+                                                         F.round(m["dice"] * 1_000_000).cast("long")))
+    return out.withColumns({"matches": F.array_join(match, ";"), "licenses": F.array_join("licenses", ";")})
 
 
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,33 +86,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
 }
-
-_WORD = r"[^\x20\x09-\x0D]"
-_LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
-ORACLE: dict[str, str] = {
-    "op1_quality": f"""with d as (select row_number() over () as r, doc_id, source, coalesce(text, '') as t from documents),
-    w as (select *, regexp_extract_all(t, '{_WORD}+') as ws,
-            list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) as ls from d),
-    win as (select r, i, array_to_string(ws[i:i + 7], ' ') as g from w, generate_series(1, len(ws) - 7) s(i)),
-    dup as (select r, i from (select r, i, count(*) over (partition by r, g) as c from win) x where c > 1),
-    rep as (select r, count(distinct i + k) as n from dup, generate_series(0, 7) s(k) group by r),
-    ln as (select r, source, regexp_extract_all({_LOW.format("x")}, '{_WORD}+') as ws
-           from (select r, source, unnest(ls) as x from w) u),
-    nl as (select r, source, array_to_string(ws, ' ') as norm, len(ws) as nw from ln),
-    ident as (select r, first(norm order by strlen(norm) desc, norm) as who from nl group by r),
-    one as (select w.r, w.source, coalesce(ident.who, '') as who from w left join ident using (r)),
-    hosts as (select source, count(distinct who) as docs from one group by source),
-    often as (select c.source, c.norm from (select nl.source, nl.norm, count(distinct ident.who) as n
-                from nl join ident using (r) group by all) c
-              join hosts on c.source is not distinct from hosts.source where c.n > 30 and c.n > 0.001::double * hosts.docs),
-    lost as (select nl.r, sum(nw) as n from nl join often on nl.source is not distinct from often.source
-               and nl.norm = often.norm group by nl.r),
-    m as (select doc_id, len(ws) as n_words, length(array_to_string(ws, '')) as word_chars,
-            length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
-            len(ls) - len(list_distinct(ls)) as n_dup_lines, coalesce(rep.n, 0) as n_repeat_words,
-            cast(coalesce(lost.n, 0) as bigint) as n_removed_words
-          from w left join rep using (r) left join lost using (r)),
-    b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m)
-    select *, not base_failed and n_words - n_removed_words >= (1.0::double / 3) * n_words as kept from b""",
-}

@@ -58,14 +58,14 @@ def brute_quality(rows, max_docs, max_share, min_kept):
         low = (t or "").translate({c: c + 32 for c in range(65, 91)})
         return [" ".join(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in low.split("\n")]
 
-    def identity(t):
-        return min(((-len(x.encode()), x.encode()) for x in lines(t) if x), default=None)
+    def identity(t, but=None):
+        return min(((-len(x.encode()), x.encode()) for x in lines(t) if x and x != but), default=None)
     said, hosts = {}, {}
     for _, t, h in rows:
         hosts.setdefault(h, set()).add(identity(t))
         for x in lines(t):
             if x:
-                said.setdefault((h, x), set()).add(identity(t))
+                said.setdefault((h, x), set()).add(identity(t, x))
     often = {k for k, v in said.items() if len(v) > max_docs and len(v) > max_share * len(hosts[k[0]])}
     out = []
     for i, t, h in rows:
@@ -92,6 +92,20 @@ def test_line_frequency_matches_brute_force(spark):
     assert all(not r.n_removed_words for r in quality.quality_rules(docs, max_docs=10, max_share=2.0).collect())
 
 
+def test_a_long_shared_passage_counts_and_copies_do_not(spark):
+    rng = random.Random(8)
+    passage = " ".join(f"passage{k}" for k in range(60))
+    own = ["\n".join(" ".join(str(rng.random()) for _ in range(12)) for _ in range(12)) for _ in range(41)]
+    rows = [(i, t + "\n" + passage, "hot") for i, t in enumerate(own[:40])]       # the longest line of each
+    rows += [(50 + i, "\n".join([passage, "a few words only"]), "hot") for i in range(40)]   # copies, little else
+    rows += [(100 + i, own[40], "hot") for i in range(40)]                       # copies of a text
+    got = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string"),
+                                                      keep=["doc_id"]).collect()}
+    assert all(got[i].n_removed_words == 60 and got[i].removed_lines == [12] and got[i].kept for i in range(40))
+    assert all(got[50 + i].n_removed_words == 60 and not got[50 + i].kept for i in range(40))
+    assert all(got[100 + i].n_removed_words == 0 and got[100 + i].kept for i in range(40))
+
+
 def test_quality_empty_table_and_columns(spark):
     docs = spark.createDataFrame([], DOCS)
     out = quality.quality_rules(docs)
