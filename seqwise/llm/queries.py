@@ -43,8 +43,9 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    words, network = lm.train(docs)
-    return lm.score(docs, words, network, keep=["doc_id"])
+    counts = lm.word_counts(docs)
+    words, network = lm.train(docs, counts=counts)
+    return lm.score(docs, words, network, keep=["doc_id"], counts=counts)
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

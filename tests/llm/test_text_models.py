@@ -152,6 +152,41 @@ def test_lm_gradient_step_lowers_the_loss():
     assert net.log_probabilities(s, at).mean() > before + 1
 
 
+@pytest.mark.parametrize("head", [150, 200_000])
+def test_lm_scores_the_words_within_their_shape(spark, head):
+    """Random strings of the same shape in place of the rarer words score lower; the sum is exact."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(4, 7)))
+    kinds = sorted({word() for _ in range(400)})
+    texts = [" ".join(rng.choices(kinds, [1 / (k + 1) for k in range(len(kinds))], k=60)) for _ in range(300)]
+    docs = frame(spark, texts)
+    counts = lm.word_counts(docs)
+    words, network = lm.train(docs, counts=counts)
+    assert len(words) == lm.WORDS
+    real = texts[:20]
+    fake = [" ".join(w if w in set(words) else "".join(rng.choice(letters) for _ in w) for w in t.split()) for t in real]
+    got = [r.log_prob for r in sorted(lm.score(frame(spark, real + fake), words, network, keep=["doc_id"], counts=counts,
+                                               head=head).collect(), key=lambda r: r.doc_id)]
+    n = {}
+    for w in " ".join(texts).split():
+        n[w] = n.get(w, 0) + 1
+    rare = {w: c for w, c in n.items() if w not in words}
+    net = lm.Network(network)
+    for t, value in zip(real + fake, got):
+        s, _ = lm.sequence([t], lm.Symbols(words))
+        want = float(net.log_probabilities(s, np.flatnonzero(s)).sum())
+        for w in t.split():
+            same = [c for x, c in rare.items() if lm.shape(x) == lm.shape(w)]
+            N, kinds_of = sum(same), len(same)
+            if w in rare:
+                want += np.log(rare[w] / (N + kinds_of))
+            elif w not in words:
+                want += np.log(kinds_of / (N + kinds_of)) - len(w) * np.log(2 * 0x110000)
+        assert abs(value - want) < 1e-2
+    assert all(a > b for a, b, x, y in zip(got[:20], got[20:], real, fake) if x != y) and real != fake
+
+
 def test_lm_empty(spark):
     words, network = lm.train(frame(spark, [None]))
     assert words == [] and lm.score(frame(spark, []), words, network).count() == 0
