@@ -7,10 +7,9 @@ has twice or more (the first one included).
 
 Across texts: every line with a word is normalised (A-Z lowered, words joined by
 one space) and hashed; per host, the distinct documents of each hash are
-counted. Documents that share a line count as one if their longest other lines
-are equal too (the smallest in byte order if several are longest), so exact and
-most near copies of a text do not make its lines frequent: they are the business
-of deduplication. A shared passage counts however long it is. A line in more than ``max_docs`` documents of its host, and in more than ``max_share`` of
+counted. Documents are one if all their normalised lines are equal, in order, so
+exact copies of a text do not make its lines frequent: they are the business of
+deduplication. A line in more than ``max_docs`` documents of its host, and in more than ``max_share`` of
 them, is removed from every document of that host. A document that keeps less
 than ``min_kept`` of its words is depleted and rejected.
 
@@ -80,23 +79,20 @@ def measure(text: str, window: int) -> tuple[int, int, int, int, int]:
 
 
 def lines_of(text: str) -> tuple[list[tuple[int, int]], int, int]:
-    """((hash, words) of every line, (0, 0) for one without words), hashes of the
-    longest line and of the longest other one."""
-    from xxhash import xxh64_intdigest
-    out, best, other = [], (0, b""), (0, b"")
+    """((hash, words) of every line, (0, 0) for one without words), both halves
+    of a hash of the whole normalised text."""
+    from xxhash import xxh3_128_intdigest, xxh64_intdigest
+    out, whole = [], []
     for line in text.encode("utf-8", "surrogatepass").translate(_LOWER).split(b"\n"):
         words = line.split()
         if not words:
             out.append((0, 0))
             continue
         line = b" ".join(words)
-        at = (-len(line), line)
-        if at < best:
-            best, other = at, best
-        elif best < at < other:
-            other = at
+        whole.append(line)
         out.append((xxh64_intdigest(line) - (1 << 63), len(words)))
-    return out, *(xxh64_intdigest(x[1]) - (1 << 63) for x in (best, other))
+    both = xxh3_128_intdigest(b"\n".join(whole))
+    return out, (both >> 64) - (1 << 63), (both & ((1 << 64) - 1)) - (1 << 63)
 
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", keep: list[str] | None = None,
@@ -111,8 +107,8 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", kee
     rows, name = with_text(docs.withColumn("__host", F.col(host)), [*keep, "__host"], text)
     schema = T.StructType([*(f for f in rows.schema if f.name != "__text"),
                            *(T.StructField(m, T.LongType()) for m in MEASURES),
-                           T.StructField("__lines", T.ArrayType(line)), T.StructField("__longest", T.LongType()),
-                           T.StructField("__other", T.LongType())])
+                           T.StructField("__lines", T.ArrayType(line)), T.StructField("__high", T.LongType()),
+                           T.StructField("__low", T.LongType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -123,16 +119,16 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", kee
                 yield without_text(part, name).assign(
                     **dict(zip(MEASURES, map(list, zip(*got)))),
                     __lines=[[{"hash": h, "words": w} for h, w in x[0]] for x in lines],
-                    __longest=[x[1] for x in lines], __other=[x[2] for x in lines])
+                    __high=[x[1] for x in lines], __low=[x[2] for x in lines])
     rows = staged(rows.mapInPandas(run, schema).withColumn("__row", F.monotonically_increasing_id()), "quality-rows")
     # a null host is joined like any other
     rows = rows.withColumn("__key", F.to_json(F.struct(F.col("__host").alias("h"))))
 
-    said = rows.select("__key", "__longest", "__other", F.explode(F.array_distinct("__lines.hash")).alias("hash"))
-    who = F.when(F.col("hash") == F.col("__longest"), F.col("__other")).otherwise(F.col("__longest"))
-    said = said.filter("hash <> 0").select("__key", "hash", who.alias("who")).distinct()
+    # one row of each different text of a host speaks for it
+    texts = rows.groupBy("__key", "__high", "__low").agg(F.min("__row").alias("__row")).select("__row")
+    said = rows.join(texts, "__row").select("__key", F.explode(F.array_distinct("__lines.hash")).alias("hash")).filter("hash <> 0")
     often = said.groupBy("__key", "hash").count().filter(F.col("count") > max_docs)
-    hosts = rows.select("__key", "__longest").distinct().groupBy("__key").agg(F.count("*").alias("docs"))
+    hosts = rows.select("__key", "__high", "__low").distinct().groupBy("__key").agg(F.count("*").alias("docs"))
     often = often.join(hosts, "__key").filter(F.col("count") > max_share * F.col("docs")).select("__key", "hash")
     often = staged(often, "quality-lines")
     spots = rows.select("__row", "__key", F.posexplode("__lines").alias("at", "line"))

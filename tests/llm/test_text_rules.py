@@ -106,6 +106,19 @@ def test_a_long_shared_passage_counts_and_copies_do_not(spark):
     assert all(got[100 + i].n_removed_words == 0 and got[100 + i].kept for i in range(40))
 
 
+def test_two_shared_passages_count_in_every_document(spark):
+    """A template page: the two longest lines of 40 otherwise different documents are shared."""
+    rng = random.Random(13)
+    header, footer = (" ".join(f"{x}{k}" for k in range(60)) for x in ("header", "footer"))
+    own = ["\n".join(" ".join(str(rng.random()) for _ in range(12)) for _ in range(30)) for _ in range(40)]
+    rows = [(i, f"{header}\n{t}\n{footer}", "hot") for i, t in enumerate(own)]
+    rows += [(100 + i, f"{own[0]}\n{own[1]}", "hot") for i in range(40)]            # copies of one text count once
+    got = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string"),
+                                                      keep=["doc_id"]).collect()}
+    assert all(got[i].n_removed_words == 120 and got[i].removed_lines == [0, 31] and got[i].kept for i in range(40))
+    assert all(got[100 + i].n_removed_words == 0 for i in range(40))
+
+
 def test_quality_empty_table_and_columns(spark):
     docs = spark.createDataFrame([], DOCS)
     out = quality.quality_rules(docs)
