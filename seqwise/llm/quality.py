@@ -10,7 +10,9 @@ one space) and hashed; per host, the distinct documents of each hash are
 counted. Documents are one if all their normalised lines are equal, in order, so
 exact copies of a text do not make its lines frequent: they are the business of
 deduplication. A line in more than ``max_docs`` documents of its host, and in more than ``max_share`` of
-them, is removed from every document of that host. A document that keeps less
+them, of ``share_docs`` documents at most, is removed from every document of that
+host. The share is for small hosts: in a larger one the limit stays, and by default
+it is ``max_docs`` at every size. A document that keeps less
 than ``min_kept`` of its words is depleted and rejected.
 
 Counting is two-step (distinct lines of a document first), pre-aggregated and
@@ -97,7 +99,8 @@ def lines_of(text: str) -> tuple[list[tuple[int, int]], int, int]:
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", keep: list[str] | None = None,
                   min_words: int = 20, window: int = 8, max_repeat_percent: int = 30, max_docs: int = 30,
-                  max_share: float = 0.001, min_kept: float = 1 / 3) -> DataFrame:
+                  max_share: float = 0.001, min_kept: float = 1 / 3,
+                  share_docs: int = 30_000) -> DataFrame:
     """``docs`` (columns ``keep``, which should be narrow: they are stored; all
     by default) with the measures, ``base_failed``, ``n_removed_words`` (words
     in frequent lines), ``removed_lines`` (their numbers from 0) and ``kept``."""
@@ -129,7 +132,7 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", kee
     said = rows.join(texts, "__row").select("__key", F.explode(F.array_distinct("__lines.hash")).alias("hash")).filter("hash <> 0")
     often = said.groupBy("__key", "hash").count().filter(F.col("count") > max_docs)
     hosts = rows.select("__key", "__high", "__low").distinct().groupBy("__key").agg(F.count("*").alias("docs"))
-    often = often.join(hosts, "__key").filter(F.col("count") > max_share * F.col("docs")).select("__key", "hash")
+    often = often.join(hosts, "__key").filter(F.col("count") > max_share * F.least("docs", F.lit(share_docs))).select("__key", "hash")
     often = staged(often, "quality-lines")
     spots = rows.select("__row", "__key", F.posexplode("__lines").alias("at", "line"))
     spots = spots.select("__row", "__key", "at", F.col("line.hash").alias("hash"), F.col("line.words").alias("words"))

@@ -119,6 +119,16 @@ def test_two_shared_passages_count_in_every_document(spark):
     assert all(got[100 + i].n_removed_words == 0 for i in range(40))
 
 
+def test_more_rows_of_a_host_keep_no_removed_line(spark):
+    """A passage of 31 documents goes from a host of 31 and of 31,100."""
+    passage, word = " ".join(f"p{k}" for k in range(20)), " ".join(f"w{k}" for k in range(30))
+    rows = spark.range(31).selectExpr("id as doc_id", f"concat('{word} ', id, '\n{passage}') as text", "'hot' as source")
+    more = spark.range(100, 31_200).selectExpr("id as doc_id", "concat('only ', id) as text", "'hot' as source")
+    for docs in (rows, rows.unionByName(more)):
+        got = quality.quality_rules(docs, keep=["doc_id"]).filter("n_removed_words > 0")
+        assert sorted(r.doc_id for r in got.collect()) == list(range(31))
+
+
 def test_quality_empty_table_and_columns(spark):
     docs = spark.createDataFrame([], DOCS)
     out = quality.quality_rules(docs)
