@@ -14,9 +14,12 @@ The benchmark is the stated query set. It is handled in blocks of at most
 pass over the rows at hand (no shuffle, no pairs of rows), so what is sent to a
 task has a fixed bound.
 
+Without an edit allowed (short items), an item is found as whole words only.
+
 Defined results: null or empty texts are clean; benchmark items that are null or
-have fewer than ``min_item`` normalised characters are not searched; equal items
-are all reported; repeated rows are judged row by row; extra columns stay (one
+without a word, or have fewer than ``min_item`` normalised characters, are not
+searched (the queries search every item with a word); equal items are all
+reported; ids keep their type, and a null id is an id of its own, the first; repeated rows are judged row by row; extra columns stay (one
 named like an output is replaced); an empty benchmark leaves all documents clean.
 """
 
@@ -76,9 +79,9 @@ def myers(pattern: dict[str, int], m: int, text: str) -> int:
 
 
 class Matcher:
-    """Automaton and masks of one block of items [(id, normalised text)]."""
+    """Automaton and masks of one block of items [(id as JSON, normalised text)]."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float, min_piece: int):
+    def __init__(self, items: list[tuple[str, str]], error_rate: float, min_piece: int):
         import ahocorasick
         self.items = []
         found: dict[str, list[tuple[int, int]]] = {}
@@ -96,8 +99,8 @@ class Matcher:
         if found:
             self.automaton.make_automaton()
 
-    def matches(self, text: str) -> list[tuple[int, int]]:
-        """(item id, least distance) of the items in a normalised text."""
+    def matches(self, text: str) -> list[tuple[str, int]]:
+        """(id as JSON, least distance) of the items in a normalised text."""
         if not self.items or not text:
             return []
         begins: dict[int, set[int]] = {}
@@ -107,6 +110,10 @@ class Matcher:
         out = []
         for item, at in begins.items():
             i, body, k, masks = self.items[item]
+            if not k:
+                if any(text[max(0, b - 1):b] in ("", " ") and text[b + len(body):b + len(body) + 1] in ("", " ") for b in at):
+                    out.append((i, 0))
+                continue
             best, done = k + 1, None
             for b in sorted(at):
                 if done is not None and b <= done:
@@ -123,13 +130,13 @@ class Matcher:
 
 
 def blocks_of(benchmark: DataFrame, item_id: str, text: str, min_item: int,
-              block_chars: int) -> Iterator[list[tuple[int, str]]]:
+              block_chars: int) -> Iterator[list[tuple[str, str]]]:
     """Blocks of the stated query set, streamed partition by partition."""
     block, size = [], 0
-    rows = benchmark.filter(F.col(text).isNotNull()).select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t"))
+    rows = benchmark.filter(F.col(text).isNotNull()).select(F.to_json(F.struct(F.col(item_id).alias("i"))).alias("i"), F.col(text).alias("t"))
     for r in rows.toLocalIterator():
         item = normalise(r.t)
-        if r.i is None or len(item) < min_item:
+        if len(item) < max(1, min_item):
             continue
         if block and size + len(item) > block_chars:
             yield block
@@ -147,13 +154,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     ``items`` (ids found, ascending) and ``distances`` (least edits of each)."""
     made = ["contaminated", "items", "distances"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
-    hit = T.ArrayType(T.LongType())
+    ids, hit = T.ArrayType(T.StringType()), T.ArrayType(T.LongType())
     out, name = with_text(docs, keep, text)
-    schema = T.StructType([*out.schema, T.StructField("items", hit), T.StructField("distances", hit)])
-    none = F.array().cast(hit)
-    out = out.withColumns({"items": none, "distances": none})
+    schema = T.StructType([*out.schema, T.StructField("items", ids), T.StructField("distances", hit)])
+    out = out.withColumns({"items": F.array().cast(ids), "distances": F.array().cast(hit)})
 
-    def passed(block: list[tuple[int, str]]):
+    def passed(block: list[tuple[str, str]]):
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             matcher = None
             for frame in frames:
@@ -170,4 +176,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
         return run
     for block in blocks_of(benchmark, item_id, item_text, min_item, block_chars):
         out = out.mapInPandas(passed(block), schema)
-    return out.select(*keep, (F.size("items") > 0).alias("contaminated"), "items", "distances")
+    id_type = T.StructType([T.StructField("i", benchmark.schema[item_id].dataType)])
+    found = F.sort_array(F.transform(F.arrays_zip("items", "distances"), lambda x: F.struct(
+        F.from_json(x["items"], id_type)["i"].alias("i"), x["distances"].alias("d"))))
+    return out.select(*keep, (F.size("items") > 0).alias("contaminated"), found.alias("__found")).select(
+        *keep, "contaminated", F.col("__found.i").alias("items"), F.col("__found.d").alias("distances"))

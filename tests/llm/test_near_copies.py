@@ -219,6 +219,27 @@ def test_matches_equal_brute_force(spark):
     assert [r[0] for r in none] == [False] and decontam.decontaminate(docs.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("block", [2_000_000, 20])
+def test_short_items_and_ids_of_any_kind(spark, block):
+    texts = ["Q: What is the capital of France? Paris.", "what is the capitals of france", "concatenate", "a cat.", None]
+    long = " ".join(f"word{k}" for k in range(20))
+    docs = spark.createDataFrame(list(enumerate([*texts, long])), "doc_id long, text string")
+    items = [("q-1", "What is the capital of France?"), (None, "cat"), ("q-2", long), ("q-2", long), ("q-3", "?"), ("q-4", None)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = decontam.decontaminate(docs, bench, keep=["doc_id"], min_item=1, block_chars=block)
+    assert {r.doc_id: (r.contaminated, r["items"], r.distances) for r in got.collect()} == {
+        0: (True, ["q-1"], [0]), 1: (False, [], []), 2: (False, [], []), 3: (True, [None], [0]), 4: (False, [], []),
+        5: (True, ["q-2"], [0])}
+
+
+def test_the_queries_search_short_items(spark, tmp_path):
+    from seqwise.llm.queries import op8_decontamination
+    spark.createDataFrame([(1, "see: THE cat"), (2, "dog")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, "the cat")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: (r.contaminated, r["items"]) for r in op8_decontamination(spark, str(tmp_path)).collect()}
+    assert got == {1: (True, [None]), 2: (False, [])}
+
+
 # pipeline
 
 SF = "/root/testdata/sf0.001"
