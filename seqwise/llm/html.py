@@ -30,9 +30,14 @@ from pyspark.sql import types as T
 
 from seqwise.llm.common import batches_by_bytes
 
-# comment, declaration, or a tag with its attributes; unfinished ones run to the end
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
-ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>`]+))?""")
+# comment, declaration, or a tag with its attributes; comments and declarations without an end run to the end.
+# A quote opens a value only after the "=" of an attribute, and if another one closes it; elsewhere it is a
+# character of a name or value
+_ATTRIBUTE = r"""([^ \t\n\r\f/>][^ \t\n\r\f/>=]*)(?:[ \t\n\r\f]*=[ \t\n\r\f]*("[^"]*"|'[^']*'|[^ \t\n\r\f"'>][^ \t\n\r\f>]*)?)?"""
+_INSIDE = _ATTRIBUTE.replace("([^", "(?:[^", 1).replace('("[', '(?:"[', 1)
+TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^ \t\n\r\f/>]*)((?:[ \t\n\r\f/]|{_INSIDE})*+)>", re.S)
+UNTAGGED = re.compile(r"<!--.*|<[!?].*", re.S)     # where no ">" follows
+ATTRIBUTE = re.compile(_ATTRIBUTE)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 
@@ -181,7 +186,7 @@ class Renderer:
     def attributes(s: str) -> dict[str, str]:
         out: dict[str, str] = {}
         for k, v in ATTRIBUTE.findall(s):
-            out.setdefault(k.lower(), html.unescape(v.strip("\"'")))
+            out.setdefault(k.lower(), html.unescape(v[1:-1] if v[:1] in ("'", '"') else v))
         return out
 
     def hides(self, tag: str, attributes: str) -> bool:
@@ -302,16 +307,16 @@ class Renderer:
             self.flow.text(s)
 
     def page(self, source: str) -> str:
-        at = 0
+        at, last = 0, source.rfind(">")
         while True:
-            m = TAG.search(source, at)
+            m = (TAG if at <= last else UNTAGGED).search(source, at)
             if m is None:
                 self.text(source[at:])
                 break
             if m.start() > at:
                 self.text(source[at:m.start()])
             at = m.end()
-            if not m[2]:
+            if m.re is UNTAGGED or not m[2]:
                 continue
             tag = m[2].lower()
             if m[1]:

@@ -258,6 +258,17 @@ def test_html_layout(source, want):
     assert html.render(source) == want
 
 
+@pytest.mark.parametrize("source, want", [
+    ("<p title=it's>Hello visible</p><p>Text that's more</p>", "Hello visible\n\nText that's more"),
+    ("""<p class="a" ">Hello</p>""", "Hello"), ("""<p class="a"" id=x>Hello</p><p>say "hi"</p>""", 'Hello\n\nsay "hi"'),
+    ("<p 'x>a</p><p>it's</p>", "a\n\nit's"), ("""<p title="a > b" lang='c>d'>x</p>""", "x"),
+    ("<img alt = 'a > b'><img alt=c'd><img =\">e", "a > bc'de"), ("<a href=/x/y?q=\"z>link</a> \"end", 'link "end'),
+    ("""<p title="open>a</p><p>b</p>""", "a\n\nb"), ("<img alt=x/>y", "x/y"), ("<p title=\"a\"hidden>no</p>yes", "yes"),
+])
+def test_html_quotes_inside_tags(source, want):
+    assert html.render(source) == want
+
+
 def test_html_frame(spark):
     pages = spark.createDataFrame([(1, "<p>a", "u"), (2, None, "v"), (2, None, "v")], "page_id long, html string, text string")
     got = sorted(map(tuple, html.extract(pages, keep=["page_id"]).collect()))
