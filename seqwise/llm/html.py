@@ -3,9 +3,12 @@
 A tag reader feeds a tree builder that keeps the stack of open elements: missing
 end tags are implied (a paragraph ends before a block, an item before the next
 item, a cell before the next cell or row), and stray end tags are ignored.
-Elements that show nothing (head, script, templates ...) or are hidden by
-attribute or style are skipped with all they hold; a closed ``details`` shows
-its summary only. Blocks stand on lines of their own, paragraphs, headings,
+Elements that show nothing (head, script, templates ...), content that stands in
+for what a browser shows otherwise (of video, object, canvas ...) and elements
+hidden by attribute or style are skipped with all they hold; a closed ``details``
+shows its summary only. Formulas show their text without annotations, drawings
+(``svg``) their text elements, ``textarea`` and ``xmp`` their content as it is,
+and ``select`` all its options, each on a line, if ``options`` is set. Blocks stand on lines of their own, paragraphs, headings,
 lists and tables with an empty line around; list items have a bullet or number
 and are indented by depth; white space is collapsed except in ``pre``; the cells
 of a table are aligned in columns.
@@ -43,7 +46,9 @@ HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden
 
 RAW = {"script", "style", "textarea", "title", "xmp", "noembed", "noframes"}
 SILENT = {"head", "script", "style", "title", "template", "noscript", "noembed", "noframes", "iframe", "object", "video",
-          "audio", "canvas", "svg", "math", "datalist", "select", "textarea"}
+          "audio", "canvas", "datalist"}
+UNDRAWN = {"defs", "symbol", "clippath", "mask", "pattern", "marker", "metadata", "desc"}     # inside svg
+DRAWN = {"text", "foreignobject"}                                                            # its text is in these
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 MARGIN = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "pre", "blockquote", "table", "figure", "hr", "menu"}
 BLOCK = MARGIN | {"address", "article", "aside", "body", "center", "dd", "details", "dialog", "div", "dt", "fieldset",
@@ -126,7 +131,10 @@ class Table:
 
 
 class Renderer:
-    def __init__(self):
+    def __init__(self, options: bool = False):
+        self.options = options
+        self.drawings: list[int] = []              # open svg elements: open text elements of each
+        self.formulas = 0
         self.stack: list[tuple[str, object]] = []  # open elements: (tag, what to restore)
         self.flows = [Lines()]
         self.tables: list[Table] = []
@@ -171,6 +179,8 @@ class Renderer:
                 self.void(tag, attributes)
             return
         self.stack.append((tag, self.enter(tag, attributes, hides)))
+        if (self.drawings or self.formulas) and attributes.endswith("/"):
+            self.close(len(self.stack) - 1)        # only foreign elements can end themselves
 
     def end(self, tag: str) -> None:
         until = set() if tag in ("table", "body", "html") else {"table"} if tag in CELLS | ROWS | SECTIONS else \
@@ -190,7 +200,8 @@ class Renderer:
         return out
 
     def hides(self, tag: str, attributes: str) -> bool:
-        if tag in SILENT:
+        if tag in SILENT or tag == "select" and not self.options or self.drawings and tag in UNDRAWN \
+                or self.formulas and tag in ("annotation", "annotation-xml"):
             return True
         if self.stack and self.stack[-1][0] == "details" and tag != "summary" and self.stack[-1][1] == "shut":
             return True
@@ -208,6 +219,23 @@ class Renderer:
         if hides or self.hidden:
             self.hidden += 1
             return "hidden"
+        if tag == "svg":
+            self.drawings.append(0)
+            return "drawing"
+        if tag in DRAWN and self.drawings:
+            self.flow.text(" ")
+            self.drawings[-1] += 1
+            return "drawn"
+        if tag == "math":
+            self.formulas += 1
+            return "formula"
+        if tag == "select":
+            self.flow.newline()
+            return "select"
+        if tag in ("textarea", "xmp"):
+            self.flow.newline()
+            self.pres += 1
+            return "raw"
         if tag == "details":
             self.flow.newline()
             return None if "open" in self.attributes(attributes) else "shut"
@@ -273,6 +301,18 @@ class Renderer:
         elif kept == "pre":
             self.pres -= 1
             self.flow.margin(1)
+        elif kept == "drawing":
+            self.drawings.pop()
+        elif kept == "drawn":
+            self.drawings[-1] -= 1
+            self.flow.text(" ")
+        elif kept == "formula":
+            self.formulas -= 1
+        elif kept == "select":
+            self.flow.newline()
+        elif kept == "raw":
+            self.pres -= 1
+            self.flow.newline()
         else:
             if tag in BLOCK:
                 self.flow.margin(1 if tag in MARGIN else 0)
@@ -295,7 +335,7 @@ class Renderer:
                 self.flow.text(a.get("value", ""))
 
     def text(self, s: str) -> None:
-        if self.hidden or not s:
+        if self.hidden or not s or self.drawings and not self.drawings[-1]:
             return
         top = self.stack[-1] if self.stack else ("", None)
         if top[1] == "shut" or top[0] in ("table", "tr", "tbody", "thead", "tfoot", "colgroup") and not s.strip():
@@ -306,6 +346,12 @@ class Renderer:
         else:
             self.flow.text(s)
 
+    def raw(self, tag: str, s: str) -> None:
+        """Content of a shown element that holds no markup."""
+        if not (self.drawings and not self.drawings[-1]) and s:
+            s = html.unescape(s) if tag == "textarea" else s
+            self.flow.pre(re.sub(r"\A\r?\n", "", s) if tag == "textarea" else s)
+
     def page(self, source: str) -> str:
         at, last = 0, source.rfind(">")
         while True:
@@ -325,19 +371,22 @@ class Renderer:
             self.start(tag, m[3])
             if tag in RAW:                         # its content is no markup
                 stop = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
+                begin, at = at, len(source) if stop is None else stop.start()
+                if self.stack and self.stack[-1] == (tag, "raw"):
+                    self.raw(tag, source[begin:at])
                 if stop is None:
                     break
-                at = stop.start()
         self.close(0)
         return "\n".join(self.flows[0].finished())
 
 
-def render(source: str | None) -> str:
-    """Visible text of a page."""
-    return Renderer().page(source) if source else ""
+def render(source: str | None, options: bool = False) -> str:
+    """Visible text of a page; ``options`` shows those of ``select`` too."""
+    return Renderer(options).page(source) if source else ""
 
 
-def extract(pages: DataFrame, source: str = "html", out: str = "text", keep: list[str] | None = None) -> DataFrame:
+def extract(pages: DataFrame, source: str = "html", out: str = "text", keep: list[str] | None = None,
+            options: bool = True) -> DataFrame:
     """``pages`` (columns ``keep``; all by default) with the rendered text ``out``."""
     keep = [c for c in (pages.columns if keep is None else keep) if c != out]
     schema = T.StructType([*(pages.schema[c] for c in keep), T.StructField(out, T.StringType())])
@@ -345,5 +394,5 @@ def extract(pages: DataFrame, source: str = "html", out: str = "text", keep: lis
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for part in batches_by_bytes(frame, "__html"):
-                yield part.drop(columns="__html").assign(**{out: [render(x) for x in part["__html"]]})
+                yield part.drop(columns="__html").assign(**{out: [render(x, options) for x in part["__html"]]})
     return pages.select(*keep, F.coalesce(F.col(source), F.lit("")).alias("__html")).mapInPandas(run, schema)

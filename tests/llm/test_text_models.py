@@ -269,6 +269,25 @@ def test_html_quotes_inside_tags(source, want):
     assert html.render(source) == want
 
 
+@pytest.mark.parametrize("source, want", [
+    ("If <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>x=1 tex</annotation></semantics></math>, so",
+     "If x=1, so"),
+    ("<p>a<svg><title>t</title><defs><text>no</text></defs><path d='M0'/> <text/>z<text x=1>Label <tspan>two</tspan></text></svg>b</p>",
+     "a Label two b"),
+    ("x<svg/>y", "xy"), ("a<textarea name=q>\none &amp;\n  <b>two</textarea>b", "a\none &\n  <b>two\nb"),
+    ("a<xmp><b>&amp;</xmp>b", "a\n<b>&amp;\nb"), ("<textarea>open", "open"), ("<div hidden><textarea>no</textarea></div>b", "b"),
+    ("Pick <select><option>x<option selected>y</select>end", "Pick\nx\ny\nend"),
+    ("a<video>no</video><iframe>no</iframe><datalist><option>no</datalist><canvas>no</canvas>b", "ab"),
+])
+def test_html_shows_formulas_drawings_and_controls(spark, source, want):
+    assert html.render(source, options=True) == want
+
+
+def test_html_frame_shows_options(spark):
+    pages = spark.createDataFrame([(1, "<select><option>x</select>y")], "page_id long, html string")
+    assert html.extract(pages, keep=["page_id"]).first().text == "x\ny"
+
+
 def test_html_frame(spark):
     pages = spark.createDataFrame([(1, "<p>a", "u"), (2, None, "v"), (2, None, "v")], "page_id long, html string, text string")
     got = sorted(map(tuple, html.extract(pages, keep=["page_id"]).collect()))
