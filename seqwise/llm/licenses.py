@@ -8,6 +8,15 @@ least / (2 - least) * |B| <= |A| <= (2 - least) / least * |B|, so units outside
 these bounds of every template are dropped before any intersection, and a unit
 meets only the templates whose bounds it fits.
 
+A statement wrapped over lines within a longer text is found by runs of two or
+more whole lines, with words in the first and the last one: for every template,
+those around a line that holds, or with the next line with words forms, one of
+its key bigrams, with as many words as its bounds allow bigrams (and one more).
+A run is a match, under the number of its first line, unless the text as a whole
+or a line of it matches the same template; of runs that overlap, the one with
+the highest coefficient counts (then the first, the shortest, the template
+first by name).
+
 A match has at least least / (2 - least) of a template's bigrams, so of any set
 of more than the rest of them (``keys_of``) one must occur: texts and lines that
 do not hold both words of any such bigram, of any template, are passed over.
@@ -86,19 +95,91 @@ def holds_any(low: Column, keys: dict[str, list[str]]) -> Column:
 
 def unit_bigrams(unit: Column) -> Column:
     """Distinct word bigrams of a raw unit (empty with fewer than two words)."""
+    return F.array_distinct(bigrams_in(words_of(unit)))
+
+
+def words_of(raw: Column) -> Column:
+    """Normalised words of a raw text; none is one empty word."""
     # the C locale's lower case, as the templates: letters beyond a-z are no word characters anyway
-    words = F.split(F.trim(F.regexp_replace(F.translate(unit, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
-                                            "[^a-z0-9]+", " ")), " ")
-    return F.array_distinct(F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
-                                       F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-                                       lambda a, b: F.concat(a, F.lit(" "), b)))
+    return F.split(F.trim(F.regexp_replace(F.translate(raw, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
+                                           "[^a-z0-9]+", " ")), " ")
+
+
+def bigrams_in(words: Column) -> Column:
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def runs_of_lines(text: Column, grams: dict[str, list[str]], least: float) -> Column:
+    """Matches (order, i, j, license) of runs of lines i to j with their own coefficients, before any choice."""
+    low, high = least / (2 - least) - 1e-9, (2 - least) / least + 1e-9
+    keys = {}
+    for name, g in grams.items():
+        pairs = {frozenset(p) for p in keys_of(g, least)}
+        keys[name] = [b for b in g if frozenset(b.split()) in pairs]
+    every = F.array(*[F.lit(b) for b in sorted({b for k in keys.values() for b in k})])
+    # lines with words, numbered from 0: (i: number in the text, w: words)
+    lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), words_of(x).alias("w")))
+    lines = F.filter(lines, lambda u: u["w"][0] != "")
+
+    def hits(ls: Column) -> Column:
+        """(place, key bigrams) of the lines with one, each line with the first word of the next."""
+        def at(u: Column, p: Column) -> Column:
+            after = F.when(p + 1 < F.size(ls), F.array(F.get(ls, p + 1)["w"][0])).otherwise(F.array().cast("array<string>"))
+            return F.struct(p.alias("p"), F.array_intersect(bigrams_in(F.concat(u["w"], after)), every).alias("b"))
+        return F.filter(F.transform(ls, at), lambda h: F.size(h["b"]) > 0)
+
+    def of_template(ls: Column, found: Column, name: str, g: list[str]) -> Column:
+        most, need = int(high * len(g)) + 1, math.ceil(low * len(g)) + 1
+        mine = F.array(*map(F.lit, keys[name]))
+        size = F.transform(ls, lambda u: F.size(u["w"]))
+
+        def total(a: Column, b: Column) -> Column:
+            return F.aggregate(F.slice(size, a + 1, b - a + 1), F.lit(0), lambda x, y: x + y)
+
+        def around(h: Column) -> Column:
+            p = h["p"]
+            first = F.sequence(F.greatest(p - (most - 1), F.lit(0)), p)
+            first = F.filter(first, lambda a: total(a, p) <= most)
+
+            def to(a: Column) -> Column:
+                last = F.sequence(F.greatest(a + 1, p), F.least(F.greatest(a + 1, p) + most, F.size(ls) - 1))
+                last = F.when(F.greatest(a + 1, p) < F.size(ls), last).otherwise(F.array().cast("array<int>"))
+                return F.transform(F.filter(last, lambda b: total(a, b).between(need, most)),
+                                   lambda b: F.struct(a.alias("a"), b.alias("b")))
+            return F.flatten(F.transform(first, to))
+        spans = F.array_distinct(F.flatten(F.transform(F.filter(found, lambda h: F.arrays_overlap(h["b"], mine)), around)))
+
+        def judged(x: Column) -> Column:
+            run = F.slice(ls, x["a"] + 1, x["b"] - x["a"] + 1)
+            a = F.array_distinct(bigrams_in(F.flatten(F.transform(run, lambda u: u["w"]))))
+            value = 2.0 * F.size(F.array_intersect(a, F.array(*map(F.lit, g)))) / (F.size(a) + len(g))
+            return F.struct((-value).alias("order"), F.get(ls, x["a"])["i"].alias("i"), F.get(ls, x["b"])["i"].alias("j"),
+                            F.lit(name).alias("license"))
+        return F.filter(F.transform(spans, judged), lambda m: m["order"] <= -least)
+
+    def all_of(z: Column) -> Column:
+        return F.concat(*[of_template(z["ls"], z["found"], k, g) for k, g in grams.items()])
+    # a variable of a lambda is computed once, a column used twice is not
+    both = F.transform(F.array(lines), lambda ls: F.struct(ls.alias("ls"), hits(ls).alias("found")))
+    return F.flatten(F.transform(F.filter(both, lambda z: F.size(z["found"]) > 0), all_of))
+
+
+def chosen_runs(runs: Column, found: Column) -> Column:
+    """Runs that count, as matches, besides the matches of lines and of the whole text."""
+    new = F.filter(runs, lambda r: ~F.exists(found, lambda m: (m["license"] == r["license"])
+                                            & ((m["unit"] < 0) | m["unit"].between(r["i"], r["j"]))))
+    kept = F.aggregate(F.array_sort(new), F.filter(new, lambda r: F.lit(False)), lambda acc, r: F.when(
+        F.exists(acc, lambda k: (k["i"] <= r["j"]) & (r["i"] <= k["j"])), acc).otherwise(F.concat(acc, F.array(r))))
+    return F.transform(kept, lambda r: F.struct(r["i"].alias("unit"), r["license"].alias("license"),
+                                                F.round(-r["order"], 6).alias("dice")))
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None, least: float = 0.8,
                   keep: list[str] | None = None) -> DataFrame:
     """``docs`` (columns ``keep``; all by default) with ``matches``, an array of
-    (unit, license, dice) by unit (-1: the whole text, else the line's number
-    from 0), ``licenses`` (distinct names, ascending) and ``n_matches``."""
+    (unit, license, dice) by unit (-1: the whole text, else the number from 0 of
+    the line or of the first line of a run), ``licenses`` (distinct names, ascending) and ``n_matches``."""
     made = ["matches", "licenses", "n_matches"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
     grams = {k: g for k, v in sorted((TEMPLATES if templates is None else templates).items()) if (g := bigrams_of(v))}
@@ -136,8 +217,12 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str]
                    F.array(F.struct(F.lit(-1).alias("i"), unit_bigrams(F.col("__text")).alias("a")))).otherwise(nothing)
     units = F.filter(F.when(F.col("__text").isNull(), nothing).otherwise(F.concat(whole, lines)),
                      lambda u: (F.size(u["a"]) >= low * min(sizes)) & (F.size(u["a"]) <= high * max(sizes)))
-    out = rows.select(*keep, units.alias("__units"))
+    several = F.contains("__text", F.lit("\n"))
+    runs = F.when(several, runs_of_lines(F.col("__text"), grams, least))
+    out = rows.select(*keep, units.alias("__units"), runs.alias("__runs"))
     found = F.filter(F.transform("__units", lambda u: matched(u["i"], u["a"])), lambda m: m["license"].isNotNull())
-    out = out.select(*keep, found.alias("matches"))
+    out = out.select(*keep, found.alias("__found"), "__runs")
+    wrapped = F.when(F.size("__runs") > 0, F.array_sort(F.concat("__found", chosen_runs(F.col("__runs"), F.col("__found")))))
+    out = out.select(*keep, F.coalesce(wrapped, F.col("__found")).alias("matches"))
     return out.select(*keep, "matches", F.array_sort(F.array_distinct(F.col("matches.license"))).alias("licenses"),
                       F.size("matches").alias("n_matches"))

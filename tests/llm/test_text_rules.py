@@ -176,6 +176,35 @@ def test_licenses_match_brute_force(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_wrapped_licenses_inside_long_texts(spark):
+    rng = random.Random(14)
+    prose = lambda n: "\n".join(" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(11))
+                                for _ in range(n))
+    names = sorted(licenses.TEMPLATES)
+    docs, want = [], {}
+    for i, name in enumerate(names):
+        for j, prefix in enumerate(["", " * "]):
+            words, width = licenses.TEMPLATES[name].split(), 80 if len(licenses.TEMPLATES[name]) > 80 else 20
+            lines, now = [], ""
+            for w in words:
+                if now and len(now) + len(w) >= width:
+                    lines, now = [*lines, prefix + now], ""
+                now = f"{now} {w}".strip()
+            lines.append(prefix + now)
+            if j and len(lines) > 2:
+                lines.insert(2, prefix)                        # an empty comment line
+            docs.append((10 * i + j, f"{prose(30)}\n" + "\n".join(lines) + f"\n{prose(30)}"))
+            want[10 * i + j] = name
+    docs.append((999, prose(60) + "\nlicensed\nunder\nnothing at all\n" + prose(5)))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan_licenses(table, keep=["doc_id"]).collect()}
+    assert all(name in got[i].licenses for i, name in want.items())
+    assert all(m.unit == 30 and m.dice > 0.9 for i, name in want.items() for m in got[i].matches if m.license == name)
+    assert got[999].n_matches == 0
+    plan = licenses.scan_licenses(table)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+
+
 # URL filter
 
 URLS = [None, "", "no scheme/en/", "http://a.example.com/en/x", "https://WWW.Example.com/en/1?q#f", "http://com/",
