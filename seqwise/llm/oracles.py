@@ -35,6 +35,20 @@ QUALITY = f"""with d as (select row_number() over () as r, doc_id, source, coale
     b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m)
     select *, not base_failed and n_words - n_removed_words >= (1.0::double / 3) * n_words as kept from b"""
 
+_FORMED = """case when not plain and spm then {spm} when not plain then {psm} else t end"""
+FIM = f"""with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+    u as (select *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') as us,
+            [cast('0x' || substr(h, 8 * k + 1, 8) as bigint) for k in range(4)] as hs from d),
+    c as (select *, cast(len(us) as bigint) as n, least(hs[1] % (len(us) + 1), hs[2] % (len(us) + 1)) as a,
+            greatest(hs[1] % (len(us) + 1), hs[2] % (len(us) + 1)) as b, hs[4] % 100 < 20 as spm,
+            t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or hs[3] % 100 >= 90 as plain from u),
+    s as (select *, array_to_string(us[1:a], '') as p, array_to_string(us[a + 1:b], '') as m, array_to_string(us[b + 1:], '') as z from c)
+    select doc_id, n, case when plain then 'plain' when spm then 'spm' else 'psm' end as form,
+      case when not plain then cast(length(p) as bigint) end as prefix_chars,
+      case when not plain then cast(length(m) as bigint) end as middle_chars,
+      sha256({_FORMED.format(spm="'<S>' || z || '<P>' || p || '<M>' || m", psm="'<P>' || p || '<S>' || z || '<M>' || m")}) as output_sha256,
+      sha256(t) as restored_sha256 from s"""
+
 _TEMPLATES = ", ".join(f"('{name}', [{', '.join(f"'{g}'" for g in licenses.bigrams_of(text))}])"
                        for name, text in licenses.TEMPLATES.items())
 
@@ -102,4 +116,5 @@ URLS = f"""with rules(v, h, p) as (values {_RULES}),
            coalesce(ruled, case when floor(score / {urls.STEP}.0::double) >= (select bin from cut) then 'allow' else 'block' end) as verdict
     from u join each using (url) left join scored using (url)"""
 
-ORACLE: dict[str, str] = {"op1_quality": QUALITY, "op3_licenses": LICENSES, "op6_url_filter": URLS}
+ORACLE: dict[str, str] = {"op1_quality": QUALITY, "op3_licenses": LICENSES, "op6_url_filter": URLS,
+                          "op12_fill_in_middle": FIM}
