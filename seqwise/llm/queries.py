@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqwise.llm import bpe, decontam, fim, fst, html, licenses, lm, quality, simhash, toxicity, urls
+from seqwise.llm import bpe, decontam, fim, fingerprints, fst, html, licenses, lm, quality, simhash, toxicity, urls
 from seqwise.llm.common import bounded_batches
 from seqwise.llm.oracles import ORACLE
 
@@ -80,6 +80,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fill_in_middle(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_neighbours(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -92,4 +96,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_fingerprints": op13_fingerprints,
 }
