@@ -35,6 +35,30 @@ QUALITY = f"""with d as (select row_number() over () as r, doc_id, source, coale
     b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m)
     select *, not base_failed and n_words - n_removed_words >= (1.0::double / 3) * n_words as kept from b"""
 
+# crc32 bit by bit: the polynomial of zlib, reflected
+_CRC = """xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(string_split(cast(conv_id as varchar), ''),
+    lambda x: cast(ascii(x) as bigint))), lambda a, x: list_reduce(list_prepend(xor(a, x), range(8)),
+    lambda b, i: xor(b >> 1, 3988292384 * (b & 1)))))"""
+TRIE = f"""with own as (select conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+                        order by turn nulls first) as turns from conversations where conv_id is not null group by conv_id),
+    cut as (select *, cast({_CRC} % 6 as int) as h from own),
+    made as (select c.conv_id, list_concat(coalesce(b.turns, c.turns[1:0])[1:c.h], c.turns[c.h + 1:]) as turns
+             from cut c left join own b on b.conv_id = c.conv_id - c.conv_id % 100),
+    steps as (select conv_id, cast(d as bigint) as depth, turns[1:d] as path, d = len(turns) as last
+              from made, generate_series(0, len(turns)) s(d)),
+    nodes as (select path, depth, min(conv_id) as conv_id, count(*) as n_convs,
+                sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where last), '')) as ends_sha256
+              from steps group by path, depth),
+    kids as (select path[1:depth - 1] as up, depth - 1 as at, count(*) as n from nodes where depth > 0 group by all),
+    n2 as (select n.*, coalesce(k.n, 0) as n_children from nodes n left join kids k on k.up = n.path and k.at = n.depth),
+    sums as (select path[1:d] as up, cast(d as bigint) as at, sum(case when n_children = 0 then 1 else 0 end) as n_leaves,
+               sum(case when depth > 0 then (n_convs - 1) * length(path[depth].t) else 0 end) as saved
+             from n2, generate_series(0, depth) s(d) group by all)
+    select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, cast(s.n_leaves as bigint) as n_leaves,
+      cast(s.saved as bigint) as saved_tokens, n.ends_sha256
+    from n2 n join sums s on s.up = n.path and s.at = n.depth
+      left join nodes p on p.path = n.path[1:n.depth - 1] and p.depth = n.depth - 1"""
+
 _FORMED = """case when not plain and spm then {spm} when not plain then {psm} else t end"""
 FIM = f"""with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
     u as (select *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') as us,
@@ -117,4 +141,4 @@ URLS = f"""with rules(v, h, p) as (values {_RULES}),
     from u join each using (url) left join scored using (url)"""
 
 ORACLE: dict[str, str] = {"op1_quality": QUALITY, "op3_licenses": LICENSES, "op6_url_filter": URLS,
-                          "op12_fill_in_middle": FIM}
+                          "op11_conversation_trie": TRIE, "op12_fill_in_middle": FIM}

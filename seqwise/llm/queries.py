@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqwise.llm import bpe, decontam, fim, fingerprints, fst, html, licenses, lm, quality, simhash, toxicity, urls
+from seqwise.llm import bpe, decontam, fim, fingerprints, fst, html, licenses, lm, quality, simhash, toxicity, trie, urls
 from seqwise.llm.common import bounded_batches
 from seqwise.llm.oracles import ORACLE
 
@@ -76,6 +76,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, keep=["doc_id"]).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fill_in_middle(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_fingerprints": op13_fingerprints,
 }
