@@ -16,15 +16,10 @@ QUALITY = f"""with d as (select row_number() over () as r, doc_id, source, coale
     ln as (select r, source, regexp_extract_all({_LOW.format("x")}, '{_WORD}+') as ws
            from (select r, source, unnest(ls) as x from w) u),
     nl as (select r, source, array_to_string(ws, ' ') as norm, len(ws) as nw from ln),
-    ident as (select r, list(norm order by strlen(norm) desc, norm) as longest
-              from (select distinct r, norm from nl) x group by r),
-    one as (select w.r, w.source, coalesce(longest[1], '') as who from w left join ident using (r)),
-    hosts as (select source, count(distinct who) as docs from one group by source),
-    often as (select c.source, c.norm
-              from (select nl.source, nl.norm, count(distinct case when norm = longest[1] then coalesce(longest[2], '')
-                                                                   else longest[1] end) as n
-                    from nl join ident using (r) group by all) c
-              join hosts on c.source is not distinct from hosts.source where c.n > 30 and c.n > 0.001::double * hosts.docs),
+    whole as (select r, array_to_string(list_transform(ls, lambda x: array_to_string(
+                regexp_extract_all({_LOW.format("x")}, '{_WORD}+'), ' ')), chr(10)) as norm from w),
+    often as (select nl.source, nl.norm from nl join whole using (r) group by nl.source, nl.norm
+              having count(distinct whole.norm) > 30),
     lost as (select nl.r, sum(nw) as n from nl join often on nl.source is not distinct from often.source
                and nl.norm = often.norm group by nl.r),
     m as (select doc_id, len(ws) as n_words, length(array_to_string(ws, '')) as word_chars,

@@ -119,6 +119,31 @@ def test_two_shared_passages_count_in_every_document(spark):
     assert all(got[100 + i].n_removed_words == 0 for i in range(40))
 
 
+def test_shared_passages_by_the_sql_oracle(spark):
+    """Two shared passages, copies, a rare line and a null host: one rule in Spark and in SQL."""
+    import duckdb
+
+    from seqwise.llm.oracles import ORACLE
+    first, second = ("passage %s of words " % p * 15 for p in "ab")
+    rows = [(i, f"{first}\nown text of {i} " + " ".join(f"w{i * 7 + k}" for k in range(40)) + f"\n{second}\n\t", "hot")
+            for i in range(40)]
+    rows += [(100 + i, "the same text in all copies\n" + " ".join(map(str, range(30))), "hot") for i in range(50)]
+    rows += [(200 + i, f"Rare  LINE\n{i} " + " ".join(f"x{i * k}" for k in range(30)), None) for i in range(32)]
+    rows += [(300, None, None), (301, "", "hot"), (302, first, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = quality.quality_rules(docs, keep=["doc_id"]).drop("removed_lines")
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar, source varchar)")
+    con.executemany("insert into documents values (?, ?, ?)", rows)
+    rel = con.execute(ORACLE["op1_quality"])
+    names = [d[0] for d in rel.description]
+    want = sorted(rel.fetchall())
+    assert sorted(map(tuple, got.select(*names).collect())) == want
+    by = {r.doc_id: r for r in got.collect()}
+    assert all(by[i].n_removed_words == 120 and not by[i].kept for i in range(40))
+    assert all(by[i].kept for i in range(100, 150)) and all(by[i].n_removed_words == 2 for i in range(200, 232))
+
+
 def test_more_rows_of_a_host_keep_no_removed_line(spark):
     """A passage of 31 documents goes from a host of 31 and of 31,100."""
     passage, word = " ".join(f"p{k}" for k in range(20)), " ".join(f"w{k}" for k in range(30))
