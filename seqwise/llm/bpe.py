@@ -42,22 +42,27 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 
 class Encoded(dict):
     """Word, or stretch without white space -> (ids, tokens, number of tokens),
-    bounded. A word standing alone is encoded like the same word in a stretch."""
+    bounded by the bytes it holds. A word standing alone is encoded like the same
+    word in a stretch."""
+    ENTRY = 240                 # of the objects of an entry, besides its letters
 
     def __init__(self, bpe: WordBpe):
-        self.bpe = bpe
+        self.bpe, self.held = bpe, 0
 
     def __missing__(self, chunk: str) -> tuple[str, str, int]:
         got = self.bpe.encode_chunk(chunk)
-        if len(self) >= self.bpe.max_words:
-            self.clear()
         if len(chunk) < 100:
+            self.held += self.ENTRY + len(chunk) + len(got[0]) + len(got[1])
+            if self.held > self.bpe.cache_bytes:
+                self.clear()
+                self.held = 0
             self[chunk] = got
         return got
 
 
 class WordBpe:
-    def __init__(self, path: str, max_words: int = 300_000):
+    def __init__(self, path: str, decoded: bool = True, cache_bytes: int = 96 << 20):
+        """``decoded``: whether ``encode_text`` gives the decoded text (empty if not)."""
         import regex
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -79,7 +84,7 @@ class WordBpe:
                 s = s.removesuffix(WORD_END)
                 inside.update(zip(s, s[1:]))
         self.inside = {a + b for a, b in inside}
-        self.max_words = max_words
+        self.decoded, self.cache_bytes = decoded, cache_bytes
         self.id_text = {s: str(i) for s, i in self.ids.items()}
         self.words = Encoded(self)
         self.fragments: dict[tuple[str, bool], list[str]] = {}
@@ -146,7 +151,7 @@ class WordBpe:
                 key = (letters[begin:k], k == n)
                 got = self.fragments.get(key)
                 if got is None:
-                    if len(self.fragments) >= self.max_words // 4:
+                    if len(self.fragments) >= self.cache_bytes // 2_000:
                         self.fragments.clear()
                     got = self.merge(*key)
                     if len(key[0]) < 100:
@@ -160,9 +165,11 @@ class WordBpe:
         pieces = [chunk] if chunk.isalpha() else self.pattern.findall(chunk)
         if len(pieces) == 1 and pieces[0] == chunk:
             tokens = self.encode_word(chunk)
-            return " ".join([self.id_text[t] for t in tokens]), " ".join(tokens), len(tokens)
-        got = [self.words[w] for w in pieces]
-        return " ".join([x[0] for x in got]), " ".join([x[1] for x in got]), sum([x[2] for x in got])
+            return " ".join([self.id_text[t] for t in tokens]), " ".join(tokens) if self.decoded else "", len(tokens)
+        return self.joined([self.words[w] for w in pieces])
+
+    def joined(self, got: list[tuple[str, str, int]]) -> tuple[str, str, int]:
+        return " ".join([x[0] for x in got]), " ".join([x[1] for x in got]) if self.decoded else "", sum([x[2] for x in got])
 
     def encode_text(self, text: str) -> tuple[str, str, int]:
         """(ids, decoded text, number of tokens) of a whole text."""
@@ -177,40 +184,42 @@ class WordBpe:
             part = part.lower()
             chunks = filter(None, SPACES.split(part)) if SEPARATORS.search(part) else part.split()
             got += map(self.words.__getitem__, chunks)
-        return " ".join([x[0] for x in got]), " ".join([x[1] for x in got]), sum([x[2] for x in got])
+        return self.joined(got)
 
     def decode(self, ids: list[int]) -> str:
         return " ".join([self.tokens[i] for i in ids])
 
 
-_LOADED: dict[str, WordBpe] = {}
+_LOADED: dict[tuple[str, bool], WordBpe] = {}
 
 
-def loaded(path: str) -> WordBpe:
-    if path not in _LOADED:
-        _LOADED[path] = WordBpe(path)
-    return _LOADED[path]
+def loaded(path: str, decoded: bool = True) -> WordBpe:
+    if (path, decoded) not in _LOADED:
+        _LOADED[path, decoded] = WordBpe(path, decoded, (96 if decoded else 48) << 20)
+    return _LOADED[path, decoded]
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", digest: bool = False) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, text: str = "text", digest: bool = False, decoded: bool = True) -> DataFrame:
     """``docs`` with ``n_tokens`` (long) and ``token_ids`` (array<int>) and
-    ``decoded`` (string), or with ``digest`` their SHA-256 as ``ids_sha256``
-    (of the decimal ids joined by spaces) and ``decoded_sha256`` (UTF-8)."""
-    made = ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digest else ["token_ids", "decoded"])]
+    ``decoded`` (string; left out, and never built, with ``decoded=False``), or with
+    ``digest`` their SHA-256 as ``ids_sha256`` (of the decimal ids joined by spaces)
+    and ``decoded_sha256`` (UTF-8)."""
+    decoded = decoded or digest
+    made = ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digest else ["token_ids", *(["decoded"] if decoded else [])])]
     keep = [c for c in docs.columns if c not in made and (c != text or not digest)]
-    kinds = [T.LongType(), *([T.StringType()] * 2 if digest else [T.ArrayType(T.IntegerType()), T.StringType()])]
+    kinds = [T.LongType(), *([T.StringType()] * 2 if digest else [T.ArrayType(T.IntegerType()), T.StringType()])][:len(made)]
     schema = T.StructType([*(docs.schema[c] for c in keep), *map(T.StructField, made, kinds)])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from hashlib import sha256
-        bpe = loaded(tokenizer)
+        bpe = loaded(tokenizer, decoded)
         for frame in frames:
             for part in batches_by_bytes(frame, "__text"):
                 rows = []
                 for t in part["__text"]:
-                    ids, decoded, n = bpe.encode_text(t)
-                    rows.append((n, sha256(ids.encode()).hexdigest(), sha256(decoded.encode()).hexdigest()) if digest
-                                else (n, np.array(ids.split(), np.int32), decoded))
+                    ids, back, n = bpe.encode_text(t)
+                    rows.append((n, sha256(ids.encode()).hexdigest(), sha256(back.encode()).hexdigest()) if digest
+                                else (n, np.fromstring(ids, np.int32, sep=" "), back)[:len(made)])
                 out = part.drop(columns="__text")
                 yield out.assign(**dict(zip(made, map(list, zip(*rows)))))
     return docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInPandas(run, schema)

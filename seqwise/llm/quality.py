@@ -156,7 +156,8 @@ def clean_documents(docs: DataFrame, text: str = "text", host: str = "source", *
     keyed = docs.withColumn("__content", key)
     judged = quality_rules(keyed, text, host, keep=["__content"], **limits)
     judged = judged.filter("kept").select(F.col("__content").alias("__judged"), "removed_lines").dropDuplicates(["__judged"])
-    out = keyed.join(judged, keyed["__content"] == judged["__judged"])
+    # the verdicts are the table of the hash join, the texts stream by unsorted
+    out = keyed.join(judged.hint("shuffle_hash"), keyed["__content"] == judged["__judged"])
     lines = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("removed_lines"), i))
     clean = F.when(F.size("removed_lines") == 0, F.col(text)).otherwise(F.array_join(lines, "\n"))
     return out.withColumn(text, clean).select(*docs.columns)

@@ -259,7 +259,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **h
     key = F.to_json(F.struct(F.col(doc_id).alias("i"), F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")).alias("m")))
     keyed = docs.withColumn("__content", key)
     best = near_duplicates(keyed, doc_id, text, keep=["__content"], **how).filter("representative").select("__content")
-    out = keyed.join(best, "__content", "left_semi")
+    out = keyed.join(best.hint("shuffle_hash"), "__content", "left_semi")
     # several rows with this id and text: any one of them is the row
     first = F.row_number().over(Window.partitionBy("__content").orderBy(F.hash(*docs.columns)))
     return out.withColumn("__nth", first).filter("__nth = 1").select(*docs.columns)
