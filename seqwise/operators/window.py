@@ -9,7 +9,8 @@ event table by the bucket size. The result is exact.
 The first order column must be a coarse sub-group of the group (drives in a
 game, days in a user's history): with a unique first column the summary is
 as large as the events and the running scan over it holds the whole group
-again. A single order column falls back to a plain window.
+again. With a single order column there is no such sub-group: the range-cut
+``prefix_scan`` makes one for the groups that need it.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqwise.functions.semantics import na_cumsum, order_key, running, safe_ratio
+from seqwise.operators import scan
 from seqwise.operators._util import asc_last, join_null_safe
 
 
@@ -25,10 +27,16 @@ def number_within(df: DataFrame, keys: list[str], order: list[str], name: str,
                   two_level: bool = True, total: str | None = None) -> DataFrame:
     """Dense 1-based row number per group in ``order`` (NULLs last); ``total``
     names a column for the rows of the group."""
-    if not two_level or len(order) < 2:
+    if not two_level:
         w = Window.partitionBy(*keys).orderBy(*asc_last(order))
         out = df.withColumn(name, F.row_number().over(w).cast("int"))
         return out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*keys))) if total else out
+    if len(order) < 2:
+        out = scan.prefix_scan(df, keys, order, {name: scan.Scan("number")}, scan.MAX_ROWS)
+        out = out.withColumn(name, F.col(name).cast("int"))
+        if not total:
+            return out
+        return join_null_safe(out, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(total)), keys, "inner")
     head, rest = order[0], list(order[1:])
     # sizes of the buckets: partial counts, not a window over the events
     sizes = df.groupBy(*keys, head).agg(F.count(F.lit(1)).alias("__n_in"))
@@ -45,7 +53,9 @@ def fill_downup(df: DataFrame, keys: list[str], order: list[str], col: str,
     """Fill NULLs from the last non-NULL at or before the row, else from the
     first non-NULL after it, inside each group."""
     v = F.col(col)
-    if not two_level or len(order) < 2:
+    if two_level and len(order) < 2:
+        return scan.prefix_scan(df, keys, order, {col: scan.Scan("down_up", f"`{col}`")}, scan.MAX_ROWS)
+    if not two_level:
         w = Window.partitionBy(*keys).orderBy(*asc_last(order))
         down = F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
         up = F.first(v, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
@@ -87,6 +97,14 @@ def lead_period(df: DataFrame, entity: str, order: list[str], col: str) -> DataF
     return df.withColumn(col, F.lead(col).over(w))
 
 
+def cumulative_sums(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, str],
+                    poisoned: bool = False, max_rows: int | None = None) -> DataFrame:
+    """Running sums at event grain by the range-cut scan: ``sums`` maps a name to a
+    SQL expression; NULLs are skipped, or ``poisoned``: NULL at and after the first."""
+    kind = "poisoned" if poisoned else "sum"
+    return scan.prefix_scan(df, keys, order, {n: scan.Scan(kind, e) for n, e in sums.items()}, max_rows or scan.MAX_ROWS)
+
+
 def cumulative_ratio(df: DataFrame, keys: list[str], order: list[str], specs, prefix: str = "") -> DataFrame:
     """For each (name, numerator, denominator): running-sum ratio per group.
 

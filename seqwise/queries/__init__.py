@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["rates", "priors", "features", "prepare", "sequence", "model", "io", "chain"]
+MODULES = ["rates", "priors", "features", "prepare", "sequence", "model", "io", "chain", "scale"]
 
 
 def all_queries() -> dict:
