@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from seqwise.config import EventConfig
 from seqwise.functions.scalar import label_of, signed_by_side
 from seqwise.functions.semantics import eq_flag
+from seqwise.operators.heavy import SHARE, heavy_join, heavy_keys, key_summary
 from seqwise.operators.impute import exact_mean, fill_by_group, fill_constant, fill_from_stats
 from seqwise.operators.join import left_attach
 from seqwise.operators.project import cols_with_prefix
@@ -72,23 +73,34 @@ def side_tables(events: DataFrame, players: DataFrame, cfg: EventConfig = EventC
     return {k: f() for k, f in side.items()}
 
 
-def attach(events: DataFrame, side: dict, cfg: EventConfig = EventConfig()) -> DataFrame:
+def heavy_actors(events: DataFrame, cfg: EventConfig = EventConfig(), share: float = SHARE) -> list[int]:
+    """Hashes of the (actor, period, season) with more than ``share`` of the events."""
+    return heavy_keys(key_summary(events, [cfg.actor, cfg.period, cfg.season]), share)
+
+
+def attach(events: DataFrame, side: dict, cfg: EventConfig = EventConfig(), heavy: list[int] | None = None) -> DataFrame:
     """C7 joins: play number and actor fill (one two-level pass), signed
-    spread, rates and ordinals of both sides, actor stats."""
+    spread, rates and ordinals of both sides, actor stats. ``heavy`` (of
+    ``heavy_actors``): actors whose events are salted in the last join, in the same
+    one pass; without it an uneven join is left to AQE."""
     e, o, s, p = cfg.entity, cfg.opponent, cfg.season, cfg.period
     ev = number_and_fill(events, [e, p], cfg.order_cols, "pt_play_no", [cfg.actor])
     if "spread_line" in ev.columns:
         ev = ev.withColumn("pt_spread", signed_by_side("spread_line", "posteam_type"))
     ev = left_attach(ev, side["pt"].drop("pt_n"), [e, s, p])
     ev = left_attach(ev, side["dt"].drop("dt_n"), [o, s, p])
+    if heavy:
+        return heavy_join(ev, side["actor_stats"], [cfg.actor, p, s], heavy=heavy, mode="salt")
     return left_attach(ev, side["actor_stats"], [cfg.actor, p, s])
 
 
 def enrich_events(events: DataFrame, players: DataFrame, cfg: EventConfig = EventConfig(),
-                  stage: bool = True) -> DataFrame:
+                  stage: bool = True, heavy_share: float | None = None) -> DataFrame:
     """Play number, signed spread, as-of rates of both sides, period
-    ordinals, actor filled inside the period, actor stats."""
-    return attach(events, side_tables(events, players, cfg, stage), cfg)
+    ordinals, actor filled inside the period, actor stats. ``heavy_share``: actors
+    of a period with more than this share of the events are salted (one more narrow pass)."""
+    heavy = heavy_actors(events, cfg, heavy_share) if heavy_share else None
+    return attach(events, side_tables(events, players, cfg, stage), cfg, heavy)
 
 
 # rate and count as decimals whose product keeps all 12 digits (38, 12)

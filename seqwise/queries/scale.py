@@ -1,12 +1,19 @@
-"""Operators for groups and keys of any size: range-cut scans."""
+"""Operators for groups and keys of any size: range-cut scans (W1, W2, W4, W11),
+heavy-key joins (J5)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from seqwise.operators.heavy import heavy_join, heavy_keys, key_summary, merged
 from seqwise.operators.scan import Scan, prefix_scan
+from seqwise.plans.features import enrich_events
+from seqwise.queries._common import rounded
 from seqwise.queries._sql import with_plays
-from seqwise.sources.fixtures import plays_table as plays
+from seqwise.queries.features import DOUBLES, ENRICH_CTES, ENRICH_OUT, _round_cols
+from seqwise.queries.rates import CFG
+from seqwise.session import materialize
+from seqwise.sources.fixtures import players, plays_table as plays
 
 # a group with more rows is cut by ranges of its order column; small, so that the
 # nations of the test tables are cut at every scale factor
@@ -32,7 +39,28 @@ def q_scan_running(spark, sf):
         "wind_high": Scan("max", "wind"), "epa_low": Scan("min", "epa")}, MAX_ROWS)
 
 
+def _actor_seasons(spark, sf):
+    return plays(spark, sf).groupBy("passer", "season").agg(
+        F.count(F.lit(1)).alias("n_events"), F.sum("epa").alias("sum_epa"))
+
+
+def q_heavy_actor_join(spark, sf):
+    """Every event meets its actor's season, NULL actors each other; the heavy
+    actors come from summaries stored per season and merged."""
+    p = plays(spark, sf).select("drive", "play_id", "passer", "season")
+    stored = materialize(key_summary(p, ["passer", "season"], ["season"]), name="key_summaries")
+    heavy = heavy_keys(merged(stored), 0.01)
+    return heavy_join(p, _actor_seasons(spark, sf), ["passer", "season"], heavy=heavy)
+
+
+def q_heavy_enriched(spark, sf):
+    """C7 with the heavy actors of a period salted in its last join."""
+    return rounded(enrich_events(plays(spark, sf), players(spark, sf), CFG, heavy_share=0.001))
+
+
 QUERIES = {
+    "heavy_actor_join": q_heavy_actor_join,
+    "heavy_enriched": q_heavy_enriched,
     "scan_number_fill": q_scan_number_fill,
     "scan_running": q_scan_running,
 }
@@ -42,6 +70,11 @@ _UP, _DOWN = _W.format("unbounded preceding", "current row"), _W.format("current
 _KEYED = f"keyed as (select *, cast({EVENT_KEY} as bigint) as event_key from plays)"
 
 ORACLE = {
+    "heavy_actor_join": with_plays(
+        "select p.drive, p.play_id, p.passer, p.season, a.n_events, a.sum_epa from plays p left join "
+        "(select passer, season, count(*) as n_events, cast(sum(epa) as bigint) as sum_epa from plays group by all) a "
+        "on p.passer is not distinct from a.passer and p.season = a.season"),
+    "heavy_enriched": with_plays(f"select {_round_cols(ENRICH_OUT, DOUBLES)} from ev3", ENRICH_CTES),
     "scan_number_fill": with_plays(
         f"select posteam, event_key, count(*) over {_UP} as event_no, last_value(passer ignore nulls) over {_UP} as passer_before, "
         f"coalesce(last_value(passer ignore nulls) over {_UP}, first_value(passer ignore nulls) over {_DOWN}) as passer from keyed", _KEYED),
