@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from seqwise.config import EventConfig
 from seqwise.functions.scalar import label_of, signed_by_side
 from seqwise.functions.semantics import eq_flag
+from seqwise.operators._util import asc_last
 from seqwise.operators.heavy import SHARE, heavy_join, heavy_keys, key_summary
 from seqwise.operators.impute import exact_mean, fill_by_group, fill_constant, fill_from_stats
 from seqwise.operators.join import left_attach
@@ -25,6 +26,7 @@ from seqwise.operators.window import number_and_fill
 from seqwise.plans.priors import actor_stats
 from seqwise.plans.rates import asof_rates
 from seqwise.session import materialize_all
+from seqwise.sources.bucketed import KEY, Colocated, join_colocated
 
 # Columns whose NULLs become 0.
 ZERO_FILL = ["qb_pass_wpa_play_adj", "qb_pass_epa_play_adj", "air_yards", "yards_after_catch", "air_epa",
@@ -94,6 +96,24 @@ def attach(events: DataFrame, side: dict, cfg: EventConfig = EventConfig(), heav
     return left_attach(ev, side["actor_stats"], [cfg.actor, p, s])
 
 
+def attach_colocated(events: DataFrame, side: dict, cfg: EventConfig = EventConfig(), heavy: list[int] | None = None) -> DataFrame:
+    """``attach`` for events read from a store bucketed by (entity, period): number and
+    actor fill are one window on the stored key, the entity's rates move to the events'
+    buckets. Two shuffles of the events are left, those of opponent and actor."""
+    e, o, s, p = cfg.entity, cfg.opponent, cfg.season, cfg.period
+    w = Window.partitionBy(KEY).orderBy(*asc_last(cfg.order_cols))
+    so_far, from_here = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    actor = F.coalesce(F.last(cfg.actor, ignorenulls=True).over(so_far), F.first(cfg.actor, ignorenulls=True).over(from_here))
+    ev = events.withColumns({"pt_play_no": F.row_number().over(w).cast("int"), cfg.actor: actor})
+    if "spread_line" in ev.columns:
+        ev = ev.withColumn("pt_spread", signed_by_side("spread_line", "posteam_type"))
+    ev = join_colocated(ev, side["pt"].drop("pt_n"), [e, p], [s]).drop(KEY)
+    ev = left_attach(ev, side["dt"].drop("dt_n"), [o, s, p])
+    if heavy:
+        return heavy_join(ev, side["actor_stats"], [cfg.actor, p, s], heavy=heavy, mode="salt")
+    return left_attach(ev, side["actor_stats"], [cfg.actor, p, s])
+
+
 def enrich_events(events: DataFrame, players: DataFrame, cfg: EventConfig = EventConfig(),
                   stage: bool = True, heavy_share: float | None = None) -> DataFrame:
     """Play number, signed spread, as-of rates of both sides, period
@@ -194,16 +214,26 @@ def flags_and_label(ev: DataFrame, cfg: EventConfig = EventConfig()) -> DataFram
     return ev.withColumn("down", F.coalesce(F.col("down"), F.lit(1)))
 
 
-def build_features(events: DataFrame, players: DataFrame, cfg: EventConfig = EventConfig(),
+def build_features(events: DataFrame | Colocated, players: DataFrame, cfg: EventConfig = EventConfig(),
                    min_season: int = 2016, test_season: int = 2022, stage: bool = True) -> DataFrame:
     """C7 -> C10: the full event feature table with a ``split`` column.
 
+    ``events`` may be a store of ``write_colocated`` grouped by (entity, period): its
+    events are shuffled twice instead of five times. A store with a group too large
+    for a task is read like any other table.
+
     Every statistic the imputation needs comes from the side tables or the
     raw events (``joined_rate_means``, ``raw_event_means``; the play number is
     NULL-free), so the enriched events are produced in a single pass and
     never stored or read twice."""
+    together = None
+    if isinstance(events, Colocated):
+        if events.group != (cfg.entity, cfg.period):
+            raise ValueError(f"events are stored by {events.group}, not by {(cfg.entity, cfg.period)}")
+        stored = events.read(players.sparkSession)
+        together, events = stored if events.even else None, stored.drop(KEY)
     side = side_tables(events, players, cfg, stage)
-    ev = attach(events, side, cfg)
+    ev = attach(events, side, cfg) if together is None else attach_colocated(together, side, cfg)
     rates = joined_rate_means(side, cfg)
     spread, week = raw_event_means(events, cfg)
     means = rates if spread is None else merge_groups([rates, spread], [cfg.season])

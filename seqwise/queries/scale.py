@@ -1,5 +1,5 @@
 """Operators for groups and keys of any size: range-cut scans (W1, W2, W4, W11),
-heavy-key joins (J5)."""
+heavy-key joins (J5), co-located storage (S1, S5, C7)."""
 
 from __future__ import annotations
 
@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from seqwise.operators.heavy import heavy_join, heavy_keys, key_summary, merged
 from seqwise.operators.scan import Scan, prefix_scan
-from seqwise.plans.features import enrich_events
+from seqwise.plans.features import build_features, enrich_events
 from seqwise.queries._common import rounded
 from seqwise.queries._sql import with_plays
-from seqwise.queries.features import DOUBLES, ENRICH_CTES, ENRICH_OUT, _round_cols
+from seqwise.queries.features import DOUBLES, ENRICH_CTES, ENRICH_OUT, MIN_SEASON, TEST_SEASON, _round_cols
+from seqwise.queries.features import ORACLE as FEATURE_ORACLE
 from seqwise.queries.rates import CFG
 from seqwise.session import materialize
-from seqwise.sources.fixtures import players, plays_table as plays
+from seqwise.sources.fixtures import players, plays_colocated, plays_table as plays
 
 # a group with more rows is cut by ranges of its order column; small, so that the
 # nations of the test tables are cut at every scale factor
@@ -58,7 +59,13 @@ def q_heavy_enriched(spark, sf):
     return rounded(enrich_events(plays(spark, sf), players(spark, sf), CFG, heavy_share=0.001))
 
 
+def q_feature_table_colocated(spark, sf):
+    """C10 from events stored in buckets by (entity, period): two shuffles of the events."""
+    return rounded(build_features(plays_colocated(spark, sf), players(spark, sf), CFG, MIN_SEASON, TEST_SEASON))
+
+
 QUERIES = {
+    "feature_table_colocated": q_feature_table_colocated,
     "heavy_actor_join": q_heavy_actor_join,
     "heavy_enriched": q_heavy_enriched,
     "scan_number_fill": q_scan_number_fill,
@@ -70,6 +77,7 @@ _UP, _DOWN = _W.format("unbounded preceding", "current row"), _W.format("current
 _KEYED = f"keyed as (select *, cast({EVENT_KEY} as bigint) as event_key from plays)"
 
 ORACLE = {
+    "feature_table_colocated": FEATURE_ORACLE["feature_table"],
     "heavy_actor_join": with_plays(
         "select p.drive, p.play_id, p.passer, p.season, a.n_events, a.sum_epa from plays p left join "
         "(select passer, season, count(*) as n_events, cast(sum(epa) as bigint) as sum_epa from plays group by all) a "

@@ -184,20 +184,44 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STORED: dict = {}
 
 
+def _files_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, length and time of the files behind ``plays``: a stored copy stands for these."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in ("lineitem", "orders", "customer", "supplier"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        for f in path.getFileSystem(conf).listStatus(path):
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def plays_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``plays`` adapter stored once as Parquet in the shared checkpoint
-    folder (per data folder), as an event table is at scale. Every query then
-    scans it with column pruning instead of recomputing the four-way join in
+    folder (per state of its input files), as an event table is at scale. Every query
+    then scans it with column pruning instead of recomputing the four-way join in
     each branch of its plan."""
     from seqwise.session import checkpoint_dir
-    key = (checkpoint_dir(spark), sf_dir)
+    key = (checkpoint_dir(spark), _files_state(spark, sf_dir))
     path = _STORED.get(key)
-    if path is not None:
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - folder cleaned: write it again
-            _STORED.pop(key, None)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/plays-{uuid.uuid4().hex}"
-    plays(spark, sf_dir).write.parquet(path)
-    _STORED[key] = path
+    if path is None or not _exists(spark, path):
+        path = f"{checkpoint_dir(spark).rstrip('/')}/plays-{uuid.uuid4().hex}"
+        plays(spark, sf_dir).write.parquet(path)
+        _STORED[key] = path
     return spark.read.parquet(path)
+
+
+def plays_colocated(spark: SparkSession, sf_dir: str, buckets: int = 16):
+    """``plays`` stored once in buckets by (entity, period), as an event table that is
+    built from more than once is at scale."""
+    from seqwise.session import checkpoint_dir
+    from seqwise.sources.bucketed import write_colocated
+    key = (checkpoint_dir(spark), _files_state(spark, sf_dir), buckets)
+    store = _STORED.get(key)
+    if store is None or not _exists(spark, store.path) or not spark.catalog.tableExists(store.table):
+        store = _STORED[key] = write_colocated(plays_table(spark, sf_dir), ["posteam", "game_date"], ["drive", "play_id"], buckets, "plays")
+    return store
