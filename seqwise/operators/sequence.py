@@ -52,26 +52,64 @@ def number_steps(df: DataFrame, keys: list[str], order: list[str], features: lis
                     x.alias("features"), *y, *[c for c in carry if c != "label" or not label])
 
 
-def pad_steps(steps: DataFrame, keys: list[str], length: int, side: str = "right", pad_label=0) -> DataFrame:
+def pad_steps(steps: DataFrame, keys: list[str], length: int | list[int], side: str = "right", pad_label=0) -> DataFrame:
     """N3 / N4 in long form: every key gets ``length`` steps; the added ones
     have all-zero features and ``pad_label``, and ``is_pad`` tells them apart.
-    A longer sequence raises. ``longest`` finds the length as the source does."""
+    A longer sequence raises. ``longest`` finds the length as the source does.
+
+    With a list of lengths (``bucket_lengths``) a key is padded to the shortest of
+    them that holds it, and the column ``length`` tells windows which that is:
+    ``step_windows(..., length=F.col("length"))``."""
     if side not in ("right", "left"):
         raise ValueError(side)
     n = F.col("n")
-    too_long = F.raise_error(F.concat(F.lit(f"sequence longer than {length}: "), n.cast("string"))).cast("int")
-    moved = F.col("pos") + (F.lit(length) - n if side == "left" else F.lit(0))
-    real = steps.select(*keys, F.when(n <= length, moved).otherwise(too_long).alias("pos"), "n", "features", "label",
+    plan = length if isinstance(length, list) else None
+    longest_known = max(plan, default=0) if plan is not None else length
+    to = F.lit(length) if plan is None else bucket_of(n, plan)
+    own = [] if plan is None else [to.alias("length")]
+    too_long = F.raise_error(F.concat(F.lit(f"sequence longer than {longest_known}: "), n.cast("string"))).cast("int")
+    moved = F.col("pos") + (to - n if side == "left" else F.lit(0))
+    real = steps.select(*keys, F.when(n <= longest_known, moved).otherwise(too_long).alias("pos"), "n", *own, "features", "label",
                         F.lit(False).alias("is_pad"))
-    first = steps.filter((F.col("pos") == 0) & (n < length))
-    added = F.explode(F.sequence(F.lit(0), F.lit(length - 1) - n)).alias("__i")
-    pads = first.select(*keys, "n", F.transform("features", lambda v: F.lit(0.0)).alias("features"), added)
+    first = steps.filter((F.col("pos") == 0) & (n < to))
+    added = F.explode(F.sequence(F.lit(0), to - 1 - n)).alias("__i")
+    pads = first.select(*keys, "n", *own, F.transform("features", lambda v: F.lit(0.0)).alias("features"), added)
     pads = pads.select(*keys, (F.col("__i") + (F.lit(0) if side == "left" else F.col("n"))).cast("int").alias("pos"), "n",
-                       "features", F.lit(pad_label).cast(steps.schema["label"].dataType).alias("label"),
-                       F.lit(True).alias("is_pad"))
+                       *[c for c in ("length",) if own], "features",
+                       F.lit(pad_label).cast(steps.schema["label"].dataType).alias("label"), F.lit(True).alias("is_pad"))
     return real.unionByName(pads)
 
 
+def length_histogram(df: DataFrame, keys: list[str], factor: float = 1.25) -> DataFrame:
+    """(bin, keys, steps, longest): the lengths of the keys in bins whose longest is less
+    than ``factor`` times their shortest; one row for each bin in use, which is at most
+    log(longest key) / log(``factor``) rows."""
+    if factor <= 1:
+        raise ValueError(f"factor {factor} must be above 1")
+    per = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    bin_ = F.floor(F.log("n") / F.log(F.lit(float(factor))) + 1e-9).cast("int").alias("bin")
+    return per.groupBy(bin_).agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("steps"), F.max("n").alias("longest"))
+
+
+def bucket_lengths(histogram: DataFrame) -> list[int]:
+    """The bucket plan: the longest length of every bin in use, ascending. A key padded to
+    the shortest of them that holds it gets less than ``factor`` times its own steps."""
+    return sorted(int(r.longest) for r in histogram.select("longest").collect())
+
+
+def bucket_of(n: Column, plan: list[int]) -> Column:
+    """The shortest length of the plan that holds ``n`` steps (NULL if none does)."""
+    return F.array_min(F.filter(F.array(*map(F.lit, plan or [0])), lambda length: length >= n))
+
+
+def padding_report(histogram: DataFrame) -> DataFrame:
+    """(plan, keys, steps, pad_rows): padding by the bucket plan, and to the longest of all."""
+    got = histogram.agg(F.sum("keys").alias("keys"), F.sum("steps").alias("steps"),
+                        F.sum(F.col("longest") * F.col("keys") - F.col("steps")).alias("bucketed"),
+                        (F.max("longest") * F.sum("keys") - F.sum("steps")).alias("longest"))
+    return got.select("keys", "steps", F.expr("stack(2, 'bucketed', bucketed, 'longest', longest) as (plan, pad_rows)"))
+
+
 def longest(df: DataFrame, keys: list[str]) -> int:
     """Most events of any key (0 for none): the pad length the profile finds."""
     per = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

@@ -13,9 +13,10 @@ from __future__ import annotations
 
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seqwise.functions.semantics import nan_to_null
 from seqwise.operators._util import join_null_safe, small_side
 from seqwise.session import materialize
 from seqwise.operators.aggregate import class_weights
@@ -133,3 +134,93 @@ def history_frame(spark: SparkSession, history: list[dict], best: str) -> DataFr
     rows = [dict(h, selected=(h["candidate"] == best)) for h in history]
     return spark.createDataFrame(rows, "candidate string, iterations int, objective array<double>, "
                                        "valid_logloss double, valid_accuracy double, selected boolean")
+
+
+# early stopping (M6) ----------------------------------------------------------
+
+ROUNDS, PATIENCE = 25, 5
+
+
+def stopping(scores: DataFrame, run: list[str], round_: str = "round", loss: str = "valid_loss",
+             accuracy: str = "valid_accuracy", patience: int = PATIENCE, rounds: int = ROUNDS) -> DataFrame:
+    """Where training stops and which round is kept, for every ``run`` of a table of
+    validation scores per round (from 1 on, distinct in a run): training ends after
+    ``patience`` rounds without a new highest accuracy, or after ``rounds``; the round
+    with the lowest loss until then is kept, the first of equal ones. One row a run:
+    ``stopped_at``, ``best_round``, ``best_loss``, ``early``. A missing score is no
+    improvement."""
+    w = Window.partitionBy(*run).orderBy(round_)
+    before = F.max(accuracy).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    seen = scores.filter(F.col(round_) <= rounds).select(
+        *run, F.col(round_).alias("r"), nan_to_null(F.col(loss).cast("double")).alias("loss"),
+        nan_to_null(F.col(accuracy).cast("double")).alias(accuracy)).withColumnRenamed("r", round_)
+    better = F.col(accuracy).isNotNull() & (before.isNull() | (F.col(accuracy) > before))
+    seen = seen.withColumn("__better", better)
+    last = F.max(F.when(F.col("__better"), F.col(round_))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    seen = seen.withColumn("__wait", F.col(round_) - F.coalesce(last, F.lit(0)))
+    ends = F.min(F.when(F.col("__wait") >= patience, F.col(round_))).over(Window.partitionBy(*run))
+    seen = seen.withColumn("__end", ends).filter(F.col("__end").isNull() | (F.col(round_) <= F.col("__end")))
+    order = F.struct(F.col("loss").isNull(), F.col("loss"), F.col(round_))
+    return seen.groupBy(*run).agg(F.max(round_).cast("int").alias("stopped_at"), F.min_by(round_, order).cast("int").alias("best_round"),
+                                  F.min("loss").alias("best_loss"), F.max(F.col("__end").isNotNull()).alias("early"))
+
+
+class Rounds:
+    """A training run stored round by round under ``path``: the model and the scores of
+    each round, wall times apart. A run that lost its driver goes on after its last
+    stored round; a finished one is only read."""
+    SCORES = "round int, valid_loss double, valid_accuracy double"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _read(self, what: str, schema: str) -> DataFrame:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{what}")
+        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{what}")
+
+    def scores(self) -> DataFrame:
+        return self._read("scores", self.SCORES)
+
+    def times(self) -> DataFrame:
+        """Seconds of each round's fit and validation: not repeatable, so not among the scores."""
+        return self._read("times", "round int, seconds double")
+
+    def model(self, round_: int):
+        from pyspark.ml.classification import MultilayerPerceptronClassificationModel
+        return MultilayerPerceptronClassificationModel.load(f"{self.path}/round-{round_}")
+
+    def add(self, round_: int, model, loss: float, accuracy: float, seconds: float) -> None:
+        model.write().overwrite().save(f"{self.path}/round-{round_}")
+        self.spark.createDataFrame([(round_, seconds)], "round int, seconds double").coalesce(1).write.mode("append").parquet(f"{self.path}/times")
+        # the scores last: a round counts once its model is stored
+        self.spark.createDataFrame([(round_, loss, accuracy)], self.SCORES).coalesce(1).write.mode("append").parquet(f"{self.path}/scores")
+
+    def verdict(self, patience: int, rounds: int):
+        """Row of ``stopping`` (None before the first round)."""
+        return stopping(self.scores().withColumn("run", F.lit(1)), ["run"], patience=patience, rounds=rounds).first()
+
+
+def fit_rounds(train: DataFrame, valid: DataFrame, path: str, layers: list[int], features: str = "vec", label: str = "label",
+               rounds: int = ROUNDS, patience: int = PATIENCE, iterations: int = 4, seed: int = 7):
+    """M5 + M6: a network trained in rounds of ``iterations`` passes over ``train``, each
+    starting from the weights of the one before, validated after each; stops and
+    picks by ``stopping``. Returns (best model, ``Rounds``). ``train`` and ``valid``
+    should be stored tables."""
+    import time
+
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    run = Rounds(train.sparkSession, path)
+    now = run.verdict(patience, rounds)
+    done = now.stopped_at if now else 0
+    weights = run.model(done).weights if done else None
+    while not (now and (now.early or done >= rounds)):
+        begin = time.monotonic()
+        net = MultilayerPerceptronClassifier(layers=layers, featuresCol=features, labelCol=label, maxIter=iterations, seed=seed)
+        model = (net.setInitialWeights(weights) if weights is not None else net).fit(train)
+        scores = evaluate(model.transform(valid), label)
+        done, weights = done + 1, model.weights
+        run.add(done, model, float(scores["logLoss"]), float(scores["accuracy"]), time.monotonic() - begin)
+        now = run.verdict(patience, rounds)
+    return run.model(now.best_round), run

@@ -1,20 +1,28 @@
 """Operators for groups and keys of any size: range-cut scans (W1, W2, W4, W11),
-heavy-key joins (J5), co-located storage (S1, S5, C7)."""
+heavy-key joins (J5), co-located storage (S1, S5, C7),
+as-of joins on unequal times (J6), bucketed padding (N3, N4), early stopping (M6)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from seqwise.operators.heavy import heavy_join, heavy_keys, key_summary, merged
+from seqwise.operators.join import asof_join
+from seqwise.operators.sequence import bucket_lengths, length_histogram, pad_steps, padding_report, step_windows
 from seqwise.operators.scan import Scan, prefix_scan
 from seqwise.plans.features import build_features, enrich_events
-from seqwise.queries._common import rounded
+from seqwise.plans.model import evaluate, fit_rounds, stopping
+from seqwise.queries._common import rnd, rounded
 from seqwise.queries._sql import with_plays
 from seqwise.queries.features import DOUBLES, ENRICH_CTES, ENRICH_OUT, MIN_SEASON, TEST_SEASON, _round_cols
 from seqwise.queries.features import ORACLE as FEATURE_ORACLE
+from seqwise.queries.model import CLASSES, window_table
 from seqwise.queries.rates import CFG
-from seqwise.session import materialize
-from seqwise.sources.fixtures import players, plays_colocated, plays_table as plays
+from seqwise.queries.sequence import EV, KEYS, WIN, _scalars, steps
+from seqwise.session import checkpoint_dir, materialize
+from seqwise.sources.fixtures import events, players, plays_colocated, plays_table as plays
 
 # a group with more rows is cut by ranges of its order column; small, so that the
 # nations of the test tables are cut at every scale factor
@@ -64,7 +72,84 @@ def q_feature_table_colocated(spark, sf):
     return rounded(build_features(plays_colocated(spark, sf), players(spark, sf), CFG, MIN_SEASON, TEST_SEASON))
 
 
+def q_asof_join(spark, sf):
+    """J6 on unequal times: every event with the state its entity had after the last
+    drive that ended before it; the state is at most 40,000 keys old."""
+    p = _ordered(spark, sf)
+    ends = p.groupBy("posteam", "drive").agg(F.count(F.lit(1)).alias("n"), F.sum("epa").alias("epa"))
+    ends = ends.withColumn("ended", (F.col("drive") * 64 + 40).cast("bigint"))
+    return asof_join(p.select("posteam", "event_key"), ends, ["posteam"], "event_key", "ended",
+                     {"last_end": "ended", "last_events": "n", "last_epa": "epa"}, tolerance=40_000, max_rows=MAX_ROWS)
+
+
+def q_asof_join_next(spark, sf):
+    """The other direction: the first event of the opponent side strictly after each event."""
+    p = plays(spark, sf).select("posteam", "defteam", F.expr(EVENT_KEY).cast("bigint").alias("event_key"))
+    other = p.select(F.col("posteam").alias("defteam"), F.col("event_key").alias("next_key"))
+    return asof_join(p, other, ["defteam"], "event_key", "next_key", {"answer": "next_key"}, allow_equal=False, forward=True,
+                     max_rows=MAX_ROWS)
+
+
+FACTOR = 1.25
+
+
+def _bucketed(spark, sf, side):
+    return pad_steps(steps(spark, sf), KEYS, bucket_lengths(length_histogram(events(spark, sf), KEYS, FACTOR)), side)
+
+
+def q_pad_bucketed(spark, sf):
+    """N4 by the bucket plan: a user is padded to the longest of those of a like length."""
+    return _scalars(_bucketed(spark, sf, "left")).select(*KEYS, "pos", "length", "value", "hr", "label", "is_pad")
+
+
+def q_windows_bucketed(spark, sf):
+    """N5, N6 over bucketed steps: all windows whose target is an event."""
+    w = step_windows(_bucketed(spark, sf, "right"), KEYS, WIN, F.col("length"), truncate_tail=False, padding="drop")
+    return w.select(*KEYS, "window_index", F.transform("features", lambda v: v[0])[0].alias("first_value"), "label")
+
+
+def q_padding_report(spark, sf):
+    return padding_report(length_histogram(events(spark, sf), KEYS, FACTOR))
+
+
+def _score_table(spark, sf):
+    """A run of scores for every user: its events as rounds."""
+    e = _rounds(events(spark, sf))
+    return e.select("user_id", "round", (F.col("value") / 10).alias("valid_loss"),
+                    F.when(F.col("event_id") % 17 != 0, (F.col("event_id") * 37 % 101).cast("double")).alias("valid_accuracy"))
+
+
+def _rounds(e):
+    return prefix_scan(e, ["user_id"], ["event_id"], {"round": Scan("number")})
+
+
+def q_early_stopping(spark, sf):
+    """M6: the stopping round and the kept round of many score lists."""
+    return rounded(stopping(_score_table(spark, sf), ["user_id"]))
+
+
+def q_train_early_stop(spark, sf):
+    """A network trained in stored, warm-started rounds; the scores of every
+    round, which one is kept, and its test scores."""
+    w = materialize(window_table(spark, sf), spark, "windows")
+    train, valid, test = (w.filter(F.col("split") == s) for s in ("train", "valid", "test"))
+    width = len(w.select("vec").first().vec)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/rounds-{uuid.uuid4().hex}"
+    model, run = fit_rounds(train, valid, path, [width, 16, len(CLASSES)])
+    kept = run.verdict(5, 25).best_round
+    scores = evaluate(model.transform(test))
+    return run.scores().withColumns({"kept": F.col("round") == kept, "test_loss": F.when(F.col("round") == kept, scores["logLoss"]),
+                                     "test_accuracy": F.when(F.col("round") == kept, scores["accuracy"])})
+
+
 QUERIES = {
+    "asof_join": q_asof_join,
+    "asof_join_next": q_asof_join_next,
+    "pad_bucketed": q_pad_bucketed,
+    "windows_bucketed": q_windows_bucketed,
+    "padding_report": q_padding_report,
+    "early_stopping": q_early_stopping,
+    "train_early_stop": q_train_early_stop,
     "feature_table_colocated": q_feature_table_colocated,
     "heavy_actor_join": q_heavy_actor_join,
     "heavy_enriched": q_heavy_enriched,
@@ -76,7 +161,37 @@ _W = "(partition by posteam order by event_key rows between {} and {})"
 _UP, _DOWN = _W.format("unbounded preceding", "current row"), _W.format("current row", "unbounded following")
 _KEYED = f"keyed as (select *, cast({EVENT_KEY} as bigint) as event_key from plays)"
 
+_BUCKETED = EV + f""", bk as (select *, max(n) over (partition by bin) as blen from (
+    select *, cast(floor(ln(n) / ln({FACTOR}::double) + 1e-9) as int) as bin from seq) b)"""
+
 ORACLE = {
+    "asof_join": with_plays(
+        "select posteam, event_key, case when event_key - ended <= 40000 then ended end as last_end, "
+        "case when event_key - ended <= 40000 then n end as last_events, case when event_key - ended <= 40000 then e_epa end as last_epa "
+        "from (select k.posteam, k.event_key, d.ended, d.n, d.e_epa from keyed k asof left join ends d "
+        "on k.posteam = d.posteam and k.event_key >= d.ended) j",
+        _KEYED + ", ends as (select posteam, drive, cast(drive * 64 + 40 as bigint) as ended, count(*) as n, "
+        "cast(sum(epa) as bigint) as e_epa from plays group by posteam, drive)"),
+    "asof_join_next": with_plays(
+        "select k.posteam, k.defteam, k.event_key, o.next_key as answer from keyed k asof left join "
+        "(select posteam, event_key as next_key from keyed) o on k.defteam = o.posteam and k.event_key < o.next_key", _KEYED),
+    "pad_bucketed": _BUCKETED + """ select user_id, cast(q as int) as pos, cast(blen as int) as length, q < blen - n as is_pad,
+        case when q >= blen - n then x0[q - (blen - n) + 1] else 0.0 end as value,
+        case when q >= blen - n then x1[q - (blen - n) + 1] else 0.0 end as hr,
+        case when q >= blen - n then y[q - (blen - n) + 1] else 0 end as label from bk, generate_series(0, blen - 1) g(q)""",
+    "windows_bucketed": EV + f""" select user_id, cast(i as int) as window_index, x0[i + 1] as first_value, y[i + {WIN} + 1] as label
+        from seq, generate_series(0, n - {WIN} - 1) g(i)""",
+    "padding_report": _BUCKETED + """ select cast(count(*) as bigint) as keys, cast(sum(n) as bigint) as steps, 'bucketed' as plan,
+        cast(sum(blen - n) as bigint) as pad_rows from bk
+        union all select count(*), cast(sum(n) as bigint), 'longest', cast(sum(len - n) as bigint) from bk""",
+    "early_stopping": f"""with s as (select user_id, row_number() over (partition by user_id order by event_id) as r, value / 10 as loss,
+          case when event_id % 17 <> 0 then cast(event_id * 37 % 101 as double) end as acc from events),
+        b as (select *, acc is not null and acc > coalesce(max(acc) over (partition by user_id order by r
+                rows between unbounded preceding and 1 preceding), -1) as better from s where r <= 25),
+        w as (select *, r - coalesce(max(case when better then r end) over (partition by user_id order by r), 0) as wait from b),
+        e as (select *, min(case when wait >= 5 then r end) over (partition by user_id) as stop from w)
+        select user_id, cast(max(r) as int) as stopped_at, cast(arg_min(r, loss * 1000 + r / 1000000.0) as int) as best_round,
+          {rnd('min(loss)')} as best_loss, max(stop) is not null as early from e where stop is null or r <= stop group by user_id""",
     "feature_table_colocated": FEATURE_ORACLE["feature_table"],
     "heavy_actor_join": with_plays(
         "select p.drive, p.play_id, p.passer, p.season, a.n_events, a.sum_epa from plays p left join "

@@ -51,4 +51,4 @@ def test_entry_smoke(spark):
 def test_every_query_has_an_oracle_or_is_training():
     from seqwise.queries import all_oracles, all_queries
     missing = set(all_queries()) - set(all_oracles())
-    assert missing <= {"train_eval_lr", "train_eval_rf", "test_confusion", "pipeline_train"}
+    assert missing <= {"train_eval_lr", "train_eval_rf", "test_confusion", "pipeline_train", "train_early_stop"}
