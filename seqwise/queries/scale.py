@@ -1,6 +1,7 @@
 """Operators for groups and keys of any size: range-cut scans (W1, W2, W4, W11),
 heavy-key joins (J5), co-located storage (S1, S5, C7),
-as-of joins on unequal times (J6), bucketed padding (N3, N4), early stopping (M6)."""
+as-of joins on unequal times (J6), bucketed padding (N3, N4), early stopping (M6),
+appended periods (C1-C3)."""
 
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ from seqwise.operators.heavy import heavy_join, heavy_keys, key_summary, merged
 from seqwise.operators.join import asof_join
 from seqwise.operators.sequence import bucket_lengths, length_histogram, pad_steps, padding_report, step_windows
 from seqwise.operators.scan import Scan, prefix_scan
+from seqwise.plans.append import RateStore
 from seqwise.plans.features import build_features, enrich_events
 from seqwise.plans.model import evaluate, fit_rounds, stopping
 from seqwise.queries._common import rnd, rounded
@@ -19,7 +21,8 @@ from seqwise.queries._sql import with_plays
 from seqwise.queries.features import DOUBLES, ENRICH_CTES, ENRICH_OUT, MIN_SEASON, TEST_SEASON, _round_cols
 from seqwise.queries.features import ORACLE as FEATURE_ORACLE
 from seqwise.queries.model import CLASSES, window_table
-from seqwise.queries.rates import CFG
+from seqwise.queries.rates import CFG, asof_sql
+from seqwise.queries.rates import ORACLE as RATE_ORACLE
 from seqwise.queries.sequence import EV, KEYS, WIN, _scalars, steps
 from seqwise.session import checkpoint_dir, materialize
 from seqwise.sources.fixtures import events, players, plays_colocated, plays_table as plays
@@ -142,7 +145,28 @@ def q_train_early_stop(spark, sf):
                                      "test_accuracy": F.when(F.col("round") == kept, scores["accuracy"])})
 
 
+def _appended(spark, sf, side, prefix):
+    """The events in four batches of periods, each added to the store of the ones before."""
+    store = RateStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/rates-{uuid.uuid4().hex}", side, prefix, CFG)
+    at = F.col("season") * 100 + F.col("week")
+    for low, high in ((0, 199605), (199605, 199812), (199812, 200006), (200006, 10 ** 9)):
+        store.append(plays(spark, sf).filter((at > low) & (at <= high)))
+    return store
+
+
+def q_asof_appended(spark, sf):
+    """C1-C3 unfilled, from appended periods."""
+    return rounded(_appended(spark, sf, "posteam", "pt_").unfilled())
+
+
+def q_asof_appended_filled(spark, sf):
+    """C1-C3 of the other side with the season fill, from appended periods."""
+    return rounded(_appended(spark, sf, "defteam", "dt_").filled())
+
+
 QUERIES = {
+    "asof_appended": q_asof_appended,
+    "asof_appended_filled": q_asof_appended_filled,
     "asof_join": q_asof_join,
     "asof_join_next": q_asof_join_next,
     "pad_bucketed": q_pad_bucketed,
@@ -165,6 +189,8 @@ _BUCKETED = EV + f""", bk as (select *, max(n) over (partition by bin) as blen f
     select *, cast(floor(ln(n) / ln({FACTOR}::double) + 1e-9) as int) as bin from seq) b)"""
 
 ORACLE = {
+    "asof_appended": RATE_ORACLE["asof_unfilled"],
+    "asof_appended_filled": asof_sql("defteam", "dt_"),
     "asof_join": with_plays(
         "select posteam, event_key, case when event_key - ended <= 40000 then ended end as last_end, "
         "case when event_key - ended <= 40000 then n end as last_events, case when event_key - ended <= 40000 then e_epa end as last_epa "
