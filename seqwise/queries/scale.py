@@ -1,7 +1,7 @@
 """Operators for groups and keys of any size: range-cut scans (W1, W2, W4, W11),
 heavy-key joins (J5), co-located storage (S1, S5, C7),
 as-of joins on unequal times (J6), bucketed padding (N3, N4), early stopping (M6),
-appended periods (C1-C3)."""
+appended periods (C1-C3), stored quantile summaries (W9, W10), the lookup reader (S2)."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from seqwise.operators.heavy import heavy_join, heavy_keys, key_summary, merged
-from seqwise.operators.join import asof_join
+from seqwise.operators.join import asof_join, lookup
+from seqwise.operators.quantile import exact_quantiles, quantile_summary
 from seqwise.operators.sequence import bucket_lengths, length_histogram, pad_steps, padding_report, step_windows
 from seqwise.operators.scan import Scan, prefix_scan
 from seqwise.plans.append import RateStore
@@ -26,6 +27,7 @@ from seqwise.queries.rates import ORACLE as RATE_ORACLE
 from seqwise.queries.sequence import EV, KEYS, WIN, _scalars, steps
 from seqwise.session import checkpoint_dir, materialize
 from seqwise.sources.fixtures import events, players, plays_colocated, plays_table as plays
+from seqwise.sources.io import read_lookup
 
 # a group with more rows is cut by ranges of its order column; small, so that the
 # nations of the test tables are cut at every scale factor
@@ -164,7 +166,26 @@ def q_asof_appended_filled(spark, sf):
     return rounded(_appended(spark, sf, "defteam", "dt_").filled())
 
 
+def q_quantiles_from_summaries(spark, sf):
+    """Quantiles per entity over a set of seasons, bracketed by sketches stored per season."""
+    cols = ["epa", "wind", "air_yards"]
+    p = plays(spark, sf).select("posteam", "season", *cols)
+    stored = materialize(quantile_summary(p, ["posteam", "season"], cols), name="quantile_summaries")
+    recent = F.col("season") >= 1998
+    return rounded(exact_quantiles(p.filter(recent), ["posteam"], cols, 0.35, prefix="q_", stage=False,
+                                   summary=stored.filter(recent)))
+
+
+def q_lookup_reader(spark, sf):
+    """S2 + J4: the names read as a dimension with an explicit schema, joined to the events."""
+    names = read_lookup(spark, f"{sf}/supplier.parquet", "s_suppkey bigint, s_name string")
+    p = plays(spark, sf).select("drive", "play_id", "passer")
+    return lookup(p, names, "passer", "s_suppkey", ["s_name"])
+
+
 QUERIES = {
+    "quantiles_from_summaries": q_quantiles_from_summaries,
+    "lookup_reader": q_lookup_reader,
     "asof_appended": q_asof_appended,
     "asof_appended_filled": q_asof_appended_filled,
     "asof_join": q_asof_join,
@@ -189,6 +210,10 @@ _BUCKETED = EV + f""", bk as (select *, max(n) over (partition by bin) as blen f
     select *, cast(floor(ln(n) / ln({FACTOR}::double) + 1e-9) as int) as bin from seq) b)"""
 
 ORACLE = {
+    "quantiles_from_summaries": with_plays(
+        "select posteam, " + ", ".join(f"{rnd(f'quantile_cont(cast({c} as double), 0.35)')} as q_{c}" for c in ("epa", "wind", "air_yards"))
+        + " from plays where season >= 1998 group by posteam"),
+    "lookup_reader": with_plays("select p.drive, p.play_id, p.passer, s.s_name from plays p left join supplier s on p.passer = s.s_suppkey"),
     "asof_appended": RATE_ORACLE["asof_unfilled"],
     "asof_appended_filled": asof_sql("defteam", "dt_"),
     "asof_join": with_plays(
