@@ -1,7 +1,8 @@
 """Operators for groups and keys of any size: range-cut scans (W1, W2, W4, W11),
 heavy-key joins (J5), co-located storage (S1, S5, C7),
 as-of joins on unequal times (J6), bucketed padding (N3, N4), early stopping (M6),
-appended periods (C1-C3), stored quantile summaries (W9, W10), the lookup reader (S2)."""
+appended periods (C1-C3), stored quantile summaries (W9, W10), the lookup reader (S2),
+audits observed while writing (A9-A11)."""
 
 from __future__ import annotations
 
@@ -13,13 +14,14 @@ from seqwise.operators.heavy import heavy_join, heavy_keys, key_summary, merged
 from seqwise.operators.join import asof_join, lookup
 from seqwise.operators.quantile import exact_quantiles, quantile_summary
 from seqwise.operators.sequence import bucket_lengths, length_histogram, pad_steps, padding_report, step_windows
+from seqwise.operators.split import rule_split
 from seqwise.operators.scan import Scan, prefix_scan
 from seqwise.plans.append import RateStore
 from seqwise.plans.features import build_features, enrich_events
 from seqwise.plans.model import evaluate, fit_rounds, stopping
 from seqwise.queries._common import rnd, rounded
 from seqwise.queries._sql import with_plays
-from seqwise.queries.features import DOUBLES, ENRICH_CTES, ENRICH_OUT, MIN_SEASON, TEST_SEASON, _round_cols
+from seqwise.queries.features import DOUBLES, ENRICH_CTES, ENRICH_OUT, MIN_SEASON, SPLIT_EXPR, TEST_SEASON, _round_cols
 from seqwise.queries.features import ORACLE as FEATURE_ORACLE
 from seqwise.queries.model import CLASSES, window_table
 from seqwise.queries.rates import CFG, asof_sql
@@ -27,7 +29,7 @@ from seqwise.queries.rates import ORACLE as RATE_ORACLE
 from seqwise.queries.sequence import EV, KEYS, WIN, _scalars, steps
 from seqwise.session import checkpoint_dir, materialize
 from seqwise.sources.fixtures import events, players, plays_colocated, plays_table as plays
-from seqwise.sources.io import read_lookup
+from seqwise.sources.io import distinct_estimate, distinct_summary, read_lookup, write_splits_audited
 
 # a group with more rows is cut by ranges of its order column; small, so that the
 # nations of the test tables are cut at every scale factor
@@ -183,7 +185,37 @@ def q_lookup_reader(spark, sf):
     return lookup(p, names, "passer", "s_suppkey", ["s_name"])
 
 
+def _audited(spark, sf):
+    p = plays(spark, sf).select("drive", "season", "week", "game_id", "passer", "down", "air_yards", "temp")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/audited-{uuid.uuid4().hex}"
+    return write_splits_audited(rule_split(p, "season", "week", MIN_SEASON, TEST_SEASON), path, "game_id")
+
+
+def q_audit_while_writing(spark, sf):
+    """A11 of the written splits, observed by the write."""
+    return _audited(spark, sf)[0]
+
+
+def q_splits_while_writing(spark, sf):
+    """A10: rows of each split, observed by the write."""
+    return _audited(spark, sf)[1].select("split", "rows")
+
+
+def q_distinct_summaries(spark, sf):
+    """Distinct games of the recent seasons from sketches stored per season, beside the
+    exact count: within 2 %."""
+    stored = materialize(distinct_summary(plays(spark, sf), ["season"], "game_id"), name="distinct_summaries")
+    recent = F.col("season") >= 1998
+    exact = plays(spark, sf).filter(recent).select("game_id").distinct().agg(F.count("*").alias("n_exact"))
+    guess = distinct_estimate(stored.filter(recent))
+    both = exact.withColumn("k", F.lit(1)).join(guess.withColumn("k", F.lit(1)), "k")
+    return both.select("n_exact", (F.abs(F.col("n") - F.col("n_exact")) <= 0.02 * F.col("n_exact")).alias("within"))
+
+
 QUERIES = {
+    "audit_while_writing": q_audit_while_writing,
+    "splits_while_writing": q_splits_while_writing,
+    "distinct_summaries": q_distinct_summaries,
     "quantiles_from_summaries": q_quantiles_from_summaries,
     "lookup_reader": q_lookup_reader,
     "asof_appended": q_asof_appended,
@@ -209,7 +241,14 @@ _KEYED = f"keyed as (select *, cast({EVENT_KEY} as bigint) as event_key from pla
 _BUCKETED = EV + f""", bk as (select *, max(n) over (partition by bin) as blen from (
     select *, cast(floor(ln(n) / ln({FACTOR}::double) + 1e-9) as int) as bin from seq) b)"""
 
+_SPLIT = f"sp as (select * from (select *, {SPLIT_EXPR} as split from plays where season >= {MIN_SEASON}) t where split is not null)"
+_AUDITED = ["drive", "season", "week", "game_id", "passer", "down", "air_yards", "temp", "split"]
+
 ORACLE = {
+    "audit_while_writing": with_plays(" union all ".join(
+        f"select '{c}' as column_name, count(*) filter (where {c} is null) as n_null from sp" for c in _AUDITED), _SPLIT),
+    "splits_while_writing": with_plays("select split, count(*) as rows from sp group by split", _SPLIT),
+    "distinct_summaries": with_plays("select count(distinct game_id) as n_exact, true as within from plays where season >= 1998"),
     "quantiles_from_summaries": with_plays(
         "select posteam, " + ", ".join(f"{rnd(f'quantile_cont(cast({c} as double), 0.35)')} as q_{c}" for c in ("epa", "wind", "air_yards"))
         + " from plays where season >= 1998 group by posteam"),
