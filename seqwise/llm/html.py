@@ -11,10 +11,17 @@ shows its summary only. Formulas show their text without annotations, drawings
 and ``select`` all its options, each on a line, if ``options`` is set. Blocks stand on lines of their own, paragraphs, headings,
 lists and tables with an empty line around; list items have a bullet or number
 and are indented by depth; white space is collapsed except in ``pre``; the cells
-of a table are aligned in columns.
+of a table are aligned in columns, wide characters counting two: a cell over
+several columns widens them if it must, one over several rows stands in the
+first and keeps its columns free below.
 
-Everything works on an explicit stack, so deep nesting costs memory only, and
-in one pass over the whole page.
+Style sheets (``style`` elements, all or screen media) hide what their rules of
+plain selectors (element, classes, id) say, from the sheet on; the last rule of
+a selector counts, and a ``display`` or ``visibility`` of the element's own style goes before.
+Rules with combinators or pseudo-classes, or inside at-rules, are passed over.
+
+Everything works on an explicit stack with the places of its open elements by
+tag, in one pass over the whole page: a tag costs the same at any depth.
 
 Defined results: null or empty pages give empty text; repeated rows are rendered
 row by row; extra columns stay (one named like an output is replaced).
@@ -24,6 +31,8 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -65,6 +74,38 @@ IMPLIED = {
 }
 SCOPE = {"td", "th", "table", "caption", "html", "button"}
 
+SHOWING = re.compile(r"(?:^|;)\s*(?:display|visibility)\s*:", re.I)
+SELECTOR = re.compile(r"([a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)")
+COLUMNS, ROWS_MOST = 1000, 65534                   # the bounds that HTML sets on spans
+
+
+def width_of(line: str) -> int:
+    """Columns that a line takes: wide characters two, combining marks none."""
+    if line.isascii():
+        return len(line)
+    return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in line)
+
+
+def style_rules(css: str) -> Iterator[tuple[str, str]]:
+    """(selector, declarations) of the rules of a sheet outside of at-rules."""
+    css = re.sub(r"/\*.*?(?:\*/|\Z)", " ", css, flags=re.S)
+    depth, begin, body = 0, 0, 0
+    for m in re.finditer("[{};]", css):
+        if m[0] == "{":
+            if not depth:
+                body = m.end()
+            depth += 1
+        elif m[0] == "}":
+            depth = max(0, depth - 1)
+            if not depth:
+                head, _, _ = css[begin:body].rpartition("{")
+                if head.strip() and not head.lstrip().startswith("@"):
+                    for one in head.split(","):
+                        yield one.strip(), css[body:m.start()]
+                begin = body = m.end()
+        elif not depth:
+            begin = body = m.end()
+
 
 class Lines:
     """Lines of one flow of text: the page or one table cell."""
@@ -74,7 +115,7 @@ class Lines:
         self.now: list[str] = []
         self.blank = False                         # the current line ends with a space or is empty
         self.gap = 0                               # empty lines wanted before the next text
-        self.indent = ""
+        self.indent = 0
         self.marker = ""
 
     def text(self, s: str) -> None:
@@ -92,10 +133,8 @@ class Lines:
             if self.gap and self.done:
                 self.done += [""] * self.gap
             self.gap = 0
-            lead = self.indent
-            if self.marker:
-                lead = self.indent[:len(self.indent) - len(self.marker)] + self.marker
-                self.marker = ""
+            lead = " " * (self.indent - len(self.marker)) + self.marker
+            self.marker = ""
             self.done.append((lead + line).rstrip(" "))
 
     def margin(self, n: int) -> None:
@@ -116,17 +155,63 @@ class Lines:
 
 class Table:
     def __init__(self):
-        self.rows: list[list[Lines]] = []
+        self.rows: list[list[tuple[Lines, int, int]]] = []     # cells (content, columns, rows)
+        self.sections: set[int] = set()            # rows that begin a section: no cell reaches into it from above
         self.caption = Lines()
 
+    def placed(self) -> list[list[tuple[int, int, list[str]]]]:
+        """Cells (first column, column after it, lines) of every row."""
+        out = []
+        taken: list[tuple[int, int, int]] = []     # columns [a, b) taken up to a row, in order
+        for r, row in enumerate(self.rows):
+            taken = [] if r in self.sections else [t for t in taken if t[2] > r]
+            cells, more, at, k = [], [], 0, 0
+            for flow, columns, rows in row:
+                while k < len(taken) and taken[k][0] <= at:
+                    at = max(at, taken[k][1])
+                    k += 1
+                cells.append((at, at + columns, flow.finished()))
+                if rows != 1:
+                    last = r + rows if rows else len(self.rows)
+                    if more and more[-1][1] == at and more[-1][2] == last:
+                        more[-1] = (more[-1][0], at + columns, last)
+                    else:
+                        more.append((at, at + columns, last))
+                at += columns
+            if more:
+                taken = sorted(taken + more)
+            out.append(cells)
+        return out
+
     def rendered(self) -> list[str]:
-        cells = [[c.finished() for c in row] for row in self.rows]
-        columns = max(map(len, cells), default=0)
-        width = [max((len(x) for row in cells if k < len(row) for x in row[k]), default=0) for k in range(columns)]
+        rows = self.placed()
+        # only columns in which a cell begins take room
+        begins = sorted({a for row in rows for a, _, _ in row})
+        number = {a: k for k, a in enumerate(begins)}
+        width = [0] * len(begins)
+        wide = []
+        for row in rows:
+            for a, b, lines in row:
+                need = max(map(width_of, lines), default=0)
+                first, after = number[a], bisect_right(begins, b - 1)
+                if after - first == 1:
+                    width[first] = max(width[first], need)
+                elif need:
+                    wide.append((after - first, first, after, need))
+        for _, first, after, need in sorted(wide):  # the last column makes up what is missing
+            width[after - 1] += max(0, need - sum(width[first:after]) - 2 * (after - first - 1))
+        start = [0]
+        for w in width:
+            start.append(start[-1] + w + 2)
         out = self.caption.finished()
-        for row in cells:
-            for i in range(max(map(len, row), default=0)):
-                out.append("  ".join((c[i] if i < len(c) else "").ljust(width[k]) for k, c in enumerate(row)).rstrip())
+        for row in rows:
+            for i in range(max((len(lines) for _, _, lines in row), default=0)):
+                parts, filled = [], 0
+                for a, _, lines in row:
+                    if i < len(lines) and lines[i]:
+                        parts += [" " * (start[number[a]] - filled), lines[i]]
+                        filled = max(filled, start[number[a]]) + width_of(lines[i])
+                out.append("".join(parts).rstrip())
         return out
 
 
@@ -136,6 +221,8 @@ class Renderer:
         self.drawings: list[int] = []              # open svg elements: open text elements of each
         self.formulas = 0
         self.stack: list[tuple[str, object]] = []  # open elements: (tag, what to restore)
+        self.places: dict[str, list[int]] = {}     # places of the open elements of a tag, ascending
+        self.sheet: dict[str, dict[tuple, bool]] = {}   # id, class or tag -> selectors with it: do they hide
         self.flows = [Lines()]
         self.tables: list[Table] = []
         self.hidden = 0                            # open elements that hide
@@ -146,51 +233,48 @@ class Renderer:
     def close(self, to: int) -> None:
         """End the open elements from place ``to`` on."""
         while len(self.stack) > to:
-            self.leave(*self.stack.pop())
+            tag, kept = self.stack.pop()
+            self.places[tag].pop()
+            self.leave(tag, kept)
 
-    def innermost(self, tags: set[str], until: set[str]) -> int | None:
+    def last(self, tags: set[str]) -> int:
+        """Place of the innermost open element of ``tags``, or -1."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
+
+    def outermost(self, tags: set[str], until: set[str]) -> int | None:
         """Place of the outermost of ``tags`` that is open inside ``until``."""
-        found = None
-        for k in range(len(self.stack) - 1, -1, -1):
-            tag = self.stack[k][0]
-            if tag in until:
-                break
-            if tag in tags:
-                found = k
-        return found
+        limit = self.last(until)
+        inside = [p[bisect_right(p, limit)] for t in tags if (p := self.places.get(t)) and p[-1] > limit]
+        return min(inside, default=None)
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in IMPLIED:
-            at = self.innermost(*IMPLIED[tag])
+            at = self.outermost(*IMPLIED[tag])
             if at is not None:
                 self.close(at)
         if tag in BLOCK:
-            for k in range(len(self.stack) - 1, -1, -1):   # a block ends an open paragraph of its scope
-                if self.stack[k][0] == "p":
-                    self.close(k)
-                    break
-                if self.stack[k][0] in SCOPE:
-                    break
-        if tag in CELLS and self.tables and self.innermost(ROWS, {"table"}) is None:
+            open_p = self.places.get("p")          # a block ends an open paragraph of its scope
+            if open_p and open_p[-1] > self.last(SCOPE):
+                self.close(open_p[-1])
+        if tag in CELLS and self.tables and self.outermost(ROWS, {"table"}) is None:
             self.start("tr", "")                   # the row is implied
         hides = self.hides(tag, attributes)
         if tag in VOID:
             if not self.hidden and not hides:
                 self.void(tag, attributes)
             return
-        self.stack.append((tag, self.enter(tag, attributes, hides)))
+        kept = self.enter(tag, attributes, hides)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, kept))
         if (self.drawings or self.formulas) and attributes.endswith("/"):
             self.close(len(self.stack) - 1)        # only foreign elements can end themselves
 
     def end(self, tag: str) -> None:
         until = set() if tag in ("table", "body", "html") else {"table"} if tag in CELLS | ROWS | SECTIONS else \
             SCOPE - {tag} if tag != "button" else {"table"}
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                self.close(k)
-                return
-            if self.stack[k][0] in until:
-                return
+        at = self.last({tag})
+        if at > self.last(until):
+            self.close(at)
 
     @staticmethod
     def attributes(s: str) -> dict[str, str]:
@@ -205,12 +289,43 @@ class Renderer:
             return True
         if self.stack and self.stack[-1][0] == "details" and tag != "summary" and self.stack[-1][1] == "shut":
             return True
-        if tag != "dialog" and not attributes.strip(" /"):
+        if tag != "dialog" and tag not in self.sheet and not attributes.strip(" /"):
             return False
         a = self.attributes(attributes)
-        return "hidden" in a or bool(HIDING.search(a.get("style", ""))) or tag == "dialog" and "open" not in a
+        style = a.get("style", "")
+        return "hidden" in a or bool(HIDING.search(style)) or tag == "dialog" and "open" not in a \
+            or bool(self.sheet) and not SHOWING.search(style) and self.hidden_by_sheet(tag, a)
+
+    def hidden_by_sheet(self, tag: str, a: dict[str, str]) -> bool:
+        own, classes = "#" + a.get("id", ""), {"." + c for c in a.get("class", "").split()}
+        return any(hide and of in ("", tag) and parts <= classes | {own}
+                   for key in (own, *classes, tag) for (of, parts), hide in self.sheet.get(key, {}).items())
+
+    def read_sheet(self, attributes: str, css: str) -> None:
+        """Rules of plain selectors that hide, or show again what an earlier one hid."""
+        media = self.attributes(attributes).get("media", "all").strip().lower()
+        if media not in ("", "all", "screen") or self.places.get("template") or self.places.get("noscript"):
+            return
+        for selector, declared in style_rules(css):
+            m = SELECTOR.fullmatch(selector)
+            if m is None or not selector or not SHOWING.search(declared):
+                continue
+            of, parts = (m[1] or "").lower(), frozenset(re.findall(r"[.#][\w-]+", m[2]))
+            ids = sorted(x for x in parts if x[0] == "#")
+            self.sheet.setdefault(ids[0] if ids else min(parts, default=of), {})[of, parts] = bool(HIDING.search(declared))
 
     # rendering
+    def spans(self, attributes: str) -> tuple[int, int]:
+        """(columns, rows) of a cell; no rows: to the end of its section."""
+        if "span" not in attributes.lower():
+            return 1, 1
+        a = self.attributes(attributes)
+
+        def number(name: str, least: int, most: int) -> int:
+            m = re.match(r"[ \t\n\r\f]*\+?([0-9]{1,9})", a.get(name, ""))
+            return 1 if m is None or int(m[1]) < least else min(int(m[1]), most)
+        return number("colspan", 1, COLUMNS), number("rowspan", 0, ROWS_MOST)
+
     @property
     def flow(self) -> Lines:
         return self.flows[-1]
@@ -247,8 +362,12 @@ class Renderer:
             if not self.tables[-1].rows:
                 self.tables[-1].rows.append([])
             self.flows.append(Lines())
-            self.tables[-1].rows[-1].append(self.flow)
+            self.tables[-1].rows[-1].append((self.flow, *self.spans(attributes)))
             return "flow"
+        if tag in SECTIONS and tag not in ("caption", "colgroup") and self.tables:
+            self.tables[-1].sections.add(len(self.tables[-1].rows))
+            self.flow.newline()
+            return None
         if tag == "tr" and self.tables:
             self.tables[-1].rows.append([])
             return None
@@ -267,13 +386,13 @@ class Renderer:
                 marker = f"{self.lists[-1]}. "
                 self.lists[-1] += 1
             before = self.flow.indent
-            self.flow.indent += " " * len(marker)
+            self.flow.indent += len(marker)
             self.flow.marker = marker
             return ("indent", before)
         if tag in ("dd", "blockquote"):
             self.flow.margin(1 if tag in MARGIN else 0)
             before = self.flow.indent
-            self.flow.indent += "  "
+            self.flow.indent += 2
             return ("indent", before)
         if tag == "pre":
             self.flow.margin(1)
@@ -372,6 +491,8 @@ class Renderer:
             if tag in RAW:                         # its content is no markup
                 stop = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
                 begin, at = at, len(source) if stop is None else stop.start()
+                if tag == "style":
+                    self.read_sheet(m[3], source[begin:at])
                 if self.stack and self.stack[-1] == (tag, "raw"):
                     self.raw(tag, source[begin:at])
                 if stop is None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from hashlib import sha256
 
 import numpy as np
@@ -187,6 +188,36 @@ def test_lm_scores_the_words_within_their_shape(spark, head):
     assert all(a > b for a, b, x, y in zip(got[:20], got[20:], real, fake) if x != y) and real != fake
 
 
+def test_lm_words_are_those_of_split():
+    rng = random.Random(4)
+    for _ in range(300):
+        texts = ["".join(rng.choice(["a", "b ", " ", "\n", "　", "é", "\x1c", "cc"]) for _ in range(rng.randint(0, 8)))
+                 for _ in range(rng.randint(0, 5))]
+        kinds, ids, sizes = lm.words_of(texts)
+        assert [kinds[i] for i in ids.tolist()] == [w for t in texts for w in t.split()]
+        assert sizes.tolist() == [len(t.split()) for t in texts]
+
+
+def test_lm_frequent_words_by_search(spark):
+    rng = random.Random(5)
+    n = {f"w{k}": int(rng.paretovariate(0.5)) % 5000 + 1 for k in range(300)}
+    counts = spark.createDataFrame(list(n.items()), "word string, n long").cache()
+    for most in (0, 1, 40, 299, 300, 1000):
+        least = min([x for x in {*n.values(), max(n.values()) + 1} if sum(v >= x for v in n.values()) <= most])
+        got, limit = lm.frequent(counts, most, fan=8)
+        assert got == {w: v for w, v in n.items() if v >= least}
+        assert all((v >= limit) == (v >= least) for v in n.values())
+    assert lm.frequent(counts.limit(0), 10) == ({}, 1)
+
+
+def test_lm_networks_are_averaged_by_words(spark):
+    rows = [(1.0, [0.0, 4.0]), (3.0, [4.0, 0.0]), (4.0, [1.0, 1.0])]
+    got = lm.averaged(spark.createDataFrame(rows, lm.NETWORK).repartition(3), np.zeros(2))
+    assert np.allclose(got, [2.0, 1.0])
+    before = np.array([5.0, 6.0])
+    assert lm.averaged(spark.createDataFrame([], lm.NETWORK), before) is before
+
+
 def test_lm_empty(spark):
     words, network = lm.train(frame(spark, [None]))
     assert words == [] and lm.score(frame(spark, []), words, network).count() == 0
@@ -283,6 +314,43 @@ def test_html_shows_formulas_drawings_and_controls(spark, source, want):
     assert html.render(source, options=True) == want
 
 
+@pytest.mark.parametrize("source, want", [
+    ("<table><tr><th colspan=2>Long heading here<th>C<tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e</table>",
+     "Long heading here  C\na  b               c\n   d               e"),
+    ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a  b\n   c\n   d"),
+    ("<table><tbody><tr><td rowspan=9>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+    ("<table><tr><td>漢字<td>x<tr><td>ab<td>y<tr><td>abcd<td>z</table>", "漢字  x\nab    y\nabcd  z"),
+    ("<table><tr><td colspan=1000>a<td>b<tr><td>c</table>", "a  b\nc"),
+    ("<table><tr><td colspan=x rowspan=-2>a<td>b<tr><td colspan=0>c<td>d</table>", "a  b\nc  d"),
+    ("<table><tr><td rowspan=2>a<td>b<td rowspan=2>c<tr><td>d</table>", "a  b  c\n   d"),
+])
+def test_html_spans(source, want):
+    assert html.render(source) == want
+
+
+@pytest.mark.parametrize("source, want", [
+    ("<style>.no{display:none}</style><p class='a no'>x</p><p class=a>y", "y"),
+    ("<style>p#q, i.a.b { visibility : hidden }</style><p id=q>x</p><p id=r>y <i class=a>z</i><i class='b a'>no</i>", "y z"),
+    ("<style>/* .a{display:none} */ @media print {.a{display:none} .b{display:none}} @import url(x); .c{display:none}</style>"
+     "<p class=a>a<p class=b>b<p class=c>c", "a\n\nb"),
+    ("<style media=print>p{display:none}</style><p>x", "x"),
+    ("<style>.no{display:none}</style><b class=no style='display:inline'>x</b><style>.no{display:block}</style><b class=no>y", "xy"),
+    ("<head><style>aside{display:none}</style></head><aside>no<b>no</b></aside>yes", "yes"),
+    ("<template><style>p{display:none}</style></template><p>x", "x"), ("<style>p > b, p:hover{display:none}</style><p><b>x", "x"),
+    ("<style>p{display:none", ""), ("<style>}{p{display:none}}</style><p>x", "x"),
+])
+def test_html_style_sheets(source, want):
+    assert html.render(source) == want
+
+
+@pytest.mark.parametrize("tag", ["div", "p", "li", "td", "blockquote", "span", "tr"])
+def test_html_depth_costs_no_search(tag):
+    began = time.process_time()
+    assert html.render(f"<{tag}>" * 50_000 + "x" + f"</{tag}>" * 50_000).strip("- ") == "x"
+    assert html.render("<div>" * 20_000 + "<li>x" * 20_000).count("x") == 20_000
+    assert time.process_time() - began < 20               # a search through the stack takes minutes
+
+
 def test_html_frame_shows_options(spark):
     pages = spark.createDataFrame([(1, "<select><option>x</select>y")], "page_id long, html string")
     assert html.extract(pages, keep=["page_id"]).first().text == "x\ny"
