@@ -103,14 +103,13 @@ def threshold(scored: DataFrame) -> int:
     thousand bins: a mean log ratio is bounded by the smoothing."""
     hist = scored.groupBy("bin").agg(F.sum(F.when(F.col("verdict") == "allow", F.col("n")).otherwise(0)).alias("a"),
                                      F.sum(F.when(F.col("verdict") == "block", F.col("n")).otherwise(0)).alias("b"))
-    hist.createOrReplaceTempView("url_bins")
     got = hist.sparkSession.sql("""
         WITH e AS (SELECT bin, sum(a) OVER (ORDER BY bin) - a AS missed,
                           sum(b) OVER (ORDER BY bin DESC) AS passed,
-                          sum(a) OVER () AS na, sum(b) OVER () AS nb FROM url_bins),
+                          sum(a) OVER () AS na, sum(b) OVER () AS nb FROM {bins}),
         r AS (SELECT bin, missed / greatest(na, 1) + passed / greatest(nb, 1) AS err FROM e)
         SELECT cast(floor((min(bin) + max(bin)) / 2) AS int) AS bin
-        FROM r WHERE err = (SELECT min(err) FROM r)""").first()
+        FROM r WHERE err = (SELECT min(err) FROM r)""", bins=hist).first()
     return 0 if got is None or got.bin is None else got.bin
 
 
