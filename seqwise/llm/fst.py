@@ -19,7 +19,9 @@ into a cascade of two deterministic transducers.
    the token before it. States are determinised on demand and kept by the
    worker process, bounded by ``max_states`` (then the table starts anew).
    Every cut resets it, so a chunk's map is constant beyond its first cut:
-   lanes begin at cuts and need no entry state.
+   lanes begin at cuts and need no entry state. In a long piece without a cut
+   lanes begin anywhere; their maps, kept for the few live entry states, are
+   composed by the same prefix scan.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; strings of the
 added tokens inside a text count one token each, as the library's default does;
@@ -131,7 +133,7 @@ def prefix_scan(maps: np.ndarray) -> np.ndarray:
         later[step:] = np.take_along_axis(scan[step:], scan[:-step].astype(np.int64), axis=1)
         scan, step = later, step * 2
     out = np.empty_like(scan)
-    out[0] = np.arange(N_STATES)
+    out[0] = np.arange(maps.shape[1])
     out[1:] = scan[:-1]
     return out
 
@@ -242,37 +244,94 @@ class Merger:
         self.next[byte, state] = at + 1
         self.delta[byte, state] = change
 
-    def run(self, data: np.ndarray, begins: np.ndarray, lane: int = 512) -> np.ndarray:
-        """Annotation of every byte of ``data``; ``begins`` marks cuts (the
-        first byte is one). Lanes of about ``lane`` bytes begin at cuts."""
-        if len(self.states) > 0.9 * self.max_states:
-            self.reset()
-        n = len(data)
-        out = np.zeros(n, np.int16)
-        at = np.flatnonzero(begins)
-        wanted = np.arange(0, n, lane)
-        first = np.searchsorted(at, wanted)
-        lanes = np.unique(at[first[first < len(at)]])
-        length = np.diff(np.append(lanes, n))
+    def walk(self, data: np.ndarray, begins: np.ndarray, lanes: np.ndarray, length: np.ndarray, state: np.ndarray,
+             out: np.ndarray | None = None) -> np.ndarray:
+        """Exit states of lanes (begin, length) entered in ``state``, in lock
+        step; the annotations of their bytes go to ``out``."""
         order = np.argsort(-length, kind="stable")
-        lanes, length = lanes[order], length[order]
-        state = np.zeros(len(lanes), np.int64)
+        lanes, length, state = lanes[order], length[order], state[order].astype(np.int64)
         active = len(lanes)
         for j in range(int(length[0]) if len(length) else 0):
-            while active and length[active - 1] <= j:
+            if length[active - 1] <= j:
                 # lanes are sorted by length: the finished ones are the last
                 active = int(np.searchsorted(-length, -j, side="left"))
             pos = lanes[:active] + j
-            state = state[:active]
-            state[begins[pos]] = 0
+            now = state[:active]
+            now[begins[pos]] = 0
             byte = data[pos]
-            to = self.next[byte, state]
+            to = self.next[byte, now]
             if not to.all():
-                for k in np.unique(state[to == 0] * 256 + byte[to == 0]):
+                for k in np.unique(now[to == 0] * 256 + byte[to == 0]):
                     self.compile(int(k >> 8), int(k & 255))
-                to = self.next[byte, state]
-            out[pos] = self.delta[byte, state]
-            state = to.astype(np.int64) - 1
+                to = self.next[byte, now]
+            if out is not None:
+                out[pos] = self.delta[byte, now]
+            state[:active] = to.astype(np.int64) - 1
+        exits = np.empty_like(state)
+        exits[order] = state
+        return exits
+
+    def entries(self, data: np.ndarray, begins: np.ndarray, lanes: np.ndarray, length: np.ndarray,
+                width: int = 32) -> np.ndarray:
+        """Entry state of every lane; a lane that begins at a cut is entered in
+        state 0. The map of a lane before one without a cut is kept for its live
+        entry states alone: the exits of the lane before it, ``width`` of them
+        at most beside those found to be needed. Entries follow from the maps by
+        the prefix scan; while some are open, the states they wait for go live,
+        so every round settles at least the next lane of each run."""
+        state = np.zeros(len(lanes), np.int64)
+        inner = np.flatnonzero(~begins[lanes])
+        if not len(inner):
+            return state
+        near = np.union1d(inner - 1, inner)
+        closed = begins[lanes[near]]                # a run of lanes begins here
+        live: list[dict[int, int]] = [{0: 0} for _ in near]
+        exits: list[list[int]] = [[] for _ in near]
+        asked = [(i, 0) for i in range(len(near))]
+        while True:
+            at = near[[i for i, _ in asked]]
+            found = self.walk(data, begins, lanes[at], length[at], np.array([s for _, s in asked], np.int64))
+            for (i, _), e in zip(asked, found.tolist()):
+                exits[i].append(e)
+            # local numbers of live states; the last column stands for a state not live
+            unknown = max(map(len, live))
+            maps = np.full((len(near), unknown + 1), unknown, np.int64)
+            for i in range(len(near) - 1):
+                if closed[i + 1]:
+                    maps[i] = 0
+                else:
+                    to = live[i + 1]
+                    maps[i, :len(exits[i])] = [to.get(e, unknown) for e in exits[i]]
+            entry = prefix_scan(maps)[:, 0]
+            if (entry < unknown).all():
+                state[near] = [exits_in[k] for exits_in, k in zip(map(list, live), entry.tolist())]
+                return state
+            asked = []
+            for i in range(1, len(near)):
+                if closed[i]:
+                    continue
+                needed = entry[i] == unknown and entry[i - 1] < unknown
+                wanted = [exits[i - 1][entry[i - 1]]] if needed else exits[i - 1]
+                for e in wanted:
+                    if e not in live[i] and (needed or len(live[i]) < width):
+                        live[i][e] = len(live[i])
+                        asked.append((i, e))
+
+    def run(self, data: np.ndarray, begins: np.ndarray, lane: int = 512) -> np.ndarray:
+        """Annotation of every byte of ``data``; ``begins`` marks cuts (the
+        first byte is one). Lanes of about ``lane`` bytes begin at cuts, or
+        within a piece where none is near."""
+        if len(self.states) > 0.9 * self.max_states:
+            self.reset()
+        n = len(data)
+        out = np.zeros(n, np.int16)
+        at = np.append(np.flatnonzero(begins), n)
+        wanted = np.arange(0, n, lane)
+        cut = at[np.searchsorted(at, wanted)]
+        lanes = np.unique(np.where(cut - wanted < lane, cut, wanted))
+        lanes = lanes[lanes < n]
+        length = np.diff(np.append(lanes, n))
+        self.walk(data, begins, lanes, length, self.entries(data, begins, lanes, length), out)
         return out
 
 
