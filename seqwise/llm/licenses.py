@@ -18,11 +18,12 @@ the highest coefficient counts (then the first, the shortest, the template
 first by name).
 
 A match has at least least / (2 - least) of a template's bigrams, so of any set
-of more than the rest of them (``keys_of``) one must occur: texts and lines that
-do not hold both words of any such bigram, of any template, are passed over.
+of more than the rest of them (``keys_of``) one must occur: texts, lines and
+templates without any such bigram in common are passed over. The search for runs
+follows the key bigrams found, so its time grows in proportion to the text.
 
-DataFrame functions only; templates are literals of the plan, so there is no
-join and no shuffle.
+DataFrame functions only; the templates are one constant array that lambdas walk,
+so the plan does not grow with their number, and there is no join and no shuffle.
 
 Defined results: a null or empty text matches nothing; of equal coefficients the
 template first by name wins; repeated rows are scanned row by row; extra columns
@@ -31,14 +32,15 @@ stay (one named like an output is replaced).
 
 from __future__ import annotations
 
+import json
 import math
 import re
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Public licence statements and short licence texts.
+# Public licence statements, headers and texts.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
@@ -48,8 +50,26 @@ TEMPLATES = {
         "either express or implied. See the License for the specific language governing permissions and limitations "
         "under the License.",
     "All-Rights-Reserved": "All rights reserved.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+        "provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may "
+        "be used to endorse or promote products derived from this software without specific prior written permission. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+        "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+        "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+        "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+        "this work.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the "
         "GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or "
@@ -63,7 +83,17 @@ TEMPLATES = {
         "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
         "the Software.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote "
+        "the original software. If you use this software in a product, an acknowledgment in the product documentation would "
+        "be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be "
+        "misrepresented as being the original software. 3. This notice may not be removed or altered from any source "
+        "distribution.",
 }
 
 
@@ -85,17 +115,25 @@ def keys_of(bigrams: list[str], least: float) -> list[tuple[str, str]]:
     return pairs[:spare + 1]
 
 
-def holds_any(low: Column, keys: dict[str, list[str]]) -> Column:
-    """``low`` holds a key word and one of the words beside it."""
-    def either(words: list[Column]) -> Column:
-        return reduce(lambda a, b: a | b, words)
-    return either([F.contains(low, F.lit(k)) & either([F.contains(low, F.lit(w)) for w in ws])
-                   for k, ws in sorted(keys.items())])
+def template_table(grams: dict[str, list[str]], least: float) -> Column:
+    """The templates as one constant array, walked by lambdas: name, grams and
+    their number n, keys, bounds of the distinct bigrams (low, high), fewest
+    common bigrams and the bounds of a run's words (need, most)."""
+    # a hair wider than exact, so that rounding prunes nothing
+    low, high = least / (2 - least) - 1e-9, (2 - least) / least + 1e-9
+    rows = []
+    for name, g in sorted(grams.items()):
+        pairs = {frozenset(p) for p in keys_of(g, least)}
+        rows.append({"name": name, "grams": g, "n": len(g), "keys": [b for b in g if frozenset(b.split()) in pairs],
+                     "low": low * len(g), "high": high * len(g), "need": math.ceil(low * len(g)) + 1,
+                     "most": int(high * len(g)) + 1})
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<name:string,grams:array<string>,n:int,keys:array<string>,"
+                                                "low:double,high:double,need:int,most:int>>")
 
 
-def unit_bigrams(unit: Column) -> Column:
-    """Distinct word bigrams of a raw unit (empty with fewer than two words)."""
-    return F.array_distinct(bigrams_in(words_of(unit)))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once (a variable of a lambda is, a column used twice is not)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def words_of(raw: Column) -> Column:
@@ -110,59 +148,53 @@ def bigrams_in(words: Column) -> Column:
     return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
 
 
-def runs_of_lines(text: Column, grams: dict[str, list[str]], least: float) -> Column:
-    """Matches (order, i, j, license) of runs of lines i to j with their own coefficients, before any choice."""
-    low, high = least / (2 - least) - 1e-9, (2 - least) / least + 1e-9
-    keys = {}
-    for name, g in grams.items():
-        pairs = {frozenset(p) for p in keys_of(g, least)}
-        keys[name] = [b for b in g if frozenset(b.split()) in pairs]
-    every = F.array(*[F.lit(b) for b in sorted({b for k in keys.values() for b in k})])
-    # lines with words, numbered from 0: (i: number in the text, w: words)
-    lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), words_of(x).alias("w")))
-    lines = F.filter(lines, lambda u: u["w"][0] != "")
+def dice_with(a: Column, t: Column) -> Column:
+    """Dice coefficient of a set of bigrams and a template."""
+    return 2.0 * F.size(F.array_intersect(a, t["grams"])) / (F.size(a) + t["n"])
+
+
+def best_match(unit: Column, a: Column, templates: Column, least: float) -> Column:
+    """Match (unit, license, dice) of a unit's bigrams, or null in its fields."""
+    fit = F.filter(templates, lambda t: F.size(a).between(t["low"], t["high"]) & F.arrays_overlap(a, t["keys"]))
+    values = F.transform(fit, lambda t: F.struct((-dice_with(a, t)).alias("order"), t["name"].alias("license")))
+    return let(F.array_min(F.filter(values, lambda v: v["order"] <= -least)), lambda v: F.struct(
+        unit.alias("unit"), v["license"].alias("license"), F.round(-v["order"], 6).alias("dice")))
+
+
+def runs_of_lines(line: Column, grams: Column, found: Column, templates: Column, least: float) -> Column:
+    """Matches (order, i, j, license) of runs of lines i to j with their own
+    coefficients, before any choice. ``line`` has the line of every word of the
+    text, ``grams`` the bigram that begins at every word but the last, ``found``
+    the key bigrams among them. A run begins at most a template's words before
+    a key bigram, so the work follows the key bigrams and not the pairs of lines."""
+    hits = F.filter(F.transform(grams, lambda b, k: F.struct(k.alias("k"), b.alias("b"))),
+                    lambda h: F.array_contains(found, h["b"]))
 
-    def hits(ls: Column) -> Column:
-        """(place, key bigrams) of the lines with one, each line with the first word of the next."""
-        def at(u: Column, p: Column) -> Column:
-            after = F.when(p + 1 < F.size(ls), F.array(F.get(ls, p + 1)["w"][0])).otherwise(F.array().cast("array<string>"))
-            return F.struct(p.alias("p"), F.array_intersect(bigrams_in(F.concat(u["w"], after)), every).alias("b"))
-        return F.filter(F.transform(ls, at), lambda h: F.size(h["b"]) > 0)
-
-    def of_template(ls: Column, found: Column, name: str, g: list[str]) -> Column:
-        most, need = int(high * len(g)) + 1, math.ceil(low * len(g)) + 1
-        mine = F.array(*map(F.lit, keys[name]))
-        size = F.transform(ls, lambda u: F.size(u["w"]))
-
-        def total(a: Column, b: Column) -> Column:
-            return F.aggregate(F.slice(size, a + 1, b - a + 1), F.lit(0), lambda x, y: x + y)
-
-        def around(h: Column) -> Column:
-            p = h["p"]
-            first = F.sequence(F.greatest(p - (most - 1), F.lit(0)), p)
-            first = F.filter(first, lambda a: total(a, p) <= most)
-
-            def to(a: Column) -> Column:
-                last = F.sequence(F.greatest(a + 1, p), F.least(F.greatest(a + 1, p) + most, F.size(ls) - 1))
-                last = F.when(F.greatest(a + 1, p) < F.size(ls), last).otherwise(F.array().cast("array<int>"))
-                return F.transform(F.filter(last, lambda b: total(a, b).between(need, most)),
-                                   lambda b: F.struct(a.alias("a"), b.alias("b")))
-            return F.flatten(F.transform(first, to))
-        spans = F.array_distinct(F.flatten(F.transform(F.filter(found, lambda h: F.arrays_overlap(h["b"], mine)), around)))
-
-        def judged(x: Column) -> Column:
-            run = F.slice(ls, x["a"] + 1, x["b"] - x["a"] + 1)
-            a = F.array_distinct(bigrams_in(F.flatten(F.transform(run, lambda u: u["w"]))))
-            value = 2.0 * F.size(F.array_intersect(a, F.array(*map(F.lit, g)))) / (F.size(a) + len(g))
-            return F.struct((-value).alias("order"), F.get(ls, x["a"])["i"].alias("i"), F.get(ls, x["b"])["i"].alias("j"),
-                            F.lit(name).alias("license"))
-        return F.filter(F.transform(spans, judged), lambda m: m["order"] <= -least)
-
-    def all_of(z: Column) -> Column:
-        return F.concat(*[of_template(z["ls"], z["found"], k, g) for k, g in grams.items()])
-    # a variable of a lambda is computed once, a column used twice is not
-    both = F.transform(F.array(lines), lambda ls: F.struct(ls.alias("ls"), hits(ls).alias("found")))
-    return F.flatten(F.transform(F.filter(both, lambda z: F.size(z["found"]) > 0), all_of))
+    def begins(p: Column) -> Column:
+        return (p == 0) | (F.get(line, p - 1) != F.get(line, p))
+
+    def ends(p: Column) -> Column:
+        return (p == F.size(line) - 1) | (F.get(line, p) != F.get(line, p + 1))
+
+    def of_template(hs: Column, t: Column) -> Column:
+        near = F.transform(F.filter(hs, lambda h: F.array_contains(t["keys"], h["b"])), lambda h: F.filter(
+            F.sequence(F.greatest(h["k"] - t["most"] + 2, F.lit(0)), h["k"]), begins))
+        firsts = F.array_distinct(F.flatten(near))
+        # no run from here can match without enough bigrams of the template ahead
+        firsts = F.filter(firsts, lambda a: F.size(F.array_intersect(F.slice(grams, a + 1, t["most"] - 1), t["grams"])) >= t["low"])
+
+        def judged(a: Column) -> Column:
+            lasts = F.filter(F.sequence(a + t["need"] - 1, F.least(a + t["most"], F.size(line)) - 1),
+                             lambda z: (F.get(line, z) > F.get(line, a)) & ends(z))
+
+            def value(z: Column) -> Column:
+                own = let(F.array_distinct(F.slice(grams, a + 1, z - a)), lambda g: dice_with(g, t))
+                return F.struct((-own).alias("order"), F.get(line, a).alias("i"), F.get(line, z).alias("j"),
+                                t["name"].alias("license"))
+            return F.filter(F.transform(lasts, value), lambda m: m["order"] <= -least)
+        long_enough = F.filter(firsts, lambda a: a + t["need"] <= F.size(line))
+        return F.flatten(F.transform(long_enough, judged))
+    return let(hits, lambda hs: F.flatten(F.transform(templates, lambda t: of_template(hs, t))))
 
 
 def chosen_runs(runs: Column, found: Column) -> Column:
@@ -183,46 +215,37 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str]
     made = ["matches", "licenses", "n_matches"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
     grams = {k: g for k, v in sorted((TEMPLATES if templates is None else templates).items()) if (g := bigrams_of(v))}
-    # a hair wider than exact, so that rounding prunes nothing
-    low, high = least / (2 - least) - 1e-9, (2 - least) / least + 1e-9
-    sizes = [len(g) for g in grams.values()]
-
-    def dice(a: Column, name: str, g: list[str]) -> Column:
-        n = F.size(a)
-        common = F.size(F.array_intersect(a, F.array(*map(F.lit, g))))
-        value = 2.0 * common / (n + len(g))
-        return F.when((n >= low * len(g)) & (n <= high * len(g)) & (value >= least),
-                      F.struct((-value).alias("order"), F.lit(name).alias("license")))
-
-    def matched(unit: Column, a: Column) -> Column:
-        best = F.array_min(F.array_compact(F.array(*[dice(a, k, g) for k, g in grams.items()])))
-        return F.struct(unit.alias("unit"), best["license"].alias("license"), F.round(-best["order"], 6).alias("dice"))
     if not grams:
         none = F.array().cast("array<struct<unit:int,license:string,dice:double>>")
         return docs.select(*keep, none.alias("matches"), F.array().cast("array<string>").alias("licenses"),
                            F.lit(0).alias("n_matches"))
-    keys: dict[str, list[str]] = {}
-    for k, w in sorted({p for g in grams.values() for p in keys_of(g, least)}):
-        keys.setdefault(k, []).append(w)
+    table = template_table(grams, least)
+    keys = F.array_distinct(F.flatten(F.transform(table, lambda t: t["keys"])))
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(*keep, body.alias("__text"), F.lower(body).alias("__low"))
-    rows = rows.select(*keep, F.when(holds_any(F.col("__low"), keys), F.col("__text")).alias("__text"))
-    # numbered lines and the whole text; units without a key word or beyond the bounds of
-    # every template go before any intersection
-    split = F.transform(F.split("__text", "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x"), F.lower(x).alias("low")))
-    lines = F.transform(F.filter(split, lambda u: holds_any(u["low"], keys)),
-                        lambda u: F.struct(u["i"].alias("i"), unit_bigrams(u["x"]).alias("a")))
-    nothing = F.array().cast("array<struct<i:int,a:array<string>>>")
-    whole = F.when(F.contains("__text", F.lit("\n")),
-                   F.array(F.struct(F.lit(-1).alias("i"), unit_bigrams(F.col("__text")).alias("a")))).otherwise(nothing)
-    units = F.filter(F.when(F.col("__text").isNull(), nothing).otherwise(F.concat(whole, lines)),
-                     lambda u: (F.size(u["a"]) >= low * min(sizes)) & (F.size(u["a"]) <= high * max(sizes)))
-    several = F.contains("__text", F.lit("\n"))
-    runs = F.when(several, runs_of_lines(F.col("__text"), grams, least))
-    out = rows.select(*keep, units.alias("__units"), runs.alias("__runs"))
-    found = F.filter(F.transform("__units", lambda u: matched(u["i"], u["a"])), lambda m: m["license"].isNotNull())
-    out = out.select(*keep, found.alias("__found"), "__runs")
-    wrapped = F.when(F.size("__runs") > 0, F.array_sort(F.concat("__found", chosen_runs(F.col("__runs"), F.col("__found")))))
-    out = out.select(*keep, F.coalesce(wrapped, F.col("__found")).alias("matches"))
+    rows = docs.select(*keep, F.when(F.arrays_overlap(bigrams_in(words_of(body)), keys), body).alias("__text"))
+
+    # lines with words: (i: number in the text, w: words)
+    lines = F.transform(F.split("__text", "\n"), lambda x, i: F.struct(i.alias("i"), words_of(x).alias("w")))
+    lines = F.filter(lines, lambda u: u["w"][0] != "")
+
+    def of_text(ls: Column) -> Column:
+        line = F.flatten(F.transform(ls, lambda u: F.array_repeat(u["i"], F.size(u["w"]))))
+        return let(bigrams_in(F.flatten(F.transform(ls, lambda u: u["w"]))), lambda grams:
+                   let(F.array_intersect(grams, keys), lambda found:
+                       let(F.filter(table, lambda t: F.arrays_overlap(found, t["keys"])), lambda near: F.struct(
+                           units_of(ls, grams, near).alias("found"),
+                           let(line, lambda li: runs_of_lines(li, grams, found, near, least)).alias("runs")))))
+
+    def units_of(ls: Column, grams: Column, near: Column) -> Column:
+        whole = F.when(F.contains("__text", F.lit("\n")), F.array(F.struct(F.lit(-1).alias("i"), F.array_distinct(grams).alias("a"))))
+        nothing = F.array().cast("array<struct<i:int,a:array<string>>>")
+        each = F.transform(ls, lambda u: F.struct(u["i"].alias("i"), F.array_distinct(bigrams_in(u["w"])).alias("a")))
+        units = F.concat(F.coalesce(whole, nothing), F.filter(each, lambda u: F.size(u["a"]) > 0))
+        return F.filter(F.transform(units, lambda u: best_match(u["i"], u["a"], near, least)), lambda m: m["license"].isNotNull())
+    out = rows.select(*keep, F.when(F.col("__text").isNotNull(), let(lines, of_text)).alias("__seen"))
+    found, runs = F.col("__seen.found"), F.col("__seen.runs")
+    nothing = F.array().cast("array<struct<unit:int,license:string,dice:double>>")
+    wrapped = F.when(F.size(runs) > 0, F.array_sort(F.concat(found, chosen_runs(runs, found))))
+    out = out.select(*keep, F.coalesce(wrapped, found, nothing).alias("matches"))
     return out.select(*keep, "matches", F.array_sort(F.array_distinct(F.col("matches.license"))).alias("licenses"),
                       F.size("matches").alias("n_matches"))

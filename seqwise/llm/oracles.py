@@ -71,6 +71,8 @@ FIM = f"""with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || coal
 _TEMPLATES = ", ".join(f"('{name}', [{', '.join(f"'{g}'" for g in licenses.bigrams_of(text))}])"
                        for name, text in licenses.TEMPLATES.items())
 
+# least / (2 - least), a hair less, as the operator's bounds
+_LEAST = "(0.8::double / 1.2::double - 1e-9)"
 LICENSES = f"""with templates(license, grams) as (values {_TEMPLATES}),
     d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
     lines as (select r, string_split(t, chr(10)) as ls from d),
@@ -83,8 +85,30 @@ LICENSES = f"""with templates(license, grams) as (values {_TEMPLATES}),
                from grams join (select license, grams, unnest(grams) as g from templates) x using (g) group by all),
     dice as (select r, unit, license, 2.0::double * c / (n + m) as v from common join sizes using (r, unit)),
     best as (select r, unit, arg_min(license, (-v, license)) as license, max(v) as v from dice where v >= 0.8::double group by all),
-    found as (select r, string_agg(unit || ':' || license || ':' || cast(round(v * 1000000) as bigint), ';' order by unit) as matches,
-                     string_agg(distinct license, ';' order by license) as licenses, count(*) as n from best group by r)
+    whole as (select distinct r, g from grams),
+    near as (select w.r, x.license, any_value(x.grams) as grams from whole w
+             join (select license, grams, unnest(grams) as g from templates) x using (g)
+             group by w.r, x.license having count(*) >= {_LEAST} * len(any_value(x.grams))),
+    few as (select r, ls from lines where contains((select t from d where d.r = lines.r), chr(10)) and r in (select r from near)),
+    filled as (select r, i - 1 as i, string_split(trim(regexp_replace({_LOW.format("ls[i]")}, '[^a-z0-9]+', ' ', 'g')), ' ') as w
+               from few, generate_series(1, len(ls)) s(i)),
+    ordered as (select r, i, w, sum(len(w)) over (partition by r order by i) as upto from filled where w[1] <> ''),
+    joined as (select r, flatten(list(w order by i)) as ws from ordered group by r),
+    spans as (select a.r, a.i, z.i as j, n.license, n.grams, a.upto - len(a.w) as lo, z.upto as hi
+              from ordered a join ordered z on z.r = a.r and z.i > a.i join near n on n.r = a.r
+              where z.upto - a.upto + len(a.w) between ceil({_LEAST} * len(n.grams)) + 1 and floor(len(n.grams) / ({_LEAST})) + 1),
+    sets as (select s.*, list_distinct(list_transform(range(cast(lo as bigint) + 1, cast(hi as bigint)),
+                lambda k: ws[k] || ' ' || ws[k + 1])) as own from spans s join joined using (r)),
+    runs as (select r, i, j, license, 2.0::double * len(list_intersect(own, grams)) / (len(own) + len(grams)) as v from sets),
+    new as (select r, list(struct_pack(v := -v, i := i, j := j, license := license) order by -v, i, j, license) as rs from runs
+            where v >= 0.8::double and not exists (select 1 from best b where b.r = runs.r and b.license = runs.license
+                                                     and (b.unit < 0 or b.unit between runs.i and runs.j)) group by r),
+    kept as (select r, unnest(list_reduce(list_prepend(rs[1:0], list_transform(rs, lambda x: [x])), lambda acc, x:
+               case when len(list_filter(acc, lambda k: k.i <= x[1].j and x[1].i <= k.j)) > 0 then acc
+                    else list_concat(acc, x) end)) as m from new),
+    matched as (select r, unit, license, v from best union all select r, m.i, m.license, -m.v from kept),
+    found as (select r, string_agg(unit || ':' || license || ':' || cast(round(v * 1000000) as bigint), ';' order by unit, license) as matches,
+                     string_agg(distinct license, ';' order by license) as licenses, count(*) as n from matched group by r)
     select doc_id, coalesce(matches, '') as matches, coalesce(licenses, '') as licenses,
            cast(coalesce(n, 0) as integer) as n_matches from d left join found using (r)"""
 

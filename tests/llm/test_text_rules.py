@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 import re
 from collections import Counter
 
@@ -201,6 +202,73 @@ def test_licenses_match_brute_force(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def brute_runs(text, least=0.8):
+    """All matches: units, then every run of lines, the best of those that overlap."""
+    found = brute_licenses(text, least)
+    lines = [(i, w) for i, x in enumerate(text.split("\n")) if (w := licenses.normalised(x).split())]
+    runs = []
+    for p in range(len(lines)):
+        for q in range(p + 1, len(lines)):
+            words = [w for _, ws in lines[p:q + 1] for w in ws]
+            a, i, j = {f"{x} {y}" for x, y in zip(words, words[1:])}, lines[p][0], lines[q][0]
+            for name, t in licenses.TEMPLATES.items():
+                b = set(licenses.bigrams_of(t))
+                d = 2 * len(a & b) / (len(a) + len(b))
+                most = int(((2 - least) / least + 1e-9) * len(b)) + 1
+                if d >= least and len(words) <= most and not any(m == name and (u < 0 or i <= u <= j) for u, m, _ in found):
+                    runs.append((-d, i, j, name))
+    kept = []
+    for r in sorted(runs):
+        if not any(k[1] <= r[2] and r[1] <= k[2] for k in kept):
+            kept.append(r)
+    return sorted(found + [(i, name, round(-d, 6)) for d, i, _, name in kept])
+
+
+def wrapped_texts(n):
+    """Templates with changed words, wrapped at any width, one or more in a text, among prose and empty lines."""
+    rng, out = random.Random(21), ["", "\n\n", "rights\nreserved", "All\nrights\n\nreserved"]
+    short = [t for t in licenses.TEMPLATES.values() if len(t) < 700]
+    for _ in range(n):
+        lines = []
+        for _ in range(rng.randint(1, 3)):
+            words = rng.choice(short).split()
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = rng.choice(["the", "copyright", "word"])
+            width = rng.choice([1, 2, 5, 9])
+            lines += [" ".join(words[k:k + width]) for k in range(0, len(words), width)]
+            lines += [rng.choice(["", "# plain words between", "copyright notice", "the above"])] * rng.randint(0, 2)
+        out.append("\n".join(lines))
+    return out
+
+
+def test_runs_match_brute_force_and_sql(spark):
+    import duckdb
+
+    from seqwise.llm.oracles import ORACLE
+    texts = wrapped_texts(40)
+    docs = spark.createDataFrame([(i, t, "s", 1) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: [tuple(m) for m in r.matches] for r in licenses.scan_licenses(docs, keep=["doc_id"]).collect()}
+    assert got == {i: brute_runs(t) for i, t in enumerate(texts)}
+    assert sum(len(m) for m in got.values()) > 40
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    sql = {i: m for i, m, _, _ in con.sql(ORACLE["op3_licenses"]).fetchall()}
+    assert sql == {i: ";".join(f"{u}:{name}:{round(d * 1_000_000)}" for u, name, d in m) for i, m in got.items()}
+
+
+def test_license_time_follows_the_text_and_not_its_pairs_of_lines(spark):
+    """5,000 lines with a key bigram, and 200 templates, take no longer than planning does (minutes before)."""
+    texts = ["the above copyright notice\n" * 5_000, "\n".join(licenses.TEMPLATES["MIT-text"].split() * 10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(docs, keep=["doc_id"]).collect()}
+    assert got == {0: [], 1: ["MIT-text"]} and time.time() - began < 25
+    many = {f"T{k:03}": f"{licenses.TEMPLATES['MIT-text']} This is variant number {k} of them." for k in range(200)}
+    began = time.time()
+    got = licenses.scan_licenses(spark.createDataFrame([(1, many["T077"])], "doc_id long, text string"), templates=many).first()
+    assert got.licenses == ["T077"] and time.time() - began < 20
+
+
 def test_wrapped_licenses_inside_long_texts(spark):
     rng = random.Random(14)
     prose = lambda n: "\n".join(" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(11))
