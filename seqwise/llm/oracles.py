@@ -116,11 +116,18 @@ _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urls.RULES)
 _HELD = ", ".join(f"'{c}'" for c in urls.HELD_OUT)
 
 
-def _mixed(n: str, total: str, kinds: str, lower: str) -> str:
-    return f"case when coalesce({total}, 0) = 0 then {lower} else (coalesce({n}, 0) + {kinds} * {lower}) / ({total} + {kinds}) end"
+def _mixed(c: str, size: int, lower: str) -> str:
+    return (f"case when t.total_{c} >= {urls.LEAST if size > 1 else 1} "
+            f"then (t.{c} + t.kinds_{c} * {lower}) / (t.total_{c} + t.kinds_{c}) else {lower} end")
 
 
-_P = _mixed("n_abc", "n_ab", "t_ab", _mixed("n_bc", "n_b", "t_b", _mixed("n_c", "n_all", "t_all", f"(1.0::double / {urls.SYMBOLS})")))
+def _order(size: int) -> str:
+    """The probabilities of the grams of one size, from those one character shorter."""
+    lower = {c: f"p.p_{c}" if size > 1 else f"(1.0::double / {urls.SYMBOLS})" for c in "ab"}
+    join = f" join p{size - 1} p on p.g = substring(t.g, 2)" if size > 1 else ""
+    return (f"p{size} as (select t.g, {_mixed('a', size, lower['a'])} as p_a, {_mixed('b', size, lower['b'])} as p_b "
+            f"from t{join} where length(t.g) = {size})")
+
 
 URLS = f"""with rules(v, h, p) as (values {_RULES}),
     u as (select page_id, coalesce(url, '') as url from pages),
@@ -129,24 +136,20 @@ URLS = f"""with rules(v, h, p) as (values {_RULES}),
     fits as (select url, arg_max(h || p, length(h || p)) as rule, arg_max(v, length(h || p)) as ruled
              from parts join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by url),
     each as (select parts.*, rule, ruled, md5(url)[1] in ({_HELD}) as held,
-                    '^^' || regexp_replace(regexp_replace({_LOW.format("url")}, '[0-9]', '0', 'g'),
+                    '{"^" * urls.ORDER}' || regexp_replace(regexp_replace({_LOW.format("url")}, '[0-9]', '0', 'g'),
                                            '[^a-z0\\-./_?=&%#:~]', '~', 'g') || '$' as body
              from parts left join fits using (url)),
-    chars as (select url, ruled, held, n, substring(body, i, 3) as gram from each, generate_series(1, length(body) - 2) s(i)),
-    c as (select ruled as v, gram, gram[1:2] as ab, gram[2:3] as bc, gram[2] as b, gram[3] as c, sum(n)::double as n
-          from chars where ruled is not null and not held group by all),
-    low as (select v, bc, b, c, sum(n) as n_bc from c group by all),
-    one as (select v, c, sum(n_bc) as n_c from low group by all),
-    high_context as (select v, ab, sum(n) as n_ab, count(*) as t_ab from c group by all),
-    low_context as (select v, b, sum(n_bc) as n_b, count(*) as t_b from low group by all),
-    total as (select v, sum(n_c) as n_all, count(*) as t_all from one group by all),
-    g as (select gram, gram[1:2] as ab, gram[2:3] as bc, gram[2] as b, gram[3] as c, v
-          from (select distinct gram from chars) x, (values ('allow'), ('block')) y(v)),
-    p as (select gram, v, ln({_P}) as l
-          from g left join (select v, gram, n as n_abc from c) a using (v, gram) left join high_context using (v, ab)
-            left join (select v, bc, n_bc from low) m using (v, bc) left join low_context using (v, b)
-            left join one using (v, c) left join total using (v)),
-    ratios as (select gram, cast(round(sum(case when v = 'allow' then l else -l end) * {urls.FLOOR}) as bigint) as ratio from p group by gram),
+    chars as (select url, ruled, held, n, substring(body, i, {urls.ORDER + 1}) as gram
+              from each, generate_series(1, length(body) - {urls.ORDER}) s(i)),
+    tops as (select gram, coalesce(sum(n) filter (ruled = 'allow' and not held), 0) as a,
+                    coalesce(sum(n) filter (ruled = 'block' and not held), 0) as b from chars group by gram),
+    ends as (select right(gram, size) as g, sum(a)::double as a, sum(b)::double as b
+             from tops, generate_series(1, {urls.ORDER + 1}) s(size) group by all),
+    seen as (select left(g, length(g) - 1) as x, sum(a) as total_a, count(*) filter (a > 0) as kinds_a,
+                    sum(b) as total_b, count(*) filter (b > 0) as kinds_b from ends group by all),
+    t as (select ends.*, seen.* from ends join seen on x = left(g, length(g) - 1)),
+    {", ".join(_order(k + 1) for k in range(urls.ORDER + 1))},
+    ratios as (select g as gram, cast(round((ln(p_a) - ln(p_b)) * {urls.FLOOR}) as bigint) as ratio from p{urls.ORDER + 1}),
     scored as (select url, cast(floor(sum(ratio)::double / count(*)) as bigint) as score from chars join ratios using (gram) group by url),
     hist as (select floor(score / {urls.STEP}.0::double) as bin, sum(case when ruled = 'allow' then n else 0 end)::double as a,
                     sum(case when ruled = 'block' then n else 0 end)::double as b

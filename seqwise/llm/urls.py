@@ -6,12 +6,17 @@ rejected urls; a url without a rule is judged by the difference of its two
 log-likelihoods, divided by its length, against a threshold calibrated on
 rule-decided urls held out of the training.
 
-The models are of variable order: a character after two others, interpolated
-with the character after one, the character alone and the uniform distribution,
-each by Witten-Bell weights, so a context never seen falls back by itself.
-Characters are folded to ``ALPHABET`` (digits to 0, anything else to ~), so there
-are at most 40 ** 3 trigrams: the table of their log ratios is broadcast under
-that bound. Equal urls are scored once, with their number as weight in training.
+The models are of variable order: a character after up to ``ORDER`` others. A
+longer context counts only where the class's training holds it at least
+``LEAST`` times; there its distribution is mixed with that of the context one
+character shorter by Witten-Bell weights, elsewhere the shorter one stands, down
+to the character alone and the uniform distribution. So contexts grow with the
+training urls. Characters are folded to ``ALPHABET`` (digits to 0, anything else
+to ~). A gram has at most ``SYMBOLS`` grams that end or begin with all but one
+of its characters, so joins of one order with the next have no hot keys. Grams
+with at least 1 / ``FREQUENT`` of all positions, hence at most ``FREQUENT`` of
+them, are broadcast to the positions, the others joined by shuffle. Equal urls
+are scored once, with their number as weight in training.
 
 DataFrame functions only. Log ratios are rounded to millionths and summed as
 integers, so a score does not depend on the order of summation.
@@ -36,6 +41,8 @@ SYMBOLS = len(ALPHABET) + 2
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
 PARTS = r"^(?s:.*?)://([^/?#]*)([^?#]*)"
+ORDER, LEAST = 5, 3                                # longest context; fewest times that a context is seen
+FREQUENT = 100_000                                 # bounds what is broadcast
 HELD_OUT = ("0", "1", "2")                         # first hex digits of the url's MD5
 FLOOR, STEP = 1_000_000, 10_000                    # a score counts millionths, a bin hundredths
 
@@ -56,45 +63,47 @@ def best_rule(host: Column, path: Column, rules: tuple = RULES) -> Column:
     return F.array_max(F.array_compact(F.array(*fits)))
 
 
-def folded(url: Column) -> Column:
-    """The url in the models' alphabet, between its begin and end marks."""
+def folded(url: Column, order: int = ORDER) -> Column:
+    """The url in the models' alphabet, between its begin marks and its end mark."""
     low = F.translate(url, UPPER, LOWER)
     known = F.regexp_replace(F.regexp_replace(low, "[0-9]", "0"), r"[^a-z0\-./_?=&%#:~]", "~")
-    return F.concat(F.lit("^^"), known, F.lit("$"))
-
-
-def trigrams(urls: DataFrame, *columns: str) -> DataFrame:
-    """One row per character: ``gram`` is it after the two before it."""
-    at = F.explode(F.sequence(F.lit(1), F.length("body") - 2)).alias("at")
-    return urls.select(*columns, "body", at).select(*columns, F.expr("substring(body, at, 3)").alias("gram"))
-
-
-def log_ratios(grams: DataFrame, counts: DataFrame) -> DataFrame:
-    """(gram, ratio) for the distinct ``grams``: log of its probability under
-    allow minus under block, in millionths. ``counts``: (verdict, gram, n)."""
-    c = counts.withColumns({"ab": F.substring("gram", 1, 2), "bc": F.substring("gram", 2, 2),
-                            "b": F.substring("gram", 2, 1), "c": F.substring("gram", 3, 1)})
-    low = c.groupBy("verdict", "bc", "b", "c").agg(F.sum("n").alias("n_bc"))
-    one = low.groupBy("verdict", "c").agg(F.sum("n_bc").alias("n_c"))
-    high_context = c.groupBy("verdict", "ab").agg(F.sum("n").alias("n_ab"), F.count("*").alias("t_ab"))
-    low_context = low.groupBy("verdict", "b").agg(F.sum("n_bc").alias("n_b"), F.count("*").alias("t_b"))
-    total = one.groupBy("verdict").agg(F.sum("n_c").alias("n_all"), F.count("*").alias("t_all"))
-    g = grams.select("gram", F.substring("gram", 1, 2).alias("ab"), F.substring("gram", 2, 2).alias("bc"),
-                     F.substring("gram", 2, 1).alias("b"), F.substring("gram", 3, 1).alias("c"),
-                     F.explode(F.array(F.lit("allow"), F.lit("block"))).alias("verdict"))
-    for part, keys in ((c.select("verdict", "gram", F.col("n").alias("n_abc")), ["verdict", "gram"]),
-                       (high_context, ["verdict", "ab"]), (low.select("verdict", "bc", "n_bc"), ["verdict", "bc"]),
-                       (low_context, ["verdict", "b"]), (one, ["verdict", "c"]), (total, ["verdict"])):
-        g = g.join(part, keys, "left")
-    g = g.na.fill(0)
-
-    def mixed(n: str, total: str, kinds: str, lower: Column) -> Column:
-        return F.when(F.col(total) == 0, lower).otherwise((F.col(n) + F.col(kinds) * lower)
-                                                          / (F.col(total) + F.col(kinds)))
-    p = mixed("n_abc", "n_ab", "t_ab", mixed("n_bc", "n_b", "t_b", mixed("n_c", "n_all", "t_all", F.lit(1.0 / SYMBOLS))))
-    g = g.select("gram", "verdict", F.log(p).alias("l"))
-    d = F.sum(F.when(F.col("verdict") == "allow", F.col("l")).otherwise(-F.col("l")))
-    return g.groupBy("gram").agg(F.round(d * FLOOR).cast("long").alias("ratio"))
+    return F.concat(F.lit("^" * order), known, F.lit("$"))
+
+
+def positions(urls: DataFrame, order: int, *columns: str) -> DataFrame:
+    """One row per character: ``gram`` is it after the ``order`` before it."""
+    at = F.explode(F.sequence(F.lit(1), F.length("body") - order)).alias("at")
+    return urls.select(*columns, "body", at).select(*columns, F.expr(f"substring(body, at, {order + 1})").alias("gram"))
+
+
+def log_ratios(grams: DataFrame, order: int = ORDER, least: int = LEAST) -> DataFrame:
+    """(gram, ratio) of ``grams`` (gram, a, b: times in the training of allow and
+    of block): log of the last character's probability under allow minus under
+    block, in millionths."""
+    ends = F.explode(F.sequence(F.lit(1), F.lit(order + 1))).alias("size")
+    ends = grams.select("gram", "a", "b", ends).select(F.expr("right(gram, size)").alias("g"), "a", "b")
+    ends = staged(ends.groupBy("g").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "url-ends")
+    context = F.expr("left(g, length(g) - 1)")
+    seen = ends.groupBy(context.alias("x")).agg(F.sum("a").alias("total_a"), F.count_if(F.col("a") > 0).alias("kinds_a"),
+                                                F.sum("b").alias("total_b"), F.count_if(F.col("b") > 0).alias("kinds_b"))
+    rows = staged(ends.withColumn("x", context).join(seen, "x"), "url-contexts")
+
+    def mixed(c: str, size: int, lower: Column) -> Column:
+        n, total, kinds = F.col(c), F.col(f"total_{c}"), F.col(f"kinds_{c}")
+        return F.when(total >= (least if size > 1 else 1), (n + kinds * lower) / (total + kinds)).otherwise(lower)
+    p = None
+    for size in range(1, order + 2):
+        now = rows.filter(F.length("g") == size)
+        if p is None:
+            lower = {c: F.lit(1.0 / SYMBOLS) for c in "ab"}
+        else:
+            # a shorter context's rows are at most SYMBOLS ** (size - 1)
+            p = F.broadcast(p) if SYMBOLS ** (size - 1) <= FREQUENT else p
+            now = now.join(p, F.expr("substring(g, 2)") == p["end"])
+            lower = {c: F.col(f"p_{c}") for c in "ab"}
+        p = now.select(F.col("g").alias("end"), *[mixed(c, size, lower[c]).alias(f"p_{c}") for c in "ab"])
+    return p.select(F.col("end").alias("gram"),
+                    F.round((F.log("p_a") - F.log("p_b")) * FLOOR).cast("long").alias("ratio"))
 
 
 def threshold(scored: DataFrame) -> int:
@@ -113,7 +122,8 @@ def threshold(scored: DataFrame) -> int:
     return 0 if got is None or got.bin is None else got.bin
 
 
-def judge_urls(pages: DataFrame, url: str = "url", rules: tuple = RULES, keep: list[str] | None = None) -> DataFrame:
+def judge_urls(pages: DataFrame, url: str = "url", rules: tuple = RULES, keep: list[str] | None = None,
+               order: int = ORDER, least: int = LEAST, frequent: int = FREQUENT) -> DataFrame:
     """``pages`` (columns ``keep``; all by default) with ``host``, ``path``,
     ``rule``, ``verdict`` and ``score`` (mean log ratio in millionths)."""
     made = ["host", "path", "rule", "verdict", "score"]
@@ -121,18 +131,25 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: tuple = RULES, keep: l
     rows = pages.select(*keep, F.coalesce(F.col(url), F.lit("")).alias("__url"))
     urls = rows.groupBy(F.col("__url").alias("url")).agg(F.count("*").alias("n"))
     urls = urls.withColumn("verdict", best_rule(host_of(F.col("url")), path_of(F.col("url")), rules)["verdict"])
-    urls = urls.withColumn("body", folded(F.col("url")))
-    urls = staged(urls.withColumn("held", F.substring(F.md5("url"), 1, 1).isin(*HELD_OUT)), "urls")
-    grams = staged(trigrams(urls, "verdict", "held", "n").groupBy("verdict", "held", "gram").agg(F.sum("n").alias("n")),
-                   "url-grams")
-    counts = (grams.filter("verdict IS NOT NULL AND NOT held").groupBy("verdict", "gram").agg(F.sum("n").alias("n")))
-    ratios = staged(log_ratios(grams.select("gram").distinct(), counts), "url-ratios")
-    each = trigrams(urls, "url").join(F.broadcast(ratios), "gram")     # at most 40 ** 3 rows
-    sums = each.groupBy("url").agg(F.floor(F.sum("ratio") / F.count("*")).alias("score"))
-    scored = staged(sums, "url-scores")
-    held = scored.join(urls.filter("held AND verdict IS NOT NULL").select("url", "verdict", "n"), "url")
+    urls = urls.withColumn("body", folded(F.col("url"), order))
+    urls = urls.withColumn("held", F.substring(F.md5("url"), 1, 1).isin(*HELD_OUT))
+    urls = staged(urls.withColumn("id", F.monotonically_increasing_id()), "urls")
+    trained = F.when(~F.col("held"), F.col("n"))
+    grams = positions(urls, order, "verdict", "held", "n").groupBy("gram").agg(
+        F.coalesce(F.sum(F.when(F.col("verdict") == "allow", trained)), F.lit(0)).alias("a"),
+        F.coalesce(F.sum(F.when(F.col("verdict") == "block", trained)), F.lit(0)).alias("b"), F.count("*").alias("places"))
+    grams = staged(grams, "url-grams")
+    ratios = staged(grams.select("gram", "places").join(log_ratios(grams, order, least), "gram"), "url-ratios")
+    places = grams.agg(F.sum("places")).first()[0] or 0
+    often = F.col("places") * frequent >= places
+    each = positions(urls, order, "id").join(F.broadcast(ratios.filter(often).select("gram", "ratio")), "gram", "left")
+    rare = each.filter("ratio IS NULL").select("id", "gram").join(ratios.filter(~often).select("gram", "ratio"), "gram")
+    each = each.filter("ratio IS NOT NULL").select("id", "ratio").unionByName(rare.select("id", "ratio"))
+    sums = each.groupBy("id").agg(F.floor(F.sum("ratio") / F.count("*")).alias("score"))
+    scored = staged(urls.select("id", "url", "held", "verdict", "n").join(sums, "id"), "url-scores")
+    held = scored.filter("held AND verdict IS NOT NULL")
     limit = threshold(held.select(F.floor(F.col("score") / STEP).alias("bin"), "verdict", "n"))
-    scored = scored.withColumnRenamed("url", "__scored")
+    scored = scored.select(F.col("url").alias("__scored"), "score")
     out = rows.join(scored, rows["__url"] == scored["__scored"], "left")
     out = out.withColumns({"host": host_of(F.col("__url")), "path": path_of(F.col("__url"))})
     out = out.withColumn("__rule", best_rule(F.col("host"), F.col("path"), rules))

@@ -317,11 +317,12 @@ def brute_rule(url):
     return host, path, *(max(fits)[1:] if fits else (None, None))
 
 
-def brute_model(all_urls):
+def brute_model(all_urls, order, least):
     """Mean log ratio of every url by the same Witten-Bell recursion."""
-    def body(u):
+    def grams_of(u):
         low = u.translate({c: c + 32 for c in range(65, 91)})
-        return "^^" + re.sub(r"[^a-z0\-./_?=&%#:~]", "~", re.sub("[0-9]", "0", low)) + "$"
+        b = "^" * order + re.sub(r"[^a-z0\-./_?=&%#:~]", "~", re.sub("[0-9]", "0", low)) + "$"
+        return [b[i:i + order + 1] for i in range(len(b) - order)]
 
     def held(u):
         from hashlib import md5
@@ -330,39 +331,40 @@ def brute_model(all_urls):
     for u in all_urls:
         v = brute_rule(u)[3]
         if v and not held(u or ""):
-            b = body(u)
-            counts[v].update(b[i:i + 3] for i in range(len(b) - 2))
+            counts[v].update(grams_of(u))
 
     def probability(c, gram):
         p = 1 / urls.SYMBOLS
-        for order in range(3):
-            grams = Counter()
+        for k in range(order + 1):
+            after = Counter()                      # last characters after the context of k
             for g, n in c.items():
-                grams[g[2 - order:]] += n
-            context = {g: n for g, n in grams.items() if g[:-1] == gram[2 - order:-1]}
-            total, kinds = sum(context.values()), len(context)
-            if total:
-                p = (grams[gram[2 - order:]] + kinds * p) / (total + kinds)
+                if g[order - k:order] == gram[order - k:order]:
+                    after[g[-1]] += n
+            total, kinds = sum(after.values()), len(after)
+            if total >= (least if k else 1):
+                p = (after[gram[-1]] + kinds * p) / (total + kinds)
         return p
-    out = {}
+    ratio, out = {}, {}
     for u in {u or "" for u in all_urls}:
-        b = body(u)
-        grams = [b[i:i + 3] for i in range(len(b) - 2)]
-        ratios = [round((math.log(probability(counts["allow"], g)) - math.log(probability(counts["block"], g))) * 1e6)
-                  for g in grams]
-        out[u] = math.floor(sum(ratios) / len(grams))
+        for g in grams_of(u):
+            if g not in ratio:
+                a, b = (math.log(probability(counts[v], g)) for v in ("allow", "block"))
+                ratio[g] = round((a - b) * 1e6)
+        out[u] = math.floor(sum(ratio[g] for g in grams_of(u)) / len(grams_of(u)))
     return out
 
 
-def test_urls_match_brute_force(spark):
+@pytest.mark.parametrize("order, least, frequent", [(urls.ORDER, urls.LEAST, urls.FREQUENT), (2, 1, 50), (5, 1, 1), (0, 1, 10)])
+def test_urls_match_brute_force(spark, order, least, frequent):
     rng = random.Random(11)
     all_urls = URLS + [f"http://{rng.choice(['shop', 'news', 'a-b'])}{rng.randint(0, 9)}."
                        f"{rng.choice(['com', 'net', 'org', 'example.com'])}/{rng.choice(['en', 'es', 'fr'])}/{rng.randint(0, 99)}"
                        for _ in range(60)]
     all_urls += all_urls[:20]
     pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(all_urls)], "page_id long, url string, host string")
-    rows = {r.page_id: r for r in urls.judge_urls(pages).collect()}
-    scores = brute_model(all_urls)
+    judged = urls.judge_urls(pages, order=order, least=least, frequent=frequent)
+    rows = {r.page_id: r for r in judged.collect()}
+    scores = brute_model(all_urls, order, least)
     assert len(rows) == len(all_urls)
     for i, u in enumerate(all_urls):
         host, path, rule, verdict = brute_rule(u)
@@ -399,3 +401,19 @@ def test_quality_does_not_depend_on_partitions(spark, n):
         F.sum("n_removed_words"), F.sum(F.col("kept").cast("int"))).first()
     want = brute_quality(corpus(), 10, 0.05, 1 / 3)
     assert tuple(got) == (sum(r[7] for r in want), sum(r[8] for r in want))
+
+
+def test_longer_contexts_tell_more(spark):
+    """Words of the same character pairs, told apart by contexts of five and not of one."""
+    rng = random.Random(5)
+    cut = [("abcab", "cabca"), ("xyzyx", "zyxyz")]
+    good = [f"http://{rng.choice(cut)[0]}{i}.com/" for i in range(150)]
+    bad = [f"http://{rng.choice(cut)[1]}{i}.net/es/" for i in range(150)]
+    asked = [f"http://{w}.org/" for w in ("abcab", "xyzyx", "cabca", "zyxyz")]
+    pages = spark.createDataFrame(list(enumerate(good + bad + asked)), "page_id long, url string")
+
+    def margin(order):
+        score = {r.url: r.score for r in urls.judge_urls(pages, order=order).collect()}
+        ours = [score[u] for u in asked]
+        return min(ours[:2]) - max(ours[2:])
+    assert margin(5) > max(0, margin(1))
