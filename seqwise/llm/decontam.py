@@ -10,15 +10,17 @@ each hit (hits of nearly the same alignment taken together) Myers' bit-parallel
 distance gives the least number of edits exactly.
 
 The benchmark is the stated query set. It is handled in blocks of at most
-``block_chars`` characters; each block is one automaton in the tasks and one
-pass over the rows at hand (no shuffle, no pairs of rows), so what is sent to a
-task has a fixed bound.
+``block_chars`` characters (or one longer item); each block is one automaton in
+the tasks and one pass over the rows at hand (no shuffle, no pairs of rows).
+Blocks are normalised in tasks and streamed one at a time into broadcast
+variables, which Spark keeps on disk where memory is short: neither the driver
+nor a task holds more than one block, and the plan holds their handles alone.
 
 Without an edit allowed (short items), an item is found as whole words only.
 
 Defined results: null or empty texts are clean; benchmark items that are null or
-without a word, or have fewer than ``min_item`` normalised characters, are not
-searched (the queries search every item with a word); equal items are all
+without a word are not searched (``min_item``, 1 by default, leaves out items of
+fewer normalised characters where a caller asks for it); equal items are all
 reported; ids keep their type, and a null id is an id of its own, the first; repeated rows are judged row by row; extra columns stay (one
 named like an output is replaced); an empty benchmark leaves all documents clean.
 """
@@ -29,6 +31,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,25 +134,39 @@ class Matcher:
 
 def blocks_of(benchmark: DataFrame, item_id: str, text: str, min_item: int,
               block_chars: int) -> Iterator[list[tuple[str, str]]]:
-    """Blocks of the stated query set, streamed partition by partition."""
-    block, size = [], 0
+    """Blocks of the stated query set, packed by tasks and streamed one by one."""
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block: list[tuple[str, str]] = []
+        size = 0
+        for frame in frames:
+            for i, t in zip(frame["i"], frame["t"]):
+                item = normalise(t)
+                if len(item) < max(1, min_item):
+                    continue
+                if block and size + len(item) > block_chars:
+                    yield pd.DataFrame({"ids": [[b[0] for b in block]], "items": [[b[1] for b in block]]})
+                    block, size = [], 0
+                block.append((i, item))
+                size += len(item)
+        if block:
+            yield pd.DataFrame({"ids": [[b[0] for b in block]], "items": [[b[1] for b in block]]})
     rows = benchmark.filter(F.col(text).isNotNull()).select(F.to_json(F.struct(F.col(item_id).alias("i"))).alias("i"), F.col(text).alias("t"))
-    for r in rows.toLocalIterator():
-        item = normalise(r.t)
-        if len(item) < max(1, min_item):
-            continue
-        if block and size + len(item) > block_chars:
+    block, size = [], 0
+    for r in rows.mapInPandas(pack, "ids array<string>, items array<string>").toLocalIterator():
+        # small packs of several partitions share a block
+        more = sum(map(len, r["items"]))
+        if block and size + more > block_chars:
             yield block
             block, size = [], 0
-        block.append((r.i, item))
-        size += len(item)
+        block += zip(r["ids"], r["items"])
+        size += more
     if block:
         yield block
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
                   item_text: str = "text", keep: list[str] | None = None, error_rate: float = 0.05,
-                  min_piece: int = 16, min_item: int = 32, block_chars: int = 2_000_000) -> DataFrame:
+                  min_piece: int = 16, min_item: int = 1, block_chars: int = 2_000_000) -> DataFrame:
     """``docs`` (columns ``keep``; all by default) with ``contaminated``,
     ``items`` (ids found, ascending) and ``distances`` (least edits of each)."""
     made = ["contaminated", "items", "distances"]
@@ -159,11 +176,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     schema = T.StructType([*out.schema, T.StructField("items", ids), T.StructField("distances", hit)])
     out = out.withColumns({"items": F.array().cast(ids), "distances": F.array().cast(hit)})
 
-    def passed(block: list[tuple[str, str]]):
+    def passed(block: Broadcast):
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             matcher = None
             for frame in frames:
-                matcher = matcher or Matcher(block, error_rate, min_piece)
+                matcher = matcher or Matcher(block.value, error_rate, min_piece)
                 for part in batches_by_bytes(frame, name):
                     items, distances = [], []
                     for t, a, b in zip(texts_of(part, name), part["items"], part["distances"]):
@@ -175,7 +192,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
                     yield part.assign(items=items, distances=distances)
         return run
     for block in blocks_of(benchmark, item_id, item_text, min_item, block_chars):
-        out = out.mapInPandas(passed(block), schema)
+        out = out.mapInPandas(passed(docs.sparkSession.sparkContext.broadcast(block)), schema)
     id_type = T.StructType([T.StructField("i", benchmark.schema[item_id].dataType)])
     found = F.sort_array(F.transform(F.arrays_zip("items", "distances"), lambda x: F.struct(
         F.from_json(x["items"], id_type)["i"].alias("i"), x["distances"].alias("d"))))

@@ -213,7 +213,7 @@ def test_matches_equal_brute_force(spark):
         want[i] = (bool(hit), sorted(hit), [hit[k] for k in sorted(hit)])
     assert 20 < sum(w[0] for w in want.values()) < len(texts)
     for block in (2_000_000, 300):                       # one block of items, or many
-        got = decontam.decontaminate(docs, bench, keep=["doc_id"], block_chars=block)
+        got = decontam.decontaminate(docs, bench, keep=["doc_id"], min_item=32, block_chars=block)
         assert {r.doc_id: (r.contaminated, r["items"], r.distances) for r in got.collect()} == want
     none = decontam.decontaminate(docs, bench.limit(0)).select("contaminated").distinct().collect()
     assert [r[0] for r in none] == [False] and decontam.decontaminate(docs.limit(0), bench).count() == 0
