@@ -12,9 +12,10 @@ the toxic documents by small word lists (parameter ``categories``).
 
 Fitting uses a bounded sample of labelled documents (``max_rows``, by id hash),
 broadcast as (id, label): its size is fixed by the parameter, and the documents
-are not shuffled. Features are words and word beginnings of 4 and 5 letters; the
-``max_features`` most telling ones (chi-square on document counts, summed in
-Spark, ``min_chi`` at least: one in a thousand by chance) are kept. All documents are scored.
+are not shuffled. Features are words and word beginnings of 4 and 5 letters; every
+one that tells the kinds apart is kept (chi-square on document counts, summed in
+Spark, with the correction for small counts, ``min_chi`` at least: one in a
+thousand by chance), so the sample alone bounds their number. All documents are scored.
 
 Defined results: a null or empty text has no features; without labels of both
 kinds every probability is 0 and nothing is toxic; a document labelled more than
@@ -145,7 +146,7 @@ def fit_rows(rows: list[list[int]], targets: dict[str, np.ndarray], folds: np.nd
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
         categories: dict[str, tuple[str, ...]] | None = None, max_rows: int = 10_000,
-        max_features: int = 2_000, min_docs: int = 3, min_chi: float = 10.83) -> Chain:
+        min_chi: float = 10.83) -> Chain:
     categories = CATEGORIES if categories is None else categories
     marks = (labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__id"))
              .agg((F.max(F.col(label).cast("int")) > 0).cast("int").alias("__y")))
@@ -172,11 +173,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     if not totals.n or not totals.t or totals.t == totals.n:
         return Chain()
     table = (sample.select("__text", "__y").mapInPandas(count, "f string, n long, t long")
-             .groupBy("f").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).filter(F.col("n") >= min_docs))
+             .groupBy("f").agg(F.sum("n").alias("n"), F.sum("t").alias("t")))
     n, t = float(totals.n), float(totals.t)
     expected = F.col("n") * t / n
-    chi = (F.col("t") - expected) ** 2 / (expected * (1 - F.col("n") / (n + 1)) * (1 - t / n))
-    chosen = table.select("f", F.round(chi, 6).alias("chi")).filter(F.col("chi") >= min_chi).orderBy(F.desc("chi"), "f").limit(max_features).collect()
+    chi = F.greatest(F.abs(F.col("t") - expected) - 0.5, F.lit(0.0)) ** 2 / (expected * (1 - F.col("n") / (n + 1)) * (1 - t / n))
+    chosen = table.select("f", F.round(chi, 6).alias("chi")).filter(F.col("chi") >= min_chi).orderBy(F.desc("chi"), "f").collect()
     vocabulary = {r.f: k for k, r in enumerate(chosen)}
     part = Chain(vocabulary)
 
