@@ -8,7 +8,7 @@ for what a browser shows otherwise (of video, object, canvas ...) and elements
 hidden by attribute or style are skipped with all they hold; a closed ``details``
 shows its summary only. Formulas show their text without annotations, drawings
 (``svg``) their text elements, ``textarea`` and ``xmp`` their content as it is,
-and ``select`` all its options, each on a line, if ``options`` is set. Blocks stand on lines of their own, paragraphs, headings,
+and ``select`` all its options, each on a line, unless ``options`` is off. Blocks stand on lines of their own, paragraphs, headings,
 lists and tables with an empty line around; list items have a bullet or number
 and are indented by depth; white space is collapsed except in ``pre``; the cells
 of a table are aligned in columns, wide characters counting two: a cell over
@@ -216,7 +216,7 @@ class Table:
 
 
 class Renderer:
-    def __init__(self, options: bool = False):
+    def __init__(self, options: bool = True):
         self.options = options
         self.drawings: list[int] = []              # open svg elements: open text elements of each
         self.formulas = 0
@@ -501,8 +501,8 @@ class Renderer:
         return "\n".join(self.flows[0].finished())
 
 
-def render(source: str | None, options: bool = False) -> str:
-    """Visible text of a page; ``options`` shows those of ``select`` too."""
+def render(source: str | None, options: bool = True) -> str:
+    """Visible text of a page; ``options=False`` leaves out those of ``select``."""
     return Renderer(options).page(source) if source else ""
 
 
