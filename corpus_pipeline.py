@@ -44,9 +44,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text that is left."""
+    """Token ids of every text that is left, each decoded again and checked."""
     bounded_batches(spark)
-    out = bpe.encode(docs.select("doc_id", "text"), tokenizer("word_bpe_49k.json"), decoded=False)
+    out = bpe.encode(docs.select("doc_id", "text"), tokenizer("word_bpe_49k.json"), decoded=False, verify=True)
     return out.select("doc_id", "n_tokens", "token_ids")
 
 

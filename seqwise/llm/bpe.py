@@ -23,7 +23,7 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -186,7 +186,7 @@ class WordBpe:
             got += map(self.words.__getitem__, chunks)
         return self.joined(got)
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         return " ".join([self.tokens[i] for i in ids])
 
 
@@ -199,11 +199,13 @@ def loaded(path: str, decoded: bool = True) -> WordBpe:
     return _LOADED[path, decoded]
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", digest: bool = False, decoded: bool = True) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, text: str = "text", digest: bool = False, decoded: bool = True,
+           verify: bool = False) -> DataFrame:
     """``docs`` with ``n_tokens`` (long) and ``token_ids`` (array<int>) and
     ``decoded`` (string; left out, and never built, with ``decoded=False``), or with
     ``digest`` their SHA-256 as ``ids_sha256`` (of the decimal ids joined by spaces)
-    and ``decoded_sha256`` (UTF-8)."""
+    and ``decoded_sha256`` (UTF-8). ``verify``: the ids of every text are decoded again, and a
+    text that does not come back as its merged tokens fails, whatever columns are returned."""
     decoded = decoded or digest
     made = ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digest else ["token_ids", *(["decoded"] if decoded else [])])]
     keep = [c for c in docs.columns if c not in made and (c != text or not digest)]
@@ -212,12 +214,14 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", digest: bool = F
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from hashlib import sha256
-        bpe = loaded(tokenizer, decoded)
+        bpe = loaded(tokenizer, decoded or verify)
         for frame in frames:
             for part in batches_by_bytes(frame, "__text"):
                 rows = []
                 for t in part["__text"]:
                     ids, back, n = bpe.encode_text(t)
+                    if verify and bpe.decode(map(int, ids.split())) != back:
+                        raise ValueError(f"{n} ids do not decode to the tokens of their text")
                     rows.append((n, sha256(ids.encode()).hexdigest(), sha256(back.encode()).hexdigest()) if digest
                                 else (n, np.fromstring(ids, np.int32, sep=" "), back)[:len(made)])
                 out = part.drop(columns="__text")

@@ -109,6 +109,23 @@ def test_bpe_equals_the_library(spark):
     assert bpe.encode(docs.limit(0), path).count() == 0
 
 
+def test_the_encoding_stage_decodes_what_it_encodes(spark, monkeypatch):
+    """Ids that do not give the tokens of their text back stop the stage."""
+    import corpus_pipeline
+    docs = frame(spark, ["some words, and more", None, ""])
+    out = corpus_pipeline.encoding_stage(spark, docs, "")
+    assert out.columns == ["doc_id", "n_tokens", "token_ids"] and out.count() == 3
+    plain = bpe.loaded
+
+    def broken(path, decoded=True):
+        coder = plain(path, decoded)
+        coder.decode = lambda ids: "other"
+        return coder
+    monkeypatch.setattr(bpe, "loaded", broken)
+    with pytest.raises(Exception, match="do not decode"):
+        bpe.encode(docs, tokenizer("word_bpe_49k.json"), decoded=False, verify=True).collect()
+
+
 def test_forced_cuts_never_part_a_token():
     coder = bpe.loaded(tokenizer("word_bpe_49k.json"))
     for token in list(coder.ids)[::7]:
