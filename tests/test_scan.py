@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seqwise.operators._util import asc_last
-from seqwise.operators.scan import Scan, hot_ranges, prefix_scan, with_range
+from seqwise.operators.scan import MAX_RANGES, Scan, bounds_below, hot_ranges, prefix_scan, with_range
 from seqwise.operators.window import cumulative_sums, fill_downup, number_within
 
 SCANS = {"no": Scan("number"), "total": Scan("sum", "x"), "strict": Scan("poisoned", "y"), "high": Scan("max", "x"),
@@ -114,3 +114,14 @@ def test_unknown_scans_are_refused():
         Scan("number", "x")
     with pytest.raises(ValueError):
         Scan("sum")
+
+
+def test_the_range_of_a_row_is_found_by_halving(spark):
+    """Every number of bounds, values on, between and beyond them; no pass over the bounds."""
+    for n in (0, 1, 2, 5, 700, MAX_RANGES - 1):
+        df = spark.range(2 * n + 3).select(F.expr("sequence(2, 2 * {0}, 2)".format(n) if n else "array()").cast("array<double>").alias("b"),
+                                           F.col("id").cast("double").alias("v"))
+        got = df.select("v", bounds_below("b", F.col("v")).alias("k"))
+        assert {r.v: r.k for r in got.collect()} == {float(v): min(n, max(0, (v - 1) // 2)) for v in range(2 * n + 3)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan and "aggregate(" in plan
