@@ -11,6 +11,13 @@ def asc_last(cols) -> list[Column]:
     return [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in cols]
 
 
+def desc_first(cols) -> list[Column]:
+    """The reverse of ``asc_last``. What comes after a row is read as what came before it in
+    this order: Spark computes a frame that ends at the group's end anew for every row,
+    in time that grows with the square of the group."""
+    return [(F.col(c) if isinstance(c, str) else c).desc_nulls_first() for c in cols]
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Equi-join where NULL keys match each other (the source's join rule).
 

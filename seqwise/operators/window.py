@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from seqwise.functions.semantics import na_cumsum, order_key, running, safe_ratio
 from seqwise.operators import scan
-from seqwise.operators._util import asc_last, join_null_safe
+from seqwise.operators._util import asc_last, desc_first, join_null_safe
 
 
 def number_within(df: DataFrame, keys: list[str], order: list[str], name: str,
@@ -58,30 +58,29 @@ def fill_downup(df: DataFrame, keys: list[str], order: list[str], col: str,
     if not two_level:
         w = Window.partitionBy(*keys).orderBy(*asc_last(order))
         down = F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        up = F.first(v, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-        return df.withColumn(col, F.coalesce(down, up))
+        back = Window.partitionBy(*keys).orderBy(F.desc("__at")).rowsBetween(Window.unboundedPreceding, 0)
+        out = df.withColumns({"__at": F.row_number().over(w), "__down": down})
+        return out.withColumn(col, F.coalesce("__down", F.last(v, ignorenulls=True).over(back))).drop("__at", "__down")
     head, rest = order[0], list(order[1:])
     inner = Window.partitionBy(*keys, head).orderBy(*asc_last(rest))
-    local = (df.withColumn("__down_in", F.last(v, ignorenulls=True).over(
-                inner.rowsBetween(Window.unboundedPreceding, 0)))
-             .withColumn("__up_in", F.first(v, ignorenulls=True).over(
-                inner.rowsBetween(0, Window.unboundedFollowing))))
+    back = Window.partitionBy(*keys, head).orderBy(F.desc("__rn_in")).rowsBetween(Window.unboundedPreceding, 0)
+    local = (df.withColumns({"__rn_in": F.row_number().over(inner), "__down_in": F.last(v, ignorenulls=True).over(
+                inner.rowsBetween(Window.unboundedPreceding, 0))})
+             .withColumn("__up_in", F.last(v, ignorenulls=True).over(back)))
     # per bucket: its last and first non-NULL value (partial aggregation, so
     # a hot bucket is combined map-side); buckets without a value stay NULL
-    okey = order_key(*rest)
-    vals = (df.filter(v.isNotNull()).groupBy(*keys, head)
-            .agg(F.max_by(v, okey).alias("__b_last"), F.min_by(v, okey).alias("__b_first")))
-    buckets = join_null_safe(df.select(*keys, head).distinct(), vals, keys + [head], "left")
-    wb = Window.partitionBy(*keys).orderBy(*asc_last([head]))
+    okey = F.when(v.isNotNull(), order_key(*rest))
+    buckets = df.groupBy(*keys, head).agg(F.max_by(v, okey).alias("__b_last"), F.min_by(v, okey).alias("__b_first"))
+    wb = Window.partitionBy(*keys)
     buckets = buckets.select(
         *keys, head,
         F.last("__b_last", ignorenulls=True).over(
-            wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__prev"),
-        F.first("__b_first", ignorenulls=True).over(
-            wb.rowsBetween(1, Window.unboundedFollowing)).alias("__next"))
+            wb.orderBy(*asc_last([head])).rowsBetween(Window.unboundedPreceding, -1)).alias("__prev"),
+        F.last("__b_first", ignorenulls=True).over(
+            wb.orderBy(*desc_first([head])).rowsBetween(Window.unboundedPreceding, -1)).alias("__next"))
     out = join_null_safe(local, buckets, keys + [head], "inner")
     filled = F.coalesce(F.col("__down_in"), F.col("__prev"), F.col("__up_in"), F.col("__next"))
-    return out.withColumn(col, filled).drop("__down_in", "__up_in", "__prev", "__next")
+    return out.withColumn(col, filled).drop("__rn_in", "__down_in", "__up_in", "__prev", "__next")
 
 
 def period_ordinal(df: DataFrame, entity: str, season: str, period: str, name: str) -> DataFrame:
@@ -135,21 +134,21 @@ def number_and_fill(df: DataFrame, keys: list[str], order: list[str], name: str,
         aggs += [F.max_by(v, F.when(v.isNotNull(), okey)).alias(f"__bl_{c}"),
                  F.min_by(v, F.when(v.isNotNull(), okey)).alias(f"__bf_{c}")]
     summ = df.select(*keys, head, *rest, *fill_cols).groupBy(*keys, head).agg(*aggs)
-    wb = Window.partitionBy(*keys).orderBy(*asc_last([head]))
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    after = wb.rowsBetween(1, Window.unboundedFollowing)
+    wb = Window.partitionBy(*keys)
+    before = wb.orderBy(*asc_last([head])).rowsBetween(Window.unboundedPreceding, -1)
+    after = wb.orderBy(*desc_first([head])).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select(
         *keys, head,
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
         *[F.last(f"__bl_{c}", ignorenulls=True).over(before).alias(f"__prev_{c}") for c in fill_cols],
-        *[F.first(f"__bf_{c}", ignorenulls=True).over(after).alias(f"__next_{c}") for c in fill_cols])
+        *[F.last(f"__bf_{c}", ignorenulls=True).over(after).alias(f"__next_{c}") for c in fill_cols])
     inner = Window.partitionBy(*keys, head).orderBy(*asc_last(rest))
     local = df.withColumns({
         "__rn_in": F.row_number().over(inner),
         **{f"__down_{c}": F.last(c, ignorenulls=True).over(inner.rowsBetween(Window.unboundedPreceding, 0))
-           for c in fill_cols},
-        **{f"__up_{c}": F.first(c, ignorenulls=True).over(inner.rowsBetween(0, Window.unboundedFollowing))
            for c in fill_cols}})
+    back = Window.partitionBy(*keys, head).orderBy(F.desc("__rn_in")).rowsBetween(Window.unboundedPreceding, 0)
+    local = local.withColumns({f"__up_{c}": F.last(c, ignorenulls=True).over(back) for c in fill_cols})
     j = join_null_safe(local, summ, keys + [head], "inner")
     out = {c: F.coalesce(F.col(f"__down_{c}"), F.col(f"__prev_{c}"), F.col(f"__up_{c}"), F.col(f"__next_{c}"))
            for c in fill_cols}

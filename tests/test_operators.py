@@ -229,3 +229,19 @@ def test_q16_padded_targets(spark):
         # a target is real for exactly the starts whose step i+5 holds one of the 20 events
         expect = [i for i in range(31) if (i + 5 < 20 if side == "right" else i + 5 >= 20)]
         assert sorted(real) == expect and len(drop) == len(expect)
+
+
+def test_fills_never_read_a_group_to_its_end_for_every_row(spark):
+    """No frame that ends with the group: its time is the square of the group's rows."""
+    from seqwise.operators.scan import Scan, prefix_scan
+    from seqwise.operators.window import fill_downup, number_and_fill
+    i = F.col("id")
+    df = spark.range(3_000).select((i % 3).alias("k"), F.when(i % 301 != 0, i * 7 % 50).alias("a"), (i * 11 % 13).alias("b"),
+                                   i.alias("c"), F.when(i % 29 == 0, i).alias("v"))
+    order = ["a", "b", "c"]
+    made = [fill_downup(df, ["k"], order, "v"), fill_downup(df, ["k"], order, "v", two_level=False),
+            number_and_fill(df, ["k"], order, "no", ["v"]).drop("no"),
+            prefix_scan(df, ["k"], order, {"v": Scan("down_up", "v")}, 100)]
+    for got in made:
+        assert "unboundedfollowing" not in got._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert got.columns == df.columns and sorted(map(repr, got.collect())) == sorted(map(repr, made[1].collect()))
