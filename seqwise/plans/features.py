@@ -1,11 +1,13 @@
 """Event feature table (C7-C10): enrich, impute, flags and label, split.
 
-Beyond broadcast sizes the events are shuffled five times: for the play
-numbering and actor fill (one window and one join back, by entity, period and
-first order column), and once for each of three attachments: entity, opponent
-and actor. Each is a left join to one table keyed by (side, season, period) or
-(actor, season, period), far smaller than the events, which AQE broadcasts once
-measured; none multiplies rows (keys are unique).
+The wide events are shuffled once, or never if they are stored in buckets by their row
+blocks. What needs their order or their actor (the play
+number, the actor fill, the actor's stats) is worked out on a narrow copy of their
+keys, shuffled by (entity, period, first order column) and by actor, and joined
+to the events by the number of the stored row, which no key makes uneven. Filters on
+the events' own columns pass that join, so rows that no split keeps are not moved.
+The rates of entity and opponent, one row a (side, season, period), follow by a
+size-checked broadcast. None of the joins multiplies rows (keys are unique).
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from seqwise.config import EventConfig
 from seqwise.functions.scalar import label_of, signed_by_side
 from seqwise.functions.semantics import eq_flag
-from seqwise.operators._util import asc_last
+from seqwise.operators._util import asc_last, small_side
 from seqwise.operators.heavy import SHARE, heavy_join, heavy_keys, key_summary
 from seqwise.operators.impute import exact_mean, fill_by_group, fill_constant, fill_from_stats
 from seqwise.operators.join import left_attach
@@ -25,8 +27,8 @@ from seqwise.operators.split import rule_split
 from seqwise.operators.window import number_and_fill
 from seqwise.plans.priors import actor_stats
 from seqwise.plans.rates import asof_rates
-from seqwise.session import materialize_all
-from seqwise.sources.bucketed import KEY, Colocated, join_colocated
+from seqwise.session import materialize, materialize_all
+from seqwise.sources.bucketed import BLOCK, KEY, ROW, Colocated, join_colocated, join_rows, numbered
 
 # Columns whose NULLs become 0.
 ZERO_FILL = ["qb_pass_wpa_play_adj", "qb_pass_epa_play_adj", "air_yards", "yards_after_catch", "air_epa",
@@ -83,17 +85,26 @@ def heavy_actors(events: DataFrame, cfg: EventConfig = EventConfig(), share: flo
 def attach(events: DataFrame, side: dict, cfg: EventConfig = EventConfig(), heavy: list[int] | None = None) -> DataFrame:
     """C7 joins: play number and actor fill (one two-level pass), signed
     spread, rates and ordinals of both sides, actor stats. ``heavy`` (of
-    ``heavy_actors``): actors whose events are salted in the last join, in the same
-    one pass; without it an uneven join is left to AQE."""
+    ``heavy_actors``): actors whose events are salted in the join with their stats, in the same
+    one pass; without it an uneven join is left to AQE.
+
+    ``events`` may be stored with the columns of ``numbered``; else they are stored with
+    them here, since number, actor and stats are joined back by the row."""
     e, o, s, p = cfg.entity, cfg.opponent, cfg.season, cfg.period
-    ev = number_and_fill(events, [e, p], cfg.order_cols, "pt_play_no", [cfg.actor])
-    if "spread_line" in ev.columns:
-        ev = ev.withColumn("pt_spread", signed_by_side("spread_line", "posteam_type"))
-    ev = left_attach(ev, side["pt"].drop("pt_n"), [e, s, p])
-    ev = left_attach(ev, side["dt"].drop("dt_n"), [o, s, p])
-    if heavy:
-        return heavy_join(ev, side["actor_stats"], [cfg.actor, p, s], heavy=heavy, mode="salt")
-    return left_attach(ev, side["actor_stats"], [cfg.actor, p, s])
+    cols = [c for c in events.columns if c not in (ROW, BLOCK)]
+    if ROW not in events.columns:
+        events = materialize(numbered(events), name="event_rows")
+    narrow = events.select(*dict.fromkeys([ROW, BLOCK, e, s, p, *cfg.order_cols, cfg.actor]))
+    own = number_and_fill(narrow, [e, p], cfg.order_cols, "pt_play_no", [cfg.actor])
+    own = own.select(ROW, BLOCK, cfg.actor, p, s, "pt_play_no")
+    stats, keys = side["actor_stats"], [cfg.actor, p, s]
+    own = heavy_join(own, stats, keys, heavy=heavy, mode="salt") if heavy else left_attach(own, stats, keys)
+    own = own.drop(p, s)
+    ev = join_rows(events.drop(cfg.actor), own)
+    spread = {"pt_spread": signed_by_side("spread_line", "posteam_type")} if "spread_line" in cols else {}
+    ev = ev.select(*cols, "pt_play_no", *[c.alias(n) for n, c in spread.items()], *[c for c in own.columns if c not in {ROW, BLOCK, *cols, "pt_play_no"}])
+    ev = left_attach(ev, small_side(side["pt"].drop("pt_n")), [e, s, p])
+    return left_attach(ev, small_side(side["dt"].drop("dt_n")), [o, s, p])
 
 
 def attach_colocated(events: DataFrame, side: dict, cfg: EventConfig = EventConfig(), heavy: list[int] | None = None) -> DataFrame:
@@ -102,9 +113,10 @@ def attach_colocated(events: DataFrame, side: dict, cfg: EventConfig = EventConf
     buckets. Two shuffles of the events are left, those of opponent and actor."""
     e, o, s, p = cfg.entity, cfg.opponent, cfg.season, cfg.period
     w = Window.partitionBy(KEY).orderBy(*asc_last(cfg.order_cols))
-    so_far, from_here = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    actor = F.coalesce(F.last(cfg.actor, ignorenulls=True).over(so_far), F.first(cfg.actor, ignorenulls=True).over(from_here))
-    ev = events.withColumns({"pt_play_no": F.row_number().over(w).cast("int"), cfg.actor: actor})
+    so_far, back = w.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(KEY).orderBy(F.desc("pt_play_no"))
+    ev = events.withColumns({"pt_play_no": F.row_number().over(w).cast("int"), "__down": F.last(cfg.actor, ignorenulls=True).over(so_far)})
+    up = F.last(cfg.actor, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))
+    ev = ev.withColumn(cfg.actor, F.coalesce("__down", up)).drop("__down")
     if "spread_line" in ev.columns:
         ev = ev.withColumn("pt_spread", signed_by_side("spread_line", "posteam_type"))
     ev = join_colocated(ev, side["pt"].drop("pt_n"), [e, p], [s]).drop(KEY)
@@ -219,7 +231,7 @@ def build_features(events: DataFrame | Colocated, players: DataFrame, cfg: Event
     """C7 -> C10: the full event feature table with a ``split`` column.
 
     ``events`` may be a store of ``write_colocated`` grouped by (entity, period): its
-    events are shuffled twice instead of five times. A store with a group too large
+    events are numbered and filled as they lie. A store with a group too large
     for a task is read like any other table.
 
     Every statistic the imputation needs comes from the side tables or the

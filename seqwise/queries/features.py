@@ -17,7 +17,7 @@ from seqwise.queries._sql import exact_avg, with_plays
 from seqwise.queries.priors import SHRINK_CTES
 from seqwise.queries.rates import CFG, asof_ctes
 from seqwise.session import materialize
-from seqwise.sources.fixtures import EXTRA, players, plays_table as plays
+from seqwise.sources.fixtures import EXTRA, players, plays_rows, plays_table as plays
 
 MIN_SEASON, TEST_SEASON = 1998, 2001
 PT = ["pt_" + n for n in RATE_NAMES]
@@ -98,11 +98,11 @@ DOUBLES = set(["pt_spread", "qb_pass_attempts", "qb_pass_epa_play_adj", "qb_pass
 
 
 def q_enriched_events(spark, sf):
-    return rounded(enrich_events(plays(spark, sf), players(spark, sf), CFG))
+    return rounded(enrich_events(plays_rows(spark, sf), players(spark, sf), CFG))
 
 
 def _enriched_stored(spark, sf):
-    return materialize(enrich_events(plays(spark, sf), players(spark, sf), CFG), name="enriched_events")
+    return materialize(enrich_events(plays_rows(spark, sf), players(spark, sf), CFG), name="enriched_events")
 
 
 def q_imputed_events(spark, sf):
@@ -114,7 +114,7 @@ def q_flags_label(spark, sf):
 
 
 def q_feature_table(spark, sf):
-    return rounded(build_features(plays(spark, sf), players(spark, sf), CFG, MIN_SEASON, TEST_SEASON))
+    return rounded(build_features(plays_rows(spark, sf), players(spark, sf), CFG, MIN_SEASON, TEST_SEASON))
 
 
 IMPUTED_OUT = [c for c in ENRICH_OUT]

@@ -28,7 +28,7 @@ from seqwise.queries.rates import CFG, asof_sql
 from seqwise.queries.rates import ORACLE as RATE_ORACLE
 from seqwise.queries.sequence import EV, KEYS, WIN, _scalars, steps
 from seqwise.session import checkpoint_dir, materialize
-from seqwise.sources.fixtures import events, players, plays_colocated, plays_table as plays
+from seqwise.sources.fixtures import events, players, plays_colocated, plays_rows, plays_table as plays
 from seqwise.sources.io import distinct_estimate, distinct_summary, read_lookup, write_splits_audited
 
 # a group with more rows is cut by ranges of its order column; small, so that the
@@ -71,7 +71,7 @@ def q_heavy_actor_join(spark, sf):
 
 def q_heavy_enriched(spark, sf):
     """C7 with the heavy actors of a period salted in its last join."""
-    return rounded(enrich_events(plays(spark, sf), players(spark, sf), CFG, heavy_share=0.001))
+    return rounded(enrich_events(plays_rows(spark, sf), players(spark, sf), CFG, heavy_share=0.001))
 
 
 def q_feature_table_colocated(spark, sf):

@@ -40,6 +40,25 @@ def key_text(cols: list[str], df: DataFrame | None = None) -> Column:
     return F.concat(*[part(c) for c in cols])
 
 
+#: Number of a stored row, and of its block of ``1 << BLOCK_BITS`` neighbouring rows, for
+#: plans that work on a few columns of an event and join the rest again.
+ROW, BLOCK, BLOCK_BITS = "__row", "__block", 3
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with ``ROW`` and ``BLOCK``, to be stored."""
+    return df.withColumn(ROW, F.monotonically_increasing_id()).withColumn(BLOCK, F.shiftright(ROW, BLOCK_BITS))
+
+
+def join_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Inner join of ``numbered`` events with rows of ``right`` that carry their numbers. Partitioned
+    by the block, as the events may be stored: then only ``right`` moves, neighbouring rows stay
+    together, and a row meets those of its block only (the row as a second key would bring the shuffle back)."""
+    r = right.withColumnsRenamed({ROW: "__r_row", BLOCK: "__r_block"})
+    same = (left[BLOCK] == r["__r_block"]) & (left[ROW] >= r["__r_row"]) & (left[ROW] <= r["__r_row"])
+    return left.join(r, same).drop("__r_row", "__r_block")
+
+
 @dataclass(frozen=True)
 class Colocated:
     """A stored, bucketed event table."""

@@ -73,6 +73,11 @@ EXTRA = [
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item, shaped as a play (see module doc)."""
+    return _shaped(_joined(spark, sf_dir))
+
+
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items with their play number and the columns of order, customer and supplier."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
@@ -83,9 +88,13 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(c, F.col("o_custkey") == c.c_custkey)
-         .join(s, li.l_suppkey == s.s_suppkey))
+    # customers meet the orders, not the line items: these move once, to their orders
+    oc = o.join(c, F.col("o_custkey") == c.c_custkey)
+    return li.join(oc, li.l_orderkey == oc.o_orderkey).join(s, li.l_suppkey == s.s_suppkey)
+
+
+def _shaped(j: DataFrame, *more: str) -> DataFrame:
+    """The plays of ``_joined``, and its columns ``more``."""
     pk, sk, ln, rf = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"), F.col("l_returnflag")
     cn, sn = F.col("c_nationkey"), F.col("s_nationkey")
     season = F.year("o_orderdate").cast("int")
@@ -127,6 +136,7 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(pk % 7 == 0, F.lit(None)).otherwise(qty % 20).alias("wind"),
         (qty - 10).alias("yards_gained"),
         *[F.expr(f"cast({rule} as {kind})").alias(name) for name, rule, kind in EXTRA],
+        *more,
     )
 
 
@@ -200,26 +210,55 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def plays_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``plays`` adapter stored once as Parquet in the shared checkpoint
-    folder (per state of its input files), as an event table is at scale. Every query
-    then scans it with column pruning instead of recomputing the four-way join in
-    each branch of its plan."""
-    from seqwise.session import checkpoint_dir
+ROW_BUCKET_BYTES = 4 << 20  # of line item files, for each bucket of the stored plays
+
+
+def _size(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _plays_stored(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(table, path) of the ``plays`` adapter, stored once as Parquet in the shared checkpoint
+    folder (per state of its input files), as an event table is at scale, in buckets by ``BLOCK``:
+    what a plan joins to the events by their number moves to their buckets, they stay. The rows are
+    dealt to the buckets before they take the shape of plays, which is several times wider."""
+    from seqwise.session import checkpoint_dir, compiled_methods
+    from seqwise.sources.bucketed import BLOCK, ROW, numbered
+    compiled_methods(spark)
     key = (checkpoint_dir(spark), _files_state(spark, sf_dir))
-    path = _STORED.get(key)
-    if path is None or not _exists(spark, path):
+    name, path = _STORED.get(key, (None, None))
+    if path is None or not _exists(spark, path) or not spark.catalog.tableExists(name):
+        n = max(4, -(-_size(table(spark, sf_dir, "lineitem")) // ROW_BUCKET_BYTES))
+        name = f"seqwise_rows_{uuid.uuid4().hex}"
         path = f"{checkpoint_dir(spark).rstrip('/')}/plays-{uuid.uuid4().hex}"
-        plays(spark, sf_dir).write.parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(path)
+        dealt = numbered(_joined(spark, sf_dir)).repartition(n, BLOCK)
+        _shaped(dealt, ROW, BLOCK).write.format("parquet").option("path", path).bucketBy(n, BLOCK).saveAsTable(name)
+        _STORED[key] = name, path
+    return name, path
+
+
+def plays_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored plays with ``ROW`` and ``BLOCK``, partitioned as stored."""
+    return spark.table(_plays_stored(spark, sf_dir)[0])
+
+
+def plays_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored plays. Every query scans them with column pruning instead of recomputing
+    the four-way join in each branch of its plan."""
+    from seqwise.sources.bucketed import BLOCK, ROW
+    return spark.read.parquet(_plays_stored(spark, sf_dir)[1]).drop(ROW, BLOCK)
+
+
+BUCKET_BYTES = 32 << 20     # of stored plays, for each bucket
 
 
-def plays_colocated(spark: SparkSession, sf_dir: str, buckets: int = 16):
+def plays_colocated(spark: SparkSession, sf_dir: str, buckets: int | None = None):
     """``plays`` stored once in buckets by (entity, period), as an event table that is
-    built from more than once is at scale."""
+    built from more than once is at scale. ``buckets``: 16, and more of them for larger tables."""
     from seqwise.session import checkpoint_dir
     from seqwise.sources.bucketed import write_colocated
+    if buckets is None:
+        buckets = max(16, -(-_size(plays_rows(spark, sf_dir)) // BUCKET_BYTES))
     key = (checkpoint_dir(spark), _files_state(spark, sf_dir), buckets)
     store = _STORED.get(key)
     if store is None or not _exists(spark, store.path) or not spark.catalog.tableExists(store.table):

@@ -7,8 +7,8 @@ from seqwise.config import EventConfig
 from seqwise.plans.features import attach, attach_colocated, build_features, side_tables
 from seqwise.queries.rates import CFG
 from seqwise.sources import bucketed
-from seqwise.sources.bucketed import KEY, join_colocated, key_text, write_colocated
-from seqwise.sources.fixtures import players, plays_table
+from seqwise.sources.bucketed import BLOCK, KEY, ROW, join_colocated, join_rows, key_text, numbered, write_colocated
+from seqwise.sources.fixtures import players, plays_rows, plays_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -82,3 +82,34 @@ def test_a_store_with_a_huge_group_takes_the_shuffling_way(spark, monkeypatch):
     assert KEY not in got.columns and got.count() == build_features(events, players(spark, SF), CFG, 1998, 2001).count()
     with pytest.raises(ValueError):
         build_features(write_colocated(events, ["defteam"], ["drive"], 2), players(spark, SF), CFG)
+
+
+def test_rows_meet_by_their_number(spark):
+    """Each row its own, whatever else it holds: repeated and NULL rows, several matches, none."""
+    df = numbered(spark.createDataFrame([(k % 5 or None, "x") for k in range(100)], "a int, b string").repartition(3))
+    rows = spark.createDataFrame([tuple(r) for r in df.collect()], df.schema)
+    right = rows.filter(f"{ROW} % 3 > 0").select(ROW, BLOCK, (F.col(ROW) * 2).alias("twice"))
+    got = join_rows(rows, right.unionByName(right.filter(f"{ROW} % 3 = 1")))
+    want = [(r.a, r[ROW], 2 * r[ROW]) for r in rows.collect() for _ in range({0: 0, 1: 2, 2: 1}[r[ROW] % 3])]
+    assert sorted(((r.a, r[ROW], r.twice) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_stored_plays_stay_where_they_are(spark):
+    """The events themselves are not shuffled by their attachment."""
+    events = plays_rows(spark, SF)
+    side = side_tables(events, players(spark, SF), CFG)
+    keep = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = attach(events, side, CFG).filter("season = 1998")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", keep)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # the narrow events four times (window, its join back, actors, back to the rows), their
+    # summary three times and the actors' stats
+    assert len(moved) == 4 + 3 + 1 and "Bucketed: true" in plan
+    want = attach(plays_table(spark, SF), side, CFG).filter("season = 1998")
+    assert got.columns == want.columns and ROW not in got.columns and bag(got) == bag(want)
