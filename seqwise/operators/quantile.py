@@ -34,9 +34,16 @@ def long_values(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
 def quantile_summary(df: DataFrame, by: list[str], cols: list[str], k: int = SKETCH) -> DataFrame:
     """(``by``, ``__c``, ``__n``, sketch): one mergeable quantile sketch for each group and
     column, e.g. by season, to be stored. ``exact_quantiles`` with ``summary`` merges those
-    of the groups it is asked for, so its brackets need no pass over the events."""
-    return long_values(df, by, cols).groupBy(*by, "__c").agg(
-        F.count(F.lit(1)).alias("__n"), F.kll_sketch_agg_double("__v", F.lit(k)).alias("sketch"))
+    of the groups it is asked for, so its brackets need no pass over the events. The columns
+    of a row are sketched side by side: with many groups Spark sorts what it aggregates, and
+    a row for each value would be sorted as often as there are columns."""
+    v = [F.col(c).cast("double") for c in cols]
+    wide = df.groupBy(*by).agg(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.count(x).alias("n"), F.kll_sketch_agg_double(x, F.lit(k)).alias("sketch"))
+        for c, x in zip(cols, v)]).alias("__cs"))
+    return (wide.select(*by, F.explode("__cs").alias("__cv"))
+            .select(*by, F.col("__cv.c").alias("__c"), F.col("__cv.n").alias("__n"), F.col("__cv.sketch").alias("sketch"))
+            .filter(F.col("__n") > 0))
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], cols: list[str], q: float,
@@ -76,6 +83,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], cols: list[str], q: float,
     side = F.when(F.col("__v") < F.col("__lo"), F.lit(-1)).when(F.col("__v") > F.col("__hi"), F.lit(1)).otherwise(F.lit(0))
     hist = (j.select(*gk, side.alias("__side"), F.when(side == 0, F.col("__v")).alias("__v"))
             .groupBy(*gk, "__side", "__v").agg(F.count(F.lit(1)).alias("__k")))
+    hist = materialize(hist, name="quantile_bands")          # read twice, made by one pass over the values
     ends = hist.groupBy(*gk).agg(F.sum(F.when(F.col("__side") == -1, F.col("__k")).otherwise(0)).alias("__below"),
                                  F.sum(F.when(F.col("__side") == 1, F.col("__k")).otherwise(0)).alias("__above"))
     st = small_side(join_null_safe(ends, st, gk, "inner").withColumn(

@@ -28,7 +28,7 @@ from seqwise.queries.rates import CFG, asof_sql
 from seqwise.queries.rates import ORACLE as RATE_ORACLE
 from seqwise.queries.sequence import EV, KEYS, WIN, _scalars, steps
 from seqwise.session import checkpoint_dir, materialize
-from seqwise.sources.fixtures import events, players, plays_colocated, plays_rows, plays_table as plays
+from seqwise.sources.fixtures import events, players, plays_colocated, plays_columns, plays_rows, plays_table as plays
 from seqwise.sources.io import distinct_estimate, distinct_summary, read_lookup, write_splits_audited
 
 # a group with more rows is cut by ranges of its order column; small, so that the
@@ -171,7 +171,7 @@ def q_asof_appended_filled(spark, sf):
 def q_quantiles_from_summaries(spark, sf):
     """Quantiles per entity over a set of seasons, bracketed by sketches stored per season."""
     cols = ["epa", "wind", "air_yards"]
-    p = plays(spark, sf).select("posteam", "season", *cols)
+    p = plays_columns(spark, sf, ["posteam", "season", *cols])
     stored = materialize(quantile_summary(p, ["posteam", "season"], cols), name="quantile_summaries")
     recent = F.col("season") >= 1998
     return rounded(exact_quantiles(p.filter(recent), ["posteam"], cols, 0.35, prefix="q_", stage=False,

@@ -249,6 +249,20 @@ def plays_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_plays_stored(spark, sf_dir)[1]).drop(ROW, BLOCK)
 
 
+def plays_columns(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFrame:
+    """A few columns of the plays: read from the stored ones if there are any, else stored by
+    themselves. Storing all columns takes most of the time of a query that reads these only."""
+    from seqwise.session import checkpoint_dir
+    folder, files = checkpoint_dir(spark), _files_state(spark, sf_dir)
+    path = _STORED.get((folder, files), (None, None))[1]
+    if path is None or not _exists(spark, path):
+        path = _STORED.get((folder, files, tuple(cols)))
+    if path is None or not _exists(spark, path):
+        path = _STORED[folder, files, tuple(cols)] = f"{folder.rstrip('/')}/plays-{uuid.uuid4().hex}"
+        plays(spark, sf_dir).select(*cols).write.parquet(path)
+    return spark.read.parquet(path).select(*cols)
+
+
 BUCKET_BYTES = 32 << 20     # of stored plays, for each bucket
 
 
