@@ -29,7 +29,6 @@ with the scores, so they should be narrow. Whole texts are read; numbers may dif
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqwise.llm.common import batches_by_bytes, staged
+from seqwise.llm.common import staged
 
 WORDS, SHAPES, SIDE, WIDTH, ROUNDS, BATCH = 95, 32, 2, 16, 3, 4096
 SYMBOLS = 1 + WORDS + SHAPES                       # 0 stands for beyond the text
@@ -58,38 +57,78 @@ def shape(word: str) -> int:
     return (end * 4 + case) * 2 + (len(word) > 7)
 
 
+def places(kinds: pa.StringArray, of: pa.StringArray) -> np.ndarray:
+    """Place of every word in ``of``, -1 if it is not there."""
+    return pc.fill_null(pc.index_in(kinds, value_set=of), -1).to_numpy(zero_copy_only=False)
+
+
+def _byte_kinds() -> np.ndarray:
+    """Of each byte of UTF-8, as bits: 1 lower case, 2 upper case, 4 digit, 8 in ".!?", 16 beyond ASCII."""
+    out = np.zeros(256, np.uint8)
+    for bit, of in ((1, range(0x61, 0x7B)), (2, range(0x41, 0x5B)), (4, range(0x30, 0x3A)), (8, b".!?"), (16, range(0x80, 0x100))):
+        out[list(of)] = bit
+    return out
+
+
+BYTE_KINDS = _byte_kinds()
+
+
 class Symbols(dict):
-    """word -> symbol; shapes of unlisted words are kept up to a bound."""
+    """Symbols of words. ``shape`` of ASCII words is worked out from the bytes of all words
+    together; the dictionary keeps that of others up to a bound."""
 
     def __init__(self, words: list[str], bound: int = 300_000):
-        super().__init__({w: 1 + k for k, w in enumerate(words)})
-        self.words, self.bound = list(words), bound
+        super().__init__()
+        self.words, self.bound = pa.array(words, pa.string()), bound
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.bound:
             self.clear()
-            self.update({w: 1 + k for k, w in enumerate(self.words)})
-        got = self[word] = 1 + WORDS + shape(word)
+        got = self[word] = shape(word)
         return got
 
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter((self[w] if w else 0 for w in words), np.int64, len(words))
+    def shapes(self, kinds: pa.StringArray) -> np.ndarray:
+        """``shape`` of every word; 0 for an empty one."""
+        ends = np.frombuffer(kinds.buffers()[1], np.int32)[kinds.offset:kinds.offset + len(kinds) + 1]
+        data = kinds.buffers()[2]
+        of = np.append(BYTE_KINDS[np.frombuffer(data or b"", np.uint8)[:ends[-1]]], np.uint8(0))
+        some = np.bitwise_or.reduceat(of, ends[:-1]) if len(kinds) else of[:0]
+        size = np.diff(ends)
+        first, last = of[ends[:-1]], of[ends[1:] - 1]
+        end = np.select([last & 3 > 0, last & 8 > 0, last & 4 > 0], [0, 1, 2], 3)
+        case = np.select([some & 3 == 1, some & 3 == 2, first & 2 > 0], [0, 1, 2], 3)
+        out = np.where(size > 0, (end * 4 + case) * 2 + (size > 7), 0)
+        other = np.flatnonzero((some & 16 > 0) & (size > 0))
+        out[other] = [self[w] for w in kinds.take(pa.array(other)).to_numpy(zero_copy_only=False).tolist()]
+        return out
 
+    def of(self, kinds: pa.StringArray) -> np.ndarray:
+        listed = places(kinds, self.words)
+        symbols = np.where(listed >= 0, 1 + listed, 1 + WORDS + self.shapes(kinds))
+        return np.where(pc.equal(kinds, "").to_numpy(zero_copy_only=False), 0, symbols).astype(np.int64)
 
-def words_of(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+
+def numbered_words(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
     """(different words, number of each word of all texts, words of each text);
     words lie between white space as ``str.split`` has it."""
-    lists = pc.utf8_split_whitespace(pa.array(texts, pa.string()))
+    lists = pc.utf8_split_whitespace(texts)
     coded = lists.flatten().dictionary_encode()
-    kinds, ids = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+    kinds, ids = coded.dictionary, coded.indices.to_numpy()
     ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
-    if "" in kinds:                                # beside white space at either end
-        real = ids != kinds.index("")
+    empty = pc.index(kinds, "").as_py()
+    if empty >= 0:                                 # beside white space at either end
+        real = ids != empty
         ends = np.concatenate([[0], np.cumsum(real)])[ends]
         ids = ids[real]
     return kinds, ids, np.diff(ends, prepend=0)
 
 
+def words_of(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``numbered_words`` of a list."""
+    kinds, ids, sizes = numbered_words(pa.array(texts, pa.string()))
+    return kinds.to_numpy(zero_copy_only=False).tolist(), ids, sizes
+
+
 def laid_out(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(symbols of all texts, SIDE zeros around each; places of the words)."""
     at = np.arange(len(symbols)) + SIDE * (1 + np.repeat(np.arange(len(sizes)), sizes))
@@ -98,9 +137,9 @@ def laid_out(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
     return s, at
 
 
-def sequence(texts: list[str], symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
+def sequence(texts: pa.StringArray | list[str], symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
     """(symbols of all texts, SIDE zeros around each; words of each text)."""
-    kinds, ids, sizes = words_of(texts)
+    kinds, ids, sizes = numbered_words(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
     return laid_out(symbols.of(kinds)[ids], sizes)[0], sizes
 
 
@@ -168,32 +207,53 @@ class Network:
                 order = np.argsort(x, kind="stable")
                 ordered = x[order]
                 begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-                self.E[j][ordered[begin]] -= np.add.reduceat(gh[order], begin, axis=0)
+                self.E[j][ordered[begin]] -= np.add.reduceat(gh.take(order, axis=0), begin, axis=0)
 
 
 def _texts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(text), F.lit("")).alias("__text"))
 
 
+def slices(batch: pa.RecordBatch, limit: int = 3_000_000) -> Iterator[tuple[pa.RecordBatch, pa.StringArray]]:
+    """Slices of a batch and their column ``__text``, of at most ``limit`` characters together (or a
+    single row), so memory does not follow the batch size."""
+    texts = batch.column(batch.schema.names.index("__text"))
+    total, begin = 0, 0
+
+    def cut(end: int) -> tuple[pa.RecordBatch, pa.StringArray]:
+        return batch.slice(begin, end - begin), texts.slice(begin, end - begin).cast(pa.string())
+    for k, n in enumerate(pc.utf8_length(texts).to_pylist()):
+        if total and total + n > limit:
+            yield cut(k)
+            total, begin = 0, k
+        total += n
+    if begin < len(texts):
+        yield cut(len(texts))
+
+
+FLUSH_BYTES = 64 << 20      # of words that a task holds to count them
+
+
 def word_counts(docs: DataFrame, text: str = "text", flush: int = 300_000) -> DataFrame:
     """(word, n) of every word over all documents, stored."""
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-
-        def emitted() -> pd.DataFrame:
-            return pd.DataFrame({"word": list(seen), "n": list(seen.values())}, columns=["word", "n"])
-        for frame in frames:
-            for part in batches_by_bytes(frame, "__text"):
-                kinds, ids, _ = words_of(part["__text"].tolist())
-                for w, n in zip(kinds, np.bincount(ids, minlength=len(kinds)).tolist()):
-                    if n:
-                        seen[w] += n
-                if len(seen) > flush:              # bounded memory: partial counts go to the shuffle
-                    yield emitted()
-                    seen.clear()
-        if seen:
-            yield emitted()
-    counts = _texts(docs, text).mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def summed() -> pa.Table:
+            got = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return got.select(["word", "n_sum"]).rename_columns(["word", "n"])
+        for batch in batches:
+            for _, texts in slices(batch):
+                seen = pc.utf8_split_whitespace(texts).flatten().value_counts()
+                held.append(pa.table({"word": seen.field(0), "n": seen.field(1)}).filter(pc.field("word") != ""))
+                if sum(t.num_rows for t in held) > 2 * flush or sum(t.nbytes for t in held) > FLUSH_BYTES:
+                    held = [summed()]
+                    if held[0].num_rows > flush or held[0].nbytes > FLUSH_BYTES // 2:
+                        yield from held[0].to_batches()      # bounded memory: partial counts go to the shuffle
+                        held = []
+        if held:
+            yield from summed().to_batches()
+    counts = _texts(docs, text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return staged(counts, "lm-words")
 
 
@@ -215,18 +275,18 @@ def train(docs: DataFrame, text: str = "text", counts: DataFrame | None = None)
     for r in range(ROUNDS):
         start = flat
 
-        def learn(frames: Iterator[pd.DataFrame], start=start) -> Iterator[pd.DataFrame]:
+        def learn(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             net, symbols, n = Network(start.copy()), Symbols(words), 0
-            for frame in frames:
-                for part in batches_by_bytes(frame, "__text"):
-                    s, sizes = sequence(part["__text"].tolist(), symbols)
+            for batch in batches:
+                for _, texts in slices(batch):
+                    s, sizes = sequence(texts, symbols)
                     at = np.flatnonzero(s)
                     net.train(s, at)
                     n += len(at)
             if n:
-                yield pd.DataFrame({"n": [float(n)], "w": [net.flat.astype(np.float64)]})
+                yield pa.RecordBatch.from_arrays([pa.array([float(n)]), pa.array([net.flat.astype(np.float64)])], ["n", "w"])
         mine = rows.filter(F.pmod(F.xxhash64("__text"), F.lit(ROUNDS)) == r)
-        flat = averaged(mine.mapInPandas(learn, NETWORK), flat)
+        flat = averaged(mine.mapInArrow(learn, NETWORK), flat)
     return words, flat
 
 
@@ -302,25 +362,25 @@ def score(docs: DataFrame, words: list[str], network: np.ndarray, text: str = "t
     total = sizes_of.sum(0)
     listed = set(words)
     within = {w: math.log(n / total[shape(w)]) for w, n in often.items() if w not in listed} | dict.fromkeys(words, 0.0)
+    known, logs = pa.array(list(within), pa.string()), np.array([*within.values(), math.nan])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, symbols = Network(network), Symbols(words)
-        for frame in frames:
-            for part in batches_by_bytes(frame, "__text"):
-                kinds, ids, sizes = words_of(part["__text"].tolist())
+        for batch in batches:
+            for part, texts in slices(batch):
+                kinds, ids, sizes = numbered_words(texts)
                 s, at = laid_out(symbols.of(kinds)[ids], sizes)
-                inner = np.fromiter((within.get(w, math.nan) for w in kinds), np.float64, len(kinds))[ids]
+                inner = logs[places(kinds, known)][ids]              # NaN, the last one, for a word that has none
                 each = net.log_probabilities(s, at) + np.nan_to_num(inner)
                 ends = np.concatenate([[0], np.cumsum(each, dtype=np.float64)])
                 stop = np.cumsum(sizes)
                 rare = np.flatnonzero(np.isnan(inner))
-                cuts = np.searchsorted(rare, np.concatenate([[0], stop])).tolist()
-                tail, shapes = [kinds[i] for i in ids[rare].tolist()], (s[at[rare]] - 1 - WORDS).tolist()
-                yield part.drop(columns="__text").assign(
-                    n_words=sizes, log_prob=ends[stop] - ends[stop - sizes],
-                    __tail=[tail[a:b] for a, b in zip(cuts, cuts[1:])],
-                    __shapes=[shapes[a:b] for a, b in zip(cuts, cuts[1:])])
-    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInPandas(run, schema)
+                cuts = pa.array(np.searchsorted(rare, np.concatenate([[0], stop])).astype(np.int32))
+                tail, shapes = kinds.take(pa.array(ids[rare])), pa.array((s[at[rare]] - 1 - WORDS).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], pa.array(sizes.astype(np.int64)), pa.array(ends[stop] - ends[stop - sizes]),
+                     pa.ListArray.from_arrays(cuts, tail), pa.ListArray.from_arrays(cuts, shapes)], schema.names)
+    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInArrow(run, schema)
     rows = staged(rows.withColumn("__row", F.monotonically_increasing_id()), "lm-scores")
     # words of the tail meet their counts; none of them is frequent, so no key is hot
     tail = rows.select("__row", F.explode(F.arrays_zip("__tail", "__shapes")).alias("t"))

@@ -7,6 +7,7 @@ import time
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -238,6 +239,34 @@ def test_lm_words_are_those_of_split():
         assert sizes.tolist() == [len(t.split()) for t in texts]
 
 
+def test_lm_shapes_of_many_words_at_once():
+    rng = random.Random(8)
+    odd = ["", "É", "straße", "ÀB", "ñ.", "日本", "٣", "ǅ", "éa8", "a\u0301", "#", "A.", "aB", "x?", "abcdefg", "abcdefgh", "ABCDEFG8"]
+    odd += ["".join(rng.choice("aZ9.!#-é٣Ωλ") for _ in range(rng.randint(1, 10))) for _ in range(2000)]
+    kinds = pa.array(dict.fromkeys(odd), pa.string())
+    listed = ["Z", "aB", "straße"]
+    for words, some in ((listed, kinds), (listed, kinds[7:60]), ([], kinds[:0]), ([], kinds[:1])):
+        symbols = lm.Symbols(words, bound=50)
+        want = [1 + words.index(w) if w in words else 1 + lm.WORDS + lm.shape(w) if w else 0 for w in some.to_pylist()]
+        assert symbols.of(some).tolist() == want and len(symbols) <= 50
+
+
+def test_lm_words_are_not_looked_at_one_by_one(spark, monkeypatch):
+    """Counts of all words in bounded memory, and ASCII words classed without a call for each of them."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["aé", "b", f"w{rng.randint(0, 400)}", "", " "]) for _ in range(50)) for _ in range(200)] + [None, "", " "]
+    want = {}
+    for w in (w for t in texts if t for w in t.split()):
+        want[w] = want.get(w, 0) + 1
+    docs = frame(spark, texts)
+    for flush in (1, 30, 300_000):
+        assert {r.word: r.n for r in lm.word_counts(docs, flush=flush).collect()} == want
+    called = []
+    monkeypatch.setattr(lm, "shape", lambda w: called.append(w) or 0)
+    lm.sequence([t for t in texts if t], lm.Symbols(["b"]))
+    assert called == ["aé"]
+
+
 def test_lm_frequent_words_by_search(spark):
     rng = random.Random(5)
     n = {f"w{k}": int(rng.paretovariate(0.5)) % 5000 + 1 for k in range(300)}
