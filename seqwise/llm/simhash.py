@@ -202,8 +202,9 @@ def links(fps: DataFrame, distance: int = 3, parts: int = 3, hot: int = 2_000, l
         cold = [index, probe] if crowded is None else [x.join(crowded, "path", "left_anti") for x in (index, probe)]
         one, two = cold[0].select("path", F.col("fp").alias("a")), cold[1].select("path", F.col("fp").alias("b"))
         close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-        # a pair met through exact values on both sides comes twice: order decides only which end is a
-        pair = one.join(two, (one["path"] == two["path"]) & (F.col("a") != F.col("b")) & close)
+        # a pair met through exact values on both sides comes twice: order decides only which end is a.
+        # Spark takes an exploded table for as large as the one before: unhinted, it would broadcast all signatures
+        pair = one.join(two.hint("merge"), (one["path"] == two["path"]) & (F.col("a") != F.col("b")) & close)
         pair = pair.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         found = pair if found is None else found.unionByName(pair)
         if crowded is None:

@@ -105,6 +105,19 @@ def test_links_match_brute_force(spark, hot, parts, distance):
     assert got == want
 
 
+def test_signatures_are_not_broadcast(spark):
+    """A few fingerprints have hundreds of times as many signatures, which Spark's estimate leaves out."""
+    fps = spark.range(300).select(F.xxhash64("id").alias("fp"))
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 300 * 8
+    keep = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = simhash.links(fps)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", keep)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_allocation_is_optimal():
     from itertools import product
     rng = random.Random(1)
