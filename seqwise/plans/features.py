@@ -28,7 +28,7 @@ from seqwise.operators.window import number_and_fill
 from seqwise.plans.priors import actor_stats
 from seqwise.plans.rates import asof_rates
 from seqwise.session import materialize, materialize_all
-from seqwise.sources.bucketed import BLOCK, KEY, ROW, Colocated, join_colocated, join_rows, numbered
+from seqwise.sources.bucketed import BLOCK, KEY, ROW, Colocated, join_colocated, join_group_rows, join_rows, numbered
 
 # Columns whose NULLs become 0.
 ZERO_FILL = ["qb_pass_wpa_play_adj", "qb_pass_epa_play_adj", "air_yards", "yards_after_catch", "air_epa",
@@ -107,16 +107,36 @@ def attach(events: DataFrame, side: dict, cfg: EventConfig = EventConfig(), heav
     return left_attach(ev, small_side(side["dt"].drop("dt_n")), [o, s, p])
 
 
-def attach_colocated(events: DataFrame, side: dict, cfg: EventConfig = EventConfig(), heavy: list[int] | None = None) -> DataFrame:
-    """``attach`` for events read from a store bucketed by (entity, period): number and
-    actor fill are one window on the stored key, the entity's rates move to the events'
-    buckets. Two shuffles of the events are left, those of opponent and actor."""
-    e, o, s, p = cfg.entity, cfg.opponent, cfg.season, cfg.period
+def _number_and_fill_stored(events: DataFrame, cfg: EventConfig) -> DataFrame:
+    """Number and actor fill by one window on the stored key."""
     w = Window.partitionBy(KEY).orderBy(*asc_last(cfg.order_cols))
     so_far, back = w.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(KEY).orderBy(F.desc("pt_play_no"))
     ev = events.withColumns({"pt_play_no": F.row_number().over(w).cast("int"), "__down": F.last(cfg.actor, ignorenulls=True).over(so_far)})
     up = F.last(cfg.actor, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))
-    ev = ev.withColumn(cfg.actor, F.coalesce("__down", up)).drop("__down")
+    return ev.withColumn(cfg.actor, F.coalesce("__down", up)).drop("__down")
+
+
+def attach_colocated(events: DataFrame, side: dict, cfg: EventConfig = EventConfig(), heavy: list[int] | None = None) -> DataFrame:
+    """``attach`` for events read from a store bucketed by (entity, period): number and
+    actor fill are one window on the stored key, the entity's rates move to the events'
+    buckets. Two shuffles of the events are left, those of opponent and actor; none if the
+    store has numbered rows: then a narrow copy meets the actor's stats and comes back to its
+    rows, and the opponent's rates follow by a size-checked broadcast."""
+    e, o, s, p = cfg.entity, cfg.opponent, cfg.season, cfg.period
+    if ROW in events.columns:
+        cols = [c for c in events.columns if c not in (ROW, KEY)]
+        own = _number_and_fill_stored(events.select(*dict.fromkeys([KEY, ROW, s, p, *cfg.order_cols, cfg.actor])), cfg)
+        own = own.select(KEY, ROW, cfg.actor, p, s, "pt_play_no")
+        stats, keys = side["actor_stats"], [cfg.actor, p, s]
+        own = heavy_join(own, stats, keys, heavy=heavy, mode="salt") if heavy else left_attach(own, stats, keys)
+        ev = join_group_rows(events.drop(cfg.actor), own.drop(p, s))
+        spread = {"pt_spread": signed_by_side("spread_line", "posteam_type")} if "spread_line" in cols else {}
+        ev = ev.withColumns(spread) if spread else ev
+        ev = join_colocated(ev, side["pt"].drop("pt_n"), [e, p], [s])
+        ev = left_attach(ev, small_side(side["dt"].drop("dt_n")), [o, s, p])
+        made = [c for c in (*side["pt"].columns, *side["dt"].columns, *stats.columns) if c not in {e, o, *keys, "pt_n", "dt_n"}]
+        return ev.select(*cols, "pt_play_no", *spread, *made)
+    ev = _number_and_fill_stored(events, cfg)
     if "spread_line" in ev.columns:
         ev = ev.withColumn("pt_spread", signed_by_side("spread_line", "posteam_type"))
     ev = join_colocated(ev, side["pt"].drop("pt_n"), [e, p], [s]).drop(KEY)
@@ -213,6 +233,15 @@ def raw_event_means(events: DataFrame, cfg: EventConfig = EventConfig()):
     return season, week
 
 
+def impute_attached(ev: DataFrame, events: DataFrame, side: dict, cfg: EventConfig = EventConfig()) -> DataFrame:
+    """C8 of ``ev``, the ``events`` with the tables of ``side`` attached, in one pass: every statistic
+    comes from the side tables or the raw events, so ``ev`` is neither stored nor read twice."""
+    rates = joined_rate_means(side, cfg)
+    spread, week = raw_event_means(events, cfg)
+    means = rates if spread is None else merge_groups([rates, spread], [cfg.season])
+    return impute(ev, cfg, known_means=means, known_week=week, never_null=("pt_play_no",))
+
+
 def flags_and_label(ev: DataFrame, cfg: EventConfig = EventConfig()) -> DataFrame:
     """0/1 flags (missing -> 0), drop their sources, derive the label,
     default a missing down to 1."""
@@ -243,13 +272,9 @@ def build_features(events: DataFrame | Colocated, players: DataFrame, cfg: Event
         if events.group != (cfg.entity, cfg.period):
             raise ValueError(f"events are stored by {events.group}, not by {(cfg.entity, cfg.period)}")
         stored = events.read(players.sparkSession)
-        together, events = stored if events.even else None, stored.drop(KEY)
+        together, events = stored if events.even else None, stored.drop(KEY, ROW)
     side = side_tables(events, players, cfg, stage)
     ev = attach(events, side, cfg) if together is None else attach_colocated(together, side, cfg)
-    rates = joined_rate_means(side, cfg)
-    spread, week = raw_event_means(events, cfg)
-    means = rates if spread is None else merge_groups([rates, spread], [cfg.season])
-    ev = impute(ev, cfg, known_means=means, known_week=week, never_null=("pt_play_no",))
-    ev = flags_and_label(ev, cfg)
+    ev = flags_and_label(impute_attached(ev, events, side, cfg), cfg)
     ev = ev.drop("run_location")
     return rule_split(ev, cfg.season, cfg.week, min_season, test_season)

@@ -76,11 +76,14 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shaped(_joined(spark, sf_dir))
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The line items with their play number and the columns of order, customer and supplier."""
+def _joined(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """The line items with their play number and the columns of order, customer and supplier;
+    dealt by order into ``parts`` partitions, where they stay if Spark broadcasts the suppliers."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    if parts is not None:
+        li = li.repartition(parts, "l_orderkey")
     # play number inside an order; the window shares the orderkey exchange
     # with the orders join below, so it adds no shuffle of its own
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
@@ -90,11 +93,19 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # customers meet the orders, not the line items: these move once, to their orders
     oc = o.join(c, F.col("o_custkey") == c.c_custkey)
-    return li.join(oc, li.l_orderkey == oc.o_orderkey).join(s, li.l_suppkey == s.s_suppkey)
+    j = li.join(oc, li.l_orderkey == oc.o_orderkey)
+    if parts is None:
+        return j.join(s, li.l_suppkey == s.s_suppkey)
+    if _size(s) <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold():
+        return j.join(F.broadcast(s), li.l_suppkey == s.s_suppkey)
+    return j.join(s, li.l_suppkey == s.s_suppkey).repartition(parts, "l_orderkey")
+
+
+PERIOD = "to_date(date_trunc('month', o_orderdate))"
 
 
 def _shaped(j: DataFrame, *more: str) -> DataFrame:
-    """The plays of ``_joined``, and its columns ``more``."""
+    """The plays of ``_joined``, and the expressions ``more`` on its columns."""
     pk, sk, ln, rf = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"), F.col("l_returnflag")
     cn, sn = F.col("c_nationkey"), F.col("s_nationkey")
     season = F.year("o_orderdate").cast("int")
@@ -104,7 +115,7 @@ def _shaped(j: DataFrame, *more: str) -> DataFrame:
     return j.select(
         season.alias("season"),
         month.alias("week"),
-        F.to_date(F.date_trunc("month", "o_orderdate")).alias("game_date"),
+        F.expr(PERIOD).alias("game_date"),
         cn.alias("posteam"),
         sn.alias("defteam"),
         sk.alias("passer_src"),
@@ -136,7 +147,7 @@ def _shaped(j: DataFrame, *more: str) -> DataFrame:
         F.when(pk % 7 == 0, F.lit(None)).otherwise(qty % 20).alias("wind"),
         (qty - 10).alias("yards_gained"),
         *[F.expr(f"cast({rule} as {kind})").alias(name) for name, rule, kind in EXTRA],
-        *more,
+        *map(F.expr, more),
     )
 
 
@@ -211,6 +222,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 ROW_BUCKET_BYTES = 4 << 20  # of line item files, for each bucket of the stored plays
+MAX_DRIVE = 1_000           # rows of a drive; the rows of one block are compared with each other
 
 
 def _size(df: DataFrame) -> int:
@@ -219,21 +231,39 @@ def _size(df: DataFrame) -> int:
 
 def _plays_stored(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """(table, path) of the ``plays`` adapter, stored once as Parquet in the shared checkpoint
-    folder (per state of its input files), as an event table is at scale, in buckets by ``BLOCK``:
-    what a plan joins to the events by their number moves to their buckets, they stay. The rows are
-    dealt to the buckets before they take the shape of plays, which is several times wider."""
+    folder (per state of its input files), as an event table is at scale, in buckets by ``BLOCK``,
+    here the drive: what a plan joins to the events by their number moves to their buckets, they
+    stay. The rows are dealt to the buckets before they take the shape of plays, which is several
+    times wider, and only once: where the plays are numbered. In a bucket they lie by period and
+    sides, so what is attached to them by these takes little room in whatever is written of them."""
     from seqwise.session import checkpoint_dir, compiled_methods
-    from seqwise.sources.bucketed import BLOCK, ROW, numbered
+    from seqwise.sources.bucketed import BLOCK
     compiled_methods(spark)
     key = (checkpoint_dir(spark), _files_state(spark, sf_dir))
     name, path = _STORED.get(key, (None, None))
     if path is None or not _exists(spark, path) or not spark.catalog.tableExists(name):
         n = max(4, -(-_size(table(spark, sf_dir, "lineitem")) // ROW_BUCKET_BYTES))
-        name = f"seqwise_rows_{uuid.uuid4().hex}"
-        path = f"{checkpoint_dir(spark).rstrip('/')}/plays-{uuid.uuid4().hex}"
-        dealt = numbered(_joined(spark, sf_dir)).repartition(n, BLOCK)
-        _shaped(dealt, ROW, BLOCK).write.format("parquet").option("path", path).bucketBy(n, BLOCK).saveAsTable(name)
-        _STORED[key] = name, path
+        name, path = _STORED[key] = _store_plays(spark, sf_dir, n, by_drive=True)
+        largest = spark.table(name).groupBy(BLOCK).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+        if largest > MAX_DRIVE:
+            spark.sql(f"DROP TABLE {name}")
+            name, path = _STORED[key] = _store_plays(spark, sf_dir, n, by_drive=False)
+    return name, path
+
+
+def _store_plays(spark: SparkSession, sf_dir: str, n: int, by_drive: bool) -> tuple[str, str]:
+    """The plays stored in ``n`` buckets of their blocks: drives, as they were numbered, or a few
+    neighbouring rows, which deals them a second time."""
+    from seqwise.session import checkpoint_dir
+    from seqwise.sources.bucketed import BLOCK, ROW, numbered, stored_by
+    name = f"seqwise_rows_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/plays-{uuid.uuid4().hex}"
+    if by_drive:
+        rows = _shaped(_joined(spark, sf_dir, n), f"monotonically_increasing_id() as {ROW}", f"l_orderkey as {BLOCK}")
+    else:
+        rows = _shaped(numbered(_joined(spark, sf_dir)).repartition(n, BLOCK), ROW, BLOCK)
+    (stored_by(rows, BLOCK, n).write.format("parquet").option("path", path).bucketBy(n, BLOCK)
+     .sortBy("game_date", "posteam", "defteam").saveAsTable(name))
     return name, path
 
 
@@ -263,18 +293,23 @@ def plays_columns(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFram
     return spark.read.parquet(path).select(*cols)
 
 
-BUCKET_BYTES = 32 << 20     # of stored plays, for each bucket
+BUCKET_BYTES = 8 << 20      # of line item files, for each bucket of the co-located plays
 
 
 def plays_colocated(spark: SparkSession, sf_dir: str, buckets: int | None = None):
     """``plays`` stored once in buckets by (entity, period), as an event table that is
-    built from more than once is at scale. ``buckets``: 16, and more of them for larger tables."""
-    from seqwise.session import checkpoint_dir
-    from seqwise.sources.bucketed import write_colocated
+    built from more than once is at scale, with the number of each row. ``buckets``: 16, and more of
+    them for larger tables. The rows are dealt before they take the shape of plays."""
+    from seqwise.session import checkpoint_dir, compiled_methods
+    from seqwise.sources.bucketed import KEY, ROW, write_colocated
+    compiled_methods(spark)
     if buckets is None:
-        buckets = max(16, -(-_size(plays_rows(spark, sf_dir)) // BUCKET_BYTES))
+        buckets = max(16, -(-_size(table(spark, sf_dir, "lineitem")) // BUCKET_BYTES))
     key = (checkpoint_dir(spark), _files_state(spark, sf_dir), buckets)
     store = _STORED.get(key)
     if store is None or not _exists(spark, store.path) or not spark.catalog.tableExists(store.table):
-        store = _STORED[key] = write_colocated(plays_table(spark, sf_dir), ["posteam", "game_date"], ["drive", "play_id"], buckets, "plays")
+        rows = _joined(spark, sf_dir).withColumns({"posteam": F.col("c_nationkey"), "game_date": F.expr(PERIOD)})
+        store = _STORED[key] = write_colocated(
+            rows, ["posteam", "game_date"], ["drive", "play_id"], buckets, "plays",
+            lambda dealt: _shaped(dealt, KEY, f"monotonically_increasing_id() as {ROW}"))
     return store
