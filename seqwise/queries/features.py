@@ -10,13 +10,12 @@ from seqwise.operators.impute import fill_by_group
 from seqwise.operators.join import left_attach
 from seqwise.operators.split import rule_split, split_report
 from seqwise.operators.window import fill_downup, number_within, period_ordinal
-from seqwise.plans.features import build_features, enrich_events, flags_and_label, impute
+from seqwise.plans.features import attach, build_features, enrich_events, flags_and_label, impute_attached, side_tables
 from seqwise.plans.rates import RATE_NAMES, asof_rates
 from seqwise.queries._common import rnd, rounded
 from seqwise.queries._sql import exact_avg, with_plays
 from seqwise.queries.priors import SHRINK_CTES
 from seqwise.queries.rates import CFG, asof_ctes
-from seqwise.session import materialize
 from seqwise.sources.fixtures import EXTRA, players, plays_rows, plays_table as plays
 
 MIN_SEASON, TEST_SEASON = 1998, 2001
@@ -101,16 +100,19 @@ def q_enriched_events(spark, sf):
     return rounded(enrich_events(plays_rows(spark, sf), players(spark, sf), CFG))
 
 
-def _enriched_stored(spark, sf):
-    return materialize(enrich_events(plays_rows(spark, sf), players(spark, sf), CFG), name="enriched_events")
+def _imputed(spark, sf):
+    """C7, then C8 with its means taken from the tables that C7 attaches and from the raw events."""
+    events = plays_rows(spark, sf)
+    side = side_tables(events, players(spark, sf), CFG)
+    return impute_attached(attach(events, side, CFG), events, side, CFG)
 
 
 def q_imputed_events(spark, sf):
-    return rounded(impute(_enriched_stored(spark, sf), CFG))
+    return rounded(_imputed(spark, sf))
 
 
 def q_flags_label(spark, sf):
-    return rounded(flags_and_label(impute(_enriched_stored(spark, sf), CFG), CFG))
+    return rounded(flags_and_label(_imputed(spark, sf), CFG))
 
 
 def q_feature_table(spark, sf):
