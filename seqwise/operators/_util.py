@@ -37,6 +37,18 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
                       *[r[c] for c in right.columns if c not in keyset])
 
 
+def join_dealt(left: DataFrame, right: DataFrame, at: str, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys``, NULLs matching, of a ``left`` already dealt by ``at``, a never-NULL hash
+    of the keys on both sides: it stays where it is. The keys are compared without being keys of the
+    join, for which Spark would deal both sides anew."""
+    r = right.select(*[F.col(c).alias(f"__r_{c}" if c in {at, *keys} else c) for c in right.columns])
+    cond = left[at] == r[f"__r_{at}"]
+    for k in keys:
+        a, b = left[k], r[f"__r_{k}"]
+        cond = cond & F.when(a.isNull(), b.isNull()).otherwise(F.coalesce((a >= b) & (a <= b), F.lit(False)))
+    return left.join(r, cond).select(*[left[c] for c in left.columns], *[r[c] for c in right.columns if c not in {at, *keys}])
+
+
 # Group tables (one row per season, week, class ...) are broadcast only when
 # they are stored in at most this many rows and bytes.
 SMALL_ROWS, SMALL_BYTES = 100_000, 8 << 20

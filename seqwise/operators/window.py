@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from seqwise.functions.semantics import na_cumsum, order_key, running, safe_ratio
 from seqwise.operators import scan
-from seqwise.operators._util import asc_last, desc_first, join_null_safe
+from seqwise.operators._util import asc_last, desc_first, join_dealt, join_null_safe
 
 
 def number_within(df: DataFrame, keys: list[str], order: list[str], name: str,
@@ -43,9 +43,12 @@ def number_within(df: DataFrame, keys: list[str], order: list[str], name: str,
     before = Window.partitionBy(*keys).orderBy(*asc_last([head])).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, head, F.coalesce(F.sum("__n_in").over(before), F.lit(0)).alias("__off"),
                            *([F.sum("__n_in").over(Window.partitionBy(*keys)).alias(total)] if total else []))
-    inner = Window.partitionBy(*keys, head).orderBy(*asc_last(rest))
-    out = join_null_safe(df.withColumn("__rn_in", F.row_number().over(inner)), offsets, keys + [head], "inner")
-    return out.withColumn(name, (F.col("__off") + F.col("__rn_in")).cast("int")).drop("__rn_in", "__off")
+    # dealt once for the window and the join, by a hash that is never NULL
+    at = F.xxhash64(*keys, head)
+    inner = Window.partitionBy("__at", *keys, head).orderBy(*asc_last(rest))
+    local = df.withColumn("__at", at).repartition("__at").withColumn("__rn_in", F.row_number().over(inner))
+    out = join_dealt(local, offsets.withColumn("__at", at), "__at", [*keys, head])
+    return out.withColumn(name, (F.col("__off") + F.col("__rn_in")).cast("int")).drop("__rn_in", "__off", "__at")
 
 
 def fill_downup(df: DataFrame, keys: list[str], order: list[str], col: str,

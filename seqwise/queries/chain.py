@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from seqwise.operators.project import prepare_events
-from seqwise.operators.sequence import longest, number_steps, pad_steps, step_windows
+from seqwise.operators.sequence import BLOCK, longest, number_steps, pad_steps, step_windows
 from seqwise.plans.model import evaluate, history_frame, select_best, window_vectors, with_class_weight
 from seqwise.plans.prepare import encode_and_scale
 from seqwise.queries._common import rnd, rounded
@@ -26,16 +26,19 @@ FEATS = ["down", "yards_gained", "epa", "wp", "pt_spread", "pt_pass_pct"]
 def chain_events(spark, sf):
     """Prepared (strict), encoded and scaled events, stored once."""
     p = prepare_events(q_feature_table(spark, sf), cfg=CFG, fourth_down=None)
-    p = p.select(*KEYS, "pt_play_no", "play_type", *FEATS)
+    # labels, scales and the encoded events read it: stored, so that the features are built once
+    p = materialize(p.select(*KEYS, "pt_play_no", "play_type", *FEATS), spark, "prepared")
     return materialize(encode_and_scale(p, "play_type", LABEL_MAP, FEATS, fit_labels_on="train", code="label"), spark, "chain")
 
 
 def chain_windows(spark, sf):
     e = chain_events(spark, sf)
     length = longest(e, KEYS)
-    # plays of a game are numbered; tens of them are the coarse order column
-    e = e.withColumn("ten", F.floor(F.col("pt_play_no") / 10).cast("int"))
-    s = pad_steps(number_steps(e, KEYS, ["ten", "pt_play_no"], FEATS, "label"), KEYS, length, "left")
+    # plays of a game are numbered; blocks of them are the coarse order column
+    e = e.withColumn("block", F.floor(F.col("pt_play_no") / BLOCK).cast("int"))
+    # the padding is made from the numbered steps too: stored, so that they are numbered once
+    steps = materialize(number_steps(e, KEYS, ["block", "pt_play_no"], FEATS, "label"), spark, "steps")
+    s = pad_steps(steps, KEYS, length, "left")
     return e, step_windows(s, KEYS, WIN, length, padding="drop")
 
 
